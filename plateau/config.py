@@ -38,11 +38,29 @@ RECIPE_EVENTS = [
     "Recipe Cook Started", "Recipe Added To Collections",
     "Recipe Removed From Collections", "Recipe Search Queried",
 ]
+# The exploration report's recipe set (adds two filter events) and ingredient set.
+EDA_RECIPE_EVENTS = [
+    "Recipe Viewed", "Recipe Cooked", "Recipe Favourited", "Recipe Link Clicked",
+    "Recipe Added To Collections", "Recipe Removed From Collections", "Recipe Cook Started",
+    "Recipe Search Queried", "Recipe Search Filter Applied", "Recipe Filter Applied",
+]
+INGREDIENT_EVENTS = [
+    "Pantry Item Added", "Pantry Item Removed", "Pantry Items Added", "Grocery Item Added",
+    "Grocery Item Removed", "Grocery Items Added", "Custom Ingredient Added",
+    "Custom Ingredients Added",
+]
+# Event set of the item reconciliation job.
+RECONCILE_EVENTS = [
+    "Recipe Viewed", "Recipe Cooked", "Recipe Link Clicked", "Recipe Favourited",
+    "Recipe Unfavourited",
+]
+# Activity threshold of the insights report.
+ACTIVE_USER_MIN_EVENTS = 5
 FUNNEL_STEPS = ["Recipe Viewed", "Recipe Favourited", "Recipe Cooked"]
 
 # User segments by event count: (upper bound inclusive, name); above the last -> "Power".
-USER_SEGMENTS = [(1, "One-time"), (5, "Light"), (20, "Moderate"), (50, "Active")]
-USER_SEGMENT_TOP = "Power"
+USER_SEGMENTS = [(1, "One-time User"), (5, "Light User"), (20, "Moderate User"), (50, "Active User")]
+USER_SEGMENT_TOP = "Power User"
 
 # Interaction-count buckets of the exploration report.
 ENGAGEMENT_BUCKETS = [(1, 1, "1"), (2, 5, "2-5"), (6, 10, "6-10"), (11, None, ">10")]

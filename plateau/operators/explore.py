@@ -19,3 +19,226 @@ def filter_events(df: DataFrame, names: list[str], col: str = "event_type") -> D
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """``(value, count)`` per distinct value of ``col``."""
     return df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+
+
+from pyspark.sql import Window  # noqa: E402
+
+from plateau.config import (ACTIVE_USER_MIN_EVENTS, EDA_RECIPE_EVENTS, ENGAGEMENT_BUCKETS,  # noqa: E402
+                            FUNNEL_STEPS, RECIPE_EVENTS, USER_SEGMENT_TOP, USER_SEGMENTS)
+from plateau.functions.calendar import whole_days_between  # noqa: E402
+from plateau.operators.stats import exact_median, group_row_number  # noqa: E402
+
+USER = "distinct_id"
+
+
+def with_calendar(events: DataFrame) -> DataFrame:
+    """Epoch seconds -> datetime, date, hour, month, year."""
+    dt = F.timestamp_seconds(F.col("timestamp"))
+    return events.withColumns({"datetime": dt, "date": F.to_date(dt), "hour": F.hour(dt).cast("bigint"),
+                               "month": F.month(dt).cast("bigint"), "year": F.year(dt).cast("bigint")})
+
+
+def _total(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("_total"))
+
+
+def basic_stats(events: DataFrame) -> DataFrame:
+    """Rows, distinct users and devices, first/last date and span in days (A10)."""
+    ev = with_calendar(events)
+    return ev.agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.countDistinct(USER).alias("unique_users"),
+        F.countDistinct("device_id").alias("unique_devices"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+    ).withColumn("span_days", F.datediff("last_date", "first_date").cast("bigint"))
+
+
+def per_user_counts(events: DataFrame, user: str = USER) -> DataFrame:
+    return events.groupBy(user).agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def count_distribution(counts: DataFrame, col: str = "n_events") -> DataFrame:
+    """Mean, exact median, min and max of a per-user count column."""
+    med = exact_median(counts, col)
+    return counts.agg(F.avg(col).alias("mean"), F.min(col).cast("bigint").alias("min"),
+                      F.max(col).cast("bigint").alias("max"),
+                      F.count(F.lit(1)).alias("n_users")).withColumn("median", F.lit(med).cast("double"))
+
+
+def events_per_user_stats(events: DataFrame) -> DataFrame:
+    return count_distribution(per_user_counts(events))
+
+
+def event_distribution(events: DataFrame, names: list[str] | None = None, col: str = "event") -> DataFrame:
+    """Count and % share per event name within the (optionally filtered) events."""
+    ev = events if names is None else events.filter(F.col(col).isin(list(names)))
+    counts = ev.groupBy(F.col(col).alias("event")).agg(F.count(F.lit(1)).alias("count"))
+    return (counts.crossJoin(F.broadcast(_total(ev)))  # 1-row total
+            .withColumn("percentage", F.col("count") / F.col("_total") * 100).drop("_total"))
+
+
+def engagement_buckets(recipe_events: DataFrame) -> DataFrame:
+    """Users with 1, 2-5, 6-10 and more than 10 recipe interactions."""
+    counts = per_user_counts(recipe_events)
+    aggs = []
+    for lo, hi, name in ENGAGEMENT_BUCKETS:
+        cond = F.col("n_events") >= lo
+        if hi is not None:
+            cond = cond & (F.col("n_events") <= hi)
+        aggs.append(F.count(F.when(cond, 1)).alias(f"users_{name}"))
+    return counts.agg(*aggs)
+
+
+def daily_activity(events: DataFrame) -> DataFrame:
+    """Mean events per day, peak and quietest day (earliest date on ties)."""
+    daily = with_calendar(events).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    return daily.agg(
+        F.avg("n").alias("mean_per_day"),
+        F.max("n").alias("peak_count"),
+        F.min_by("date", F.struct(-F.col("n"), F.col("date"))).alias("peak_day"),
+        F.min("n").alias("quietest_count"),
+        F.min_by("date", F.struct(F.col("n"), F.col("date"))).alias("quietest_day"),
+    )
+
+
+def hourly_top(events: DataFrame, k: int = 3) -> DataFrame:
+    """The k busiest hours (lower hour first on ties) (W06); the limit is the report."""
+    hourly = with_calendar(events).groupBy("hour").agg(F.count(F.lit(1)).alias("count"))
+    return hourly.orderBy(F.col("count").desc(), F.col("hour")).limit(k)
+
+
+def weekday_activity(events: DataFrame) -> DataFrame:
+    """Events and % share per weekday name."""
+    counts = events.groupBy("day_of_week").agg(F.count(F.lit(1)).alias("count"))
+    return (counts.crossJoin(F.broadcast(_total(events)))
+            .withColumn("percentage", F.col("count") / F.col("_total") * 100).drop("_total"))
+
+
+def weekend_split(events: DataFrame) -> DataFrame:
+    """Weekend and weekday event counts and shares; unknown days count in neither."""
+    return events.agg(
+        F.count(F.when(F.col("is_weekend"), 1)).alias("weekend_events"),
+        F.count(F.when(~F.col("is_weekend"), 1)).alias("weekday_events"),
+        F.count(F.lit(1)).alias("total_events"),
+    ).withColumns({
+        "weekend_pct": F.col("weekend_events") / F.col("total_events") * 100,
+        "weekday_pct": F.col("weekday_events") / F.col("total_events") * 100,
+    })
+
+
+def segment_of(n) -> "F.Column":
+    expr = F.lit(USER_SEGMENT_TOP)
+    for bound, name in reversed(USER_SEGMENTS):
+        expr = F.when(n <= bound, F.lit(name)).otherwise(expr)
+    return expr
+
+
+def user_segments(events: DataFrame) -> DataFrame:
+    """Users, % of users and mean events per activity segment."""
+    counts = per_user_counts(events).withColumn("segment", segment_of(F.col("n_events")))
+    seg = counts.groupBy("segment").agg(F.count(F.lit(1)).alias("users"), F.avg("n_events").alias("avg_events"))
+    n_users = counts.agg(F.count(F.lit(1)).alias("_total"))
+    return (seg.crossJoin(F.broadcast(n_users))
+            .withColumn("percentage", F.col("users") / F.col("_total") * 100).drop("_total"))
+
+
+def user_activity_summary(events: DataFrame) -> DataFrame:
+    """Per user: events, first/last seen, modal weekday / time of day / device / platform
+    (smallest on ties, 'Unknown' when none), days active and events per day (A08)."""
+    ev = with_calendar(events)
+    s = ev.groupBy(USER).agg(
+        F.count("event").alias("total_events"),
+        F.min("datetime").alias("first_seen"), F.max("datetime").alias("last_seen"),
+        F.coalesce(F.mode("day_of_week", True), F.lit("Unknown")).alias("preferred_day"),
+        F.coalesce(F.mode("time_of_day", True), F.lit("Unknown")).alias("preferred_time"),
+        F.coalesce(F.mode("device_type", True), F.lit("Unknown")).alias("device_type"),
+        F.coalesce(F.mode("platform", True), F.lit("Unknown")).alias("platform"),
+    )
+    return (s.withColumn("days_active", whole_days_between("first_seen", "last_seen") + 1)
+            .withColumn("events_per_day", F.col("total_events") / F.col("days_active")))
+
+
+def funnel(recipe_events: DataFrame, steps: list[str] | None = None) -> DataFrame:
+    """Distinct users per funnel step and % of users with any recipe event."""
+    steps = list(steps or FUNNEL_STEPS)
+    ev = recipe_events.filter(F.col("event").isin(steps)).select("event", USER).distinct()
+    per_step = ev.groupBy("event").agg(F.count(F.lit(1)).alias("users"))
+    step_tbl = recipe_events.sparkSession.createDataFrame(
+        [(i, s) for i, s in enumerate(steps)], "step int, event string")
+    n_recipe_users = recipe_events.agg(F.countDistinct(USER).alias("_total"))
+    return (F.broadcast(step_tbl).join(per_step, "event", "left")
+            .withColumn("users", F.coalesce("users", F.lit(0)).cast("bigint"))
+            .crossJoin(F.broadcast(n_recipe_users))
+            .withColumn("percentage", F.col("users") / F.col("_total") * 100).drop("_total"))
+
+
+def insights(events: DataFrame, recipe_events: DataFrame, summary: DataFrame) -> DataFrame:
+    """One-row insights report (A15): engagement share, cold-start users, sparsity
+    (users x event types, as the reference; plus users x items), interactions per engaged
+    user, active users (>= 5 events) with and without recipe events."""
+    tot = events.agg(F.countDistinct(USER).alias("total_users"))
+    rec = recipe_events.agg(
+        F.countDistinct(USER).alias("recipe_users"),
+        F.count(F.lit(1)).alias("recipe_interactions"),
+        F.countDistinct("event").alias("recipe_event_types"),
+        F.countDistinct("recipe_id").alias("recipe_items"),
+        F.countDistinct(USER, "recipe_id").alias("user_item_pairs"),
+    )
+    active = summary.filter(F.col("total_events") >= ACTIVE_USER_MIN_EVENTS).select(USER)
+    act = active.agg(F.count(F.lit(1)).alias("active_users"))
+    act_rec = (recipe_events.select(USER).distinct().join(active, USER, "left_semi")
+               .agg(F.count(F.lit(1)).alias("active_with_recipes")))
+    r = tot.crossJoin(rec).crossJoin(act).crossJoin(act_rec)  # four 1-row tables
+    return r.withColumns({
+        "recipe_engagement_pct": F.col("recipe_users") / F.col("total_users") * 100,
+        "cold_start_users": F.col("total_users") - F.col("recipe_users"),
+        "sparsity_pct": (1 - F.col("recipe_interactions") / (F.col("recipe_users") * F.col("recipe_event_types"))) * 100,
+        "item_sparsity_pct": (1 - F.col("user_item_pairs") / (F.col("recipe_users") * F.col("recipe_items"))) * 100,
+        "interactions_per_engaged_user": F.col("recipe_interactions") / F.col("recipe_users"),
+        "popularity_fallback_users": F.col("total_users") - F.col("active_with_recipes"),
+    })
+
+
+def user_summary(events: DataFrame, recipe_events: list[str] | None = None) -> DataFrame:
+    """Per-user activity summary (A18, batch form of the single-user lookup): total and
+    recipe events, per-event counts map, first/last seen epoch seconds,
+    ``days_active = max(1, (last - first) // 86400)``."""
+    names = list(recipe_events or RECIPE_EVENTS)
+    per_type = events.groupBy(USER, "event").agg(F.count(F.lit(1)).alias("n"))
+    types = per_type.groupBy(USER).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("event", "n")))).alias("event_types"))
+    base = events.groupBy(USER).agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count(F.when(F.col("event").isin(names), 1)).alias("recipe_events"),
+        F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"),
+    ).withColumn("days_active", F.greatest(F.lit(1), F.floor((F.col("last_seen") - F.col("first_seen")) / 86400))
+                 .cast("bigint"))
+    return base.join(types, USER)
+
+
+def interaction_range(interactions: DataFrame, user: str = "user_id") -> DataFrame:
+    """'YYYY-MM-DD to YYYY-MM-DD' range of each user's interactions."""
+    r = interactions.groupBy(user).agg(F.min("timestamp").alias("_a"), F.max("timestamp").alias("_b"),
+                                       F.count(F.lit(1)).alias("n_interactions"))
+    fmt = lambda c: F.date_format(F.timestamp_seconds(F.col(c)), "yyyy-MM-dd")
+    return r.select(user, "n_interactions",
+                    F.concat(fmt("_a"), F.lit(" to "), fmt("_b")).alias("time_range"))
+
+
+def timeline(interactions: DataFrame, user: str = "user_id") -> DataFrame:
+    """Per-user position of each interaction in time order, ties by ``seq``.
+
+    Numbered with ``group_row_number`` so a user holding a large share of all rows is
+    spread over many tasks."""
+    return group_row_number(interactions, [user], ["timestamp", "seq"], "position")
+
+
+def top_users(events: DataFrame, n: int = 10, user: str = USER) -> DataFrame:
+    """The n most active users (smaller id first on ties) (W11); the limit is the report."""
+    return (events.groupBy(user).agg(F.count(F.lit(1)).alias("events"))
+            .orderBy(F.col("events").desc(), F.col(user)).limit(n))
+
+
+def recipe_event_rows(events: DataFrame) -> DataFrame:
+    """Events of the exploration report's recipe set."""
+    return events.filter(F.col("event").isin(EDA_RECIPE_EVENTS))
