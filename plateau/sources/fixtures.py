@@ -326,3 +326,44 @@ def sql_raw_event_lines(version: str) -> str:
     parity = 0 if version == "v1" else 1
     return (f"SELECT CASE WHEN event_id % 53 = 0 THEN '' WHEN event_id % 59 = 0 THEN substring(b, 1, length(b) - 1) "
             f"ELSE b END AS value FROM (SELECT event_id, {body} AS b FROM events WHERE event_id % 2 = {parity})")
+
+
+# -- recipe events of two item versions (for reconciliation) ------------------------------
+
+_RECON_NAMES = [("view", "Recipe Viewed"), ("click", "Recipe Link Clicked"), ("purchase", "Recipe Cooked"),
+                ("signup", "Recipe Favourited")]
+
+
+def recipe_events_versioned(spark: SparkSession, sf_dir: str, version: str) -> DataFrame:
+    """Events of one version (v1 = even event_id) joined to that version's item snapshot by
+    URL; a fifth of the events carry an older item name so first-per-URL matters."""
+    ev = table(spark, sf_dir, "events").filter((F.col("event_id") % 2) == (0 if version == "v1" else 1))
+    name = F.lit("Recipe Unfavourited")
+    for raw, n in reversed(_RECON_NAMES):
+        name = F.when(F.col("event_type") == raw, F.lit(n)).otherwise(name)
+    items = items_v1(spark, sf_dir) if version == "v1" else items_v2(spark, sf_dir)
+    e = ev.select(F.lit(version).alias("version"), name.alias("event_type"),
+                  F.concat(F.lit("http://shop.example/item/"), _k(F.col("props"))).alias("recipe_url"),
+                  epoch_seconds(F.col("ts")).alias("timestamp"), F.col("event_id").alias("seq"))
+    j = e.join(items, "recipe_url")
+    return j.select("version", "event_type", "recipe_id", "recipe_url",
+                    F.concat(F.col("recipe_name"), F.when(F.col("seq") % 5 == 0, F.lit(" (old)")).otherwise(F.lit("")))
+                    .alias("recipe_name"),
+                    "recipe_author", "timestamp", "seq")
+
+
+def sql_recipe_events_versioned(version: str) -> str:
+    items = SQL_ITEMS_V1 if version == "v1" else SQL_ITEMS_V2
+    parity = 0 if version == "v1" else 1
+    return f"""
+SELECT '{version}' AS version, e.event_type, i.recipe_id, e.recipe_url,
+       i.recipe_name || CASE WHEN e.seq % 5 = 0 THEN ' (old)' ELSE '' END AS recipe_name,
+       i.recipe_author, e."timestamp", e.seq
+FROM (SELECT CASE event_type WHEN 'view' THEN 'Recipe Viewed' WHEN 'click' THEN 'Recipe Link Clicked'
+                  WHEN 'purchase' THEN 'Recipe Cooked' WHEN 'signup' THEN 'Recipe Favourited'
+                  ELSE 'Recipe Unfavourited' END AS event_type,
+             'http://shop.example/item/' || json_extract_string(props, '$.k') AS recipe_url,
+             CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS "timestamp", event_id AS seq
+      FROM events WHERE event_id % 2 = {parity}) e
+JOIN ({items}) i ON i.recipe_url = e.recipe_url
+"""
