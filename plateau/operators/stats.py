@@ -121,3 +121,25 @@ def group_row_number(df: DataFrame, group: list[str], order: list[str], out: str
     return (ranged.join(offs, ["_pid", *group])
             .withColumn(out, (F.row_number().over(w2) + F.col("_off")).cast("bigint"))
             .drop("_pid", "_off"))
+
+
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+    """1-based average rank of ``col`` over the whole table (ties share the mean rank).
+
+    Values are reduced to (value, count); those pairs are range-partitioned, each task
+    computes its local running count, and per-partition totals (one row per partition
+    on the driver) give the offsets. The ranks are joined back on the value.
+    """
+    hist = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
+    offsets, acc = [], 0
+    for pid, n in sizes:
+        offsets.append((pid, acc))
+        acc += n
+    off = df.sparkSession.createDataFrame(offsets, "_pid int, _off long")
+    w = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = (ranged.join(F.broadcast(off), "_pid")
+             .withColumn("_below", F.sum("_c").over(w) - F.col("_c") + F.col("_off"))
+             .select("_v", (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out)))
+    return df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left").drop("_v")

@@ -47,7 +47,7 @@ def canon_sql(core: str, types: dict[str, str], order: list[str] | None = None)
         "i": "CAST({c} AS BIGINT)",
         "ts": "strftime(CAST({c} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')",
         "date": "strftime(CAST({c} AS DATE), '%Y-%m-%d')",
-        "arr": "array_to_string(list_transform({c}, x -> CAST(x AS VARCHAR)), '|')",
+        "arr": "array_to_string(list_transform({c}, lambda x: CAST(x AS VARCHAR)), '|')",
         "s": "{c}", "b": "{c}",
     }
     repl = ", ".join(f"{forms[t].format(c=_q(c))} AS {_q(c)}" for c, t in types.items()

@@ -242,44 +242,65 @@ WEIGHTS = INTERACTION_WEIGHTS
 # Each property: (key, Spark expression, DuckDB expression, quoted). A NULL expression
 # leaves the key out of the line.
 
-def _raw_props():
+_RAW_PROP_KEYS = [
+    ("time", False), ("distinct_id", True), ("$device_id", True), ("device_id", True),
+    ("mp_country_code", True), ("$city", True), ("city", True), ("$region", True), ("region", True),
+    ("$screen_height", False), ("screen_height", False), ("$screen_width", False), ("recipe_id", False),
+    ("current_route", True), ("platform", True), ("mp_lib", True), ("$os", True),
+    ("$app_version_string", True), ("is_development", False),
+]
+
+_RAW_PROPS_SQL = {
+    "time": "CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)",
+    "distinct_id": "'u' || CAST(user_id AS VARCHAR)",
+    "$device_id": "CASE WHEN event_id % 4 = 1 THEN '' ELSE concat('dev', user_id) END",
+    "device_id": "concat('d', user_id)",
+    "mp_country_code": "['US','GB','DE'][user_id % 3 + 1]",
+    "$city": "CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('City', user_id % 7) END",
+    "city": "concat('Town', user_id % 5)",
+    "$region": "CASE WHEN event_id % 4 <> 2 THEN concat('R', user_id % 4) END",
+    "region": "concat('Reg', user_id % 3)",
+    "$screen_height": "CASE WHEN event_id % 6 = 0 THEN '0' WHEN event_id % 6 = 1 THEN '\"abc\"' "
+                      "WHEN event_id % 6 = 2 THEN NULL ELSE CAST(CAST(floor(value * 40) AS BIGINT) AS VARCHAR) END",
+    "screen_height": "CAST(800 + user_id % 400 AS VARCHAR)",
+    "$screen_width": "CAST((user_id * 37) % 1400 AS VARCHAR)",
+    "recipe_id": "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 10 < 5 THEN json_extract_string(props, '$.k') "
+                 "ELSE concat('\"', json_extract_string(props, '$.k'), '\"') END",
+    "current_route": "CASE WHEN event_id % 3 = 1 THEN concat('/recipes/', json_extract_string(props, '$.k'), '/detail') END",
+    "platform": "CASE WHEN event_id % 5 >= 2 THEN CASE WHEN user_id % 2 = 0 THEN 'web' ELSE 'android' END END",
+    "mp_lib": "CASE WHEN event_id % 5 = 0 THEN 'react-native' END",
+    "$os": "['iOS','Android','Windows'][user_id % 3 + 1]",
+    "$app_version_string": "CASE WHEN event_id % 7 <> 0 THEN concat('3.', user_id % 4) END",
+    "is_development": "CASE WHEN event_id % 9 = 0 THEN 'true' WHEN event_id % 9 = 1 THEN 'false' END",
+}
+
+
+def _raw_props_spark() -> dict:
     i, u, k = F.col("event_id"), F.col("user_id"), F.get_json_object("props", "$.k")
     s = lambda x: x.cast("string")
-    return [
-        ("time", s(epoch_seconds(F.col("ts"))), "CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)", False),
-        ("distinct_id", F.concat(F.lit("u"), s(u)), "'u' || CAST(user_id AS VARCHAR)", True),
-        ("$device_id", F.when(i % 4 == 1, "").otherwise(F.concat(F.lit("dev"), s(u))),
-         "CASE WHEN event_id % 4 = 1 THEN '' ELSE concat('dev', user_id) END", True),
-        ("device_id", F.concat(F.lit("d"), s(u)), "concat('d', user_id)", True),
-        ("mp_country_code", F.element_at(F.array(F.lit("US"), F.lit("GB"), F.lit("DE")), (u % 3 + 1).cast("int")),
-         "['US','GB','DE'][user_id % 3 + 1]", True),
-        ("$city", F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("City"), s(u % 7))),
-         "CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('City', user_id % 7) END", True),
-        ("city", F.concat(F.lit("Town"), s(u % 5)), "concat('Town', user_id % 5)", True),
-        ("$region", F.when(i % 4 != 2, F.concat(F.lit("R"), s(u % 4))),
-         "CASE WHEN event_id % 4 <> 2 THEN concat('R', user_id % 4) END", True),
-        ("region", F.concat(F.lit("Reg"), s(u % 3)), "concat('Reg', user_id % 3)", True),
-        ("$screen_height", F.when(i % 6 == 0, "0").when(i % 6 == 1, '"abc"').when(i % 6 == 2, F.lit(None))
-         .otherwise(s(F.floor(F.col("value") * 40))),
-         "CASE WHEN event_id % 6 = 0 THEN '0' WHEN event_id % 6 = 1 THEN '\"abc\"' WHEN event_id % 6 = 2 THEN NULL "
-         "ELSE CAST(CAST(floor(value * 40) AS BIGINT) AS VARCHAR) END", False),
-        ("screen_height", s(800 + u % 400), "CAST(800 + user_id % 400 AS VARCHAR)", False),
-        ("$screen_width", s((u * 37) % 1400), "CAST((user_id * 37) % 1400 AS VARCHAR)", False),
-        ("recipe_id", F.when(i % 23 == 0, F.lit(None)).when(i % 10 < 5, k).otherwise(F.concat(F.lit('"'), k, F.lit('"'))),
-         "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 10 < 5 THEN json_extract_string(props, '$.k') "
-         "ELSE concat('\"', json_extract_string(props, '$.k'), '\"') END", False),
-        ("current_route", F.when(i % 3 == 1, F.concat(F.lit("/recipes/"), k, F.lit("/detail"))),
-         "CASE WHEN event_id % 3 = 1 THEN concat('/recipes/', json_extract_string(props, '$.k'), '/detail') END", True),
-        ("platform", F.when(i % 5 >= 2, F.when(u % 2 == 0, "web").otherwise("android")),
-         "CASE WHEN event_id % 5 >= 2 THEN CASE WHEN user_id % 2 = 0 THEN 'web' ELSE 'android' END END", True),
-        ("mp_lib", F.when(i % 5 == 0, "react-native"), "CASE WHEN event_id % 5 = 0 THEN 'react-native' END", True),
-        ("$os", F.element_at(F.array(F.lit("iOS"), F.lit("Android"), F.lit("Windows")), (u % 3 + 1).cast("int")),
-         "['iOS','Android','Windows'][user_id % 3 + 1]", True),
-        ("$app_version_string", F.when(i % 7 != 0, F.concat(F.lit("3."), s(u % 4))),
-         "CASE WHEN event_id % 7 <> 0 THEN concat('3.', user_id % 4) END", True),
-        ("is_development", F.when(i % 9 == 0, "true").when(i % 9 == 1, "false"),
-         "CASE WHEN event_id % 9 = 0 THEN 'true' WHEN event_id % 9 = 1 THEN 'false' END", False),
-    ]
+    return {
+        "time": s(epoch_seconds(F.col("ts"))),
+        "distinct_id": F.concat(F.lit("u"), s(u)),
+        "$device_id": F.when(i % 4 == 1, "").otherwise(F.concat(F.lit("dev"), s(u))),
+        "device_id": F.concat(F.lit("d"), s(u)),
+        "mp_country_code": F.element_at(F.array(F.lit("US"), F.lit("GB"), F.lit("DE")), (u % 3 + 1).cast("int")),
+        "$city": F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("City"), s(u % 7))),
+        "city": F.concat(F.lit("Town"), s(u % 5)),
+        "$region": F.when(i % 4 != 2, F.concat(F.lit("R"), s(u % 4))),
+        "region": F.concat(F.lit("Reg"), s(u % 3)),
+        "$screen_height": F.when(i % 6 == 0, "0").when(i % 6 == 1, '"abc"').when(i % 6 == 2, F.lit(None))
+        .otherwise(s(F.floor(F.col("value") * 40))),
+        "screen_height": s(800 + u % 400),
+        "$screen_width": s((u * 37) % 1400),
+        "recipe_id": F.when(i % 23 == 0, F.lit(None)).when(i % 10 < 5, k)
+        .otherwise(F.concat(F.lit('"'), k, F.lit('"'))),
+        "current_route": F.when(i % 3 == 1, F.concat(F.lit("/recipes/"), k, F.lit("/detail"))),
+        "platform": F.when(i % 5 >= 2, F.when(u % 2 == 0, "web").otherwise("android")),
+        "mp_lib": F.when(i % 5 == 0, "react-native"),
+        "$os": F.element_at(F.array(F.lit("iOS"), F.lit("Android"), F.lit("Windows")), (u % 3 + 1).cast("int")),
+        "$app_version_string": F.when(i % 7 != 0, F.concat(F.lit("3."), s(u % 4))),
+        "is_development": F.when(i % 9 == 0, "true").when(i % 9 == 1, "false"),
+    }
 
 
 def _raw_event_name():
@@ -299,7 +320,9 @@ def raw_event_lines(spark: SparkSession, sf_dir: str, version: str) -> DataFrame
     ev = table(spark, sf_dir, "events")
     ev = ev.filter((F.col("event_id") % 2) == (0 if version == "v1" else 1))
     frags = []
-    for key, expr, _sql, quoted in _raw_props():
+    exprs = _raw_props_spark()
+    for key, quoted in _RAW_PROP_KEYS:
+        expr = exprs[key]
         val = F.concat(F.lit('"'), expr, F.lit('"')) if quoted else expr
         frags.append(F.concat(F.lit(f'"{key}": '), val))
     props = F.concat(F.lit("{"), F.concat_ws(", ", *frags), F.lit("}"))
@@ -316,7 +339,8 @@ def raw_event_lines(spark: SparkSession, sf_dir: str, version: str) -> DataFrame
 def sql_raw_event_lines(version: str) -> str:
     # DuckDB's concat() skips NULLs; '||' propagates them like Spark's concat.
     frags = []
-    for key, _expr, sql, quoted in _raw_props():
+    for key, quoted in _RAW_PROP_KEYS:
+        sql = _RAW_PROPS_SQL[key]
         val = f"('\"' || ({sql}) || '\"')" if quoted else f"({sql})"
         frags.append(f"('\"{key}\": ' || {val})")
     props = "('{' || concat_ws(', ', " + ", ".join(frags) + ") || '}')"
