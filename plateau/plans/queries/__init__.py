@@ -1,3 +1,3 @@
 """Registered queries, grouped by area. Importing registers them."""
 
-from plateau.plans.queries import evaluate, events, explore, profiles, reconcile, training  # noqa: F401
+from plateau.plans.queries import evaluate, events, explore, profiles, reconcile, text, training  # noqa: F401
