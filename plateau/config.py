@@ -141,3 +141,26 @@ class PipelineConfig:
     # Eligibility rule of the training pairs: "eq1" keeps users with a label == 1 pair,
     # "gt0" keeps users with any positive label.
     eligibility_rule: str = "eq1"
+
+# Second feature module (fixed values).
+DEFAULT_COOK_MINUTES = 30
+DEFAULT_SERVINGS = 4
+QUICK_MAX_MINUTES = 30
+SLOW_MIN_MINUTES = 120
+FAMILY_MIN_SERVINGS = 6
+HEALTHY_TAGS = ["healthy", "light", "low-fat"]
+DEFAULT_PRIMARY_TAG = "main"
+POPULAR_AUTHOR_MIN_RECIPES = 5
+TRENDING_MAX_DAYS = 30
+SIMPLE_MAX_COMPLEXITY = 5
+HISTORY_ITEMS = 10
+TOP_INGREDIENTS = 5
+DEFAULT_USER_FEATURES = {
+    "total_interactions": 0, "unique_recipes": 0, "avg_rating": 2.5, "max_rating": 2.5,
+    "views_count": 0, "cooked_count": 0, "favourited_count": 0, "clicked_count": 0,
+    "cooking_rate": 0.0, "favourite_rate": 0.0, "days_active": 1, "interactions_per_day": 0.0,
+    "preferred_time": "evening", "avg_recipe_complexity": 5.0, "avg_ingredient_count": 8.0,
+    "prefers_simple_recipes": 0, "top_cuisine": "main", "cuisine_diversity": 1,
+    "top_author": "Unknown", "author_loyalty": 0.0, "ingredient_diversity": 0,
+    "top_ingredient": "unknown",
+}

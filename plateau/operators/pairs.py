@@ -26,9 +26,9 @@ def positive_pairs(interactions: DataFrame, weights: dict[str, float] | None = N
     ew = weight_of(F.col("event_type"), w, default=1.0)
     g = interactions.groupBy("user_id", "recipe_id").agg(
         F.max("rating").alias("rating"),
-        F.min_by("event_type", F.struct(-ew, F.col("seq"))).alias("event_type"),
+        F.min_by("event_type", F.struct(-ew, F.col("seq"), F.col("event_type"))).alias("event_type"),
         F.max("datetime").alias("datetime"),
-        F.min_by("version", F.col("seq")).alias("version"),
+        F.min_by("version", F.struct(F.col("seq"), F.col("version"))).alias("version"),
     )
     label = weight_of(F.col("event_type"), w, default=1.0)
     return g.withColumn("label", F.when(label < 0, F.lit(0.1)).otherwise(label))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 6
+SCALE = float(10 ** DIGITS)
+BIAS = 0.501
 
 
 def canon(df: DataFrame) -> DataFrame:
@@ -22,7 +24,10 @@ def canon(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), DIGITS) + F.lit(0.0)
+            # floor(x * 10^d + 0.501) / 10^d: the same IEEE operations in Spark and DuckDB.
+            # The boundary sits just off .5 so exact decimal ties (k / 2^n values whose
+            # last bit depends on summation order) round the same way on both sides.
+            c = F.floor(c.cast("double") * F.lit(SCALE) + F.lit(BIAS)).cast("double") / F.lit(SCALE) + F.lit(0.0)
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(t, T.DateType):
@@ -43,7 +48,7 @@ def canon_sql(core: str, types: dict[str, str], order: list[str] | None = None)
     (``* REPLACE``).
     """
     forms = {
-        "d": "CAST(round(CAST({c} AS DOUBLE), %d) AS DOUBLE) + 0.0" % DIGITS,
+        "d": "CAST(floor(CAST({c} AS DOUBLE) * %.1f + %s) AS DOUBLE) / %.1f + 0.0" % (SCALE, BIAS, SCALE),
         "i": "CAST({c} AS BIGINT)",
         "ts": "strftime(CAST({c} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')",
         "date": "strftime(CAST({c} AS DATE), '%Y-%m-%d')",

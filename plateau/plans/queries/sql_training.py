@@ -33,8 +33,8 @@ pos AS (
          CASE WHEN coalesce({weight_case('event_type')}, 1.0) < 0 THEN 0.1
               ELSE coalesce({weight_case('event_type')}, 1.0) END AS label
   FROM (SELECT user_id, recipe_id, max(rating) AS rating,
-               arg_min(event_type, (-coalesce(w, 1.0), seq)) AS event_type,
-               max(datetime) AS datetime, arg_min(version, seq) AS version
+               arg_min(event_type, (-coalesce(w, 1.0), seq, event_type)) AS event_type,
+               max(datetime) AS datetime, arg_min(version, (seq, version)) AS version
         FROM (SELECT *, {weight_case('event_type')} AS w FROM i) GROUP BY user_id, recipe_id)),
 items AS (SELECT DISTINCT recipe_id FROM cat),
 ix AS (SELECT recipe_id, row_number() OVER (ORDER BY lpad(CAST({md5_key} AS VARCHAR), 10, '0') || '|' || recipe_id) - 1 AS idx

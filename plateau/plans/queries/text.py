@@ -246,8 +246,8 @@ def a22_author_freq(spark, sf_dir):
 _SQL_POS = """
 pos AS (SELECT user_id, recipe_id,
   CASE WHEN coalesce(w, 1.0) < 0 THEN 0.1 ELSE coalesce(w, 1.0) END AS label FROM (
-  SELECT user_id, recipe_id, arg_min(event_type, (-coalesce(w0, 1.0), seq)) AS ev,
-         CASE arg_min(event_type, (-coalesce(w0, 1.0), seq)) {cases} END AS w
+  SELECT user_id, recipe_id, arg_min(event_type, (-coalesce(w0, 1.0), seq, event_type)) AS ev,
+         CASE arg_min(event_type, (-coalesce(w0, 1.0), seq, event_type)) {cases} END AS w
   FROM (SELECT *, CASE event_type {cases} END AS w0 FROM i) GROUP BY user_id, recipe_id))
 """.format(cases=" ".join(f"WHEN '{k}' THEN {v}" for k, v in X.WEIGHTS.items()))
 
