@@ -1,3 +1,4 @@
 """Registered queries, grouped by area. Importing registers them."""
 
-from plateau.plans.queries import content, evaluate, events, explore, profiles, reconcile, text, training  # noqa: F401
+from plateau.plans.queries import (content, evaluate, events, explore, profiles, recommend, reconcile,  # noqa: F401
+                                   text, training)
