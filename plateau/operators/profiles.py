@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plateau.config import DEFAULT_SERVING_AVG_RATING, INTERACTION_WEIGHTS
 from plateau.functions.calendar import whole_days_between
 from plateau.functions.common import weight_of
+from plateau.operators.stats import modal_value
 
 PROFILE_COLUMNS = [
     "user_id", "total_interactions", "avg_rating", "total_rating", "rating_std",
@@ -37,9 +38,11 @@ def user_profiles(interactions: DataFrame) -> DataFrame:
         F.countDistinct("recipe_id").alias("unique_recipes"),
         F.min("datetime").alias("first_interaction"),
         F.max("datetime").alias("last_interaction"),
-        F.coalesce(F.mode("device_type", True), F.lit("unknown")).alias("primary_device"),
-        F.coalesce(F.mode("platform", True), F.lit("unknown")).alias("primary_platform"),
     )
+    agg = (agg.join(modal_value(interactions, "user_id", "device_type", "primary_device"), "user_id", "left")
+           .join(modal_value(interactions, "user_id", "platform", "primary_platform"), "user_id", "left")
+           .withColumn("primary_device", F.coalesce("primary_device", F.lit("unknown")))
+           .withColumn("primary_platform", F.coalesce("primary_platform", F.lit("unknown"))))
     days = whole_days_between("first_interaction", "last_interaction") + 1
     return (agg.withColumn("activity_days", days)
             .withColumn("interactions_per_day",

@@ -143,3 +143,15 @@ def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
              .withColumn("_below", F.sum("_c").over(w) - F.col("_c") + F.col("_off"))
              .select("_v", (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out)))
     return df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left").drop("_v")
+
+
+def modal_value(df: DataFrame, key: str | list[str], col: str, out: str) -> DataFrame:
+    """Most frequent non-NULL ``col`` per key, smallest value on ties.
+
+    Two codegen'd hash aggregates (count per (key, value), then ``min_by`` over
+    (-count, value)) instead of the object-buffer ``mode`` aggregate; both levels combine
+    partially on the map side.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    c = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    return c.groupBy(*keys).agg(F.min_by(col, F.struct(-F.col("_n"), F.col(col))).alias(out))

@@ -1,4 +1,4 @@
 """Registered queries, grouped by area. Importing registers them."""
 
-from plateau.plans.queries import (content, evaluate, events, explore, profiles, recommend, reconcile,  # noqa: F401
-                                   text, training)
+from plateau.plans.queries import (content, evaluate, events, explore, profiles, ranker, recommend,  # noqa: F401
+                                   reconcile, text, training)
