@@ -134,3 +134,20 @@ SELECT device_type AS value, count(*) AS count FROM ({SQL_COMBINED}) GROUP BY de
 def a17_value_counts_device(spark, sf_dir):
     """Device-type distribution of the combined events."""
     return E.value_counts(combined(spark, sf_dir), "device_type")
+
+
+@query("T05_streaming_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "i"}))
+def t05_streaming_combined_events(spark, sf_dir):
+    """The same cleaning run as a Structured Streaming job over JSON-lines files: lines
+    derived from the events table are written as text files, streamed (available-now
+    trigger) through the cleaning plan into Parquet, and read back."""
+    import uuid
+
+    from plateau.session import checkpoint_dir
+    from plateau.streaming.events_stream import start_clean_events
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    for v in ("v1", "v2"):
+        X.raw_event_lines(spark, sf_dir, v).write.mode("overwrite").text(f"{base}/{v}")
+    q = start_clean_events(spark, f"{base}/v1", f"{base}/v2", f"{base}/out", f"{base}/_ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
