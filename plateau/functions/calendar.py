@@ -78,3 +78,8 @@ def context_features(ts) -> dict[str, Column]:
         "is_summer": (season == "summer").cast("bigint"),
         "is_autumn": (season == "autumn").cast("bigint"),
     }
+
+
+def parse_iso(c) -> Column:
+    """ISO-8601 text -> timestamp; invalid -> NULL."""
+    return F.try_to_timestamp(as_col(c).cast("string"))

@@ -151,3 +151,51 @@ def t05_streaming_combined_events(spark, sf_dir):
     q = start_clean_events(spark, f"{base}/v1", f"{base}/v2", f"{base}/out", f"{base}/_ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+@query("P03_extract_interactions", canon_sql(f"""
+WITH lines AS (
+  SELECT 'v1' AS version, value FROM ({X.sql_raw_event_lines('v1')})
+  UNION ALL SELECT 'v2' AS version, value FROM ({X.sql_raw_event_lines('v2')})),
+ok AS (SELECT * FROM lines WHERE trim(value) <> '' AND json_valid(value) AND json_type(value) = 'OBJECT'),
+x AS (SELECT version, {_jx('event')} AS event,
+             coalesce({_jx('distinct_id')}, {_prop('distinct_id')}) AS user_id,
+             coalesce(CAST({_prop('time')} AS BIGINT), CAST({_jx('timestamp')} AS BIGINT)) AS ts,
+             {_prop('recipe_id')} AS recipe_id, {_prop('device_type')} AS device_type, {_prop('$os')} AS os
+      FROM ok)
+SELECT user_id, recipe_id, event AS event_type,
+       CAST(CASE event {" ".join(f"WHEN '{k}' THEN {v}" for k, v in X.WEIGHTS.items())} END AS DOUBLE) AS rating,
+       ts AS "timestamp", version, coalesce(device_type, 'unknown') AS device_type, coalesce(os, 'unknown') AS platform,
+       CAST(NULL AS BIGINT) AS recipe_total_ingredients, CAST(NULL AS BIGINT) AS user_owned_ingredients,
+       make_timestamp(ts * 1000000) AS datetime
+FROM x WHERE contains(event, 'Recipe') AND event IN ({", ".join(f"'{k}'" for k in X.WEIGHTS)})
+  AND recipe_id IS NOT NULL AND recipe_id <> '' AND user_id IS NOT NULL AND user_id <> ''
+  AND ts IS NOT NULL AND ts <> 0
+""", {"rating": "d", "timestamp": "i", "recipe_total_ingredients": "i", "user_owned_ingredients": "i",
+      "datetime": "ts"}))
+def p03_extract_interactions(spark, sf_dir):
+    """Recipe interactions extracted from the raw v1/v2 JSON lines."""
+    from plateau.sources.events import extract_interactions, parse_event_lines
+    parts = [extract_interactions(parse_event_lines(X.raw_event_lines(spark, sf_dir, v)), v) for v in ("v1", "v2")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("F19_parse_iso", canon_sql("""
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'not a date' WHEN o_orderkey % 11 = 0 THEN ''
+            WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+            WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS created_at,
+       CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL
+            WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) ELSE o_orderdate END AS created_ts
+FROM orders""", {"o_orderkey": "i", "created_ts": "ts"}))
+def f19_parse_iso(spark, sf_dir):
+    """ISO-8601 text (date, 'T' and space forms; junk; empty) -> timestamp or NULL."""
+    from plateau.functions.calendar import parse_iso
+    o = X.table(spark, sf_dir, "orders")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    text = (F.when(k % 7 == 0, "not a date").when(k % 11 == 0, "")
+            .when(k % 3 == 0, F.date_format(d, "yyyy-MM-dd"))
+            .when(k % 3 == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise(F.date_format(d, "yyyy-MM-dd HH:mm:ss")))
+    return o.select("o_orderkey", text.alias("created_at")).withColumn("created_ts", parse_iso(F.col("created_at")))

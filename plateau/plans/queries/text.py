@@ -273,3 +273,14 @@ def x05_encode_author(spark, sf_dir):
     rt, c = _train(spark, sf_dir)
     pos = positive_pairs(X.interactions_large(spark, sf_dir))
     return T.encode_author(c, T.author_freq(rt), T.author_target(pos, rt))
+
+
+@query("X06_text_encoder_wide")
+def x06_text_encoder_wide(spark, sf_dir):
+    """Fit the text encoder on the training items, transform the whole catalog to wide
+    columns (author frequency, 50 tag columns, 128 name-hash columns) and attach them to
+    the positive pairs (X06, J12). Rows only: the column set depends on the vocabulary."""
+    rt, c = _train(spark, sf_dir)
+    pos = positive_pairs(X.interactions_large(spark, sf_dir))
+    enc = T.TextEncoder().fit(pos, c)
+    return T.add_text_features(pos.select("user_id", "recipe_id", "label"), enc.transform(c))

@@ -208,3 +208,40 @@ JOIN (UNPIVOT (SELECT count(*) FILTER (WHERE recipe_id IS NULL) AS recipe_id,
 def s12_profile(spark, sf_dir):
     """Column types and NULL counts of the catalog."""
     return IO.profile(X.catalog_raw(spark, sf_dir))
+
+
+def _catalog_gaps(spark, sf_dir):
+    c = X.catalog_raw(spark, sf_dir)
+    return c.withColumn("author_name", F.when(F.col("recipe_id").cast("bigint") % 13 == 0, F.lit(None))
+                        .otherwise(F.col("author_name")))
+
+
+@query("I01_I02_impute_catalog", canon_sql(f"""
+WITH c AS (SELECT * REPLACE (CASE WHEN CAST(recipe_id AS BIGINT) % 13 = 0 THEN NULL ELSE author_name END AS author_name)
+           FROM ({X.SQL_CATALOG_RAW})),
+m AS (SELECT author_name AS m FROM c WHERE author_name IS NOT NULL GROUP BY author_name ORDER BY count(*) DESC, author_name LIMIT 1)
+SELECT c.* REPLACE (coalesce(CAST(total_time AS DOUBLE), (SELECT coalesce(median(total_time), 0) FROM c)) AS total_time,
+                    coalesce(CAST(servings AS DOUBLE), (SELECT coalesce(median(servings), 0) FROM c)) AS servings,
+                    coalesce(author_name, (SELECT coalesce(min(m), 'unknown') FROM m)) AS author_name)
+FROM c""", {"total_time": "d", "servings": "d"}))
+def i01_i02_impute_catalog(spark, sf_dir):
+    """Exact-median numeric and modal text imputation of a catalog with gaps."""
+    return FE.impute(_catalog_gaps(spark, sf_dir))
+
+
+@query("T03_training_data_report", _sql(f"""
+, sp AS (
+  SELECT t.*, CASE WHEN pos <= floor(n * 0.2) THEN 'test' WHEN pos <= floor(n * 0.2) + floor(n * 0.2) THEN 'val'
+                   ELSE 'train' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql_md5_int("'42'", "user_id", "recipe_id")}, user_id, recipe_id) AS pos,
+               count(*) OVER (PARTITION BY label) AS n FROM ti) t)
+SELECT split, label, count(*) AS rows, count(DISTINCT user_id) AS users, avg(ingredient_similarity_score) AS mean_similarity
+FROM sp GROUP BY ALL""", {"label": "d", "rows": "i", "users": "i", "mean_similarity": "d"}))
+def t03_training_data_report(spark, sf_dir):
+    """End-to-end training-data job (T03): rows, users and mean similarity per split and label."""
+    from plateau.plans.training_data import build_training_data
+    i, _, br = _inputs(spark, sf_dir)
+    td = build_training_data(i, X.catalog_raw(spark, sf_dir), br, as_of=AS_OF)
+    return td.features.groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"),
+        F.avg("ingredient_similarity_score").alias("mean_similarity"))

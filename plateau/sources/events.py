@@ -113,3 +113,30 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
 def select_combined(df: DataFrame) -> DataFrame:
     """Fixed column order of the combined events table."""
     return df.select(*COMBINED_COLUMNS)
+
+
+def extract_interactions(parsed: DataFrame, version: str, weights: dict | None = None) -> DataFrame:
+    """Recipe interactions from parsed raw events.
+
+    Kept: names containing 'Recipe' that are in the weight table, with a non-empty item
+    id, a user (top-level ``distinct_id`` else the property) and a time (property
+    ``time`` else top-level ``timestamp``). ``rating`` = event weight; device type and
+    platform (``$os``) default to 'unknown'; optional ingredient counts pass through.
+    """
+    from plateau.config import INTERACTION_WEIGHTS
+    from plateau.functions.common import weight_of
+    p = lambda k: F.col("properties").getField(k)
+    w = weight_of(F.col("event"), weights or INTERACTION_WEIGHTS)
+    user = F.coalesce(F.col("distinct_id"), p("distinct_id"))
+    ts = F.coalesce(p("time"), F.col("timestamp"))
+    rid = p("recipe_id")
+    keep = (F.col("event").contains("Recipe") & w.isNotNull() & rid.isNotNull() & (rid != "")
+            & user.isNotNull() & (user != "") & ts.isNotNull() & (ts != 0))
+    return parsed.filter(keep).select(
+        user.alias("user_id"), rid.cast("string").alias("recipe_id"), F.col("event").alias("event_type"),
+        w.alias("rating"), ts.alias("timestamp"), F.lit(version).alias("version"),
+        F.coalesce(p("device_type"), F.lit("unknown")).alias("device_type"),
+        F.coalesce(p("$os"), F.lit("unknown")).alias("platform"),
+        p("total_ingredients").alias("recipe_total_ingredients"),
+        p("owned_ingredients").alias("user_owned_ingredients"),
+        F.timestamp_seconds(ts).alias("datetime"))
