@@ -26,7 +26,7 @@ from pyspark.sql import Window  # noqa: E402
 from plateau.config import (ACTIVE_USER_MIN_EVENTS, EDA_RECIPE_EVENTS, ENGAGEMENT_BUCKETS,  # noqa: E402
                             FUNNEL_STEPS, RECIPE_EVENTS, USER_SEGMENT_TOP, USER_SEGMENTS)
 from plateau.functions.calendar import whole_days_between  # noqa: E402
-from plateau.operators.stats import exact_median, group_row_number, modal_value  # noqa: E402
+from plateau.operators.stats import exact_median, group_row_number, modal_values  # noqa: E402
 
 USER = "distinct_id"
 
@@ -150,9 +150,11 @@ def user_activity_summary(events: DataFrame) -> DataFrame:
         F.count("event").alias("total_events"),
         F.min("datetime").alias("first_seen"), F.max("datetime").alias("last_seen"),
     )
-    for col, out in (("day_of_week", "preferred_day"), ("time_of_day", "preferred_time"),
-                     ("device_type", "device_type"), ("platform", "platform")):
-        s = s.join(modal_value(ev, USER, col, out), USER, "left").withColumn(out, F.coalesce(out, F.lit("Unknown")))
+    modes = modal_values(ev, USER, {"day_of_week": "preferred_day", "time_of_day": "preferred_time",
+                                    "device_type": "device_type", "platform": "platform"})
+    s = s.join(modes, USER, "left")
+    for out in ("preferred_day", "preferred_time", "device_type", "platform"):
+        s = s.withColumn(out, F.coalesce(out, F.lit("Unknown")))
     return (s.withColumn("days_active", whole_days_between("first_seen", "last_seen") + 1)
             .withColumn("events_per_day", F.col("total_events") / F.col("days_active")))
 

@@ -3,13 +3,13 @@ eligibility (A02, A03, A04, N01, N02, P08, J10, U01)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateau.config import INTERACTION_WEIGHTS
 from plateau.functions.common import weight_of
 from plateau.functions.hashing import md5_int
-from plateau.operators.stats import dense_index, group_row_number
+from plateau.operators.stats import dense_index
 
 PAIR_COLUMNS = ["user_id", "recipe_id", "rating", "label"]
 
@@ -62,7 +62,7 @@ def negative_samples(pos: DataFrame, catalog: DataFrame, ratio: int = 4, seed: i
     ``m_u`` untouched items (``t_u`` = touched catalog items), so each user emits at most
     ``5 * n_pos + (P - N)`` candidate rows; positions are generated in chunks spread over
     tasks, touched items are removed by an anti-join, and the first ``m_u`` by position
-    are kept with a skew-safe row number.
+    are kept by numbering only inside each user's cut chunk (bounded windows).
     """
     spark = pos.sparkSession
     items = catalog.select(F.col("recipe_id").cast("string").alias("recipe_id")).distinct()
@@ -90,9 +90,18 @@ def negative_samples(pos: DataFrame, catalog: DataFrame, ratio: int = 4, seed: i
                 (F.least(F.col("_c") * chunk + chunk, F.col("_len")) - 1).cast("bigint"))))
             .withColumn("_idx", F.pmod(F.col("_a") * F.col("_j") + F.col("_b"), F.lit(p)))
             .filter(F.col("_idx") < n_items)
-            .select("user_id", "_m", "_j", "_idx"))
+            .select("user_id", "_m", "_c", "_j", "_idx"))
     cand = cand.join(indexed, "_idx").join(touched, ["user_id", "recipe_id"], "left_anti")
-    ranked = group_row_number(cand, ["user_id"], ["_j"], "_rn")
+    # First _m survivors by position: survivors per (user, chunk) -> running total over the
+    # user's chunks (at most _len / chunk rows per user) -> number rows only inside the
+    # chunk where the cut falls (at most ``chunk`` rows per window partition).
+    per_chunk = cand.groupBy("user_id", "_c").agg(F.count(F.lit(1)).alias("_k"))
+    wc = Window.partitionBy("user_id").orderBy("_c")
+    per_chunk = per_chunk.withColumn("_before", F.sum("_k").over(wc) - F.col("_k"))
+    cand = cand.join(per_chunk.select("user_id", "_c", "_before"), ["user_id", "_c"])
+    cand = cand.filter(F.col("_before") < F.col("_m"))
+    wj = Window.partitionBy("user_id", "_c").orderBy("_j")
+    ranked = cand.withColumn("_rn", F.row_number().over(wj) + F.col("_before"))
     return (ranked.filter(F.col("_rn") <= F.col("_m"))
             .select("user_id", "recipe_id", F.lit(0.0).alias("rating"), F.lit(0.0).alias("label")))
 

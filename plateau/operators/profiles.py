@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plateau.config import DEFAULT_SERVING_AVG_RATING, INTERACTION_WEIGHTS
 from plateau.functions.calendar import whole_days_between
 from plateau.functions.common import weight_of
-from plateau.operators.stats import modal_value
+from plateau.operators.stats import modal_values
 
 PROFILE_COLUMNS = [
     "user_id", "total_interactions", "avg_rating", "total_rating", "rating_std",
@@ -39,8 +39,8 @@ def user_profiles(interactions: DataFrame) -> DataFrame:
         F.min("datetime").alias("first_interaction"),
         F.max("datetime").alias("last_interaction"),
     )
-    agg = (agg.join(modal_value(interactions, "user_id", "device_type", "primary_device"), "user_id", "left")
-           .join(modal_value(interactions, "user_id", "platform", "primary_platform"), "user_id", "left")
+    modes = modal_values(interactions, "user_id", {"device_type": "primary_device", "platform": "primary_platform"})
+    agg = (agg.join(modes, "user_id", "left")
            .withColumn("primary_device", F.coalesce("primary_device", F.lit("unknown")))
            .withColumn("primary_platform", F.coalesce("primary_platform", F.lit("unknown"))))
     days = whole_days_between("first_interaction", "last_interaction") + 1

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,7 +90,7 @@ def dense_index(df: DataFrame, order_col: str, index_col: str = "idx") -> DataFr
     window runs over the whole table in one task.
     """
     ranged = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)  # partition ids stored with the rows
     sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -112,8 +113,10 @@ def group_row_number(df: DataFrame, group: list[str], order: list[str], out: str
     at most #partitions rows per group).
     """
     keys = [*group, *order]
+    # Partition ids are stored with the cached rows, so both uses below see the same ids
+    # (a lost block is recomputed from the same range-shuffle output: same rows, same id).
     ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)  # partition ids must not change between uses
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid")
     offs = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
@@ -131,7 +134,8 @@ def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
     on the driver) give the offsets. The ranks are joined back on the value.
     """
     hist = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -155,3 +159,16 @@ def modal_value(df: DataFrame, key: str | list[str], col: str, out: str) -> Data
     keys = [key] if isinstance(key, str) else list(key)
     c = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
     return c.groupBy(*keys).agg(F.min_by(col, F.struct(-F.col("_n"), F.col(col))).alias(out))
+
+
+def modal_values(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:
+    """Several ``modal_value`` columns from one pass: the (column, value) pairs of each row
+    are stacked, counted per (key, column, value), reduced with ``min_by`` and pivoted
+    back over the known column list."""
+    names = list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in names]))
+    s = df.select(key, pairs.alias("_p")).select(key, "_p._c", "_p._v").filter(F.col("_v").isNotNull())
+    c = s.groupBy(key, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    top = c.groupBy(key, "_c").agg(F.min_by("_v", F.struct(-F.col("_n"), F.col("_v"))).alias("_m"))
+    wide = top.groupBy(key).pivot("_c", names).agg(F.first("_m"))
+    return wide.select(key, *[F.col(c).alias(cols[c]) for c in names])

@@ -13,7 +13,7 @@ from plateau.operators import splits as SP
 from plateau.operators.profiles import user_profiles
 from plateau.plans.canonical import canon_sql
 from plateau.plans.queries.sql_training import AS_OF, FEATURE_TYPES, ctes
-from plateau.plans.registry import query
+from plateau.plans.registry import query, reuse
 from plateau.sources import fixtures as X
 from plateau.sources import io as IO
 
@@ -25,8 +25,8 @@ def _sql(body: str, types: dict | None = None) -> str:
 
 
 def _inputs(spark, sf_dir):
-    i = X.interactions_large(spark, sf_dir)
-    cat = FE.catalog_features(X.catalog_raw(spark, sf_dir), X.bridge(spark, sf_dir))
+    i = reuse(X.interactions_large(spark, sf_dir))
+    cat = reuse(FE.catalog_features(X.catalog_raw(spark, sf_dir), X.bridge(spark, sf_dir)))
     return i, cat, X.bridge(spark, sf_dir)
 
 

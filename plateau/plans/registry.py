@@ -35,6 +35,14 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a derived input that several branches of a query read (a join of two fact
+    tables, the cleaned events). Equal plans share one cache entry, so every builder
+    call returns the same cached data instead of recomputing it per consumer."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def load_all() -> None:
     # Import side effects register the queries.
     from plateau.plans import queries  # noqa: F401
