@@ -15,7 +15,7 @@ from plateau.config import (COMPLEXITY_INGREDIENT_DIV, COMPLEXITY_TIME_DEFAULT,
                             NO_HISTORY_DAYS, RECENCY_SCALE_DAYS)
 from plateau.functions.calendar import whole_days_between
 from plateau.operators.pairs import reengagement_stats
-from plateau.operators.stats import exact_median
+from plateau.operators.stats import dense_index, exact_median
 
 
 def to_number(c) -> Column:
@@ -101,24 +101,41 @@ def user_ingredients(interactions: DataFrame, bridge: DataFrame) -> DataFrame:
     return pos.join(bridge.select("recipe_id", "ingredient_id"), "recipe_id").select("user_id", "ingredient_id").distinct()
 
 
+def ingredient_words(rows: DataFrame, key: str, index: DataFrame) -> DataFrame:
+    """(key, ingredient_id) -> (key, w, m): the key's ingredient set as 64-bit words of a
+    bitset over the dense ingredient index (only non-empty words are kept)."""
+    j = rows.join(index, "ingredient_id")
+    return j.groupBy(key, F.floor(F.col("_ix") / 64).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(_ix % 64 AS INT))")).alias("m"))
+
+
 def ingredient_similarity(pairs: DataFrame, interactions: DataFrame, bridge: DataFrame) -> DataFrame:
     """Jaccard / overlap / has-common between a pair's item ingredients and everything the
     user touched positively (X07, F29); 0 when either set is empty.
 
-    Counted through joins on the ingredient key — |U ∩ R| = matching rows, |U ∪ R| =
-    |U| + |R| - |U ∩ R| — so no set is ever collected into one row.
+    Sets are bitsets over a dense ingredient index, stored as (word, mask) entries: a user
+    row holds a word -> mask map (at most min(#words, #ingredients) entries, whatever the
+    number of events), an item row the list of its non-empty words. Per pair the overlap
+    is ``sum(bit_count(item_mask & user_word))`` over the item's words — one row per pair
+    is joined, never one row per (pair, ingredient).
     """
-    ui = user_ingredients(interactions, bridge)
     ri = bridge.select("recipe_id", "ingredient_id").distinct()
-    n_u = ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("_nu"))
-    n_r = ri.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("_nr"))
+    index = dense_index(ri.select("ingredient_id").distinct(), "ingredient_id", "_ix")
+    uw = ingredient_words(user_ingredients(interactions, bridge), "user_id", index)
+    us = uw.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "m"))).alias("_um"),
+                                   F.sum(F.bit_count("m")).alias("_nu"))
+    rw = ingredient_words(ri, "recipe_id", index)
+    rs = rw.groupBy("recipe_id").agg(F.collect_list(F.struct("w", "m")).alias("_rw"),
+                                     F.sum(F.bit_count("m")).alias("_nr"))
     keys = pairs.select("user_id", "recipe_id").distinct()
-    overlap = (keys.join(ri, "recipe_id").join(ui, ["user_id", "ingredient_id"], "left_semi")
-               .groupBy("user_id", "recipe_id").agg(F.count(F.lit(1)).alias("_ov")))
-    sims = (keys.join(n_u, "user_id", "left").join(n_r, "recipe_id", "left")
-            .join(overlap, ["user_id", "recipe_id"], "left").fillna(0, ["_nu", "_nr", "_ov"]))
+    j = keys.join(rs, "recipe_id", "left").join(us, "user_id", "left")
+    ov = F.aggregate(F.coalesce("_rw", F.array().cast("array<struct<w:int,m:bigint>>")), F.lit(0).cast("bigint"),
+                     lambda acc, x: acc + F.bit_count(x["m"].bitwiseAND(
+                         F.coalesce(F.try_element_at(F.col("_um"), x["w"]), F.lit(0).cast("bigint")))))
+    nu, nr = F.coalesce("_nu", F.lit(0)), F.coalesce("_nr", F.lit(0))
+    j = j.select("user_id", "recipe_id", nu.alias("_nu"), nr.alias("_nr"), ov.alias("_ov"))
     both = (F.col("_nu") > 0) & (F.col("_nr") > 0)
-    sims = sims.select(
+    sims = j.select(
         "user_id", "recipe_id",
         F.when(both, F.col("_ov") / (F.col("_nu") + F.col("_nr") - F.col("_ov"))).otherwise(F.lit(0.0))
         .alias("ingredient_similarity_score"),

@@ -3,6 +3,7 @@ eligibility (A02, A03, A04, N01, N02, P08, J10, U01)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,7 +92,9 @@ def negative_samples(pos: DataFrame, catalog: DataFrame, ratio: int = 4, seed: i
             .withColumn("_idx", F.pmod(F.col("_a") * F.col("_j") + F.col("_b"), F.lit(p)))
             .filter(F.col("_idx") < n_items)
             .select("user_id", "_m", "_c", "_j", "_idx"))
-    cand = cand.join(indexed, "_idx").join(touched, ["user_id", "recipe_id"], "left_anti")
+    # read twice below (survivor counts and the cut): keep it once
+    cand = cand.join(indexed, "_idx").join(touched, ["user_id", "recipe_id"], "left_anti") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     # First _m survivors by position: survivors per (user, chunk) -> running total over the
     # user's chunks (at most _len / chunk rows per user) -> number rows only inside the
     # chunk where the cut falls (at most ``chunk`` rows per window partition).

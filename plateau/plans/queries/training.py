@@ -32,12 +32,12 @@ def _inputs(spark, sf_dir):
 
 def _pairs(spark, sf_dir):
     i, cat, _ = _inputs(spark, sf_dir)
-    return PR.user_item_pairs(i, cat, 4, 42)
+    return reuse(PR.user_item_pairs(i, cat, 4, 42))
 
 
 def _elig(spark, sf_dir):
     i, _, _ = _inputs(spark, sf_dir)
-    return PR.eligible_pairs(_pairs(spark, sf_dir), i, "eq1")
+    return reuse(PR.eligible_pairs(_pairs(spark, sf_dir), i, "eq1"))
 
 
 _PAIR_T = {"rating": "d", "label": "d", "datetime": "ts"}
