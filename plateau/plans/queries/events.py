@@ -199,3 +199,30 @@ def f19_parse_iso(spark, sf_dir):
             .when(k % 3 == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
             .otherwise(F.date_format(d, "yyyy-MM-dd HH:mm:ss")))
     return o.select("o_orderkey", text.alias("created_at")).withColumn("created_ts", parse_iso(F.col("created_at")))
+
+
+@query("S08_table_roundtrip", canon_sql(SQL_COMBINED, {"timestamp": "i"}))
+def s08_table_roundtrip(spark, sf_dir):
+    """Combined events written as Parquet partitioned by platform and read back."""
+    import uuid
+
+    from plateau.session import checkpoint_dir
+    from plateau.sources.events import COMBINED_COLUMNS
+    from plateau.sources.io import write_table
+    path = f"{checkpoint_dir(spark).rstrip('/')}/combined-{uuid.uuid4().hex}"
+    write_table(combined(spark, sf_dir), path, partition_by=["platform"])
+    return spark.read.parquet(path).select(*COMBINED_COLUMNS)
+
+
+@query("S05_csv_roundtrip", canon_sql(f"SELECT * FROM ({X.SQL_INTERACTIONS_LARGE})",
+                                      {"rating": "d", "datetime": "ts", "timestamp": "i", "seq": "i"}))
+def s05_csv_roundtrip(spark, sf_dir):
+    """Interactions written as CSV with a header and read back with an explicit schema."""
+    import uuid
+
+    from plateau.session import checkpoint_dir
+    from plateau.sources.io import read_csv, write_table
+    df = X.interactions_large(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/interactions-{uuid.uuid4().hex}"
+    write_table(df, path, fmt="csv")
+    return read_csv(spark, path, df.schema)

@@ -115,3 +115,17 @@ FROM mapped GROUP BY version""", {"rows": "i", "unique_items_after": "i"}))
 def j03_mapping_report(spark, sf_dir):
     mapping, _ = reconcile_items(*_events(spark, sf_dir))
     return R.mapping_report(R.map_item_ids(_v1_style(spark, sf_dir), mapping))
+
+
+@query("S07_json_doc_roundtrip", canon_sql(_E + "SELECT * FROM mapping", {}))
+def s07_json_doc_roundtrip(spark, sf_dir):
+    """The reconciliation mapping written as a JSON document and read back with an
+    explicit schema (S07)."""
+    import uuid
+
+    from plateau.session import checkpoint_dir
+    from plateau.sources.io import read_json_doc, write_json_doc
+    mapping, _ = reconcile_items(*_events(spark, sf_dir))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/mapping-{uuid.uuid4().hex}"
+    write_json_doc(mapping, path)
+    return read_json_doc(spark, path, mapping.schema, multi_line=False)

@@ -30,15 +30,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_json_doc(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Multi-line JSON document (a list of objects) as rows."""
-    r = spark.read.option("multiLine", True)
+def read_json_doc(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                  multi_line: bool = True) -> DataFrame:
+    """JSON document (a list of objects, ``multi_line``) or JSON lines as rows."""
+    r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
 
 
 def write_json_doc(df: DataFrame, path: str) -> None:
+    """JSON lines, one object per row (read back with ``multi_line=False``)."""
     df.write.mode("overwrite").json(path)
 
 
