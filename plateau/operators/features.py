@@ -15,7 +15,7 @@ from plateau.config import (COMPLEXITY_INGREDIENT_DIV, COMPLEXITY_TIME_DEFAULT,
                             NO_HISTORY_DAYS, RECENCY_SCALE_DAYS)
 from plateau.functions.calendar import whole_days_between
 from plateau.operators.pairs import reengagement_stats
-from plateau.operators.stats import dense_index, exact_median
+from plateau.operators.stats import dense_index, exact_medians
 
 
 def to_number(c) -> Column:
@@ -154,13 +154,12 @@ def impute_stats(df: DataFrame, skip_numeric=("label", "rating", "recipe_id"),
     (smallest on ties, 'unknown' when all NULL) of the columns that contain NULLs (A24)."""
     nulls = df.agg(*[F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in df.columns]).first().asDict()
     stats: dict = {}
+    numeric = [f.name for f in df.schema.fields if nulls[f.name] > 0 and isinstance(f.dataType, _NUMERIC)
+               and f.name not in skip_numeric]
+    for c, med in exact_medians(df, numeric).items():
+        stats[c] = 0.0 if med is None else med
     for f in df.schema.fields:
-        if nulls[f.name] == 0:
-            continue
-        if isinstance(f.dataType, _NUMERIC) and f.name not in skip_numeric:
-            med = exact_median(df, f.name)
-            stats[f.name] = 0.0 if med is None else med
-        elif isinstance(f.dataType, T.StringType) and f.name not in skip_text:
+        if nulls[f.name] > 0 and isinstance(f.dataType, T.StringType) and f.name not in skip_text:
             counts = df.filter(F.col(f.name).isNotNull()).groupBy(f.name).agg(F.count(F.lit(1)).alias("_n"))
             top = counts.agg(F.min_by(f.name, F.struct(-F.col("_n"), F.col(f.name))).alias("m")).first()["m"]
             stats[f.name] = "unknown" if top is None else top

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,7 +89,7 @@ def dense_index(df: DataFrame, order_col: str, index_col: str = "idx") -> DataFr
     window runs over the whole table in one task.
     """
     ranged = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)  # partition ids stored with the rows
+    ranged = ranged.checkpoint(eager=True)  # partition ids written with the rows
     sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -113,10 +112,10 @@ def group_row_number(df: DataFrame, group: list[str], order: list[str], out: str
     at most #partitions rows per group).
     """
     keys = [*group, *order]
-    # Partition ids are stored with the cached rows, so both uses below see the same ids
-    # (a lost block is recomputed from the same range-shuffle output: same rows, same id).
+    # Partition ids are written with the rows (reliable checkpoint in the shared folder), so
+    # both uses below see the same ids whatever happens to caches or executors.
     ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid")
     offs = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
@@ -134,8 +133,7 @@ def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
     on the driver) give the offsets. The ranks are joined back on the value.
     """
     hist = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -172,3 +170,44 @@ def modal_values(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:
     top = c.groupBy(key, "_c").agg(F.min_by("_v", F.struct(-F.col("_n"), F.col("_v"))).alias("_m"))
     wide = top.groupBy(key).pivot("_c", names).agg(F.first("_m"))
     return wide.select(key, *[F.col(c).alias(cols[c]) for c in names])
+
+
+def exact_medians(df: DataFrame, cols: list[str], collect_limit: int = 50_000) -> dict[str, float | None]:
+    """Exact medians of several numeric columns from one stacked (column, value) histogram.
+
+    Columns whose histogram has at most ``collect_limit`` distinct values are finished from
+    that single pass (one bounded collect); any other column falls back to the narrowing
+    search of ``exact_quantiles``.
+    """
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols]))
+    hist = (df.select(pairs.alias("_p")).select("_p._c", "_p._v").filter(F.col("_v").isNotNull())
+            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))).persist()
+    try:
+        sizes = {r["_c"]: r["d"] for r in hist.groupBy("_c").agg(F.count(F.lit(1)).alias("d")).collect()}
+        small = [c for c in cols if 0 < sizes.get(c, 0) <= collect_limit]
+        out: dict[str, float | None] = {c: None for c in cols if sizes.get(c, 0) == 0}
+        if small:
+            rows: dict[str, list] = {c: [] for c in small}
+            for r in hist.filter(F.col("_c").isin(small)).collect():
+                rows[r["_c"]].append((r["_v"], r["_n"]))
+            for c in small:
+                vals = sorted(rows[c])
+                n = sum(k for _, k in vals)
+                lo, hi = (n - 1) // 2, n // 2
+                acc, a, b = 0, None, None
+                for v, k in vals:
+                    if a is None and acc + k > lo:
+                        a = v
+                    if acc + k > hi:
+                        b = v
+                        break
+                    acc += k
+                out[c] = (a + b) / 2.0
+        for c in cols:
+            if c not in out:
+                out[c] = exact_quantiles(df, c, [0.5])[0]
+        return out
+    finally:
+        hist.unpersist()

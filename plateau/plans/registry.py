@@ -38,9 +38,11 @@ def query(name: str, sql: str | None = None):
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a derived input that several branches of a query read (a join of two fact
     tables, the cleaned events). Equal plans share one cache entry, so every builder
-    call returns the same cached data instead of recomputing it per consumer."""
+    call returns the same cached data instead of recomputing it per consumer. Disk only:
+    a long session running many queries keeps no heap for it. Every reused input is
+    deterministic, so a dropped block is recomputed to the same rows."""
     from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.persist(StorageLevel.DISK_ONLY)
 
 
 def load_all() -> None:

@@ -110,3 +110,14 @@ def test_perfect_ranking_is_one(spark):
     df = spark.createDataFrame([("u", 5.0, 3.0, 0), ("u", 2.0, 2.0, 1), ("u", 0.0, 1.0, 2)],
                                "user_id string, y_true double, y_score double, row_id long")
     assert ndcg_per_user(df, 10).first().ndcg_10 == 1.0
+
+
+def test_exact_medians_batched(spark):
+    from plateau.operators.stats import exact_medians
+    rng = random.Random(11)
+    a = [float(rng.randint(0, 50)) for _ in range(501)]
+    b = [float(rng.random()) for _ in range(400)]
+    rows = [(a[i] if i < len(a) else None, b[i] if i < len(b) else None) for i in range(max(len(a), len(b)))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = exact_medians(df, ["a", "b"], collect_limit=100)  # b falls back to narrowing
+    assert got == {"a": float(np.median(a)), "b": float(np.median(b))}
