@@ -79,3 +79,31 @@ def batches(rows: Iterator[tuple], schema, size: int = 2000):
     if buf:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*buf), schema)], schema=schema)
 
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def attach_once(docs: DataFrame, facts: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Join ``facts`` (checkpointed; one row per key, column ``m`` = rows of ``docs`` with that
+    key) to the documents by the null-safe ``keys`` (fact column -> expression over
+    ``docs``). Documents without a fact leave; of ``m`` rows that agree in the whole key one
+    stays. Fact columns come out as they are named."""
+    names = {k: fresh(docs, f"_k_{k}") for k in keys}
+    left = docs.withColumns({names[k]: e for k, e in keys.items()})
+    on = None
+    for k in keys:
+        c = left[names[k]].eqNullSafe(facts[k])
+        on = c if on is None else on & c
+    joined = left.join(facts, on)
+    kept = [left[c] for c in docs.columns] + [facts[c] for c in facts.columns if c != "m"]
+    if facts.filter("m > 1").isEmpty():
+        return joined.select(*kept)
+    single = joined.filter(facts["m"] == 1).select(*kept)
+    several = (joined.filter(facts["m"] > 1)
+               .withColumn("_pick", F.struct(*[left[n] for n in names.values()])).dropDuplicates(["_pick"]))
+    return single.unionAll(several.select(*kept))

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import SPACE, batches, column_of, cut, text_bytes
+from plateau.llm.common import SPACE, attach_once, batches, column_of, cut, text_bytes
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 845_321_593)
@@ -190,26 +190,12 @@ def _collisions(src: DataFrame, sizes: DataFrame, top: int, prime: int, bases: t
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The documents that stay, with all their columns: of each group of equal texts the row
     with the most code points, then the smallest id."""
-    keep = exact_groups(docs, id_col, text_col, **kw).filter("kept").select(
-        F.col("id").alias("_keep_id"), F.col("n").alias("_keep_n"), F.col("sha").alias("_keep_sha"))
+    g = exact_groups(docs, id_col, text_col, **kw)
+    facts = cut(g.groupBy(F.col("id").alias("_fid"), F.col("sha").alias("_fsha"), F.col("n").alias("_fn"))
+                .agg(F.count(F.lit(1)).alias("m"), F.max("kept").alias("_kept"))
+                .filter("_kept").drop("_kept"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sha = F.sha2(F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", ""), 256)
-    cols = docs.columns
-    on = (F.col(id_col).cast("bigint").eqNullSafe(F.col("_keep_id")) & (sha == F.col("_keep_sha"))
-          & (F.char_length(text).cast("bigint") == F.col("_keep_n")))
-    # Rows that agree in id, normal form and length can still be several: one of them stays.
-    joined = docs.join(keep, on, "left_semi")
-    repeated = keep_repeats(docs, id_col, text_col)
-    if repeated.isEmpty():
-        return joined.select(*cols)
-    rid = F.col("_rep_id")
-    same_id = F.col(id_col).cast("bigint").eqNullSafe(rid)
-    single = joined.join(repeated, same_id, "left_anti")
-    several = joined.join(repeated, same_id, "left_semi").withColumn("_sha", sha).dropDuplicates([id_col, "_sha"])
-    return single.select(*cols).unionAll(several.select(*cols))
-
-
-def keep_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Ids carried by more than one row."""
-    return cut(docs.groupBy(F.col(id_col).cast("bigint").alias("_rep_id")).count().filter("count > 1")
-               .select("_rep_id"))
+    keys = {"_fid": F.col(id_col).cast("bigint"),
+            "_fsha": F.sha2(F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", "").cast("binary"), 256),
+            "_fn": F.char_length(text).cast("bigint")}
+    return attach_once(docs, facts, keys).drop("_fid", "_fsha", "_fn")

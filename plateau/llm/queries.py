@@ -25,3 +25,23 @@ def op3(spark, sf_dir):
     from plateau.llm.exact_dedup import exact_groups
     return exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+
+
+@query("op9_mixing")
+def op9(spark, sf_dir):
+    from plateau.llm.mixing import mix_plan
+    return mix_plan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    from plateau.llm import toxicity
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+
+
+@query("op6_collision_ann")
+def op6(spark, sf_dir):
+    from plateau.llm.collision_ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
