@@ -45,3 +45,23 @@ def op10(spark, sf_dir):
 def op6(spark, sf_dir):
     from plateau.llm.collision_ann import nearest
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op7_page_difference")
+def op7(spark, sf_dir):
+    from plateau.llm.page_diff import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_license_scan")
+def op2(spark, sf_dir):
+    from plateau.llm.licenses import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op8_class_lm")
+def op8(spark, sf_dir):
+    from plateau.llm.class_lm import score_documents
+    return score_documents(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        F.col("base").alias("base_score"), "score")
