@@ -65,3 +65,10 @@ def op8(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known", "train_tokens",
         F.col("base").alias("base_score"), "score")
+
+
+@query("op5_order_minhash")
+def op5(spark, sf_dir):
+    from plateau.llm.order_minhash import near_classes
+    return near_classes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
