@@ -72,3 +72,15 @@ def op5(spark, sf_dir):
     from plateau.llm.order_minhash import near_classes
     return near_classes(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "class_id", "class_size", "n_links", "kept")
+
+
+@query("op1_pii")
+def op1(spark, sf_dir):
+    from plateau.llm.pii import digest, find_pii
+    return digest(find_pii(table(spark, sf_dir, "documents")))
+
+
+@query("op4_sampled_pieces")
+def op4(spark, sf_dir):
+    from plateau.llm.piece_sampling import sample_segmentations
+    return sample_segmentations(table(spark, sf_dir, "documents"))
