@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import batches, column_of
+from plateau.llm.common import batches, column_of, seeded_sample
 
 PAGES_PER_BUCKET = 512
 MAX_BUCKETS = 1024     # cut keys the driver may hold; buckets grow beyond
@@ -298,8 +298,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     names = src.select("page_id", "url")
     n = names.count()
     n_buckets = max(1, min(MAX_BUCKETS, -(-n // PAGES_PER_BUCKET)))
-    sample = (names.orderBy(F.xxhash64("page_id", "url"), "page_id", "url").limit(n_buckets * SAMPLE_PER_BUCKET).collect()
-              if n_buckets > 1 else [])
+    sample = seeded_sample(names, n_buckets * SAMPLE_PER_BUCKET, ["page_id", "url"]).collect() if n_buckets > 1 else []
     keys = sorted({page_key(r["page_id"], r["url"]) for r in sample})
     cuts = sorted({keys[len(keys) * i // n_buckets] for i in range(1, n_buckets)}) if keys else []
 

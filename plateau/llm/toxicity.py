@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import batches, column_of, text_bytes
+from plateau.llm.common import batches, column_of, seeded_sample, text_bytes
 
 SAMPLE = 8_000      # labelled rows the fit may use, at most
 WORDS = 256         # word features a category may use, at most
@@ -184,7 +184,7 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, Column] |
     known = labels.select(F.col(id_col).cast("bigint").alias("_id"),
                           *[c.cast("int").alias(f"_y{i}") for i, c in enumerate(categories.values())]).dropna()
     known = known.groupBy("_id").agg(*[F.max(f"_y{i}").alias(f"_y{i}") for i in range(len(names))])
-    known = known.orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample)
+    known = seeded_sample(known, sample, ["_id"], seed)
     texts = documents.select(F.col(id_col).cast("bigint").alias("_id"), text_bytes(text_col).alias("_t"))
     rows = texts.join(F.broadcast(known), "_id")  # at most ``sample`` rows
     schema = pa.schema([("id", pa.int64()), *[(f"y{i}", pa.int32()) for i in range(len(names))],
