@@ -28,18 +28,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import M64, batches, column_of, mix64, uniforms
+from plateau.llm.common import M64, batches, column_of, mix64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 RANK_0 = 2.0
-CACHE = 3_000_000
+CACHE = 5_000_000
 MARK = "▁"
 
 _PARTS = re.compile(r"\n| [^ \n]*|[^ \n]+")
@@ -90,11 +91,17 @@ class Lattice:
         self.final = np.full(len(states) + 1, -1, np.int64)
         for at, i in final.items():
             self.final[at] = i
-        keys = np.array([(a << 21) | ord(c) for a, c in states], np.int64)
-        order = np.argsort(keys)
-        self.trie, self.to = keys[order], np.array(list(states.values()), np.int64)[order]
-        self.weight = lambda ids: -np.log(ids - low + RANK_0)
+        self.longest = max((len(s) for s, _ in plain), default=1)
+        self.final_weight = -np.log(np.maximum(self.final - low, 0) + RANK_0)
         self.byte_weight = -np.log(len(plain) + RANK_0)
+        bits = max(4, (4 * len(states)).bit_length())
+        self.shift = 64 - bits
+        self.slot_key, self.slot_to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        keys = np.array([(a << 21) | ord(c) for a, c in states], np.int64)
+        for key, at, to in zip(keys.tolist(), self._hash(keys).tolist(), states.values()):
+            while self.slot_key[at] >= 0:
+                at = (at + 1) & ((1 << bits) - 1)
+            self.slot_key[at], self.slot_to[at] = key, to
         self.clear()
 
     def clear(self) -> None:
@@ -122,84 +129,95 @@ class Lattice:
         # Only the mark put in front may start a piece; a literal one has no transitions.
         code_key = np.where((code == mark) | ((code == 32) & ~at_first), 1 << 20 | 0xFFFFF, code)
         code_key = np.where((code == 32) & at_first, mark, code_key)
-        live, state = np.arange(len(code)), np.zeros(len(code), np.int64)
-        e_pos, e_len, e_piece = [], [], []
-        l = 0
-        while len(live):
+        # Row i: the edges out of character i, column l - 1 those of l characters.
+        live, state, found = np.arange(len(code)), np.zeros(len(code), np.int64), []
+        for l in range(self.longest):
             go = left[live] > l
             live, state = live[go], state[go]
+            state = self._step(state, code_key[live + l])
+            live, state = live[state >= 0], state[state >= 0]
             if not len(live):
                 break
-            key = (state << 21) | code_key[live + l]
-            k = np.searchsorted(self.trie, key)
-            k[k == len(self.trie)] = 0
-            ok = self.trie[k] == key
-            live, state = live[ok], self.to[k[ok]]
-            l += 1
-            f = self.final[state]
-            hit = f >= 0
-            e_pos.append(live[hit])
-            e_len.append(np.full(int(hit.sum()), l))
-            e_piece.append(f[hit])
-        pos, ln, piece = (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (e_pos, e_len, e_piece))
-        single = np.zeros(len(code), bool)
-        single[pos[ln == 1]] = True
-        lone = np.flatnonzero(~single)
-        pos, ln = np.r_[pos, lone], np.r_[ln, np.ones(len(lone), np.int64)]
+            hit = self.final[state] >= 0
+            found.append((live[hit], l, state[hit]))
+        wide = 1 + max((l for at, l, _ in found if len(at)), default=0)
+        weight = np.full((len(code), wide), -np.inf)
+        piece = np.zeros((len(code), wide), np.int32)
+        for at, l, st in found:
+            if len(at):
+                weight[at, l], piece[at, l] = self.final_weight[st], self.final[st]
+        lone = np.flatnonzero(weight[:, 0] == -np.inf)
         real = np.where((code == 32) & at_first, mark, code)[lone]
-        n_bytes = 1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)
-        weight = np.r_[self.weight(piece.astype(float)), n_bytes * self.byte_weight]
-        piece = np.r_[piece, -1 - real]
-        # beta, from the words' ends: all slots at one distance together.
-        beta = np.zeros(int((size + 1).sum()))
-        order = np.lexsort((ln, pos, left[pos]))
-        p, d = pos[order], left[pos[order]]
-        to = slot[p] + ln[order]
-        w = weight[order]
-        edge = np.flatnonzero(np.r_[True, p[1:] != p[:-1]]) if len(p) else np.empty(0, int)   # first edge of each node
-        level = np.flatnonzero(np.r_[True, d[edge][1:] != d[edge][:-1]]) if len(edge) else np.empty(0, int)
-        ends = np.r_[edge, len(p)]
-        for a, b in zip(level, np.r_[level[1:], len(edge)]):
-            lo, hi = ends[a], ends[b]
-            val = w[lo:hi] + beta[to[lo:hi]]
-            cut_at = edge[a:b] - lo
-            top = np.maximum.reduceat(val, cut_at)
-            total = np.add.reduceat(np.exp(val - np.repeat(top, np.diff(np.r_[cut_at, hi - lo]))), cut_at)
-            beta[slot[p[edge[a:b]]]] = top + np.log(total)
-        logq = np.minimum(0.0, weight + beta[slot[pos] + ln] - beta[slot[pos]])
-        back = np.lexsort((ln, -logq, pos))   # likely edges first
-        pos, ln, logq, piece = pos[back], ln[back], logq[back], piece[back]
-        src, dst = slot[pos], slot[pos] + ln
-        head = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
-        count = np.diff(np.r_[head, len(src)])
+        weight[lone, 0] = (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)) * self.byte_weight
+        piece[lone, 0] = -1 - real
+        # beta, from the words' ends: all characters at one distance together.
+        beta = np.zeros(len(code) + len(words))
+        order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
+        bounds = np.flatnonzero(np.diff(left[order])) + 1
+        for rows in np.split(order, bounds):
+            m = min(int(left[rows[0]]), wide)
+            val = weight[rows, :m] + beta[slot[rows][:, None] + np.arange(1, m + 1)]
+            top = val.max(1)
+            total = top + np.log(np.exp(val - top[:, None]).sum(1))
+            beta[slot[rows]] = total
+            weight[rows, :m] = val - total[:, None]     # now log probabilities
+        # The likeliest edge first (column 0 always has one).
+        best, every = weight.argmax(1), np.arange(len(code))
+        length = np.broadcast_to(np.arange(1, wide + 1, dtype=np.int32), weight.shape).copy()
+        for x in (weight, piece, length):
+            x[every, 0], x[every, best] = x[every, best], x[every, 0].copy()
+        real = weight > -np.inf
+        count = real.sum(1)
+        logq, piece, ln = np.minimum(weight[real], 0.0), piece[real], length[real]
+        row = np.repeat(every, count)
+        src, dst = slot[row], slot[row] + ln
         q = np.exp(logq)
+        head = np.cumsum(count) - count
         acc = np.cumsum(q) - q
-        before = acc - np.repeat(acc[head], count)
-        base = self.slots
-        n = len(self.next)
+        before = np.maximum(0.0, acc - np.repeat(acc[head], count))
+        logq[np.repeat(count == 1, count)] = 0.0
+        base, n = self.slots, len(self.next)
         start, top = np.full(len(beta), -1, np.int32), np.zeros(len(beta))
-        start[src[head]] = head + n
-        top[src[head]] = np.where(count == 1, 1.0, q[head])
-        logq[count.repeat(count) == 1] = 0.0
+        start[slot] = head + n
+        top[slot] = np.where(count == 1, 1.0, q[head])
         for word, f in zip(words, first.tolist()):
             self.types[word] = base + f
-        ended = left[pos] == ln
-        self.start = np.r_[self.start, start]
-        self.top = np.r_[self.top, top]
-        self.flat = np.r_[self.flat, src + base + np.minimum(before, 1 - 1e-9)]
-        self.next = np.r_[self.next, np.where(ended, -1, dst + base).astype(np.int32)]
-        self.logq = np.r_[self.logq, logq]
-        self.piece = np.r_[self.piece, piece.astype(np.int32)]
+        ended = left[row] == ln
+        self.start = np.concatenate([self.start, start])
+        self.top = np.concatenate([self.top, top])
+        self.flat = np.concatenate([self.flat, src + base + np.minimum(before, 1 - 1e-9)])
+        self.next = np.concatenate([self.next, np.where(ended, -1, dst + base).astype(np.int32)])
+        self.logq = np.concatenate([self.logq, logq])
+        self.piece = np.concatenate([self.piece, piece])
         self.slots += len(beta)
 
-    def slots_of(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """First slots of the words of each text; new words are built first."""
+    def _step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The trie's next states, -1 where there is none (open addressing)."""
+        key = (state << 21) | code
+        out = np.full(len(key), -1, np.int64)
+        todo, at = np.arange(len(key)), self._hash(key)
+        while len(todo):
+            found = self.slot_key[at]
+            hit = found == key[todo]
+            out[todo[hit]] = self.slot_to[at[hit]]
+            on = ~hit & (found >= 0)
+            todo, at = todo[on], (at[on] + 1) & (len(self.slot_key) - 1)
+        return out
+
+    def _hash(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
+
+    def slots_of(self, words: list[str]) -> np.ndarray:
+        """First slots of the words; new words are built first."""
         if len(self.next) > CACHE:
             self.clear()
-        new = {w for words in texts for w in words} - self.types.keys()
-        self.add(sorted(new))
-        find = self.types.__getitem__
-        return [np.fromiter(map(find, words), np.int64, len(words)) for words in texts]
+        out = np.fromiter(map(self.types.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            self.add(sorted({words[i] for i in new.tolist()}))
+            out[new] = [self.types[words[i]] for i in new.tolist()]
+        return out
 
     def edges_of(self, slot: int) -> np.ndarray:
         a = self.start[slot]
@@ -217,7 +235,7 @@ class Lattice:
         k, step = key[live], 0
         with np.errstate(over="ignore"):
             while len(live):
-                u = ((mix64(k + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+                u = _uniform(k, step)
                 e = self.start[node]
                 off = np.flatnonzero(u >= self.top[node])
                 e[off] = np.searchsorted(self.flat, node[off] + u[off], "right") - 1
@@ -256,70 +274,135 @@ def words_of(text: str) -> list[str]:
     return _PARTS.findall(" " + text)
 
 
-class _Path:
-    """A taken segmentation: its edges, the word of each, and the regions that it leaves."""
+def _uniform(key: np.ndarray, step: int) -> np.ndarray:
+    """One number in (0, 1) per (well mixed) key and step."""
+    with np.errstate(over="ignore"):
+        x = (key + np.uint64(step)) * np.uint64(0xD1342543DE82EF95)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xAF251AF3B0F025B5)
+    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * (1.0 / (1 << 52))
+
+
+def _keys(roots: np.ndarray, stream: int, sizes: np.ndarray, first: np.ndarray | int = 0) -> np.ndarray:
+    """Keys of the items first, first + 1, ... of each root, one root after another."""
+    with np.errstate(over="ignore"):
+        r = mix64(roots + np.uint64(stream) * np.uint64(0x9E3779B97F4A7C15))
+        at = (_spans(sizes) + np.repeat(np.broadcast_to(first, sizes.shape), sizes)).astype(np.uint64)
+        x = (np.repeat(r, sizes) + at * np.uint64(0xD1B54A32D192ED03))
+        return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+
+
+def _less(value: np.ndarray, mass: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Gumbels located at ``mass``, truncated at ``value``."""
+    with np.errstate(divide="ignore"):
+        g = -np.logaddexp(-value, np.log(-np.log(u)) - mass)
+    return np.where(mass == -np.inf, -np.inf, g)
+
 
-    def __init__(self, edges, word, logq, first: int, banned: set[int], value: float):
-        self.edges, self.word, self.first, self.banned = edges, word, first, banned
-        self.prefix = np.cumsum(logq) - logq
-        self.log_prob = float(logq.sum())
-        self.logq, self.value, self.gumbel = logq, value, None
+class Paths:
+    """One taken segmentation of each of some texts, with the regions that it leaves.
 
-    def open(self, lattice: Lattice, key: int, stream: int) -> None:
-        q = np.exp(self.logq)
-        mass = self.prefix.copy()
+    Text i has the steps ``stop[i]:stop[i + 1]``. ``first[i]`` is the step where the segmentation left
+    the one it comes from and ``left[i]`` the probability there of the edges that neither took."""
+
+    def __init__(self, lattice: Lattice, keys: np.ndarray, stream: int, edges, word, stop, value, first=None, left=None):
+        self.edges, self.word, self.stop, self.value = edges, word, stop, value
+        logq = lattice.logq[edges]
+        size = np.diff(stop)
+        acc = np.concatenate([[0.0], np.cumsum(logq)])
+        self.log_prob = acc[stop[1:]] - acc[stop[:-1]]
         with np.errstate(divide="ignore"):
-            mass += np.log(np.maximum(0.0, 1 - q))
-            mass[:self.first] = -np.inf
-            if self.first < len(mass) and self.banned:
-                # Where this path left its parent, the parent's edges stay excluded.
-                # Summing what is left avoids cancellation against 1.
-                node = lattice.edges_of(int(lattice.flat[self.edges[self.first]]))
-                rest = [e for e in node.tolist() if e not in self.banned and e != self.edges[self.first]]
-                mass[self.first] = self.prefix[self.first] + np.log(np.exp(lattice.logq[rest]).sum()) if rest else -np.inf
-            e = -np.log(uniforms(key, stream, len(mass)))
-            self.gumbel = -np.logaddexp(-self.value, np.log(e) - mass)
-        self.gumbel[mass == -np.inf] = -np.inf
-
-
-def sample_text(lattice: Lattice, slots: np.ndarray, edges: np.ndarray, steps: np.ndarray, key: int, k: int):
-    """The k segmentations with the largest perturbed log probabilities: (edges, log_prob, value, inclusion)."""
-    value = float(-np.log(-np.log(uniforms(key, 1, 1)[0])))
-    word = np.repeat(np.arange(len(slots)), steps)
-    paths = [_Path(edges, word, lattice.logq[edges], 0, set(), value)]
-    paths[0].open(lattice, key, 2)
-    while True:
-        tops = [int(np.argmax(p.gumbel)) if len(p.gumbel) else -1 for p in paths]
-        vals = [float(p.gumbel[t]) if t >= 0 else -np.inf for p, t in zip(paths, tops)]
-        j = int(np.argmax(vals))
-        kappa = vals[j]
-        if len(paths) == k or kappa == -np.inf:
+            mass = acc[:-1] - np.repeat(acc[stop[:-1]], size) + np.log(np.maximum(0.0, -np.expm1(logq)))
+            if first is not None:
+                # Before the step everything belongs to the segmentation that was left.
+                at = stop[:-1] + first
+                prefix = acc[at] - acc[stop[:-1]]
+                mass[_spans(size) < np.repeat(first, size)] = -np.inf
+                mass[at] = prefix + np.log(np.where(left > 1e-12, left, 0.0))
+        self.gumbel = _less(np.repeat(value, size), mass, _uniform(_keys(keys, stream, size), 0))
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        """The largest region of each text: its step and value."""
+        top = np.maximum.reduceat(self.gumbel, self.stop[:-1])
+        at = np.flatnonzero(self.gumbel == np.repeat(top, np.diff(self.stop)))
+        owner = np.searchsorted(self.stop, at, "right") - 1
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        return at[first] - self.stop[:-1], top
+
+
+def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: np.ndarray, k: int):
+    """For texts of at least one word (their words' slots one after another): a list per text of
+    (edges, log_prob, value, inclusion), by falling value. All texts advance together."""
+    n = len(sizes)
+    begin = np.cumsum(sizes) - sizes
+    edges, steps = lattice.walk(slots, _keys(keys, 4, sizes))
+    word = np.repeat(_spans(sizes), steps)
+    stop = np.concatenate([[0], np.cumsum(np.add.reduceat(steps, begin))])
+    value = -np.log(-np.log(_uniform(_keys(keys, 1, np.ones(n, np.int64)), 0)))
+    layers = [(np.arange(n), Paths(lattice, keys, 2, edges, word, stop, value))]
+    out: list[list] = [[] for _ in range(n)]
+    banned: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(n)]    # (layer, step) -> edges taken there
+
+    def take(who: np.ndarray, p: Paths) -> None:
+        for i, a, b, lp, g in zip(who.tolist(), p.stop[:-1].tolist(), p.stop[1:].tolist(), p.log_prob.tolist(), p.value.tolist()):
+            out[i].append((p.edges[a:b], lp, g))
+
+    take(*layers[0])
+    kappa = np.full(n, -np.inf)
+    for turn in range(1, k + 1):
+        # The largest region of each text over the segmentations taken so far.
+        kappa, layer, step = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for j, (who, p) in enumerate(layers):
+            at, top = p.best()
+            up = top > kappa[who]
+            kappa[who[up]], layer[who[up]], step[who[up]] = top[up], j, at[up]
+        open_ = np.flatnonzero(kappa > -np.inf)
+        if turn == k or not len(open_):
             break
-        p, t = paths[j], tops[j]
-        p.gumbel[t] = -np.inf
-        n = len(paths)
-        banned = {int(p.edges[t])} | (p.banned if t == p.first else set())
-        node = lattice.edges_of(int(lattice.flat[p.edges[t]]))
-        rest = np.array([e for e in node.tolist() if e not in banned])
-        w = np.cumsum(np.exp(lattice.logq[rest]))
-        e = rest[min(len(rest) - 1, int(np.searchsorted(w, uniforms(key, 100 * n + 3, 1)[0] * w[-1])))]
-        at = int(p.word[t])
-        ahead = slots[at:].copy()
-        ahead[0] = lattice.next[e]
-        tail, more = lattice.walk(ahead, _word_keys(key, 100 * n + 4, at, len(ahead)))
-        new = np.concatenate([p.edges[:t], [e], tail])
-        owner = np.concatenate([p.word[:t], [at], np.repeat(np.arange(at, len(slots)), more)])
-        paths.append(_Path(new, owner, lattice.logq[new], t, banned, kappa))
-        paths[-1].open(lattice, key, 100 * n + 5)
-    for p in paths:
-        gone = np.exp(min(50.0, p.log_prob - kappa)) if kappa > -np.inf else np.inf
-        yield p.edges, p.log_prob, p.value, float(-np.expm1(-gone))
-
-
-def _word_keys(key: int, stream: int, first: int, n: int) -> np.ndarray:
-    root = mix64(np.array([(key + stream * 0x9E3779B97F4A7C15) & M64], np.uint64))[0]
-    with np.errstate(over="ignore"):
-        return mix64(root + np.arange(first, first + n, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        parts = []
+        for j, (who, p) in enumerate(layers):
+            mine = open_[layer[open_] == j]
+            if len(mine):
+                row = np.searchsorted(who, mine)
+                t = step[mine]
+                pos = p.stop[row] + t
+                p.gumbel[pos] = -np.inf
+                parts.append((mine, p, row, t, p.edges[pos], p.word[pos]))
+        mine, t, old, at_word = (np.concatenate([x[c] for x in parts]) for c in (0, 3, 4, 5))
+        prefix = [p.edges[a:a + b] for _, p, row, tt, _, _ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
+        pre_word = [p.word[a:a + b] for _, p, row, tt, _, _ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
+        back = np.argsort(mine)
+        mine, t, old, at_word = mine[back], t[back], old[back], at_word[back]
+        prefix, pre_word = [prefix[i] for i in back.tolist()], [pre_word[i] for i in back.tolist()]
+        # Another edge out of the same node, by the probabilities without those already taken there.
+        node = np.floor(lattice.flat[old]).astype(np.int64)
+        u = _uniform(_keys(keys[mine], 10 * turn + 3, np.ones(len(mine), np.int64)), 0)
+        new, left = np.empty(len(mine), np.int64), np.empty(len(mine))
+        for x, (i, tt, e, v) in enumerate(zip(mine.tolist(), t.tolist(), old.tolist(), node.tolist())):
+            gone = banned[i].setdefault((tuple(prefix[x].tolist()) if k > 2 else 0, tt), [])
+            gone.append(e)
+            rest = [y for y in lattice.edges_of(v) if y not in gone]
+            w = np.cumsum(np.exp(lattice.logq[rest]))
+            c = min(len(rest) - 1, int(np.searchsorted(w, u[x] * w[-1])))
+            new[x] = rest[c]
+            left[x] = sum(np.exp(lattice.logq[y]) for y in rest if y != rest[c])
+        ahead_n = sizes[mine] - at_word
+        where = _spans(ahead_n) + np.repeat(begin[mine] + at_word, ahead_n)
+        ahead = slots[where]
+        ahead[np.cumsum(ahead_n) - ahead_n] = lattice.next[new]
+        tail, more = lattice.walk(ahead, _keys(keys[mine], 10 * turn + 4, ahead_n, at_word))
+        tail_n = np.add.reduceat(more, np.cumsum(ahead_n) - ahead_n)
+        tail_word = np.repeat(_spans(ahead_n) + np.repeat(at_word, ahead_n), more)
+        cuts = np.concatenate([[0], np.cumsum(tail_n)]).tolist()
+        e_parts, w_parts = [], []
+        for x, (e, w) in enumerate(zip(prefix, pre_word)):
+            e_parts += [e, new[x:x + 1], tail[cuts[x]:cuts[x + 1]]]
+            w_parts += [w, at_word[x:x + 1], tail_word[cuts[x]:cuts[x + 1]]]
+        p = Paths(lattice, keys[mine], 10 * turn + 5, np.concatenate(e_parts), np.concatenate(w_parts),
+                  np.concatenate([[0], np.cumsum(t + 1 + tail_n)]), kappa[mine], t, left)
+        take(mine, p)
+        layers.append((mine, p))
+    for i, rows in enumerate(out):
+        yield [(e, lp, g, float(-np.expm1(-np.exp(min(50.0, lp - kappa[i])))) if kappa[i] > -np.inf else 1.0) for e, lp, g in rows]
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
@@ -331,26 +414,23 @@ _DDL = ("doc_id bigint, sample int, ids array<int>, n_pieces bigint, log_prob do
 
 def encode_batch(lattice: Lattice, ids: list, texts: list[str], k: int, seed: int):
     """Rows (id, sample, piece ids, pieces, log_prob, gumbel, inclusion, round trip) of some texts."""
-    split = [words_of(t) if t else [] for t in texts]
-    slots = lattice.slots_of(split)
-    keys = []
-    for i, t in zip(ids, texts):
-        h = i if i is not None else int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        keys.append(int(mix64(np.array([(h ^ (seed * 0xD1B54A32D192ED03)) & M64], np.uint64))[0]))
-    sizes = np.array([len(s) for s in slots])
-    every = np.concatenate(slots) if slots else np.empty(0, np.int64)
-    word_keys = np.concatenate([_word_keys(x, 4, 0, n) for x, n in zip(keys, sizes.tolist())]) if slots else np.empty(0, np.uint64)
-    edges, steps = lattice.walk(every, word_keys)
-    ends = np.cumsum(sizes)
-    stop = np.concatenate([[0], np.cumsum(steps)])
-    for i, t, s, key, end, n in zip(ids, texts, slots, keys, ends.tolist(), sizes.tolist()):
-        if not n:
-            yield i, 1, np.empty(0, np.int32), 0, 0.0, float(-np.log(-np.log(uniforms(key, 1, 1)[0]))), 1.0, lattice.decode([]) == t
+    roots = [i if i is not None else int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+             for i, t in zip(ids, texts)]
+    with np.errstate(over="ignore"):
+        keys = mix64(np.array([r & M64 for r in roots], np.uint64) ^ np.uint64(seed * 0xD1B54A32D192ED03 & M64))
+    full = [j for j, t in enumerate(texts) if t]
+    words = [words_of(texts[j]) for j in full]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    found = iter(())
+    if full:
+        found = sample_batch(lattice, lattice.slots_of(list(chain.from_iterable(words))), sizes, keys[full], k)
+    for j, (i, t) in enumerate(zip(ids, texts)):
+        if not t:
+            yield i, 1, np.empty(0, np.int32), 0, 0.0, float(-np.log(-np.log(_uniform(keys[j:j + 1], 0)[0]))), 1.0, True
             continue
-        own = edges[stop[end - n]:stop[end]]
-        for j, (path, lp, g, inc) in enumerate(sample_text(lattice, s, own, steps[end - n:end], key, k)):
+        for c, (path, lp, g, inc) in enumerate(next(found)):
             pieces = lattice.ids(path)
-            yield i, j + 1, pieces.astype(np.int32), len(pieces), lp, g, inc, lattice.decode(pieces.tolist()) == t
+            yield i, c + 1, pieces, len(pieces), lp, g, inc, lattice.decode(pieces.tolist()) == t
 
 
 def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = 0,
