@@ -88,25 +88,37 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def attach_once(docs: DataFrame, facts: DataFrame, keys: dict[str, Column]) -> DataFrame:
-    """Join ``facts`` (checkpointed; one row per key, column ``m`` = rows of ``docs`` with that
-    key) to the documents by the null-safe ``keys`` (fact column -> expression over
-    ``docs``). Documents without a fact leave; of ``m`` rows that agree in the whole key one
-    stays. Fact columns come out as they are named."""
-    names = {k: fresh(docs, f"_k_{k}") for k in keys}
-    left = docs.withColumns({names[k]: e for k, e in keys.items()})
+def columns(df: DataFrame) -> list[Column]:
+    """All columns by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def attach_once(docs: DataFrame, facts: DataFrame, keys: dict[str, Column], carry: str | None = None) -> tuple[DataFrame, str | None]:
+    """The documents that have a fact, with all their columns and the fact column ``carry`` under a name that
+    is free; returns the frame and that name.
+
+    ``facts`` (checkpointed) has one row per key and a column ``m``, the rows of ``docs`` with that key; ``keys`` maps its
+    key columns to expressions over ``docs``, compared null-safe. Of ``m`` rows that agree in the whole key one stays."""
+    name: dict[str, str] = {}
+    wide = docs
+    for c in [*(f"l_{k}" for k in keys), *(f"r_{k}" for k in keys), "m", *([carry] if carry else [])]:
+        name[c] = fresh(wide, f"_{c}")
+        wide = wide.withColumn(name[c], F.lit(None))
+    left = docs.withColumns({name[f"l_{k}"]: e for k, e in keys.items()})
+    right = facts.select(*[facts[k].alias(name[f"r_{k}"]) for k in keys], facts["m"].alias(name["m"]),
+                         *([facts[carry].alias(name[carry])] if carry else []))
     on = None
     for k in keys:
-        c = left[names[k]].eqNullSafe(facts[k])
+        c = F.col(name[f"l_{k}"]).eqNullSafe(F.col(name[f"r_{k}"]))
         on = c if on is None else on & c
-    joined = left.join(facts, on)
-    kept = [left[c] for c in docs.columns] + [facts[c] for c in facts.columns if c != "m"]
+    joined = left.join(right, on)
+    out = [*columns(docs), *([F.col(name[carry])] if carry else [])]
+    found = name.get(carry) if carry else None
     if facts.filter("m > 1").isEmpty():
-        return joined.select(*kept)
-    single = joined.filter(facts["m"] == 1).select(*kept)
-    several = (joined.filter(facts["m"] > 1)
-               .withColumn("_pick", F.struct(*[left[n] for n in names.values()])).dropDuplicates(["_pick"]))
-    return single.unionAll(several.select(*kept))
+        return joined.select(*out), found
+    single = joined.filter(F.col(name["m"]) == 1).select(*out)
+    several = joined.filter(F.col(name["m"]) > 1).dropDuplicates([name[f"l_{k}"] for k in keys]).select(*out)
+    return single.unionAll(several), found
 
 
 def seeded_sample(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:

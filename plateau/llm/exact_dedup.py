@@ -198,4 +198,4 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = {"_fid": F.col(id_col).cast("bigint"),
             "_fsha": F.sha2(F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", "").cast("binary"), 256),
             "_fn": F.char_length(text).cast("bigint")}
-    return attach_once(docs, facts, keys).drop("_fid", "_fsha", "_fn")
+    return attach_once(docs, facts, keys)[0]

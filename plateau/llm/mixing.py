@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import attach_once, cut
+from plateau.llm.common import attach_once, columns, cut, fresh
 from plateau.operators.stats import dense_index, group_row_number
 
 MAX_REPEATS = 3
@@ -136,8 +136,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     facts = cut(mix_plan(docs, id_col, text_col, source_col, seed)
                 .groupBy(F.col("id").alias("_fid"), F.col("text_hash").alias("_fh"), F.col("source").alias("_fs"))
                 .agg(F.count(F.lit(1)).alias("m"), F.sum("copies").alias("_copies")).filter("_copies > 0"))
-    out = attach_once(docs, facts, {"_fid": F.col(id_col).cast("bigint"),
-                                    "_fh": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
-                                    "_fs": F.col(source_col).cast("string")})
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
-    return out.select(*docs.columns, copy).drop("_copy")
+    out, copies = attach_once(docs, facts, {"_fid": F.col(id_col).cast("bigint"),
+                                            "_fh": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+                                            "_fs": F.col(source_col).cast("string")}, "_copies")
+    copy = fresh(out, "_copy")
+    again = out.select("*", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copy))
+    return again.select(*columns(docs))

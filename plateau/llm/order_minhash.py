@@ -312,4 +312,4 @@ def dedup_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 .agg(F.count(F.lit(1)).alias("m"), F.max("kept").alias("_kept")).filter("_kept").drop("_kept"))
     keys = {"_fid": F.col(id_col).cast("bigint"),
             "_fh": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))}
-    return attach_once(docs, facts, keys).drop("_fid", "_fh")
+    return attach_once(docs, facts, keys)[0]
