@@ -12,7 +12,7 @@ can share a band with one, so the others are skipped without loss.
 
 A retrieved template is verified on the words themselves: the window, widened by its step on both
 sides, must contain at least ``CONTAINMENT`` of the template's shingles. Overlapping
-verified windows are one match, reported with its best window.
+verified windows are one match, reported with the words from its best window's first shared shingle to the last.
 
 Defined results: null and empty texts have no match; a text shorter than a template is one
 window; templates shorter than a shingle are one shingle; rows with a null id and repeated rows
@@ -170,9 +170,10 @@ class Scanner:
             bands = self._bands(signature(h[s:s + span]))
             if any(x == y for x, y in zip(bands, t.bands)):
                 a, b = max(0, s - step), min(len(words), s + t.n + step)
-                c = len(shingles(words[a:b], t.size) & t.parts) / len(t.parts)
+                at = [j for j in range(a, b - t.size + 1) if b" ".join(words[j:j + t.size]) in t.parts]
+                c = len({b" ".join(words[j:j + t.size]) for j in at}) / len(t.parts)
                 if c >= CONTAINMENT:
-                    found.append((s, min(len(words), s + t.n), c))
+                    found.append((at[0], at[-1] + t.size, c))
         runs: list[list[tuple[int, int, float]]] = []
         for f in found:
             if runs and f[0] < runs[-1][-1][1]:

@@ -1,7 +1,7 @@
 """Main text of web pages by differencing each page with the one of the nearest URL on its host.
 
 A page becomes block lines: white space in a block is one space, references are decoded, blocks
-that markup names as something else (menus, headers and footers outside the article, sidebars,
+that markup names as something else (menus, footers, headers outside the article, sidebars,
 notices, adverts, forms, comments, scripts, styles; by element, role, class or id) are left
 out. Pages are ordered by (host, path); the partner of a page is the neighbour in that order, on the same
 host and with other lines, whose path agrees longer with its own (ties: the one before). The lines of both
@@ -41,9 +41,9 @@ SAMPLE_PER_BUCKET = 32
 COPY = 0.8
 
 # Elements whose text is never the article's.
-DROPPED = frozenset("""nav aside form script style noscript template iframe object embed svg canvas audio video select
+DROPPED = frozenset("""nav aside footer form script style noscript template iframe object embed svg canvas audio video select
     button input label fieldset dialog menu head title math""".split())
-OUTSIDE = frozenset(["header", "footer"])
+OUTSIDE = frozenset(["header"])   # an article's own header holds its title
 RAW = frozenset(["script", "style", "textarea", "title", "xmp", "noembed", "noframes"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rb rp rt ruby s samp

@@ -107,9 +107,9 @@ class Lattice:
     def clear(self) -> None:
         self.types: dict[str, int] = {}              # word -> its first slot
         self.slots = 0
-        self.flat = np.empty(0)                      # slot + probability of the edges before
-        self.start = np.empty(0, np.int32)           # slot -> first edge
-        self.top = np.empty(0)                       # slot -> probability of its first, likeliest edge
+        self.node = np.empty(0, np.int32)            # edge -> slot it leaves
+        self.reach = np.empty(0)                     # probability of the node's edges up to this one
+        self.start = np.empty(0, np.int32)           # slot -> first edge, the likeliest
         self.next = np.empty(0, np.int32)            # edge -> slot it leads to, -1 at the word's end
         self.logq = np.empty(0)
         self.piece = np.empty(0, np.int32)           # edge -> piece id, or -1 - code point
@@ -157,8 +157,10 @@ class Lattice:
         for rows in np.split(order, bounds):
             m = min(int(left[rows[0]]), wide)
             val = weight[rows, :m] + beta[slot[rows][:, None] + np.arange(1, m + 1)]
-            top = val.max(1)
-            total = top + np.log(np.exp(val - top[:, None]).sum(1))
+            top, total = val.max(1), np.zeros(len(rows))
+            for c in range(m):      # in this order whatever the width, so batches change no bit
+                total += np.exp(val[:, c] - top)
+            total = top + np.log(total)
             beta[slot[rows]] = total
             weight[rows, :m] = val - total[:, None]     # now log probabilities
         # The likeliest edge first (column 0 always has one).
@@ -168,24 +170,22 @@ class Lattice:
             x[every, 0], x[every, best] = x[every, best], x[every, 0].copy()
         real = weight > -np.inf
         count = real.sum(1)
+        reach = np.cumsum(np.exp(weight), axis=1)[real]
         logq, piece, ln = np.minimum(weight[real], 0.0), piece[real], length[real]
         row = np.repeat(every, count)
         src, dst = slot[row], slot[row] + ln
-        q = np.exp(logq)
         head = np.cumsum(count) - count
-        acc = np.cumsum(q) - q
-        before = np.maximum(0.0, acc - np.repeat(acc[head], count))
+        reach[head + count - 1] = 1.0
         logq[np.repeat(count == 1, count)] = 0.0
         base, n = self.slots, len(self.next)
-        start, top = np.full(len(beta), -1, np.int32), np.zeros(len(beta))
+        start = np.full(len(beta), -1, np.int32)
         start[slot] = head + n
-        top[slot] = np.where(count == 1, 1.0, q[head])
         for word, f in zip(words, first.tolist()):
             self.types[word] = base + f
         ended = left[row] == ln
         self.start = np.concatenate([self.start, start])
-        self.top = np.concatenate([self.top, top])
-        self.flat = np.concatenate([self.flat, src + base + np.minimum(before, 1 - 1e-9)])
+        self.reach = np.concatenate([self.reach, reach])
+        self.node = np.concatenate([self.node, (src + base).astype(np.int32)])
         self.next = np.concatenate([self.next, np.where(ended, -1, dst + base).astype(np.int32)])
         self.logq = np.concatenate([self.logq, logq])
         self.piece = np.concatenate([self.piece, piece])
@@ -219,12 +219,11 @@ class Lattice:
             out[new] = [self.types[words[i]] for i in new.tolist()]
         return out
 
-    def edges_of(self, slot: int) -> np.ndarray:
-        a = self.start[slot]
-        b = a
-        while b < len(self.flat) and self.flat[b] < slot + 1:
+    def edges_of(self, slot: int) -> range:
+        a = b = int(self.start[slot])
+        while b < len(self.node) and self.node[b] == slot:
             b += 1
-        return np.arange(a, b)
+        return range(a, b)
 
     def walk(self, slots: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sample a path through each word from its slot (-1: nothing left). ``key``: a uint64 per word.
@@ -237,8 +236,10 @@ class Lattice:
             while len(live):
                 u = _uniform(k, step)
                 e = self.start[node]
-                off = np.flatnonzero(u >= self.top[node])
-                e[off] = np.searchsorted(self.flat, node[off] + u[off], "right") - 1
+                off = np.flatnonzero(u >= self.reach[e])
+                while len(off):
+                    e[off] += 1
+                    off = off[u[off] >= self.reach[e[off]]]
                 taken.append((live, e))
                 steps[live] += 1
                 node = self.next[e]
@@ -308,14 +309,17 @@ class Paths:
         self.edges, self.word, self.stop, self.value = edges, word, stop, value
         logq = lattice.logq[edges]
         size = np.diff(stop)
-        acc = np.concatenate([[0.0], np.cumsum(logq)])
-        self.log_prob = acc[stop[1:]] - acc[stop[:-1]]
+        acc = np.empty(len(logq))
+        for a, b in zip(stop[:-1].tolist(), stop[1:].tolist()):
+            np.cumsum(logq[a:b], out=acc[a:b])
+        self.log_prob = acc[stop[1:] - 1]
+        before = acc - logq
         with np.errstate(divide="ignore"):
-            mass = acc[:-1] - np.repeat(acc[stop[:-1]], size) + np.log(np.maximum(0.0, -np.expm1(logq)))
+            mass = before + np.log(np.maximum(0.0, -np.expm1(logq)))
             if first is not None:
                 # Before the step everything belongs to the segmentation that was left.
                 at = stop[:-1] + first
-                prefix = acc[at] - acc[stop[:-1]]
+                prefix = before[at]
                 mass[_spans(size) < np.repeat(first, size)] = -np.inf
                 mass[at] = prefix + np.log(np.where(left > 1e-12, left, 0.0))
         self.gumbel = _less(np.repeat(value, size), mass, _uniform(_keys(keys, stream, size), 0))
@@ -374,7 +378,7 @@ def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: n
         mine, t, old, at_word = mine[back], t[back], old[back], at_word[back]
         prefix, pre_word = [prefix[i] for i in back.tolist()], [pre_word[i] for i in back.tolist()]
         # Another edge out of the same node, by the probabilities without those already taken there.
-        node = np.floor(lattice.flat[old]).astype(np.int64)
+        node = lattice.node[old]
         u = _uniform(_keys(keys[mine], 10 * turn + 3, np.ones(len(mine), np.int64)), 0)
         new, left = np.empty(len(mine), np.int64), np.empty(len(mine))
         for x, (i, tt, e, v) in enumerate(zip(mine.tolist(), t.tolist(), old.tolist(), node.tolist())):

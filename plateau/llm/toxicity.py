@@ -33,6 +33,7 @@ SAMPLE = 8_000      # labelled rows the fit may use, at most
 WORDS = 256         # word features a category may use, at most
 Z_MIN = 4.0         # least z of a word feature
 FOLDS = 4
+SHAPES = 8          # shape features of a text
 L2 = 1.0
 
 
@@ -203,9 +204,7 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, Column] |
     got = rows.mapInArrow(extract, ddl).toArrow().to_pylist()
     got.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], r["w"]))
     words = [np.frombuffer(r["w"], np.uint32) for r in got]
-    shapes = np.array([np.frombuffer(r["s"]) for r in got]).reshape(len(got), -1)
-    if not len(got):
-        shapes = np.zeros((0, 8))
+    shapes = np.array([np.frombuffer(r["s"]) for r in got]).reshape(len(got), SHAPES)
     return fit_rows(words, shapes, {n: np.array([r[f"y{i}"] for r in got], float) for i, n in enumerate(names)})
 
 
