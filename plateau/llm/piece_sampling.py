@@ -107,6 +107,7 @@ class Lattice:
     def clear(self) -> None:
         self.types: dict[str, int] = {}              # word -> its first slot
         self.slots = 0
+        self.room: dict[str, np.ndarray] = {}
         self.node = np.empty(0, np.int32)            # edge -> slot it leaves
         self.reach = np.empty(0)                     # probability of the node's edges up to this one
         self.start = np.empty(0, np.int32)           # slot -> first edge, the likeliest
@@ -129,13 +130,17 @@ class Lattice:
         # Only the mark put in front may start a piece; a literal one has no transitions.
         code_key = np.where((code == mark) | ((code == 32) & ~at_first), 1 << 20 | 0xFFFFF, code)
         code_key = np.where((code == 32) & at_first, mark, code_key)
-        # Row i: the edges out of character i, column l - 1 those of l characters.
+        # Rows are characters by their distance from the word's end, so that beta runs over slices.
+        # Column l - 1 of a row: the edge of l characters.
+        at_text = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
+        left, slot, code, at_first = left[at_text], slot[at_text], code[at_text], at_first[at_text]
         live, state, found = np.arange(len(code)), np.zeros(len(code), np.int64), []
         for l in range(self.longest):
-            go = left[live] > l
-            live, state = live[go], state[go]
-            state = self._step(state, code_key[live + l])
-            live, state = live[state >= 0], state[state >= 0]
+            from_ = int(np.searchsorted(left[live], l, "right"))
+            live, state = live[from_:], state[from_:]
+            state = self._step(state, code_key[at_text[live] + l])
+            on = state >= 0
+            live, state = live[on], state[on]
             if not len(live):
                 break
             hit = self.final[state] >= 0
@@ -150,47 +155,60 @@ class Lattice:
         real = np.where((code == 32) & at_first, mark, code)[lone]
         weight[lone, 0] = (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)) * self.byte_weight
         piece[lone, 0] = -1 - real
-        # beta, from the words' ends: all characters at one distance together.
         beta = np.zeros(len(code) + len(words))
-        order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
-        bounds = np.flatnonzero(np.diff(left[order])) + 1
-        for rows in np.split(order, bounds):
-            m = min(int(left[rows[0]]), wide)
-            val = weight[rows, :m] + beta[slot[rows][:, None] + np.arange(1, m + 1)]
-            top, total = val.max(1), np.zeros(len(rows))
-            for c in range(m):      # in this order whatever the width, so batches change no bit
-                total += np.exp(val[:, c] - top)
-            total = top + np.log(total)
-            beta[slot[rows]] = total
-            weight[rows, :m] = val - total[:, None]     # now log probabilities
+        prob = np.zeros_like(weight)
+        bounds = [0, *(np.flatnonzero(np.diff(left)) + 1).tolist(), len(code)]
+        for a, b in zip(bounds, bounds[1:]):
+            m = min(int(left[a]), wide)
+            val = weight[a:b, :m]
+            val += beta[slot[a:b, None] + np.arange(1, m + 1)]
+            top = val.max(1)
+            e = np.exp(val - top[:, None])
+            total = e[:, 0].copy()
+            for c in range(1, m):      # in this order whatever the width, so batches change no bit
+                total += e[:, c]
+            np.divide(e, total[:, None], out=prob[a:b, :m])
+            beta[slot[a:b]] = total = top + np.log(total)
+            val -= total[:, None]      # now log probabilities
         # The likeliest edge first (column 0 always has one).
-        best, every = weight.argmax(1), np.arange(len(code))
+        best, every = prob.argmax(1), np.arange(len(code))
         length = np.broadcast_to(np.arange(1, wide + 1, dtype=np.int32), weight.shape).copy()
-        for x in (weight, piece, length):
-            x[every, 0], x[every, best] = x[every, best], x[every, 0].copy()
-        real = weight > -np.inf
-        count = real.sum(1)
-        reach = np.cumsum(np.exp(weight), axis=1)[real]
-        logq, piece, ln = np.minimum(weight[real], 0.0), piece[real], length[real]
-        row = np.repeat(every, count)
+        swap = np.flatnonzero(best)
+        for x in (weight, prob, piece, length):
+            x[swap, 0], x[swap, best[swap]] = x[swap, best[swap]], x[swap, 0].copy()
+        real = np.flatnonzero(weight.ravel() > -np.inf)
+        row = real // wide
+        count = np.bincount(row, minlength=len(code))
+        reach = np.cumsum(prob, axis=1).ravel()[real]
+        logq, piece, ln = np.minimum(weight.ravel()[real], 0.0), piece.ravel()[real], length.ravel()[real]
         src, dst = slot[row], slot[row] + ln
         head = np.cumsum(count) - count
         reach[head + count - 1] = 1.0
-        logq[np.repeat(count == 1, count)] = 0.0
+        logq[head[count == 1]] = 0.0
         base, n = self.slots, len(self.next)
         start = np.full(len(beta), -1, np.int32)
         start[slot] = head + n
         for word, f in zip(words, first.tolist()):
             self.types[word] = base + f
-        ended = left[row] == ln
-        self.start = np.concatenate([self.start, start])
-        self.reach = np.concatenate([self.reach, reach])
-        self.node = np.concatenate([self.node, (src + base).astype(np.int32)])
-        self.next = np.concatenate([self.next, np.where(ended, -1, dst + base).astype(np.int32)])
-        self.logq = np.concatenate([self.logq, logq])
-        self.piece = np.concatenate([self.piece, piece])
+        self._put("start", start)
+        self._put("reach", reach)
+        self._put("node", src + base)
+        self._put("next", np.where(left[row] == ln, -1, dst + base))
+        self._put("logq", logq)
+        self._put("piece", piece)
         self.slots += len(beta)
 
+    def _put(self, name: str, values: np.ndarray) -> None:
+        """Append to an array that grows by doubling."""
+        old = getattr(self, name)
+        buf, n = self.room.get(name, old), len(old)
+        if n + len(values) > len(buf):
+            buf = np.empty(max(n + len(values), 2 * n), old.dtype)
+            buf[:n] = old
+            self.room[name] = buf
+        buf[n:n + len(values)] = values
+        setattr(self, name, buf[:n + len(values)])
+
     def _step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The trie's next states, -1 where there is none (open addressing)."""
         key = (state << 21) | code
