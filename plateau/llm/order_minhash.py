@@ -7,14 +7,13 @@ k-mers in the same order. Two texts whose k-mers overlap by J agree in a table w
 J**PICKS: at 0.8 a pair is missed by all tables with probability (1 - 0.8**5)**32 = 3e-6.
 
 Equal word sequences are one node. Nodes that agree in a table are a bucket. A bucket does not emit its
-pairs: in the first round its nodes are paired with its hub (the node that meets most others over
-all tables, the likely original of a family), the pairs are verified and linked nodes become
-components. A bucket that is then one component is done. In the others, small buckets pair all
-nodes of different components (at most ``SMALL`` nodes each), and large ones pair, for ``ROUNDS``
-rounds, the next hub outside the components tried so far with all nodes of other components, so the
-pairs stay linear in the rows. A true pair is in about ten buckets and is lost only where
-each of those is a large bucket of many components, which needs most of both texts to be shared
-by many unrelated ones.
+pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
+likely original of a family. The pairs are verified and linked nodes become components; a bucket that is
+one component is done. In the others small buckets pair all nodes of different components (at
+most ``SMALL`` nodes each), and large ones pair, for ``ROUNDS`` rounds, the next hub outside the components
+tried so far with all nodes of other components, so the pairs stay linear in the rows. A true pair is in about ten
+buckets and is lost only where each of those is a large bucket of many components, which needs most of both
+texts to be shared by many unrelated ones.
 
 Verification of a pair: the edit distance of the word sequences, found within a band of
 (1 - SIMILARITY) * length diagonals, leaves a similarity of at least ``SIMILARITY``, and the
@@ -267,34 +266,38 @@ def _links(inc: DataFrame, src: DataFrame) -> DataFrame | None:
     inc = inc.select("key", "node", "size")
     hub = inc.groupBy("node").agg(F.sum("size").alias("score"))
     inc = cut(inc.join(hub, "node"))
-    top = inc.groupBy("key").agg(F.max(F.struct("score", "node")).alias("top")).select("key", F.col("top.node").alias("hub"))
-    tried = _pairs(inc.join(top, "key").filter("node <> hub").select("node", "hub"))
-    tried = cut(tried)
+    # First each node with the best hub of all its buckets: most of a family is one component then.
+    top = inc.groupBy("key").agg(F.max(F.struct("score", "node")).alias("top"))
+    best = (inc.join(top, "key").filter("node <> top.node").groupBy("node").agg(F.max("top").alias("top"))
+            .select("node", F.col("top.node").alias("hub")))
+    tried = cut(_pairs(best))
     links = _verified(tried, text)
+    used = None
     for turn in range(ROUNDS):
         label = components(links)
-        lab = (inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                      .filter("x <> y").select("key"))
         lab = cut(lab.join(open_keys, "key"))
-        pairs = None
-        if turn == 0:
-            small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
-            other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
-            pairs = small.join(other, "key").filter("label < l2").select("node", "hub")
         # The next hub of a large bucket: its best node outside the components of the hubs before.
         large = lab.filter(F.col("size") > SMALL)
-        used = top.join(label.withColumnRenamed("node", "hub"), "hub", "left").select(
-            "key", F.coalesce("label", "hub").alias("used"))
-        rest = large.join(used.distinct(), (large["key"] == used["key"]) & (large["label"] == used["used"]), "left_anti")
+        rest = large
+        if used is not None:
+            done = (used.join(label.withColumnRenamed("node", "hub"), "hub", "left")
+                    .select(F.col("key").alias("k2"), F.coalesce("label", "hub").alias("used")).distinct())
+            rest = large.join(done, (large["key"] == done["k2"]) & (large["label"] == done["used"]), "left_anti")
         nxt = cut(rest.groupBy("key").agg(F.max(F.struct("score", "node", "label")).alias("top"))
                   .select("key", F.col("top.node").alias("hub"), F.col("top.label").alias("l2")))
-        star = large.join(nxt, "key").filter("label <> l2").select("node", "hub")
-        pairs = _pairs(star if pairs is None else pairs.unionAll(star)).join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs = large.join(nxt, "key").filter("label <> l2").select("node", "hub")
+        if turn == 0:
+            small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
+            other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
+            pairs = pairs.unionAll(small.join(other, "key").filter("label < l2").select("node", "hub"))
+        pairs = cut(_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
-        top = top.unionAll(nxt.select("key", "hub"))
+        hubs = nxt.select("key", "hub")
+        used = hubs if used is None else used.unionAll(hubs)
         links = links.unionAll(_verified(pairs, text))
         tried = tried.unionAll(pairs)
     return links
