@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
+from plateau.llm import exact_dedup, mixing, order_minhash, piece_sampling, toxicity  # noqa: E402
 from plateau.llm.common import prepare, table  # noqa: E402
 from plateau.session import checkpoint_dir  # noqa: E402
 
@@ -21,7 +22,6 @@ from plateau.session import checkpoint_dir  # noqa: E402
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject as toxic."""
     prepare(spark)
-    from plateau.llm import toxicity
     chain = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, chain)
 
@@ -29,28 +29,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     prepare(spark)
-    from plateau.llm import exact_dedup
     return exact_dedup.dedup_exact(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
     prepare(spark)
-    from plateau.llm import order_minhash
     return order_minhash.dedup_near(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to their target weights; a document can appear up to three times."""
     prepare(spark)
-    from plateau.llm import mixing
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Distinct sampled segmentations of every document."""
     prepare(spark)
-    from plateau.llm import piece_sampling
     return piece_sampling.sample_segmentations(docs)
 
 

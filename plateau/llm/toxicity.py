@@ -4,7 +4,7 @@ later linear model sees the probabilities of the earlier ones.
 While the chain is trained those probabilities are out of fold: each training row gets them from
 a model that has not seen it, so a later model learns how far it can trust them. A category's
 model is a logistic regression (Newton steps, L2) over the presence of words picked by the
-root of their G statistic within the training fold, eight shape features of the whole
+root of their G statistic within the training fold, eight clipped shape features of the whole
 text, and the logits of the earlier categories. The decision threshold is the one with the best
 out-of-fold F1.
 
@@ -34,7 +34,8 @@ WORDS = 256         # word features a category may use, at most
 Z_MIN = 4.0         # least z of a word feature
 FOLDS = 4
 SHAPES = 8          # shape features of a text
-L2 = 1.0
+L2, L2_SHAPE = 1.0, 10.0
+CLIP = 3.0          # standard deviations a shape feature can be away from the sample's mean
 
 
 def label_categories() -> dict[str, Column]:
@@ -78,7 +79,7 @@ class Link:
         at = np.searchsorted(self.words, words)
         at[at == m] = 0
         hit = at[self.words[at] == words] if m else at[:0]
-        dense = (np.concatenate([shape, earlier]) - self.center) / self.scale
+        dense = np.clip((np.concatenate([shape, earlier]) - self.center) / self.scale, -CLIP, CLIP)
         return float(self.weights[hit].sum() + dense @ self.weights[m:-1] + self.weights[-1])
 
 
@@ -134,9 +135,9 @@ def _train(name: str, words: list[np.ndarray], dense: np.ndarray, y: np.ndarray)
         bias = -30.0 if rate == 0 else 30.0
         return Link(name, np.empty(0, np.uint32), np.r_[np.zeros(d), bias], center, scale)
     vocab = _pick(words, y)
-    x = _matrix(words, (dense - center) / scale, vocab)
+    x = _matrix(words, np.clip((dense - center) / scale, -CLIP, CLIP), vocab)
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], L2)
-    ridge[-1] = 1e-6
+    ridge[len(vocab):len(vocab) + SHAPES], ridge[-1] = L2_SHAPE, 1e-6
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - y) + ridge * w
