@@ -16,8 +16,8 @@ k values taken are the k largest of all segmentations, in order, without visitin
 value left, a sample's inclusion score is 1 - exp(-exp(log_prob - kappa)).
 
 All randomness is counter-based on (row key, seed), so retries and other partitionings draw the same.
-The lattices of all new words of a batch are built together in numpy and kept, up to
-``CACHE`` edges, for later batches.
+The lattices of all new words of a batch are built together in numpy; those of words met again are kept, up
+to ``CACHE`` edges, for later batches.
 
 Defined results: null and empty texts have one segmentation, of no pieces; texts with fewer than k segmentations
 return all of them; a null id takes its key from the text; repeated rows give repeated samples; extra
@@ -27,7 +27,6 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import re
 from itertools import chain, repeat
 
 import numpy as np
@@ -39,13 +38,11 @@ from plateau.llm.common import M64, batches, column_of, mix64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
+TEXTS = 200         # texts that advance together
 RANK_0 = 2.0
-CACHE = 5_000_000
+CACHE, ONCE = 5_000_000, 1_000_000
 MARK = "▁"
 
-_PARTS = re.compile(r"\n| [^ \n]*|[^ \n]+")
-
-
 def load_pieces(model: str = MODEL) -> list[tuple[int, str, float]]:
     """(id, piece, score) of the ordinary pieces, and of the 256 byte pieces as '<0xNN>' with score None."""
     import sentencepiece
@@ -70,7 +67,7 @@ class Lattice:
     """Pieces as a trie, and the lattices of the words met so far."""
 
     def __init__(self, pieces: list[tuple[int, str, float]]):
-        self.byte_id = np.zeros(256, np.int64)
+        self.byte_id = np.zeros(256, np.int32)
         self.table: dict[int, bytes] = {}
         plain = []
         for i, s, score in pieces:
@@ -91,6 +88,10 @@ class Lattice:
         self.final = np.full(len(states) + 1, -1, np.int64)
         for at, i in final.items():
             self.final[at] = i
+        most = max(self.table, default=0) + 1
+        self.spelled_size = np.fromiter((len(self.table.get(i, b"")) for i in range(most)), np.int64, most)
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.spelled = np.frombuffer(b"".join(self.table.get(i, b"") for i in range(most)), np.uint8)
         self.longest = max((len(s) for s, _ in plain), default=1)
         self.final_weight = -np.log(np.maximum(self.final - low, 0) + RANK_0)
         self.byte_weight = -np.log(len(plain) + RANK_0)
@@ -108,6 +109,9 @@ class Lattice:
         self.types: dict[str, int] = {}              # word -> its first slot
         self.slots = 0
         self.room: dict[str, np.ndarray] = {}
+        self.once: set[str] = set()                  # words met in one earlier call
+        self.passing: list[str] = []                 # words met first in the last call
+        self.mark = dict.fromkeys(("start", "reach", "node", "next", "logq", "piece"), 0)
         self.node = np.empty(0, np.int32)            # edge -> slot it leaves
         self.reach = np.empty(0)                     # probability of the node's edges up to this one
         self.start = np.empty(0, np.int32)           # slot -> first edge, the likeliest
@@ -120,8 +124,9 @@ class Lattice:
         if not words:
             return
         # A word of n characters has n + 1 slots; the last one is its end.
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        chars = [w if w[:1] == "\n" else " " + w for w in words]
+        size = np.fromiter(map(len, chars), np.int64, len(words))
+        code = np.frombuffer("".join(chars).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         first = np.cumsum(size + 1) - size - 1
         slot = np.repeat(first, size) + _spans(size)
         left = np.repeat(size, size) - _spans(size)   # characters to the end of the word
@@ -227,14 +232,26 @@ class Lattice:
             return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
 
     def slots_of(self, words: list[str]) -> np.ndarray:
-        """First slots of the words; new words are built first."""
-        if len(self.next) > CACHE:
+        """First slots of the words; new words are built first. A word met in a second call stays for later calls, one met
+        for the first time goes with the next call, so the many words that occur once take no room."""
+        for w in self.passing:
+            del self.types[w]
+        self.once.update(self.passing)
+        for name, n in self.mark.items():
+            setattr(self, name, getattr(self, name)[:n])
+        self.slots = self.mark["start"]
+        if len(self.next) > CACHE or len(self.once) > ONCE:
             self.clear()
         out = np.fromiter(map(self.types.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(out < 0)
-        if len(new):
-            self.add(sorted({words[i] for i in new.tolist()}))
-            out[new] = [self.types[words[i]] for i in new.tolist()]
+        fresh = {words[i] for i in new.tolist()}
+        again = fresh & self.once
+        self.once -= again
+        self.add(sorted(again))
+        self.mark = {name: len(getattr(self, name)) for name in self.mark}
+        self.passing = sorted(fresh - again)
+        self.add(self.passing)
+        out[new] = [self.types[words[i]] for i in new.tolist()]
         return out
 
     def edges_of(self, slot: int) -> range:
@@ -270,19 +287,25 @@ class Lattice:
             out[at[who] + s] = e
         return out, steps
 
-    def ids(self, edges: np.ndarray) -> np.ndarray:
-        """Piece ids of a path; a byte edge gives the pieces of its bytes."""
+    def ids(self, edges: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of paths that follow each other, and where each begins and ends; a byte edge gives the pieces of its bytes."""
         p = self.piece[edges]
         raw = np.flatnonzero(p < 0)
+        count = np.ones(len(p), np.int64)
         if not len(raw):
-            return p
-        out, last = [], 0
-        for j in raw.tolist():
-            out.append(p[last:j])
-            out.append(self.byte_id[np.frombuffer(chr(-1 - int(p[j])).encode("utf-8", "surrogatepass"), np.uint8)])
-            last = j + 1
-        out.append(p[last:])
-        return np.concatenate(out)
+            return p, stop
+        spelled = [chr(c).encode("utf-8", "surrogatepass") for c in (-1 - p[raw].astype(np.int64)).tolist()]
+        count[raw] = [len(b) for b in spelled]
+        out = np.repeat(p, count)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out[_spans(count[raw]) + np.repeat(ends[raw], count[raw])] = self.byte_id[np.frombuffer(b"".join(spelled), np.uint8)]
+        return out, ends[stop]
+
+    def spell(self, ids: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that sequences of ids decode to, the mark of the start included, and where each begins and ends."""
+        size = self.spelled_size[ids]
+        at = _spans(size) + np.repeat(self.spelled_at[ids], size)
+        return self.spelled[at], np.concatenate([[0], np.cumsum(size)])[stop]
 
     def decode(self, ids) -> str:
         """The text of a sequence of piece ids."""
@@ -290,7 +313,15 @@ class Lattice:
 
 
 def words_of(text: str) -> list[str]:
-    return _PARTS.findall(" " + text)
+    """The parts of a text that no piece crosses: a word stands for the mark and itself, one that begins with a line
+    feed for itself alone (no piece holds a line feed)."""
+    first, *lines = text.split("\n")
+    out = first.split(" ")
+    for line in lines:
+        parts = line.split(" ")
+        parts[0] = "\n" + parts[0]
+        out += parts
+    return out
 
 
 def _uniform(key: np.ndarray, step: int) -> np.ndarray:
@@ -352,8 +383,8 @@ class Paths:
 
 
 def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: np.ndarray, k: int):
-    """For texts of at least one word (their words' slots one after another): a list per text of
-    (edges, log_prob, value, inclusion), by falling value. All texts advance together."""
+    """For texts of at least one word (their words' slots one after another): the taken segmentations as a list of
+    (texts, Paths), by falling value, and kappa of each text. All texts advance together."""
     n = len(sizes)
     begin = np.cumsum(sizes) - sizes
     edges, steps = lattice.walk(slots, _keys(keys, 4, sizes))
@@ -361,14 +392,7 @@ def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: n
     stop = np.concatenate([[0], np.cumsum(np.add.reduceat(steps, begin))])
     value = -np.log(-np.log(_uniform(_keys(keys, 1, np.ones(n, np.int64)), 0)))
     layers = [(np.arange(n), Paths(lattice, keys, 2, edges, word, stop, value))]
-    out: list[list] = [[] for _ in range(n)]
-    banned: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(n)]    # (layer, step) -> edges taken there
-
-    def take(who: np.ndarray, p: Paths) -> None:
-        for i, a, b, lp, g in zip(who.tolist(), p.stop[:-1].tolist(), p.stop[1:].tolist(), p.log_prob.tolist(), p.value.tolist()):
-            out[i].append((p.edges[a:b], lp, g))
-
-    take(*layers[0])
+    banned: list[dict[tuple, list[int]]] = [{} for _ in range(n)]    # (prefix, step) -> edges taken there
     kappa = np.full(n, -np.inf)
     for turn in range(1, k + 1):
         # The largest region of each text over the segmentations taken so far.
@@ -421,10 +445,8 @@ def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: n
             w_parts += [w, at_word[x:x + 1], tail_word[cuts[x]:cuts[x + 1]]]
         p = Paths(lattice, keys[mine], 10 * turn + 5, np.concatenate(e_parts), np.concatenate(w_parts),
                   np.concatenate([[0], np.cumsum(t + 1 + tail_n)]), kappa[mine], t, left)
-        take(mine, p)
         layers.append((mine, p))
-    for i, rows in enumerate(out):
-        yield [(e, lp, g, float(-np.expm1(-np.exp(min(50.0, lp - kappa[i])))) if kappa[i] > -np.inf else 1.0) for e, lp, g in rows]
+    return layers, kappa
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
@@ -434,25 +456,38 @@ _DDL = ("doc_id bigint, sample int, ids array<int>, n_pieces bigint, log_prob do
         "round_trip boolean")
 
 
-def encode_batch(lattice: Lattice, ids: list, texts: list[str], k: int, seed: int):
-    """Rows (id, sample, piece ids, pieces, log_prob, gumbel, inclusion, round trip) of some texts."""
+def encode_batches(lattice: Lattice, ids: list, texts: list[str], k: int, seed: int):
+    """Record batches of the samples of some texts: all first ones, all second ones, ..."""
     roots = [i if i is not None else int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
              for i, t in zip(ids, texts)]
     with np.errstate(over="ignore"):
         keys = mix64(np.array([r & M64 for r in roots], np.uint64) ^ np.uint64(seed * 0xD1B54A32D192ED03 & M64))
+    empty = [j for j, t in enumerate(texts) if not t]
+    if empty:
+        value = -np.log(-np.log(_uniform(keys[empty], 0)))
+        yield from batches(((ids[j], 1, [], 0, 0.0, v, 1.0, True) for j, v in zip(empty, value.tolist())), _OUT)
     full = [j for j, t in enumerate(texts) if t]
+    if not full:
+        return
     words = [words_of(texts[j]) for j in full]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    found = iter(())
-    if full:
-        found = sample_batch(lattice, lattice.slots_of(list(chain.from_iterable(words))), sizes, keys[full], k)
-    for j, (i, t) in enumerate(zip(ids, texts)):
-        if not t:
-            yield i, 1, np.empty(0, np.int32), 0, 0.0, float(-np.log(-np.log(_uniform(keys[j:j + 1], 0)[0]))), 1.0, True
-            continue
-        for c, (path, lp, g, inc) in enumerate(next(found)):
-            pieces = lattice.ids(path)
-            yield i, c + 1, pieces, len(pieces), lp, g, inc, lattice.decode(pieces.tolist()) == t
+    layers, kappa = sample_batch(lattice, lattice.slots_of(list(chain.from_iterable(words))), sizes, keys[full], k)
+    source = [(" " + texts[j]).encode("utf-8", "surrogatepass") for j in full]
+    for turn, (who, p) in enumerate(layers):
+        pieces, stop = lattice.ids(p.edges, p.stop)
+        spelled, ends = lattice.spell(pieces, stop)
+        with np.errstate(over="ignore"):
+            inclusion = np.where(kappa[who] > -np.inf, -np.expm1(-np.exp(np.minimum(50.0, p.log_prob - kappa[who]))), 1.0)
+        trip = [spelled[a:b].tobytes() == source[i] for i, a, b in zip(who.tolist(), ends[:-1].tolist(), ends[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([ids[full[i]] for i in who.tolist()], pa.int64()), pa.array(np.full(len(who), turn + 1, np.int32)),
+            pa.ListArray.from_arrays(pa.array(stop.astype(np.int32)), pa.array(pieces.astype(np.int32, copy=False))),
+            pa.array(np.diff(stop)), pa.array(p.log_prob), pa.array(p.value), pa.array(inclusion), pa.array(trip, pa.bool_())], schema=_OUT)
+
+
+def encode_rows(lattice: Lattice, ids: list, texts: list[str], k: int = SAMPLES, seed: int = 0) -> list[dict]:
+    """The same as rows, for callers with a few texts."""
+    return [r for b in encode_batches(lattice, ids, texts, k, seed) for r in b.to_pylist()]
 
 
 def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = 0,
@@ -464,12 +499,10 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(it):
         lattice = Lattice(pieces)
 
-        def rows():
-            for b in it:
-                ids, texts = column_of(b, "id"), column_of(b, "t")
-                for a in range(0, len(ids), 200):
-                    yield from encode_batch(lattice, ids[a:a + 200], texts[a:a + 200], k, seed)
-        yield from batches(rows(), _OUT, 500)
+        for b in it:
+            ids, texts = column_of(b, "id"), column_of(b, "t")
+            for a in range(0, len(ids), TEXTS):
+                yield from encode_batches(lattice, ids[a:a + TEXTS], texts[a:a + TEXTS], k, seed)
 
     return (docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
             .mapInArrow(run, _DDL))

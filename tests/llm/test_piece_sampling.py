@@ -29,7 +29,7 @@ def every(lattice, pieces, text):
     low = min(plain.values())
     out = [((), 0.0)]
     for word in X.words_of(text):
-        s = X.MARK + word[1:] if word[0] == " " else word
+        s = word if word.startswith("\n") else X.MARK + word
         paths = []
 
         def rec(at, ids, lp):
@@ -39,7 +39,7 @@ def every(lattice, pieces, text):
             single = False
             for n in range(1, 17):
                 x = s[at:at + n]
-                if len(x) < n or X.MARK in x[1:] or (x[0] == X.MARK and (at or word[0] != " ")):
+                if len(x) < n or X.MARK in x[1:] or (x[0] == X.MARK and (at or word.startswith("\n"))):
                     break
                 if x in plain:
                     single = single or n == 1
@@ -57,20 +57,21 @@ def every(lattice, pieces, text):
 def test_samples_are_distinct_scored_and_decode(lattice, pieces, text):
     prob = every(lattice, pieces, text)
     for i in range(20):
-        rows = list(X.encode_batch(lattice, [i], [text], 6, 1))
-        assert len({tuple(r[2].tolist()) for r in rows}) == len(rows) == min(6, len(prob))
-        assert all(abs(prob[tuple(r[2].tolist())] - r[4]) < 1e-9 and r[7] for r in rows)
-        g = [r[5] for r in rows]
-        assert g == sorted(g, reverse=True) and all(0 <= r[6] <= 1 for r in rows)
+        rows = X.encode_rows(lattice, [i], [text], 6, 1)
+        assert len({tuple(r["ids"]) for r in rows}) == len(rows) == min(6, len(prob))
+        assert all(abs(prob[tuple(r["ids"])] - r["log_prob"]) < 1e-9 and r["round_trip"] for r in rows)
+        assert all(lattice.decode(r["ids"]) == text for r in rows)
+        g = [r["gumbel"] for r in rows]
+        assert g == sorted(g, reverse=True) and all(0 <= r["inclusion"] <= 1 for r in rows)
         if len(prob) <= 6:
-            assert all(r[6] == 1 for r in rows)
+            assert all(r["inclusion"] == 1 for r in rows)
 
 
 def test_frequencies_are_those_of_sampling_without_replacement(lattice, pieces):
     prob = {a: math.exp(x) for a, x in every(lattice, pieces, "hello").items()}
     n, seen = 4000, [Counter(), Counter(), Counter()]
-    for row in X.encode_batch(lattice, list(range(n)), ["hello"] * n, 3, 2):
-        seen[row[1] - 1][tuple(row[2].tolist())] += 1
+    for row in X.encode_rows(lattice, list(range(n)), ["hello"] * n, 3, 2):
+        seen[row["sample"] - 1][tuple(row["ids"])] += 1
     top = sorted(prob, key=prob.get)[-3:]
     second = {b: sum(prob[a] * prob[b] / (1 - prob[a]) for a in prob if a != b) for b in top}
     third = {c: sum(prob[a] * prob[b] / (1 - prob[a]) * prob[c] / (1 - prob[a] - prob[b])
@@ -84,10 +85,10 @@ def test_inclusion_scores_estimate_totals(lattice, pieces):
     """Sums over samples divided by their inclusion scores are unbiased: the number of pieces, and 1."""
     prob = {a: math.exp(x) for a, x in every(lattice, pieces, "hello").items()}
     n, one, mean = 4000, 0.0, 0.0
-    for row in X.encode_batch(lattice, list(range(n)), ["hello"] * n, 2, 5):
-        w = math.exp(row[4]) / row[6]
+    for row in X.encode_rows(lattice, list(range(n)), ["hello"] * n, 2, 5):
+        w = math.exp(row["log_prob"]) / row["inclusion"]
         one += w / n
-        mean += w * row[3] / n
+        mean += w * row["n_pieces"] / n
     assert abs(one - 1) < .03 and abs(mean - sum(p * len(a) for a, p in prob.items())) < .06
 
 
@@ -96,9 +97,10 @@ def test_batches_and_caches_change_nothing(pieces, monkeypatch):
     ids = list(range(30))
 
     def all_rows(lat, size):
-        return [(r[0], r[1], r[2].tolist(), r[3], round(r[4], 9), round(r[5], 9), round(r[6], 9), r[7])
-                for a in range(0, 30, size) for r in X.encode_batch(lat, ids[a:a + size], texts[a:a + size], 3, 0)]
-    want = all_rows(X.Lattice(pieces), 30)
+        return sorted((r for a in range(0, 30, size) for r in X.encode_rows(lat, ids[a:a + size], texts[a:a + size], 3, 0)),
+                      key=lambda r: (r["doc_id"], r["sample"]))
+    want, warm = all_rows(X.Lattice(pieces), 30), X.Lattice(pieces)
+    assert all_rows(warm, 4) == want and all_rows(warm, 7) == want
     monkeypatch.setattr(X, "CACHE", 50)
     assert all_rows(X.Lattice(pieces), 1) == want
 
