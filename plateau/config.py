@@ -115,6 +115,14 @@ EXCLUDED_COLUMNS: list[str] = [
 ]
 
 
+# Text encodings: vocabulary sizes and hash dimensions.
+TAGS_TOP_K = 50
+NAME_HASH_DIM = 128
+DESC_MAX_FEATURES = 500
+INSTR_HASH_DIM = 512
+
+
+# The defaults of the two classes below are fixed values too.
 @dataclass(frozen=True)
 class RankerParams:
     num_leaves: int = 31

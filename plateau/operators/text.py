@@ -8,14 +8,15 @@ columns at the end, over a known, bounded column list.
 
 from __future__ import annotations
 
-import math
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plateau.config import NAME_HASH_DIM, TAGS_TOP_K
 from plateau.functions.hashing import md5_int
-from plateau.functions.text import ngrams_1_2, parse_tags, sanitize_col, sanitize_tag, tokens
+from plateau.functions.text import ngrams_1_2, parse_tags, sanitize_tag, tokens
 
 
 def train_items(catalog: DataFrame, train: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def author_freq(recipes_train: DataFrame, col: str = "author_id") -> DataFrame:
     """Share of training catalog rows per author (NULL -> 'unknown')."""
     a = recipes_train.select(F.coalesce(F.col(col).cast("string"), F.lit("unknown")).alias(col))
     c = a.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    tot = a.agg(F.count(F.lit(1)).alias("_t"))
+    tot = c.agg(F.sum("_n").alias("_t"))  # from the groups' own counts: one scan, one row
     return c.crossJoin(F.broadcast(tot)).select(col, (F.col("_n") / F.col("_t")).alias(f"{col}_freq"))
 
 
@@ -117,112 +118,105 @@ def tfidf_transform(docs: DataFrame, col: str, vocab: DataFrame, prefix: str) ->
          .withColumn("_w", F.col("tf") * F.col("idf")))
     norm = w.groupBy("recipe_id").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     return (w.join(norm, "recipe_id")
-            .select("recipe_id", sanitize_col(F.concat(F.lit(prefix), F.col("term"))).alias("feature"),
+            .select("recipe_id", F.concat(F.lit(prefix), F.col("term")).alias("feature"),
                     (F.col("_w") / F.col("_norm")).alias("value")))
 
 
+def display_names(features: list[str]) -> dict[str, str]:
+    """A column name per feature (F15): sanitised, and unique without regard to case. Features whose
+    sanitised names agree (terms of other alphabets, 'red fox' and 'red_fox') are numbered in
+    their order; features themselves are never merged."""
+    names, taken = {}, set()
+    for f in features:
+        base = name = re.sub(r"[^a-zA-Z0-9_]+", "_", f)[:60]
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        names[f] = name
+    return names
+
+
 # -- fit / transform driver (X06) -----------------------------------------------------------
 
-@dataclass
-class TextEncoderConfig:
-    author_id_encoding: str = "freq"        # none | freq | target
-    tags_encoding: str = "topk_multi_hot"   # none | topk_multi_hot | hashing
-    name_encoding: str = "hashing"          # none | hashing
-    desc_encoding: str = "none"             # none | tfidf | hashing
-    instr_encoding: str = "none"            # none | tfidf | hashing
-    tags_top_k: int = 50
-    name_hash_dim: int = 128
-    desc_max_features: int = 500
-    instr_hash_dim: int = 512
+@dataclass(frozen=True)
+class Encoder:
+    """One text encoding: ``size`` is the number of buckets or the largest vocabulary."""
+    column: str
+    method: str      # a key of METHODS
+    prefix: str
+    size: int = 0
+
+
+# method -> (fit, transform to long form, ordered features); None where there is nothing to fit.
+METHODS = {
+    "freq": (lambda rows, train, e: author_freq(rows, e.column), None, None),
+    "target": (lambda rows, train, e: author_target(train, rows, e.column), None, None),
+    "top_k": (lambda rows, train, e: fit_tag_vocab(rows, e.size), lambda df, e, state: tag_multi_hot(df, state),
+              lambda e, state: [f"{e.prefix}{r['tag']}" for r in state.orderBy(F.col("count").desc(), "tag").collect()]),
+    "tfidf": (lambda rows, train, e: fit_tfidf(rows, e.column, e.size), lambda df, e, state: tfidf_transform(df, e.column, state, e.prefix),
+              lambda e, state: [f"{e.prefix}{r['term']}" for r in state.select("term").orderBy("term").collect()]),
+    "hashing": (None, lambda df, e, state: hash_encode(df, e.column, e.size, e.prefix),
+                lambda e, state: [f"{e.prefix}{i}" for i in range(e.size)]),
+    "hashing_tags": (None, lambda df, e, state: hash_encode(df, e.column, e.size, e.prefix, binary=True, text_of_tags=True),
+                     lambda e, state: [f"{e.prefix}{i}" for i in range(e.size)]),
+}
+
+DEFAULT_ENCODERS = (Encoder("author_id", "freq", "author_id_freq"), Encoder("tags", "top_k", "tag__", TAGS_TOP_K),
+                    Encoder("recipe_name", "hashing", "name_hash_", NAME_HASH_DIM))
 
 
 @dataclass
 class TextEncoder:
-    """Fit on the training items, transform any catalog. State = small DataFrames."""
-    cfg: TextEncoderConfig = field(default_factory=TextEncoderConfig)
-    state: dict = field(default_factory=dict)
+    """Fit on the training items, transform any catalog. State = one small DataFrame per fitted encoder."""
+    encoders: tuple[Encoder, ...] = DEFAULT_ENCODERS
+    state: dict[str, DataFrame] = field(default_factory=dict)
+
+    def _of(self, catalog: DataFrame) -> list[Encoder]:
+        return [e for e in self.encoders if e.column in catalog.columns]
 
     def fit(self, train: DataFrame, catalog: DataFrame) -> "TextEncoder":
-        rt = train_items(catalog, train)
-        c = self.cfg
-        if "author_id" in catalog.columns:
-            if c.author_id_encoding == "freq":
-                self.state["author_freq"] = author_freq(rt)
-            elif c.author_id_encoding == "target":
-                self.state["author_target"] = author_target(train, rt)
-        if "tags" in catalog.columns and c.tags_encoding == "topk_multi_hot":
-            self.state["tags_vocab"] = fit_tag_vocab(rt, c.tags_top_k)
-        for col, enc, key in (("description", c.desc_encoding, "desc"), ("instruction", c.instr_encoding, "instr")):
-            if col in catalog.columns and enc == "tfidf":
-                self.state[f"{key}_vocab"] = fit_tfidf(rt, col, c.desc_max_features)
+        rows = train_items(catalog, train)
+        for e in self._of(catalog):
+            if METHODS[e.method][0]:
+                self.state[e.prefix] = METHODS[e.method][0](rows, train, e)
         return self
 
     def transform_long(self, catalog: DataFrame) -> DataFrame:
-        c, parts = self.cfg, []
-        if "tags_vocab" in self.state:
-            parts.append(tag_multi_hot(catalog, self.state["tags_vocab"]))
-        elif c.tags_encoding == "hashing" and "tags" in catalog.columns:
-            parts.append(hash_encode(catalog, "tags", c.name_hash_dim, "tags_hash_", binary=True, text_of_tags=True))
-        if c.name_encoding == "hashing" and "recipe_name" in catalog.columns:
-            parts.append(hash_encode(catalog, "recipe_name", c.name_hash_dim, "name_hash_"))
-        for col, enc, key, dim in (("description", c.desc_encoding, "desc", c.desc_max_features),
-                                   ("instruction", c.instr_encoding, "instr", c.instr_hash_dim)):
-            if col not in catalog.columns:
-                continue
-            if enc == "tfidf":
-                parts.append(tfidf_transform(catalog, col, self.state[f"{key}_vocab"], f"{key}_tfidf_"))
-            elif enc == "hashing":
-                parts.append(hash_encode(catalog, col, dim, f"{key}_hash_"))
-        spark = catalog.sparkSession
-        out = spark.createDataFrame([], "recipe_id string, feature string, value double")
-        for p in parts:
-            out = out.unionByName(p)
+        """(recipe_id, feature, value) of every encoder but the author maps."""
+        out = catalog.sparkSession.createDataFrame([], "recipe_id string, feature string, value double")
+        for e in self._of(catalog):
+            if METHODS[e.method][1]:
+                out = out.unionByName(METHODS[e.method][1](catalog, e, self.state.get(e.prefix)))
         return out
 
-    def feature_names(self) -> list[str]:
-        """The bounded list of wide column names (collects at most top_k / max_features rows)."""
-        c, names = self.cfg, []
-        if "author_freq" in self.state:
-            names.append("author_id_freq")
-        if "author_target" in self.state:
-            names.append("author_id_target")
-        if "tags_vocab" in self.state:
-            names += [f"tag__{r['tag']}" for r in self.state["tags_vocab"].orderBy(F.col("count").desc(), "tag").collect()]
-        elif c.tags_encoding == "hashing":
-            names += [f"tags_hash_{i}" for i in range(c.name_hash_dim)]
-        if c.name_encoding == "hashing":
-            names += [f"name_hash_{i}" for i in range(c.name_hash_dim)]
-        for enc, key, dim in ((c.desc_encoding, "desc", c.desc_max_features), (c.instr_encoding, "instr", c.instr_hash_dim)):
-            if enc == "tfidf":
-                names += [r["f"] for r in self.state[f"{key}_vocab"].select(
-                    sanitize_col(F.concat(F.lit(f"{key}_tfidf_"), F.col("term"))).alias("f")).collect()]
-            elif enc == "hashing":
-                names += [f"{key}_hash_{i}" for i in range(dim)]
-        return names
+    def feature_names(self, catalog: DataFrame) -> dict[str, str]:
+        """Feature -> wide column name, in order (collects vocabularies, at most ``size`` rows each)."""
+        return display_names([f for e in self._of(catalog) if METHODS[e.method][2]
+                              for f in METHODS[e.method][2](e, self.state.get(e.prefix))])
 
     def transform(self, catalog: DataFrame) -> DataFrame:
-        """Wide table: recipe_id + one column per feature name (0.0 when absent)."""
-        names = [n for n in self.feature_names() if n not in ("author_id_freq", "author_id_target")]
-        wide = (self.transform_long(catalog).groupBy("recipe_id").pivot("feature", names).agg(F.first("value")))
-        base = catalog.select("recipe_id")
-        if "author_freq" in self.state or "author_target" in self.state:
-            base = encode_author(catalog, self.state.get("author_freq"), self.state.get("author_target"))
-        out = base.join(wide, "recipe_id", "left")
-        return out.fillna(0.0, subset=names)
+        """Wide table: recipe_id + one column per feature (0.0 when absent)."""
+        names = self.feature_names(catalog)
+        wide = self.transform_long(catalog).groupBy("recipe_id").pivot("feature", list(names)).agg(F.first("value"))
+        wide = wide.toDF("recipe_id", *names.values())
+        out = catalog.select("recipe_id").distinct()
+        for e in self._of(catalog):
+            if METHODS[e.method][1] is None:
+                maps = {"freq": {"freq": self.state[e.prefix]}, "target": {"target": self.state[e.prefix]}}[e.method]
+                out = out.join(encode_author(catalog, col=e.column, **maps), "recipe_id")
+        return out.join(wide, "recipe_id", "left").fillna(0.0, subset=list(names.values()))
 
     def save(self, path: str) -> None:
         for k, df in self.state.items():
             df.write.mode("overwrite").parquet(f"{path}/{k}")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, cfg: TextEncoderConfig, keys: list[str]) -> "TextEncoder":
-        return cls(cfg, {k: spark.read.parquet(f"{path}/{k}") for k in keys})
+    def load(cls, spark: SparkSession, path: str, encoders: tuple[Encoder, ...] = DEFAULT_ENCODERS) -> "TextEncoder":
+        return cls(encoders, {e.prefix: spark.read.parquet(f"{path}/{e.prefix}") for e in encoders if METHODS[e.method][0]})
 
 
 def add_text_features(split: DataFrame, encoded: DataFrame) -> DataFrame:
     """Attach encoded catalog columns to a split by item id."""
     return split.join(encoded, "recipe_id", "left")
-
-
-def idf_value(n_docs: int, df: int) -> float:
-    return math.log((1.0 + n_docs) / (1.0 + df)) + 1.0

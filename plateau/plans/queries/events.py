@@ -40,7 +40,7 @@ WITH lines AS (
 ok AS (SELECT * FROM lines WHERE trim(value) <> '' AND json_valid(value) AND json_type(value) = 'OBJECT'),
 base AS (
   SELECT {_jx('event')} AS event,
-         CAST({_prop('time')} AS BIGINT) AS "timestamp",
+         TRY_CAST({_prop('time')} AS DOUBLE) AS "timestamp",
          {_prop('distinct_id')} AS distinct_id,
          {_falsy(_prop('$device_id'), _prop('device_id'))} AS device_id,
          {_prop('mp_country_code')} AS country_code,
@@ -61,7 +61,7 @@ base AS (
          {_prop('recipe_id')} AS recipe_id
   FROM ok
   WHERE version = 'v1' OR NOT coalesce(CAST({_prop('is_development')} AS BOOLEAN), false)),
-d AS (SELECT *, make_timestamp("timestamp" * 1000000) AS t,
+d AS (SELECT *, make_timestamp(CAST("timestamp" * 1000000 AS BIGINT)) AS t,
              {_INT.format(c='screen_height')} AS h, {_INT.format(c='screen_width')} AS w FROM base)
 SELECT CASE WHEN event IS NULL OR event = '' THEN 'Unknown Event'
             WHEN event = '$ae_first_open' THEN 'First Open' WHEN event = '$ae_session' THEN 'Session'
@@ -78,7 +78,7 @@ FROM d
 """
 
 
-@query("T05_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "i"}))
+@query("T05_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "d"}))
 def t05_combined_events(spark, sf_dir):
     """Raw v1/v2 JSON lines -> cleaned combined events (17 fixed columns)."""
     return combined(spark, sf_dir)
@@ -100,7 +100,7 @@ def f08_item_id_from_route(spark, sf_dir):
 
 @query("F09_format_interactions", canon_sql(f"""
 SELECT distinct_id,
-       to_json({{'event_type': event, 'timestamp': "timestamp", 'recipe_id': coalesce(recipe_id, 'unknown')}})::VARCHAR AS interaction
+       to_json({{'event_type': event, 'timestamp': CAST(trunc("timestamp") AS BIGINT), 'recipe_id': coalesce(recipe_id, 'unknown')}})::VARCHAR AS interaction
 FROM ({SQL_COMBINED})""", {}))
 def f09_format_interactions(spark, sf_dir):
     """Interaction JSON per event (recipe id 'unknown' when missing)."""
@@ -136,7 +136,7 @@ def a17_value_counts_device(spark, sf_dir):
     return E.value_counts(combined(spark, sf_dir), "device_type")
 
 
-@query("T05_streaming_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "i"}))
+@query("T05_streaming_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "d"}))
 def t05_streaming_combined_events(spark, sf_dir):
     """The same cleaning run as a Structured Streaming job over JSON-lines files: lines
     derived from the events table are written as text files, streamed (available-now
@@ -160,18 +160,19 @@ WITH lines AS (
 ok AS (SELECT * FROM lines WHERE trim(value) <> '' AND json_valid(value) AND json_type(value) = 'OBJECT'),
 x AS (SELECT version, {_jx('event')} AS event,
              coalesce({_jx('distinct_id')}, {_prop('distinct_id')}) AS user_id,
-             coalesce(CAST({_prop('time')} AS BIGINT), CAST({_jx('timestamp')} AS BIGINT)) AS ts,
+             coalesce(TRY_CAST({_prop('time')} AS DOUBLE), TRY_CAST({_jx('timestamp')} AS DOUBLE)) AS ts,
+             TRY_CAST({_prop('total_ingredients')} AS INTEGER) AS total_i, TRY_CAST({_prop('owned_ingredients')} AS INTEGER) AS owned_i,
              {_prop('recipe_id')} AS recipe_id, {_prop('device_type')} AS device_type, {_prop('$os')} AS os
       FROM ok)
 SELECT user_id, recipe_id, event AS event_type,
        CAST(CASE event {" ".join(f"WHEN '{k}' THEN {v}" for k, v in X.WEIGHTS.items())} END AS DOUBLE) AS rating,
        ts AS "timestamp", version, coalesce(device_type, 'unknown') AS device_type, coalesce(os, 'unknown') AS platform,
-       CAST(NULL AS BIGINT) AS recipe_total_ingredients, CAST(NULL AS BIGINT) AS user_owned_ingredients,
-       make_timestamp(ts * 1000000) AS datetime
+       total_i AS recipe_total_ingredients, owned_i AS user_owned_ingredients,
+       make_timestamp(CAST(ts * 1000000 AS BIGINT)) AS datetime
 FROM x WHERE contains(event, 'Recipe') AND event IN ({", ".join(f"'{k}'" for k in X.WEIGHTS)})
   AND recipe_id IS NOT NULL AND recipe_id <> '' AND user_id IS NOT NULL AND user_id <> ''
   AND ts IS NOT NULL AND ts <> 0
-""", {"rating": "d", "timestamp": "i", "recipe_total_ingredients": "i", "user_owned_ingredients": "i",
+""", {"rating": "d", "timestamp": "d", "recipe_total_ingredients": "i", "user_owned_ingredients": "i",
       "datetime": "ts"}))
 def p03_extract_interactions(spark, sf_dir):
     """Recipe interactions extracted from the raw v1/v2 JSON lines."""
@@ -201,7 +202,7 @@ def f19_parse_iso(spark, sf_dir):
     return o.select("o_orderkey", text.alias("created_at")).withColumn("created_ts", parse_iso(F.col("created_at")))
 
 
-@query("S08_table_roundtrip", canon_sql(SQL_COMBINED, {"timestamp": "i"}))
+@query("S08_table_roundtrip", canon_sql(SQL_COMBINED, {"timestamp": "d"}))
 def s08_table_roundtrip(spark, sf_dir):
     """Combined events written as Parquet partitioned by platform and read back."""
     import uuid

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plateau.config import DESC_MAX_FEATURES, INSTR_HASH_DIM
 from plateau.functions import text as TX
 from plateau.functions.hashing import hash_bucket, sql_md5_int
 from plateau.operators import text as T
@@ -227,7 +228,7 @@ def x03_tfidf_vocab(spark, sf_dir):
 
 
 @query("X03_tfidf_transform", canon_sql(_TFIDF_SQL + """
-SELECT recipe_id, substring(regexp_replace('desc_tfidf_' || term, '[^a-zA-Z0-9_]+', '_', 'g'), 1, 60) AS feature,
+SELECT recipe_id, 'desc_tfidf_' || term AS feature,
        w / sqrt(sum(w * w) OVER (PARTITION BY recipe_id)) AS value FROM w""", {"value": "d"}))
 def x03_tfidf_transform(spark, sf_dir):
     """L2-normalised TF-IDF of every catalog description (long form)."""
@@ -275,6 +276,88 @@ def x05_encode_author(spark, sf_dir):
     return T.encode_author(c, T.author_freq(rt), T.author_target(pos, rt))
 
 
+# -- the encoders on long texts in four languages ---------------------------------------------
+
+# Tokens are computed once per document; bigrams pair each token with the next one.
+_DOC_TERMS = """
+dt AS MATERIALIZED (SELECT recipe_id, unnest(w) AS w, unnest(range(len(w))) AS pos FROM (
+  SELECT CAST(doc_id AS VARCHAR) AS recipe_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}_]{2,}') AS w
+  FROM documents)),
+terms AS MATERIALIZED (
+  SELECT recipe_id, term, count(*) AS tf FROM (
+    SELECT recipe_id, w AS term FROM dt UNION ALL
+    SELECT recipe_id, w || ' ' || nxt FROM (SELECT recipe_id, w, lead(w) OVER (PARTITION BY recipe_id ORDER BY pos) AS nxt FROM dt)
+    WHERE nxt IS NOT NULL) GROUP BY ALL)"""
+
+_DOC_VOCAB = _DOC_TERMS + f""",
+vocab AS MATERIALIZED (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM (
+  SELECT term, sum(tf) AS cf, count(*) AS df FROM terms GROUP BY term ORDER BY cf DESC, term LIMIT {DESC_MAX_FEATURES}),
+  (SELECT count(DISTINCT doc_id) AS n FROM documents))"""
+
+
+def _doc_catalog(spark, sf_dir):
+    """Documents as catalog items: the text is description and instruction at once."""
+    return X.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("recipe_id"), F.col("text").alias("description"),
+        F.col("text").alias("instruction"), F.col("source").alias("author_id"))
+
+
+@query("F15_sanitize_col", canon_sql("""
+SELECT doc_id, substring(regexp_replace(text, '[^a-zA-Z0-9_]+', '_', 'g'), 1, 60) AS name FROM documents""", {"doc_id": "i"}))
+def f15_sanitize_col(spark, sf_dir):
+    """Column-name form of free text in several alphabets."""
+    return X.table(spark, sf_dir, "documents").select("doc_id", TX.sanitize_col(F.col("text")).alias("name"))
+
+
+@query("X03_documents_vocab", canon_sql("WITH " + _DOC_VOCAB + " SELECT * FROM vocab", {"df": "i", "idf": "d"}))
+def x03_documents_vocab(spark, sf_dir):
+    """Top-500 terms of whole documents: the cut is exercised and terms are of several alphabets."""
+    return T.fit_tfidf(_doc_catalog(spark, sf_dir), "description", DESC_MAX_FEATURES)
+
+
+@query("X03_documents_tfidf", canon_sql("WITH " + _DOC_VOCAB + """,
+w AS (SELECT recipe_id, term, tf * idf AS w FROM terms JOIN vocab USING (term))
+SELECT recipe_id, 'desc_tfidf_' || term AS feature, w / sqrt(sum(w * w) OVER (PARTITION BY recipe_id)) AS value FROM w""",
+                                        {"value": "d"}))
+def x03_documents_tfidf(spark, sf_dir):
+    """TF-IDF of whole documents, one row per (document, term): terms never share a feature."""
+    c = _doc_catalog(spark, sf_dir)
+    return T.tfidf_transform(c, "description", T.fit_tfidf(c, "description", DESC_MAX_FEATURES), "desc_tfidf_")
+
+
+@query("X02_description_hashing", canon_sql("WITH " + _DOC_TERMS + f"""
+SELECT recipe_id, 'desc_hash_' || CAST({sql_md5_int('term')} % {DESC_MAX_FEATURES} AS VARCHAR) AS feature, CAST(sum(tf) AS DOUBLE) AS value
+FROM terms GROUP BY ALL""", {"value": "d"}))
+def x02_description_hashing(spark, sf_dir):
+    return T.hash_encode(_doc_catalog(spark, sf_dir), "description", DESC_MAX_FEATURES, "desc_hash_")
+
+
+@query("X02_instruction_hashing", canon_sql("WITH " + _DOC_TERMS + f"""
+SELECT recipe_id, 'instr_hash_' || CAST({sql_md5_int('term')} % {INSTR_HASH_DIM} AS VARCHAR) AS feature, CAST(sum(tf) AS DOUBLE) AS value
+FROM terms GROUP BY ALL""", {"value": "d"}))
+def x02_instruction_hashing(spark, sf_dir):
+    return T.hash_encode(_doc_catalog(spark, sf_dir), "instruction", INSTR_HASH_DIM, "instr_hash_")
+
+
+@query("X03_instruction_tfidf_vocab", canon_sql("WITH " + _DOC_VOCAB + " SELECT term, df FROM vocab", {"df": "i"}))
+def x03_instruction_tfidf_vocab(spark, sf_dir):
+    return T.fit_tfidf(_doc_catalog(spark, sf_dir), "instruction", DESC_MAX_FEATURES).select("term", "df")
+
+
+@query("X06_text_encoder_long", canon_sql("WITH " + _DOC_VOCAB + f""",
+w AS (SELECT recipe_id, term, tf * idf AS w FROM terms JOIN vocab USING (term))
+SELECT recipe_id, 'desc_tfidf_' || term AS feature, w / sqrt(sum(w * w) OVER (PARTITION BY recipe_id)) AS value FROM w
+UNION ALL
+SELECT recipe_id, 'instr_hash_' || CAST({sql_md5_int('term')} % {INSTR_HASH_DIM} AS VARCHAR), CAST(sum(tf) AS DOUBLE)
+FROM terms GROUP BY ALL""", {"value": "d"}))
+def x06_text_encoder_long(spark, sf_dir):
+    """Fit and transform of the whole encoder on documents, in long form."""
+    c = _doc_catalog(spark, sf_dir)
+    specs = (T.Encoder("author_id", "freq", "author_id_freq"), T.Encoder("description", "tfidf", "desc_tfidf_", DESC_MAX_FEATURES),
+             T.Encoder("instruction", "hashing", "instr_hash_", INSTR_HASH_DIM))
+    return T.TextEncoder(specs).fit(c.select("recipe_id"), c).transform_long(c)
+
+
 @query("X06_text_encoder_wide")
 def x06_text_encoder_wide(spark, sf_dir):
     """Fit the text encoder on the training items, transform the whole catalog to wide

@@ -2,13 +2,15 @@
 
 A raw event is one JSON object per line: ``event``, optional top-level
 ``distinct_id``/``timestamp`` and a nested ``properties`` object. Lines are read as
-text and parsed with an explicit schema (no inference); blank lines and lines that
-are not a JSON object are dropped.
+text and parsed once with an explicit schema (no inference); blank lines and lines that
+are not a JSON object are dropped. Every field is read as text: a value of another JSON type
+than usual (a quoted or fractional time, a quoted count) is converted where it is used and never
+costs the line or the field.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +20,7 @@ from plateau.functions.events import clean_event_name, device_type, falsy_coales
 
 _S = T.StringType()
 PROPERTIES_SCHEMA = T.StructType([
-    T.StructField("time", T.LongType()), T.StructField("distinct_id", _S),
+    T.StructField("time", _S), T.StructField("distinct_id", _S),
     T.StructField("$device_id", _S), T.StructField("device_id", _S),
     T.StructField("mp_country_code", _S),
     T.StructField("$city", _S), T.StructField("city", _S),
@@ -28,17 +30,17 @@ PROPERTIES_SCHEMA = T.StructType([
     T.StructField("recipe_id", _S), T.StructField("recipe_url", _S),
     T.StructField("recipe_name", _S), T.StructField("recipe_author", _S),
     T.StructField("recipe_cooking_time", _S), T.StructField("recipe_servings", _S),
-    T.StructField("recipe_tags", T.ArrayType(_S)),
+    T.StructField("recipe_tags", _S),
     T.StructField("current_route", _S), T.StructField("platform", _S),
     T.StructField("mp_lib", _S), T.StructField("$os", _S),
-    T.StructField("$app_version_string", _S), T.StructField("is_development", T.BooleanType()),
+    T.StructField("$app_version_string", _S), T.StructField("is_development", _S),
     T.StructField("device_type", _S),
-    T.StructField("total_ingredients", T.IntegerType()),
-    T.StructField("owned_ingredients", T.IntegerType()),
+    T.StructField("total_ingredients", _S),
+    T.StructField("owned_ingredients", _S),
 ])
 EVENT_SCHEMA = T.StructType([
     T.StructField("event", _S), T.StructField("distinct_id", _S),
-    T.StructField("timestamp", T.LongType()), T.StructField("properties", PROPERTIES_SCHEMA),
+    T.StructField("timestamp", _S), T.StructField("properties", PROPERTIES_SCHEMA),
 ])
 
 COMBINED_COLUMNS = [
@@ -51,11 +53,23 @@ COMBINED_COLUMNS = [
 def parse_event_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Text lines -> parsed events (columns ``event, distinct_id, timestamp, properties``).
 
-    Blank lines and lines that are not a JSON object are dropped silently (S01).
+    Blank lines and lines that are not a JSON object are dropped silently (S01). A line is
+    parsed once; the generator keeps the optimizer from repeating the parse in the filter. Only a
+    line that the schema could not hold (properties that are no object) is looked at again.
     """
     v = F.col(text_col)
-    ok = (F.trim(v) != "") & F.json_object_keys(v).isNotNull()
-    return lines.filter(ok).select(F.from_json(v, EVENT_SCHEMA).alias("e")).select("e.*")
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", _S)])
+    parsed = F.from_json(v, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = (lines.filter(F.ltrim(v).startswith("{"))
+            .select(v.alias("_line"), F.explode(F.array(parsed)).alias("e")))
+    ok = F.when(F.col("e._corrupt").isNull(), True).otherwise(F.json_object_keys("_line").isNotNull())
+    return rows.filter(ok).select(*[F.col(f"e.`{f.name}`") for f in EVENT_SCHEMA.fields])
+
+
+def epoch_of(c) -> Column:
+    """Epoch seconds as double from a number or numeric text; anything else -> NULL."""
+    t = c.cast("string").try_cast("double")
+    return F.when(~F.isnan(t) & (F.abs(t) < float("inf")), t)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -73,7 +87,7 @@ def normalize_events(parsed: DataFrame, version: str) -> DataFrame:
     p = lambda name: F.col("properties").getField(name)
     df = parsed
     if version == "v2":
-        df = df.filter(~F.coalesce(p("is_development"), F.lit(False)))
+        df = df.filter(~F.coalesce(p("is_development").try_cast("boolean"), F.lit(False)))
     if version == "v1":
         route, platform = F.lit(""), F.lit(V1_DEFAULT_PLATFORM)
         app = F.coalesce(p("$app_version_string"), F.lit(V1_DEFAULT_APP_VERSION))
@@ -83,7 +97,7 @@ def normalize_events(parsed: DataFrame, version: str) -> DataFrame:
         app = F.coalesce(p("$app_version_string"), F.lit(V2_DEFAULT_APP_VERSION))
     return df.select(
         F.col("event"),
-        p("time").alias("timestamp"),
+        epoch_of(p("time")).alias("timestamp"),
         p("distinct_id").alias("distinct_id"),
         falsy_coalesce(p("$device_id"), p("device_id")).alias("device_id"),
         p("mp_country_code").alias("country_code"),
@@ -128,7 +142,7 @@ def extract_interactions(parsed: DataFrame, version: str, weights: dict | None =
     p = lambda k: F.col("properties").getField(k)
     w = weight_of(F.col("event"), weights or INTERACTION_WEIGHTS)
     user = F.coalesce(F.col("distinct_id"), p("distinct_id"))
-    ts = F.coalesce(p("time"), F.col("timestamp"))
+    ts = F.coalesce(epoch_of(p("time")), epoch_of(F.col("timestamp")))
     rid = p("recipe_id")
     keep = (F.col("event").contains("Recipe") & w.isNotNull() & rid.isNotNull() & (rid != "")
             & user.isNotNull() & (user != "") & ts.isNotNull() & (ts != 0))
@@ -137,6 +151,6 @@ def extract_interactions(parsed: DataFrame, version: str, weights: dict | None =
         w.alias("rating"), ts.alias("timestamp"), F.lit(version).alias("version"),
         F.coalesce(p("device_type"), F.lit("unknown")).alias("device_type"),
         F.coalesce(p("$os"), F.lit("unknown")).alias("platform"),
-        p("total_ingredients").alias("recipe_total_ingredients"),
-        p("owned_ingredients").alias("user_owned_ingredients"),
+        p("total_ingredients").try_cast("int").alias("recipe_total_ingredients"),
+        p("owned_ingredients").try_cast("int").alias("user_owned_ingredients"),
         F.timestamp_seconds(ts).alias("datetime"))

@@ -248,10 +248,14 @@ _RAW_PROP_KEYS = [
     ("$screen_height", False), ("screen_height", False), ("$screen_width", False), ("recipe_id", False),
     ("current_route", True), ("platform", True), ("mp_lib", True), ("$os", True),
     ("$app_version_string", True), ("is_development", False),
+    ("total_ingredients", False), ("owned_ingredients", False),
 ]
 
 _RAW_PROPS_SQL = {
-    "time": "CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)",
+    # whole, fractional, quoted
+    "time": "CASE WHEN event_id % 11 = 3 THEN CAST(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS VARCHAR) || '.5' "
+            "WHEN event_id % 11 = 7 THEN '\"' || CAST(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS VARCHAR) || '\"' "
+            "ELSE CAST(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS VARCHAR) END",
     "distinct_id": "'u' || CAST(user_id AS VARCHAR)",
     "$device_id": "CASE WHEN event_id % 4 = 1 THEN '' ELSE concat('dev', user_id) END",
     "device_id": "concat('d', user_id)",
@@ -272,14 +276,19 @@ _RAW_PROPS_SQL = {
     "$os": "['iOS','Android','Windows'][user_id % 3 + 1]",
     "$app_version_string": "CASE WHEN event_id % 7 <> 0 THEN concat('3.', user_id % 4) END",
     "is_development": "CASE WHEN event_id % 9 = 0 THEN 'true' WHEN event_id % 9 = 1 THEN 'false' END",
+    "total_ingredients": "CASE WHEN event_id % 4 <> 0 THEN CAST(4 + user_id % 9 AS VARCHAR) END",
+    "owned_ingredients": "CASE WHEN event_id % 6 = 0 THEN '\"' || CAST(user_id % 4 AS VARCHAR) || '\"' "
+                         "WHEN event_id % 6 < 4 THEN CAST(user_id % 4 AS VARCHAR) END",
 }
 
 
 def _raw_props_spark() -> dict:
     i, u, k = F.col("event_id"), F.col("user_id"), F.get_json_object("props", "$.k")
     s = lambda x: x.cast("string")
+    sec = epoch_seconds(F.col("ts"))
     return {
-        "time": s(epoch_seconds(F.col("ts"))),
+        "time": F.when(i % 11 == 3, F.concat(s(sec), F.lit(".5"))).when(i % 11 == 7, F.concat(F.lit('"'), s(sec), F.lit('"')))
+        .otherwise(s(sec)),
         "distinct_id": F.concat(F.lit("u"), s(u)),
         "$device_id": F.when(i % 4 == 1, "").otherwise(F.concat(F.lit("dev"), s(u))),
         "device_id": F.concat(F.lit("d"), s(u)),
@@ -300,6 +309,8 @@ def _raw_props_spark() -> dict:
         "$os": F.element_at(F.array(F.lit("iOS"), F.lit("Android"), F.lit("Windows")), (u % 3 + 1).cast("int")),
         "$app_version_string": F.when(i % 7 != 0, F.concat(F.lit("3."), s(u % 4))),
         "is_development": F.when(i % 9 == 0, "true").when(i % 9 == 1, "false"),
+        "total_ingredients": F.when(i % 4 != 0, s(4 + u % 9)),
+        "owned_ingredients": F.when(i % 6 == 0, F.concat(F.lit('"'), s(u % 4), F.lit('"'))).when(i % 6 < 4, s(u % 4)),
     }
 
 
