@@ -4,7 +4,7 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered. A text's k-mers are its run
 labelled by how often it has occurred before; in each of ``TABLES`` hash orders the ``PICKS`` least ones are
 taken and listed in the order of the text, so two texts agree in a table only if they share these
 k-mers in the same order. Two texts whose k-mers overlap by J agree in a table with a probability of about
-J**PICKS: at 0.8 a pair is missed by all tables with probability (1 - 0.8**5)**32 = 3e-6.
+J**PICKS: at 0.8 a pair is missed by all tables with probability (1 - 0.8**4)**24 = 3e-6.
 
 Equal word sequences are one node. Nodes that agree in a table are a bucket. A bucket does not emit its
 pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
@@ -41,7 +41,7 @@ from plateau.llm.components import components
 
 K = 5
 SIMILARITY = 0.8
-TABLES, PICKS = 32, 5
+TABLES, PICKS = 24, 4
 SMALL = 12
 ROUNDS = 3
 
@@ -204,7 +204,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         yield a, b
         yield from batches(rows(), _PAIR, 5000)
 
-    return cut(both.select("a", "b", "za", "zb").mapInArrow(run, "a binary, b binary"))
+    found = both.select("a", "b", "za", "zb").mapInArrow(run, "a binary, b binary")
+    return cut(found.repartition("a"))   # a few files instead of one small one per task
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
