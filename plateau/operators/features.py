@@ -15,7 +15,7 @@ from plateau.config import (COMPLEXITY_INGREDIENT_DIV, COMPLEXITY_TIME_DEFAULT,
                             NO_HISTORY_DAYS, RECENCY_SCALE_DAYS)
 from plateau.functions.calendar import whole_days_between
 from plateau.operators.pairs import reengagement_stats
-from plateau.operators.stats import dense_index, exact_medians
+from plateau.operators.stats import dense_index, exact_medians, histogram_medians
 
 
 def to_number(c) -> Column:
@@ -109,16 +109,10 @@ def ingredient_words(rows: DataFrame, key: str, index: DataFrame) -> DataFrame:
         F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(_ix % 64 AS INT))")).alias("m"))
 
 
-def ingredient_similarity(pairs: DataFrame, interactions: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Jaccard / overlap / has-common between a pair's item ingredients and everything the
-    user touched positively (X07, F29); 0 when either set is empty.
-
-    Sets are bitsets over a dense ingredient index, stored as (word, mask) entries: a user
-    row holds a word -> mask map (at most min(#words, #ingredients) entries, whatever the
-    number of events), an item row the list of its non-empty words. Per pair the overlap
-    is ``sum(bit_count(item_mask & user_word))`` over the item's words — one row per pair
-    is joined, never one row per (pair, ingredient).
-    """
+def ingredient_sets(interactions: DataFrame, bridge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ingredient bitsets over a dense index: one row per user with a word -> mask map (at most
+    min(#words, #ingredients) entries, whatever the number of events; columns _um, _nu) and one row per
+    item with its non-empty words (_rw, _nr)."""
     ri = bridge.select("recipe_id", "ingredient_id").distinct()
     index = dense_index(ri.select("ingredient_id").distinct(), "ingredient_id", "_ix")
     uw = ingredient_words(user_ingredients(interactions, bridge), "user_id", index)
@@ -127,22 +121,29 @@ def ingredient_similarity(pairs: DataFrame, interactions: DataFrame, bridge: Dat
     rw = ingredient_words(ri, "recipe_id", index)
     rs = rw.groupBy("recipe_id").agg(F.collect_list(F.struct("w", "m")).alias("_rw"),
                                      F.sum(F.bit_count("m")).alias("_nr"))
-    keys = pairs.select("user_id", "recipe_id").distinct()
-    j = keys.join(rs, "recipe_id", "left").join(us, "user_id", "left")
+    return us, rs
+
+
+def overlap_columns(df: DataFrame) -> DataFrame:
+    """Jaccard, overlap and has-common columns (F29) of rows that carry both bitsets; 0 when either
+    set is empty. The overlap is ``sum(bit_count(item_mask & user_word))`` over the item's words."""
     ov = F.aggregate(F.coalesce("_rw", F.array().cast("array<struct<w:int,m:bigint>>")), F.lit(0).cast("bigint"),
                      lambda acc, x: acc + F.bit_count(x["m"].bitwiseAND(
                          F.coalesce(F.try_element_at(F.col("_um"), x["w"]), F.lit(0).cast("bigint")))))
     nu, nr = F.coalesce("_nu", F.lit(0)), F.coalesce("_nr", F.lit(0))
-    j = j.select("user_id", "recipe_id", nu.alias("_nu"), nr.alias("_nr"), ov.alias("_ov"))
-    both = (F.col("_nu") > 0) & (F.col("_nr") > 0)
-    sims = j.select(
-        "user_id", "recipe_id",
-        F.when(both, F.col("_ov") / (F.col("_nu") + F.col("_nr") - F.col("_ov"))).otherwise(F.lit(0.0))
-        .alias("ingredient_similarity_score"),
-        F.when(both, F.col("_ov")).otherwise(F.lit(0)).cast("bigint").alias("ingredient_overlap_count"),
-        F.when(both & (F.col("_ov") > 0), 1).otherwise(0).cast("bigint").alias("has_common_ingredients"),
-    )
-    return pairs.join(sims, ["user_id", "recipe_id"], "left")
+    both = (nu > 0) & (nr > 0)
+    return (df.withColumn("_ov", ov).withColumns({
+        "ingredient_similarity_score": F.when(both, F.col("_ov") / (nu + nr - F.col("_ov"))).otherwise(F.lit(0.0)),
+        "ingredient_overlap_count": F.when(both, F.col("_ov")).otherwise(F.lit(0)).cast("bigint"),
+        "has_common_ingredients": F.when(both & (F.col("_ov") > 0), 1).otherwise(0).cast("bigint")})
+        .drop("_um", "_nu", "_rw", "_nr", "_ov"))
+
+
+def ingredient_similarity(pairs: DataFrame, interactions: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Jaccard / overlap / has-common between a pair's item ingredients and everything the
+    user touched positively (X07, F29). One row per pair is joined, never one row per (pair, ingredient)."""
+    us, rs = ingredient_sets(interactions, bridge)
+    return overlap_columns(pairs.join(rs, "recipe_id", "left").join(us, "user_id", "left"))
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -182,20 +183,51 @@ def impute(df: DataFrame, stats: dict | None = None) -> DataFrame:
     return df.select(*cols)
 
 
+def item_impute_stats(pairs: DataFrame, items: DataFrame, skip=("recipe_id",)) -> dict:
+    """``impute_stats`` of the item columns of ``pairs`` joined to ``items``, without that join: an item's
+    values count as often as it has pairs (exact medians and modes of a small weighted table)."""
+    w = pairs.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("_n")).join(items, "recipe_id").persist()
+    try:
+        fields = [f for f in items.schema.fields if f.name not in skip and isinstance(f.dataType, (*_NUMERIC, T.StringType))]
+        nulls = w.agg(*[F.count(F.when(F.col(f.name).isNull(), 1)).alias(f.name) for f in fields]).first().asDict()
+        numeric = [f.name for f in fields if nulls[f.name] and isinstance(f.dataType, _NUMERIC)]
+        stats: dict = {}
+        if numeric:
+            cells = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in numeric]))
+            hist = (w.select("_n", cells.alias("_p")).filter(F.col("_p._v").isNotNull())
+                    .groupBy("_p._c", "_p._v").agg(F.sum("_n").alias("_n")))
+            stats = {c: 0.0 if m is None else m for c, m in histogram_medians(hist, numeric).items()}
+        for f in fields:
+            if nulls[f.name] and isinstance(f.dataType, T.StringType):
+                counts = w.filter(F.col(f.name).isNotNull()).groupBy(f.name).agg(F.sum("_n").alias("_k"))
+                top = counts.agg(F.min_by(f.name, F.struct(-F.col("_k"), F.col(f.name))).alias("m")).first()["m"]
+                stats[f.name] = "unknown" if top is None else top
+        return stats
+    finally:
+        w.unpersist()
+
+
 def training_features(pairs: DataFrame, profiles: DataFrame, catalog_feats: DataFrame, bridge: DataFrame,
                       interactions: DataFrame, as_of: str | None = None, do_impute: bool = True) -> DataFrame:
-    """The training feature table (I03): J01 -> J02 -> J04 -> F22/F23 -> F24 -> F25 -> X07 -> I01/I02."""
-    t = pairs.join(profiles, "user_id", "left").join(catalog_feats, "recipe_id", "left")
-    t = add_bridge_count(t, bridge)
-    t = match_features(t)
+    """The training feature table (I03): J01, J02, J04, F22/F23, F24, F25, X07, I01/I02.
+
+    Everything a user or an item contributes is joined on its own side first, so the pairs meet one
+    user table, one item table and the two (user, author) and (user, item) tables."""
+    us, rs = ingredient_sets(interactions, bridge)
+    items = add_bridge_count(catalog_feats, bridge)
+    t = pairs.join(profiles.join(us, "user_id", "left"), "user_id", "left")
+    t = t.join(items.join(rs, "recipe_id", "left"), "recipe_id", "left")
+    t = overlap_columns(match_features(t))
     t = author_affinity(t, author_counts(interactions, catalog_feats))
     t = reengagement(t, interactions, as_of)
-    t = ingredient_similarity(t, interactions, bridge)
     if not do_impute:
         return t
-    # The statistics need several passes: cut the lineage once (reliable checkpoint in
-    # the shared spark.checkpoint.dir, so a lost executor does not recompute the joins).
-    t = t.checkpoint(eager=True)
-    t = impute(t)
+    known = (pairs.join(profiles, "user_id", "left_anti").isEmpty() and pairs.join(items, "recipe_id", "left_anti").isEmpty())
+    if known:
+        # Only item columns can hold gaps, and the pairs per item say how often.
+        t = impute(t, item_impute_stats(pairs, items))
+    else:
+        # Gaps anywhere: the statistics are taken from the table itself, written once.
+        t = impute(t.checkpoint(eager=True))
     # Columns that may hold gaps are floating point whether or not this data has any.
     return t.withColumns({c: F.col(c).cast("double") for c in ("total_time", "servings", "ingredient_count_db")})

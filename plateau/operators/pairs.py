@@ -3,7 +3,6 @@ eligibility (A02, A03, A04, N01, N02, P08, J10, U01)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from plateau.config import INTERACTION_WEIGHTS
 from plateau.functions.common import weight_of
 from plateau.functions.hashing import md5_int
 from plateau.operators.stats import dense_index
+from plateau.session import hold
 
 PAIR_COLUMNS = ["user_id", "recipe_id", "rating", "label"]
 
@@ -93,8 +93,7 @@ def negative_samples(pos: DataFrame, catalog: DataFrame, ratio: int = 4, seed: i
             .filter(F.col("_idx") < n_items)
             .select("user_id", "_m", "_c", "_j", "_idx"))
     # read twice below (survivor counts and the cut): keep it once
-    cand = cand.join(indexed, "_idx").join(touched, ["user_id", "recipe_id"], "left_anti") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    cand = hold(cand.join(indexed, "_idx").join(touched, ["user_id", "recipe_id"], "left_anti"))
     # First _m survivors by position: survivors per (user, chunk) -> running total over the
     # user's chunks (at most _len / chunk rows per user) -> number rows only inside the
     # chunk where the cut falls (at most ``chunk`` rows per window partition).
@@ -122,7 +121,7 @@ def user_item_pairs(interactions: DataFrame, catalog: DataFrame, ratio: int = 4,
 def class_counts(pairs: DataFrame) -> DataFrame:
     """Positive / negative counts and shares of a pair table (N02 report)."""
     c = pairs.groupBy((F.col("label") > 0).alias("positive")).agg(F.count(F.lit(1)).alias("pairs"))
-    total = pairs.agg(F.count(F.lit(1)).alias("_t"))
+    total = c.agg(F.sum("pairs").alias("_t"))  # from the groups' own counts: one scan
     return c.crossJoin(F.broadcast(total)).withColumn("percentage", F.col("pairs") / F.col("_t") * 100).drop("_t")
 
 

@@ -3,9 +3,9 @@
 ``exact_quantile`` finds the values at the needed ranks by narrowing a value range:
 values are first reduced to (value, count) pairs (map-side partial aggregation, so a
 value held by a third of all rows is one pair), then, while the range still holds more
-than ``collect_limit`` distinct values, it is cut into ~``buckets`` parts at approximate
-quantiles and only the part holding the rank is kept. Each step returns at most
-``buckets`` rows to the driver; the last step at most ``collect_limit``.
+than ``buckets`` distinct values, it is cut into ~``buckets`` parts at approximate
+quantiles and only the part holding the rank is kept. No step returns more than
+``buckets`` rows to the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _value_at_ranks(hist: DataFrame, ranks: list[int], buckets: int, collect_limit: int) -> dict[int, float]:
+BUCKETS = 256
+
+
+def _value_at_ranks(hist: DataFrame, ranks: list[int], buckets: int = BUCKETS) -> dict[int, float]:
     out: dict[int, float] = {}
     # Each pending search: (rank, lower bound exclusive, upper bound inclusive, rows below range)
     pending = [(r, None, None, 0) for r in ranks]
@@ -28,7 +31,7 @@ def _value_at_ranks(hist: DataFrame, ranks: list[int], buckets: int, collect_lim
         if hi is not None:
             sub = sub.filter(F.col("v") <= F.lit(hi))
         n_distinct = sub.count()
-        if n_distinct <= collect_limit:
+        if n_distinct <= buckets:
             acc = below
             for row in sub.orderBy("v").collect():
                 acc += row["n"]
@@ -55,8 +58,7 @@ def _value_at_ranks(hist: DataFrame, ranks: list[int], buckets: int, collect_lim
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int = 256,
-                    collect_limit: int = 50_000) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int = BUCKETS) -> list[float | None]:
     """Linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``) of a numeric column."""
     hist = (df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
             .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
@@ -67,7 +69,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int = 256
             return [None for _ in qs]
         pos = [(n - 1) * q for q in qs]
         ranks = sorted({int(math.floor(p)) for p in pos} | {int(math.ceil(p)) for p in pos})
-        vals = _value_at_ranks(hist, ranks, buckets, collect_limit)
+        vals = _value_at_ranks(hist, ranks, buckets)
         res = []
         for p in pos:
             a, b = vals[int(math.floor(p))], vals[int(math.ceil(p))]
@@ -172,42 +174,25 @@ def modal_values(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:
     return wide.select(key, *[F.col(c).alias(cols[c]) for c in names])
 
 
-def exact_medians(df: DataFrame, cols: list[str], collect_limit: int = 50_000) -> dict[str, float | None]:
-    """Exact medians of several numeric columns from one stacked (column, value) histogram.
+def exact_medians(df: DataFrame, cols: list[str], buckets: int = BUCKETS) -> dict[str, float | None]:
+    """Exact medians of several numeric columns from one stacked (column, value) histogram, each by the
+    narrowing search."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])) if cols else None
+    return histogram_medians(df.select(pairs.alias("_p")).select("_p._c", "_p._v").filter(F.col("_v").isNotNull())
+                             .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")), cols, buckets) if cols else {}
 
-    Columns whose histogram has at most ``collect_limit`` distinct values are finished from
-    that single pass (one bounded collect); any other column falls back to the narrowing
-    search of ``exact_quantiles``.
-    """
-    if not cols:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols]))
-    hist = (df.select(pairs.alias("_p")).select("_p._c", "_p._v").filter(F.col("_v").isNotNull())
-            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))).persist()
+
+def histogram_medians(hist: DataFrame, cols: list[str], buckets: int = BUCKETS) -> dict[str, float | None]:
+    """Exact medians from a histogram (_c column name, _v value, _n rows)."""
+    hist = hist.persist()
     try:
-        sizes = {r["_c"]: r["d"] for r in hist.groupBy("_c").agg(F.count(F.lit(1)).alias("d")).collect()}
-        small = [c for c in cols if 0 < sizes.get(c, 0) <= collect_limit]
-        out: dict[str, float | None] = {c: None for c in cols if sizes.get(c, 0) == 0}
-        if small:
-            rows: dict[str, list] = {c: [] for c in small}
-            for r in hist.filter(F.col("_c").isin(small)).collect():
-                rows[r["_c"]].append((r["_v"], r["_n"]))
-            for c in small:
-                vals = sorted(rows[c])
-                n = sum(k for _, k in vals)
-                lo, hi = (n - 1) // 2, n // 2
-                acc, a, b = 0, None, None
-                for v, k in vals:
-                    if a is None and acc + k > lo:
-                        a = v
-                    if acc + k > hi:
-                        b = v
-                        break
-                    acc += k
-                out[c] = (a + b) / 2.0
+        total = {r["_c"]: r["n"] for r in hist.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
+        out: dict[str, float | None] = {}
         for c in cols:
-            if c not in out:
-                out[c] = exact_quantiles(df, c, [0.5])[0]
+            n = total.get(c, 0)
+            ranks = sorted({(n - 1) // 2, n // 2})
+            one = hist.filter(F.col("_c") == c).select(F.col("_v").alias("v"), F.col("_n").alias("n"))
+            out[c] = sum(_value_at_ranks(one, ranks, buckets).values()) / len(ranks) if n else None
         return out
     finally:
         hist.unpersist()

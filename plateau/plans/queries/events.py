@@ -10,12 +10,13 @@ from plateau.functions.events import format_interaction, item_id_from_route
 from plateau.operators import explore as E
 from plateau.plans.canonical import canon_sql
 from plateau.plans.clean_events import combined_events_from_lines
-from plateau.plans.registry import query, reuse
+from plateau.plans.registry import query
+from plateau.session import hold
 from plateau.sources import fixtures as X
 
 
 def combined(spark, sf_dir):
-    return reuse(combined_events_from_lines(X.raw_event_lines(spark, sf_dir, "v1"),
+    return hold(combined_events_from_lines(X.raw_event_lines(spark, sf_dir, "v1"),
                                             X.raw_event_lines(spark, sf_dir, "v2")))
 
 

@@ -28,7 +28,7 @@ cat AS (SELECT c.* REPLACE (TRY_CAST(CAST(c.total_time AS VARCHAR) AS DOUBLE) AS
                coalesce(bs.unique_ingredients, 0) AS unique_ingredients,
                (coalesce(bs.ingredient_count, 0) / 20 + coalesce(TRY_CAST(CAST(c.total_time AS VARCHAR) AS DOUBLE), 40.0) / 60) / 2 AS complexity_score
         FROM ({X.SQL_CATALOG_RAW}) c LEFT JOIN bs USING (recipe_id)),
-pos AS (
+pos AS MATERIALIZED (
   SELECT user_id, recipe_id, rating, event_type, datetime, version,
          CASE WHEN coalesce({weight_case('event_type')}, 1.0) < 0 THEN 0.1
               ELSE coalesce({weight_case('event_type')}, 1.0) END AS label
@@ -37,25 +37,25 @@ pos AS (
                max(datetime) AS datetime, arg_min(version, (seq, version)) AS version
         FROM (SELECT *, {weight_case('event_type')} AS w FROM i) GROUP BY user_id, recipe_id)),
 items AS (SELECT DISTINCT recipe_id FROM cat),
-ix AS (SELECT recipe_id, row_number() OVER (ORDER BY lpad(CAST({md5_key} AS VARCHAR), 10, '0') || '|' || recipe_id) - 1 AS idx
+ix AS MATERIALIZED (SELECT recipe_id, row_number() OVER (ORDER BY lpad(CAST({md5_key} AS VARCHAR), 10, '0') || '|' || recipe_id) - 1 AS idx
        FROM items),
 nn AS (SELECT count(*) AS n FROM ix),
-pp AS (SELECT min(c.p) AS p FROM (SELECT n + r AS p FROM nn, range(0, 5000) t(r)) c
+pp AS MATERIALIZED (SELECT min(c.p) AS p FROM (SELECT n + r AS p FROM nn, range(0, 5000) t(r)) c
        WHERE c.p >= 2 AND NOT EXISTS (SELECT 1 FROM range(2, 5000) d(x) WHERE x * x <= c.p AND c.p % x = 0)),
-touched AS (SELECT DISTINCT user_id, recipe_id FROM pos),
+touched AS MATERIALIZED (SELECT DISTINCT user_id, recipe_id FROM pos),
 un AS (SELECT user_id, count(*) AS npos FROM touched GROUP BY user_id),
 ut AS (SELECT user_id, count(*) AS t FROM touched JOIN ix USING (recipe_id) GROUP BY user_id),
-uu AS (SELECT un.user_id, least(npos * 4, n - coalesce(t, 0)) AS m, coalesce(t, 0) AS t, n, p,
+uu AS MATERIALIZED (SELECT un.user_id, least(npos * 4, n - coalesce(t, 0)) AS m, coalesce(t, 0) AS t, n, p,
               1 + {sql_md5_int(f"'{SEED}'", "'a'", "un.user_id")} % (p - 1) AS a,
               {sql_md5_int(f"'{SEED}'", "'b'", "un.user_id")} % p AS b
        FROM un LEFT JOIN ut USING (user_id), nn, pp),
 cand AS (SELECT user_id, m, j, (a * j + b) % p AS idx
          FROM (SELECT *, unnest(range(0, m + t + p - n)) AS j FROM uu WHERE m > 0)),
-cand2 AS (SELECT c.user_id, c.m, c.j, ix.recipe_id FROM cand c JOIN ix USING (idx)
+cand2 AS MATERIALIZED (SELECT c.user_id, c.m, c.j, ix.recipe_id FROM cand c JOIN ix USING (idx)
           WHERE NOT EXISTS (SELECT 1 FROM touched x WHERE x.user_id = c.user_id AND x.recipe_id = ix.recipe_id)),
-neg AS (SELECT user_id, recipe_id, 0.0 AS rating, 0.0 AS label FROM (
+neg AS MATERIALIZED (SELECT user_id, recipe_id, 0.0 AS rating, 0.0 AS label FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY j) AS rn FROM cand2) WHERE rn <= m),
-pairs AS (SELECT user_id, recipe_id, rating, label, datetime FROM pos
+pairs AS MATERIALIZED (SELECT user_id, recipe_id, rating, label, datetime FROM pos
           UNION ALL SELECT user_id, recipe_id, rating, label, NULL AS datetime FROM neg),
 elig AS (SELECT * FROM pairs WHERE user_id IN (SELECT user_id FROM pairs WHERE label = 1.0)
                                AND user_id IN (SELECT user_id FROM i)),

@@ -13,7 +13,8 @@ from plateau.operators import splits as SP
 from plateau.operators.profiles import user_profiles
 from plateau.plans.canonical import canon_sql
 from plateau.plans.queries.sql_training import AS_OF, FEATURE_TYPES, ctes
-from plateau.plans.registry import query, reuse
+from plateau.plans.registry import query
+from plateau.session import hold
 from plateau.sources import fixtures as X
 from plateau.sources import io as IO
 
@@ -25,19 +26,19 @@ def _sql(body: str, types: dict | None = None) -> str:
 
 
 def _inputs(spark, sf_dir):
-    i = reuse(X.interactions_large(spark, sf_dir))
-    cat = reuse(FE.catalog_features(X.catalog_raw(spark, sf_dir), X.bridge(spark, sf_dir)))
+    i = hold(X.interactions_large(spark, sf_dir))
+    cat = hold(FE.catalog_features(X.catalog_raw(spark, sf_dir), X.bridge(spark, sf_dir)))
     return i, cat, X.bridge(spark, sf_dir)
 
 
 def _pairs(spark, sf_dir):
     i, cat, _ = _inputs(spark, sf_dir)
-    return reuse(PR.user_item_pairs(i, cat, 4, 42))
+    return hold(PR.user_item_pairs(i, cat, 4, 42))
 
 
 def _elig(spark, sf_dir):
     i, _, _ = _inputs(spark, sf_dir)
-    return reuse(PR.eligible_pairs(_pairs(spark, sf_dir), i, "eq1"))
+    return hold(PR.eligible_pairs(_pairs(spark, sf_dir), i, "eq1"))
 
 
 _PAIR_T = {"rating": "d", "label": "d", "datetime": "ts"}

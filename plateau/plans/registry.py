@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plateau.plans.canonical import canon
-from plateau.session import checkpoint_dir, ensure_utc
+from plateau.session import checkpoint_dir, ensure_utc, release
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
             checkpoint_dir(spark)
+            release()  # nothing held for an earlier query outlives it
             return canon(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -35,16 +36,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep a derived input that several branches of a query read (a join of two fact
-    tables, the cleaned events). Equal plans share one cache entry, so every builder
-    call returns the same cached data instead of recomputing it per consumer. Disk only:
-    a long session running many queries keeps no heap for it. Every reused input is
-    deterministic, so a dropped block is recomputed to the same rows."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def load_all() -> None:
     # Import side effects register the queries.
     from plateau.plans import queries  # noqa: F401

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
-# Conservative defaults; a cluster's own spark-defaults win because
-# builder.config only applies to a session created here.
+# Settings of sessions created here. What depends on the cluster's size (broadcast threshold,
+# shuffle partitions, memory) is left to its own defaults.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -17,10 +19,12 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast only what the planner has measured as small.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+_HELD: list[DataFrame] = []
+
 
 def get_spark(master: str | None = None, app: str = "plateau",
               shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
@@ -42,8 +46,9 @@ def get_spark(master: str | None = None, app: str = "plateau",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is. A scratch folder is
+    created only for a ``local`` master; anywhere else a missing setting is an error, as
+    each machine would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="plateau-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -60,3 +67,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ensure_utc(spark: SparkSession) -> None:
     """All calendar logic in this library is defined in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Keep a derived input that several branches of one job read, on the executors' disks, until
+    ``release``. Every held input is deterministic, so a lost block is recomputed to the same rows."""
+    held = df.persist(StorageLevel.DISK_ONLY)
+    _HELD.append(held)
+    return held
+
+
+def release() -> None:
+    """Drop what ``hold`` keeps. A frame built on it stays valid; it is recomputed if it runs again."""
+    while _HELD:
+        df = _HELD.pop()
+        if df.sparkSession.sparkContext._jsc is not None:  # else its session has ended, and its blocks with it
+            df.unpersist()
