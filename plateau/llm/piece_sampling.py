@@ -16,8 +16,8 @@ k values taken are the k largest of all segmentations, in order, without visitin
 value left, a sample's inclusion score is 1 - exp(-exp(log_prob - kappa)).
 
 All randomness is counter-based on (row key, seed), so retries and other partitionings draw the same.
-The lattices of all new words of a batch are built together in numpy; those of words met again are kept, up
-to ``CACHE`` edges, for later batches.
+The lattices of all new words of a batch are built together in numpy and kept, up to
+``CACHE`` edges, for later batches.
 
 Defined results: null and empty texts have one segmentation, of no pieces; texts with fewer than k segmentations
 return all of them; a null id takes its key from the text; repeated rows give repeated samples; extra
@@ -40,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 TEXTS = 200         # texts that advance together
 RANK_0 = 2.0
-CACHE, ONCE = 5_000_000, 1_000_000
+CACHE = 12_000_000   # edges, 20 bytes each
 MARK = "▁"
 
 def load_pieces(model: str = MODEL) -> list[tuple[int, str, float]]:
@@ -109,12 +109,9 @@ class Lattice:
         self.types: dict[str, int] = {}              # word -> its first slot
         self.slots = 0
         self.room: dict[str, np.ndarray] = {}
-        self.once: set[str] = set()                  # words met in one earlier call
-        self.passing: list[str] = []                 # words met first in the last call
-        self.mark = dict.fromkeys(("start", "reach", "node", "next", "logq", "piece"), 0)
-        self.node = np.empty(0, np.int32)            # edge -> slot it leaves
-        self.reach = np.empty(0)                     # probability of the node's edges up to this one
-        self.start = np.empty(0, np.int32)           # slot -> first edge, the likeliest
+        self.edges = np.empty(0, np.uint8)           # slot -> number of its edges
+        self.reach = np.empty(0, np.float32)         # probability of the node's edges up to this one
+        self.start = np.empty(0, np.int32)           # slot -> first edge
         self.next = np.empty(0, np.int32)            # edge -> slot it leads to, -1 at the word's end
         self.logq = np.empty(0)
         self.piece = np.empty(0, np.int32)           # edge -> piece id, or -1 - code point
@@ -136,7 +133,7 @@ class Lattice:
         code_key = np.where((code == mark) | ((code == 32) & ~at_first), 1 << 20 | 0xFFFFF, code)
         code_key = np.where((code == 32) & at_first, mark, code_key)
         # Rows are characters by their distance from the word's end, so that beta runs over slices.
-        # Column l - 1 of a row: the edge of l characters.
+        # Column wide - l of a row: the edge of l characters, so that the longest, the likely ones, come first.
         at_text = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
         left, slot, code, at_first = left[at_text], slot[at_text], code[at_text], at_first[at_text]
         live, state, found = np.arange(len(code)), np.zeros(len(code), np.int64), []
@@ -155,38 +152,33 @@ class Lattice:
         piece = np.zeros((len(code), wide), np.int32)
         for at, l, st in found:
             if len(at):
-                weight[at, l], piece[at, l] = self.final_weight[st], self.final[st]
-        lone = np.flatnonzero(weight[:, 0] == -np.inf)
+                weight[at, wide - 1 - l], piece[at, wide - 1 - l] = self.final_weight[st], self.final[st]
+        lone = np.flatnonzero(weight[:, -1] == -np.inf)
         real = np.where((code == 32) & at_first, mark, code)[lone]
-        weight[lone, 0] = (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)) * self.byte_weight
-        piece[lone, 0] = -1 - real
+        weight[lone, -1] = (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)) * self.byte_weight
+        piece[lone, -1] = -1 - real
         beta = np.zeros(len(code) + len(words))
         prob = np.zeros_like(weight)
         bounds = [0, *(np.flatnonzero(np.diff(left)) + 1).tolist(), len(code)]
         for a, b in zip(bounds, bounds[1:]):
             m = min(int(left[a]), wide)
-            val = weight[a:b, :m]
-            val += beta[slot[a:b, None] + np.arange(1, m + 1)]
+            val = weight[a:b, wide - m:]
+            val += beta[slot[a:b, None] + np.arange(m, 0, -1)]
             top = val.max(1)
             e = np.exp(val - top[:, None])
-            total = e[:, 0].copy()
-            for c in range(1, m):      # in this order whatever the width, so batches change no bit
+            total = e[:, m - 1].copy()
+            for c in range(m - 2, -1, -1):      # in this order whatever the width, so batches change no bit
                 total += e[:, c]
-            np.divide(e, total[:, None], out=prob[a:b, :m])
+            np.divide(e, total[:, None], out=prob[a:b, wide - m:])
             beta[slot[a:b]] = total = top + np.log(total)
             val -= total[:, None]      # now log probabilities
-        # The likeliest edge first (column 0 always has one).
-        best, every = prob.argmax(1), np.arange(len(code))
-        length = np.broadcast_to(np.arange(1, wide + 1, dtype=np.int32), weight.shape).copy()
-        swap = np.flatnonzero(best)
-        for x in (weight, prob, piece, length):
-            x[swap, 0], x[swap, best[swap]] = x[swap, best[swap]], x[swap, 0].copy()
         real = np.flatnonzero(weight.ravel() > -np.inf)
         row = real // wide
         count = np.bincount(row, minlength=len(code))
         reach = np.cumsum(prob, axis=1).ravel()[real]
-        logq, piece, ln = np.minimum(weight.ravel()[real], 0.0), piece.ravel()[real], length.ravel()[real]
-        src, dst = slot[row], slot[row] + ln
+        logq, piece = np.minimum(weight.ravel()[real], 0.0), piece.ravel()[real]
+        ln = wide - (real - row * wide)
+        dst = slot[row] + ln
         head = np.cumsum(count) - count
         reach[head + count - 1] = 1.0
         logq[head[count == 1]] = 0.0
@@ -197,18 +189,20 @@ class Lattice:
             self.types[word] = base + f
         self._put("start", start)
         self._put("reach", reach)
-        self._put("node", src + base)
+        fan = np.zeros(len(beta), np.uint8)
+        fan[slot] = count
+        self._put("edges", fan)
         self._put("next", np.where(left[row] == ln, -1, dst + base))
         self._put("logq", logq)
         self._put("piece", piece)
         self.slots += len(beta)
 
     def _put(self, name: str, values: np.ndarray) -> None:
-        """Append to an array that grows by doubling."""
+        """Append to an array that grows by a quarter."""
         old = getattr(self, name)
         buf, n = self.room.get(name, old), len(old)
         if n + len(values) > len(buf):
-            buf = np.empty(max(n + len(values), 2 * n), old.dtype)
+            buf = np.empty(n + len(values) + n // 4, old.dtype)
             buf[:n] = old
             self.room[name] = buf
         buf[n:n + len(values)] = values
@@ -232,33 +226,19 @@ class Lattice:
             return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
 
     def slots_of(self, words: list[str]) -> np.ndarray:
-        """First slots of the words; new words are built first. A word met in a second call stays for later calls, one met
-        for the first time goes with the next call, so the many words that occur once take no room."""
-        for w in self.passing:
-            del self.types[w]
-        self.once.update(self.passing)
-        for name, n in self.mark.items():
-            setattr(self, name, getattr(self, name)[:n])
-        self.slots = self.mark["start"]
-        if len(self.next) > CACHE or len(self.once) > ONCE:
+        """First slots of the words; new words are built first."""
+        if len(self.next) > CACHE:
             self.clear()
         out = np.fromiter(map(self.types.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(out < 0)
-        fresh = {words[i] for i in new.tolist()}
-        again = fresh & self.once
-        self.once -= again
-        self.add(sorted(again))
-        self.mark = {name: len(getattr(self, name)) for name in self.mark}
-        self.passing = sorted(fresh - again)
-        self.add(self.passing)
-        out[new] = [self.types[words[i]] for i in new.tolist()]
+        if len(new):
+            missing = [words[i] for i in new.tolist()]
+            self.add(sorted(set(missing)))
+            out[new] = list(map(self.types.__getitem__, missing))
         return out
 
     def edges_of(self, slot: int) -> range:
-        a = b = int(self.start[slot])
-        while b < len(self.node) and self.node[b] == slot:
-            b += 1
-        return range(a, b)
+        return range(self.start[slot], self.start[slot] + self.edges[slot])
 
     def walk(self, slots: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sample a path through each word from its slot (-1: nothing left). ``key``: a uint64 per word.
@@ -412,15 +392,16 @@ def sample_batch(lattice: Lattice, slots: np.ndarray, sizes: np.ndarray, keys: n
                 t = step[mine]
                 pos = p.stop[row] + t
                 p.gumbel[pos] = -np.inf
-                parts.append((mine, p, row, t, p.edges[pos], p.word[pos]))
-        mine, t, old, at_word = (np.concatenate([x[c] for x in parts]) for c in (0, 3, 4, 5))
-        prefix = [p.edges[a:a + b] for _, p, row, tt, _, _ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
-        pre_word = [p.word[a:a + b] for _, p, row, tt, _, _ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
+                inside = (t > 0) & (p.word[pos - 1] == p.word[pos])   # not the first step of its word
+                node = np.where(inside, lattice.next[p.edges[pos - 1]], slots[begin[mine] + p.word[pos]])
+                parts.append((mine, p, row, t, p.edges[pos], p.word[pos], node))
+        mine, t, old, at_word, node = (np.concatenate([x[c] for x in parts]) for c in (0, 3, 4, 5, 6))
+        prefix = [p.edges[a:a + b] for _, p, row, tt, *_ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
+        pre_word = [p.word[a:a + b] for _, p, row, tt, *_ in parts for a, b in zip(p.stop[row].tolist(), tt.tolist())]
         back = np.argsort(mine)
-        mine, t, old, at_word = mine[back], t[back], old[back], at_word[back]
+        mine, t, old, at_word, node = mine[back], t[back], old[back], at_word[back], node[back]
         prefix, pre_word = [prefix[i] for i in back.tolist()], [pre_word[i] for i in back.tolist()]
         # Another edge out of the same node, by the probabilities without those already taken there.
-        node = lattice.node[old]
         u = _uniform(_keys(keys[mine], 10 * turn + 3, np.ones(len(mine), np.int64)), 0)
         new, left = np.empty(len(mine), np.int64), np.empty(len(mine))
         for x, (i, tt, e, v) in enumerate(zip(mine.tolist(), t.tolist(), old.tolist(), node.tolist())):
