@@ -127,14 +127,15 @@ def group_row_number(df: DataFrame, group: list[str], order: list[str], out: str
             .drop("_pid", "_off"))
 
 
-def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
-    """1-based average rank of ``col`` over the whole table (ties share the mean rank).
+def average_ranks(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
+    """1-based average rank of ``col`` over the whole table (ties share the mean rank); with ``weight`` a
+    row stands for that many rows.
 
     Values are reduced to (value, count); those pairs are range-partitioned, each task
     computes its local running count, and per-partition totals (one row per partition
     on the driver) give the offsets. The ranks are joined back on the value.
     """
-    hist = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    hist = df.groupBy(F.col(col).alias("_v")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
     ranged = hist.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     sizes = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
     offsets, acc = [], 0
