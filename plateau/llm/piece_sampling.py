@@ -158,25 +158,22 @@ class Lattice:
         weight[lone, -1] = (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)) * self.byte_weight
         piece[lone, -1] = -1 - real
         beta = np.zeros(len(code) + len(words))
-        prob = np.zeros_like(weight)
+        reach = np.empty(weight.shape, np.float32)
         bounds = [0, *(np.flatnonzero(np.diff(left)) + 1).tolist(), len(code)]
         for a, b in zip(bounds, bounds[1:]):
             m = min(int(left[a]), wide)
             val = weight[a:b, wide - m:]
             val += beta[slot[a:b, None] + np.arange(m, 0, -1)]
             top = val.max(1)
-            e = np.exp(val - top[:, None])
-            total = e[:, m - 1].copy()
-            for c in range(m - 2, -1, -1):      # in this order whatever the width, so batches change no bit
-                total += e[:, c]
-            np.divide(e, total[:, None], out=prob[a:b, wide - m:])
-            beta[slot[a:b]] = total = top + np.log(total)
+            # Sums run from the longest edge to the shortest; a wider batch puts zeros in front, which change no bit.
+            sums = np.cumsum(np.exp(val - top[:, None]), axis=1)
+            np.divide(sums, sums[:, -1:], out=reach[a:b, wide - m:])
+            beta[slot[a:b]] = total = top + np.log(sums[:, -1])
             val -= total[:, None]      # now log probabilities
         real = np.flatnonzero(weight.ravel() > -np.inf)
         row = real // wide
         count = np.bincount(row, minlength=len(code))
-        reach = np.cumsum(prob, axis=1).ravel()[real]
-        logq, piece = np.minimum(weight.ravel()[real], 0.0), piece.ravel()[real]
+        reach, logq, piece = reach.ravel()[real], np.minimum(weight.ravel()[real], 0.0), piece.ravel()[real]
         ln = wide - (real - row * wide)
         dst = slot[row] + ln
         head = np.cumsum(count) - count
@@ -233,7 +230,7 @@ class Lattice:
         new = np.flatnonzero(out < 0)
         if len(new):
             missing = [words[i] for i in new.tolist()]
-            self.add(sorted(set(missing)))
+            self.add(list(dict.fromkeys(missing)))
             out[new] = list(map(self.types.__getitem__, missing))
         return out
 
