@@ -40,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 TEXTS = 200         # texts that advance together
 RANK_0 = 2.0
-CACHE = 12_000_000   # edges, 20 bytes each
+CACHE = 6_000_000   # edges, 20 bytes each
 MARK = "▁"
 
 def load_pieces(model: str = MODEL) -> list[tuple[int, str, float]]:
