@@ -24,7 +24,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 from pyspark.sql import Window  # noqa: E402
 
 from plateau.config import (ACTIVE_USER_MIN_EVENTS, EDA_RECIPE_EVENTS, ENGAGEMENT_BUCKETS,  # noqa: E402
-                            FUNNEL_STEPS, RECIPE_EVENTS, USER_SEGMENT_TOP, USER_SEGMENTS)
+                            FUNNEL_STEPS, INGREDIENT_EVENTS, RECIPE_EVENTS, USER_SEGMENT_TOP, USER_SEGMENTS)
 from plateau.functions.calendar import whole_days_between  # noqa: E402
 from plateau.operators.stats import exact_median, group_row_number, modal_values  # noqa: E402
 
@@ -38,10 +38,6 @@ def with_calendar(events: DataFrame) -> DataFrame:
                                "month": F.month(dt).cast("bigint"), "year": F.year(dt).cast("bigint")})
 
 
-def _total(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("_total"))
-
-
 def basic_stats(events: DataFrame) -> DataFrame:
     """Rows, distinct users and devices, first/last date and span in days (A10)."""
     ev = with_calendar(events)
@@ -65,6 +61,11 @@ def count_distribution(counts: DataFrame, col: str = "n_events") -> DataFrame:
                       F.count(F.lit(1)).alias("n_users")).withColumn("median", F.lit(med).cast("double"))
 
 
+def ingredient_distribution(events: DataFrame) -> DataFrame:
+    """Count and % share of the ingredient events."""
+    return event_distribution(events, INGREDIENT_EVENTS)
+
+
 def events_per_user_stats(events: DataFrame) -> DataFrame:
     return count_distribution(per_user_counts(events))
 
@@ -73,7 +74,8 @@ def event_distribution(events: DataFrame, names: list[str] | None = None, col: s
     """Count and % share per event name within the (optionally filtered) events."""
     ev = events if names is None else events.filter(F.col(col).isin(list(names)))
     counts = ev.groupBy(F.col(col).alias("event")).agg(F.count(F.lit(1)).alias("count"))
-    return (counts.crossJoin(F.broadcast(_total(ev)))  # 1-row total
+    total = counts.agg(F.sum("count").alias("_total"))  # one row, from the groups: one scan
+    return (counts.crossJoin(F.broadcast(total))
             .withColumn("percentage", F.col("count") / F.col("_total") * 100).drop("_total"))
 
 
@@ -110,7 +112,8 @@ def hourly_top(events: DataFrame, k: int = 3) -> DataFrame:
 def weekday_activity(events: DataFrame) -> DataFrame:
     """Events and % share per weekday name."""
     counts = events.groupBy("day_of_week").agg(F.count(F.lit(1)).alias("count"))
-    return (counts.crossJoin(F.broadcast(_total(events)))
+    total = counts.agg(F.sum("count").alias("_total"))  # one row, from the groups: one scan
+    return (counts.crossJoin(F.broadcast(total))
             .withColumn("percentage", F.col("count") / F.col("_total") * 100).drop("_total"))
 
 
@@ -137,7 +140,7 @@ def user_segments(events: DataFrame) -> DataFrame:
     """Users, % of users and mean events per activity segment."""
     counts = per_user_counts(events).withColumn("segment", segment_of(F.col("n_events")))
     seg = counts.groupBy("segment").agg(F.count(F.lit(1)).alias("users"), F.avg("n_events").alias("avg_events"))
-    n_users = counts.agg(F.count(F.lit(1)).alias("_total"))
+    n_users = seg.agg(F.sum("users").alias("_total"))  # one row, from the groups: one scan
     return (seg.crossJoin(F.broadcast(n_users))
             .withColumn("percentage", F.col("users") / F.col("_total") * 100).drop("_total"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plateau.config import EDA_RECIPE_EVENTS
+from plateau.config import EDA_RECIPE_EVENTS, INGREDIENT_EVENTS
 from plateau.operators import explore as E
 from plateau.plans.canonical import canon_sql
 from plateau.plans.queries.events import SQL_COMBINED, combined
@@ -14,9 +14,9 @@ from plateau.sources import fixtures as X
 _REC = ", ".join(f"'{e}'" for e in EDA_RECIPE_EVENTS)
 
 _EV = f"""WITH ev AS (
-  SELECT *, make_timestamp("timestamp" * 1000000) AS datetime,
-         CAST(make_timestamp("timestamp" * 1000000) AS DATE) AS date,
-         hour(make_timestamp("timestamp" * 1000000)) AS hour
+  SELECT *, make_timestamp(CAST("timestamp" * 1000000 AS BIGINT)) AS datetime,
+         CAST(make_timestamp(CAST("timestamp" * 1000000 AS BIGINT)) AS DATE) AS date,
+         hour(make_timestamp(CAST("timestamp" * 1000000 AS BIGINT))) AS hour
   FROM ({SQL_COMBINED})),
 rec AS (SELECT * FROM ev WHERE event IN ({_REC}))
 """
@@ -28,7 +28,7 @@ def _q(body: str, types: dict) -> str:
 
 @query("F17_with_calendar", _q("""
 SELECT distinct_id, "timestamp", date, hour, month(datetime) AS month, year(datetime) AS year, datetime FROM ev
-""", {"timestamp": "i", "date": "date", "hour": "i", "month": "i", "year": "i", "datetime": "ts"}))
+""", {"timestamp": "d", "date": "date", "hour": "i", "month": "i", "year": "i", "datetime": "ts"}))
 def f17_with_calendar(spark, sf_dir):
     ev = E.with_calendar(combined(spark, sf_dir))
     return ev.select("distinct_id", "timestamp", "date", "hour", "month", "year", "datetime")
@@ -75,6 +75,14 @@ def a11_recipe_event_distribution(spark, sf_dir):
     return E.event_distribution(combined(spark, sf_dir), EDA_RECIPE_EVENTS)
 
 
+@query("A11_ingredient_event_distribution", _q(f"""
+SELECT event, count(*) AS count, count(*) / sum(count(*)) OVER () * 100 AS percentage FROM ev
+WHERE event IN ({", ".join(f"'{e}'" for e in INGREDIENT_EVENTS)}) GROUP BY event""", {"count": "i", "percentage": "d"}))
+def a11_ingredient_event_distribution(spark, sf_dir):
+    """Share of each ingredient event among the ingredient events."""
+    return E.ingredient_distribution(combined(spark, sf_dir))
+
+
 @query("A12_engagement_buckets", _q("""
 SELECT count(*) FILTER (WHERE n = 1) AS "users_1", count(*) FILTER (WHERE n BETWEEN 2 AND 5) AS "users_2-5",
        count(*) FILTER (WHERE n BETWEEN 6 AND 10) AS "users_6-10", count(*) FILTER (WHERE n > 10) AS "users_>10"
@@ -200,15 +208,15 @@ FROM (SELECT distinct_id, count(*) AS total_events,
       FROM ev GROUP BY distinct_id) b
 JOIN (SELECT distinct_id, '{' || string_agg('"' || event || '":' || n, ',' ORDER BY event) || '}' AS event_types
       FROM (SELECT distinct_id, event, count(*) AS n FROM ev GROUP BY ALL) GROUP BY distinct_id) m USING (distinct_id)
-""", {"total_events": "i", "recipe_events": "i", "first_seen": "i", "last_seen": "i", "days_active": "i"}))
+""", {"total_events": "i", "recipe_events": "i", "first_seen": "d", "last_seen": "d", "days_active": "i"}))
 def a18_user_summary(spark, sf_dir):
     return E.user_summary(combined(spark, sf_dir))
 
 
 @query("A28_interaction_range", canon_sql(f"""
 SELECT user_id, count(*) AS n_interactions,
-       strftime(make_timestamp(min("timestamp") * 1000000), '%Y-%m-%d') || ' to ' ||
-       strftime(make_timestamp(max("timestamp") * 1000000), '%Y-%m-%d') AS time_range
+       strftime(make_timestamp(CAST(min("timestamp") * 1000000 AS BIGINT)), '%Y-%m-%d') || ' to ' ||
+       strftime(make_timestamp(CAST(max("timestamp") * 1000000 AS BIGINT)), '%Y-%m-%d') AS time_range
 FROM ({X.SQL_INTERACTIONS_LARGE}) GROUP BY user_id
 """, {"n_interactions": "i"}))
 def a28_interaction_range(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plateau.config import RECONCILE_EVENTS
 from plateau.operators import reconcile as R
 from plateau.plans.canonical import canon_sql
 from plateau.plans.reconcile_items import reconcile_items
@@ -36,11 +37,13 @@ def t04_reconcile_mapping(spark, sf_dir):
     return reconcile_items(*_events(spark, sf_dir))[0]
 
 
-@query("W01_first_per_key", canon_sql(_E + "SELECT * FROM f1", {}))
+@query("W01_first_per_key", canon_sql(_E + "SELECT 'v1' AS version, * FROM f1 UNION ALL SELECT 'v2' AS version, * FROM f2", {}))
 def w01_first_per_key(spark, sf_dir):
-    """First v1 event per URL by (timestamp, seq)."""
-    e1, _ = _events(spark, sf_dir)
-    return R.first_per_key(e1, "recipe_url", ["timestamp", "seq"], R.ITEM_FIELDS)
+    """First event per URL by (timestamp, seq), of both versions."""
+    e1, e2 = _events(spark, sf_dir)
+    v1, v2 = (R.first_per_key(e, "recipe_url", ["timestamp", "seq"], R.ITEM_FIELDS).withColumn("version", F.lit(v))
+              for e, v in ((e1, "v1"), (e2, "v2")))
+    return v1.unionByName(v2)
 
 
 @query("U02_common_keys", canon_sql(_E + "SELECT recipe_url FROM e1 INTERSECT SELECT recipe_url FROM e2", {}))
@@ -129,3 +132,31 @@ def s07_json_doc_roundtrip(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/mapping-{uuid.uuid4().hex}"
     write_json_doc(mapping, path)
     return read_json_doc(spark, path, mapping.schema, multi_line=False)
+
+
+_RAW = "CASE WHEN json_valid(value) THEN json_extract_string(value, '$.properties.\"{k}\"') END"
+
+
+def _raw_sql(version: str) -> str:
+    cols = ", ".join(f"{_RAW.format(k=c)} AS {c}" for c in ("recipe_id", "recipe_url", "recipe_name", "recipe_author"))
+    names = ", ".join(f"'{e}'" for e in RECONCILE_EVENTS)
+    return f"""SELECT recipe_url, arg_min(recipe_id, o) AS recipe_id, arg_min(recipe_name, o) AS recipe_name, arg_min(recipe_author, o) AS recipe_author
+FROM (SELECT *, (ts, recipe_id, recipe_name, recipe_author) AS o FROM (
+  SELECT {cols}, TRY_CAST({_RAW.format(k="time")} AS DOUBLE) AS ts,
+         CASE WHEN json_valid(value) THEN json_extract_string(value, '$.event') END AS event
+  FROM ({X.sql_raw_event_lines(version)})) WHERE event IN ({names}) AND recipe_id <> '' AND recipe_url <> '')
+GROUP BY recipe_url"""
+
+
+@query("T04_from_raw_lines", canon_sql(f"""
+WITH f1 AS ({_raw_sql('v1')}), f2 AS ({_raw_sql('v2')})
+SELECT recipe_url, f1.recipe_id AS v1_recipe_id, f2.recipe_id AS v2_recipe_id,
+       coalesce(CASE WHEN f1.recipe_name <> '' THEN f1.recipe_name END, f2.recipe_name) AS recipe_name,
+       coalesce(CASE WHEN f1.recipe_author <> '' THEN f1.recipe_author END, f2.recipe_author) AS recipe_author,
+       f1.recipe_name IS NOT DISTINCT FROM f2.recipe_name AS are_identical
+FROM f1 JOIN f2 USING (recipe_url)""", {}))
+def t04_from_raw_lines(spark, sf_dir):
+    """The item mapping from raw JSON lines, in an order that depends on the events alone."""
+    from plateau.sources.events import parse_event_lines
+    e = [R.extract_recipe_events(parse_event_lines(X.raw_event_lines(spark, sf_dir, v)), v) for v in ("v1", "v2")]
+    return reconcile_items(*e, order=R.EVENT_ORDER)[0]

@@ -7,6 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from plateau.config import EXCLUDED_COLUMNS
 from plateau.operators import features as FE
 from plateau.operators import pairs as PR
 from plateau.operators import splits as SP
@@ -18,6 +19,14 @@ from plateau.session import hold
 from plateau.sources import fixtures as X
 from plateau.sources import io as IO
 
+
+
+def _tok_sql(x: str) -> str:
+    w = f"regexp_extract_all(lower(coalesce({x}, '')), '\\b\\w\\w+\\b')"
+    return (f"list_concat({w}, CASE WHEN len({w}) >= 2 THEN list_transform(range(1, len({w})), "
+            f"lambda j: {w}[j] || ' ' || {w}[j + 1]) ELSE []::VARCHAR[] END)")
+
+
 _W = "WITH " + ctes(X.SQL_INTERACTIONS_LARGE)
 
 
@@ -167,12 +176,21 @@ def l03_split_report(spark, sf_dir):
     return SP.split_report(SP.stratified_split(_elig(spark, sf_dir)))
 
 
-@query("S09_training_metadata", _sql("""
+_NUMERIC_SQL = """(SELECT column_name FROM (DESCRIBE SELECT * FROM ti)
+  WHERE column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE') OR column_type LIKE 'DECIMAL%')"""
+_SKIPPED = ", ".join(f"'{c}'" for c in [*EXCLUDED_COLUMNS, "label", "rating", "user_id", "recipe_id", "split"])
+
+
+@query("S09_training_metadata", _sql(f"""
 SELECT count(*) AS total_samples, count(DISTINCT user_id) AS n_users, count(DISTINCT recipe_id) AS n_recipes,
-       avg(CAST(label = 1.0 AS DOUBLE)) AS positive_ratio, 2 AS n_features, 'rating|label' AS feature_columns
-FROM elig""", {"total_samples": "i", "n_users": "i", "n_recipes": "i", "positive_ratio": "d", "n_features": "i"}))
+       avg(CAST(label = 1.0 AS DOUBLE)) AS positive_ratio,
+       (SELECT count(*) FROM {_NUMERIC_SQL} WHERE column_name NOT IN ({_SKIPPED})) AS n_features,
+       (SELECT string_agg(column_name, '|' ORDER BY column_name) FROM {_NUMERIC_SQL} WHERE column_name NOT IN ({_SKIPPED})) AS feature_columns
+FROM ti""", {"total_samples": "i", "n_users": "i", "n_recipes": "i", "positive_ratio": "d", "n_features": "i"}))
 def s09_training_metadata(spark, sf_dir):
-    return IO.training_metadata(_elig(spark, sf_dir), ["rating", "label"])
+    """Metadata of the whole feature table; the feature list is chosen from its schema."""
+    m = IO.training_metadata(_features(spark, sf_dir))
+    return m.withColumn("feature_columns", F.array_sort("feature_columns"))
 
 
 @query("S11_validate", _sql("""
@@ -181,6 +199,13 @@ def s11_validate(spark, sf_dir):
     return IO.validate(_inputs(spark, sf_dir)[1], ["recipe_id", "recipe_name", "author_name", "total_time"])
 
 
+@query("S11_validate_missing", _sql("""
+SELECT false AS ok, count(*) AS n_rows, 'no_such_column,nor_this' AS missing FROM cat""", {"n_rows": "i"}))
+def s11_validate_missing(spark, sf_dir):
+    """A required column is missing."""
+    return IO.validate(_inputs(spark, sf_dir)[1], ["recipe_id", "no_such_column", "recipe_name", "nor_this"])
+
+
 @query("S13_source_summary", canon_sql(f"""
 WITH r AS ({X.SQL_CATALOG_RAW}), g AS ({X.SQL_INGREDIENTS}), b AS ({X.SQL_BRIDGE})
 SELECT t.*, (SELECT count(DISTINCT recipe_id) FROM b) AS bridge_recipes,
@@ -246,3 +271,34 @@ def t03_training_data_report(spark, sf_dir):
     return td.features.groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"),
         F.avg("ingredient_similarity_score").alias("mean_similarity"))
+
+
+@query("T03_text_features", _sql(f"""
+, sp AS (
+  SELECT t.*, CASE WHEN pos <= floor(n * 0.2) THEN 'test' WHEN pos <= floor(n * 0.2) + floor(n * 0.2) THEN 'val'
+                   ELSE 'train' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql_md5_int("'42'", "user_id", "recipe_id")}, user_id, recipe_id) AS pos,
+               count(*) OVER (PARTITION BY label) AS n FROM ti) t),
+rt AS (SELECT * FROM cat WHERE recipe_id IN (SELECT recipe_id FROM sp WHERE split = 'train')),
+fr AS (SELECT coalesce(author_id, 'unknown') AS a, count(*) / (SELECT count(*) FROM rt) AS f FROM rt GROUP BY ALL),
+nt AS (SELECT recipe_id, count(*) AS n_terms FROM (SELECT recipe_id, unnest({_tok_sql('recipe_name')}) FROM cat) GROUP BY ALL)
+SELECT split, count(*) AS rows, sum(coalesce(f, 0)) AS author_freq, sum(coalesce(n_terms, 0)) AS name_terms
+FROM sp LEFT JOIN fr ON fr.a = coalesce(sp.author_id, 'unknown') LEFT JOIN nt USING (recipe_id) GROUP BY split""",
+                                 {"rows": "i", "author_freq": "d", "name_terms": "d"}))
+def t03_text_features(spark, sf_dir):
+    """The job with its text step, written and read back by split: author frequencies fitted on the train items,
+    name hashing of the catalog (a name's buckets sum to its terms)."""
+    import uuid
+
+    from plateau.operators.text import Encoder
+    from plateau.plans.training_data import build_training_data, write_training_data
+    from plateau.session import checkpoint_dir
+    i, _, br = _inputs(spark, sf_dir)
+    td = build_training_data(i, X.catalog_raw(spark, sf_dir), br, as_of=AS_OF,
+                             encoders=(Encoder("author_id", "freq", "author_id_freq"), Encoder("recipe_name", "hashing", "name_hash_", 16)))
+    out = f"{checkpoint_dir(spark).rstrip('/')}/training-{uuid.uuid4().hex}"
+    write_training_data(td, out)
+    t = spark.read.parquet(f"{out}/features")
+    terms = sum((F.col(f"name_hash_{k}") for k in range(1, 16)), F.col("name_hash_0"))
+    return t.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("author_id_freq").alias("author_freq"),
+                                  F.sum(terms).alias("name_terms"))

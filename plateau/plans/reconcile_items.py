@@ -9,11 +9,11 @@ from plateau.operators.reconcile import ITEM_FIELDS, first_per_key, reconcile_id
 ORDER = ["timestamp", "seq"]
 
 
-def reconcile_items(v1_events: DataFrame, v2_events: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reconcile_items(v1_events: DataFrame, v2_events: DataFrame, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (mapping, report). Inputs: recipe events with ``recipe_id, recipe_url,
-    recipe_name, recipe_author, timestamp, seq``."""
-    f1 = first_per_key(v1_events, "recipe_url", ORDER, ITEM_FIELDS)
-    f2 = first_per_key(v2_events, "recipe_url", ORDER, ITEM_FIELDS)
+    recipe_name, recipe_author`` and the columns of ``order`` (``timestamp, seq``)."""
+    f1 = first_per_key(v1_events, "recipe_url", order or ORDER, ITEM_FIELDS)
+    f2 = first_per_key(v2_events, "recipe_url", order or ORDER, ITEM_FIELDS)
     return reconcile_ids(f1, f2), reconcile_report(v1_events, v2_events)
 
 

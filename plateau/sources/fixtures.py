@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plateau.config import INTERACTION_WEIGHTS
+from plateau.config import INGREDIENT_EVENTS, INTERACTION_WEIGHTS
 from plateau.functions.common import epoch_seconds, weight_of
 
 
@@ -193,7 +193,8 @@ def items_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def items_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.filter(F.col("p_partkey") % 2 == 0).select(
+    # every item is in one of the versions at least, and a part of them in both
+    return p.filter((F.col("p_partkey") % 2 == 0) | (F.col("p_partkey") % 3 == 0)).select(
         F.col("p_partkey").cast("string").alias("recipe_id"),
         F.concat(F.lit("http://shop.example/item/"), F.col("p_partkey").cast("string")).alias("recipe_url"),
         F.when(F.col("p_partkey") % 10 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("recipe_name"),
@@ -209,7 +210,7 @@ SQL_ITEMS_V2 = """
 SELECT CAST(p_partkey AS VARCHAR) AS recipe_id,
        concat('http://shop.example/item/', CAST(p_partkey AS VARCHAR)) AS recipe_url,
        CASE WHEN p_partkey % 10 = 0 THEN upper(p_name) ELSE p_name END AS recipe_name,
-       p_brand AS recipe_author FROM part WHERE p_partkey % 2 = 0
+       p_brand AS recipe_author FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0
 """
 
 
@@ -249,6 +250,7 @@ _RAW_PROP_KEYS = [
     ("current_route", True), ("platform", True), ("mp_lib", True), ("$os", True),
     ("$app_version_string", True), ("is_development", False),
     ("total_ingredients", False), ("owned_ingredients", False),
+    ("recipe_url", True), ("recipe_name", True), ("recipe_author", True),
 ]
 
 _RAW_PROPS_SQL = {
@@ -279,6 +281,9 @@ _RAW_PROPS_SQL = {
     "total_ingredients": "CASE WHEN event_id % 4 <> 0 THEN CAST(4 + user_id % 9 AS VARCHAR) END",
     "owned_ingredients": "CASE WHEN event_id % 6 = 0 THEN '\"' || CAST(user_id % 4 AS VARCHAR) || '\"' "
                          "WHEN event_id % 6 < 4 THEN CAST(user_id % 4 AS VARCHAR) END",
+    "recipe_url": "CASE WHEN event_id % 8 <> 1 THEN 'http://shop.example/item/' || json_extract_string(props, '$.k') END",
+    "recipe_name": "'Item ' || json_extract_string(props, '$.k') || CASE WHEN event_id % 5 = 0 THEN ' (old)' ELSE '' END",
+    "recipe_author": "'Author ' || CAST(user_id % 4 AS VARCHAR)",
 }
 
 
@@ -311,17 +316,23 @@ def _raw_props_spark() -> dict:
         "is_development": F.when(i % 9 == 0, "true").when(i % 9 == 1, "false"),
         "total_ingredients": F.when(i % 4 != 0, s(4 + u % 9)),
         "owned_ingredients": F.when(i % 6 == 0, F.concat(F.lit('"'), s(u % 4), F.lit('"'))).when(i % 6 < 4, s(u % 4)),
+        "recipe_url": F.when(i % 8 != 1, F.concat(F.lit("http://shop.example/item/"), k)),
+        "recipe_name": F.concat(F.lit("Item "), k, F.when(i % 5 == 0, " (old)").otherwise("")),
+        "recipe_author": F.concat(F.lit("Author "), s(u % 4)),
     }
 
 
 def _raw_event_name():
     et, i = F.col("event_type"), F.col("event_id")
-    return (F.when(et == "view", "Recipe Viewed").when(et == "click", "$ae_session")
+    return (F.when(et == "view", "Recipe Viewed")
+            .when((et == "click") & (i % 7 < 2), INGREDIENT_EVENTS[0]).when((et == "click") & (i % 7 == 2), INGREDIENT_EVENTS[-1])
+            .when(et == "click", "$ae_session")
             .when(et == "purchase", "Recipe Cooked").when(et == "signup", "$identify")
             .when(i % 4 == 0, "").otherwise("$ae_first_open"))
 
 
-_SQL_RAW_EVENT_NAME = ("CASE WHEN event_type = 'view' THEN 'Recipe Viewed' WHEN event_type = 'click' THEN '$ae_session' "
+_SQL_RAW_EVENT_NAME = (f"CASE WHEN event_type = 'view' THEN 'Recipe Viewed' WHEN event_type = 'click' AND event_id % 7 < 2 THEN '{INGREDIENT_EVENTS[0]}' "
+                       f"WHEN event_type = 'click' AND event_id % 7 = 2 THEN '{INGREDIENT_EVENTS[-1]}' WHEN event_type = 'click' THEN '$ae_session' "
                        "WHEN event_type = 'purchase' THEN 'Recipe Cooked' WHEN event_type = 'signup' THEN '$identify' "
                        "WHEN event_id % 4 = 0 THEN '' ELSE '$ae_first_open' END")
 

@@ -115,18 +115,18 @@ def source_summary(recipes: DataFrame, ingredients: DataFrame, bridge: DataFrame
     return out.crossJoin(cov)  # 3 rows x 1 row
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store Spark reads it from; other errors rise."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_catalog(spark: SparkSession, encoded_path: str | None, raw_path: str, required: list[str],
                  fmt: str = "parquet") -> DataFrame:
     """Encoded catalog when it exists, else the raw one (S10); fails when the chosen table
     lacks columns the model needs (checked on the schema, no job)."""
-    df = None
-    if encoded_path:
-        try:
-            df = read_table(spark, encoded_path, fmt)
-        except Exception:  # noqa: BLE001 - a missing table means "use the raw one"
-            df = None
-    if df is None:
-        df = read_table(spark, raw_path, fmt)
+    found = encoded_path is not None and path_exists(spark, encoded_path)
+    df = read_table(spark, encoded_path if found else raw_path, fmt)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"catalog lacks model columns: {missing}")
