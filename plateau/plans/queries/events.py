@@ -228,3 +228,48 @@ def s05_csv_roundtrip(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/interactions-{uuid.uuid4().hex}"
     write_table(df, path, fmt="csv")
     return read_csv(spark, path, df.schema)
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from plateau.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("S03_read_table", canon_sql("SELECT s_suppkey AS id, s_name AS name FROM supplier", {"id": "i"}))
+def s03_read_table(spark, sf_dir):
+    """Master-table scan."""
+    from plateau.sources.io import read_table
+    return read_table(spark, f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+
+
+@query("S04_collections", canon_sql("""
+SELECT c_custkey AS collection_id, count(DISTINCT l_partkey) AS items
+FROM customer LEFT JOIN (orders JOIN lineitem ON l_orderkey = o_orderkey) ON o_custkey = c_custkey GROUP BY c_custkey""",
+                                    {"collection_id": "i", "items": "i"}))
+def s04_collections(spark, sf_dir):
+    """Collections (a customer's purchases) and their bridge, written, read together and counted."""
+    from plateau.sources.io import read_collections, write_table
+    base = _scratch(spark, "collections")
+    o = X.table(spark, sf_dir, "orders").join(X.table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+    write_table(X.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("collection_id")), f"{base}/collections")
+    write_table(o.select(F.col("o_custkey").alias("collection_id"), F.col("l_partkey").alias("recipe_id")).distinct(),
+                f"{base}/collection_of_recipes")
+    c, b = read_collections(spark, base)
+    return c.join(b, "collection_id", "left").groupBy("collection_id").agg(F.countDistinct("recipe_id").alias("items"))
+
+
+@query("S10_load_catalog", canon_sql("""
+SELECT 'raw' AS source, CAST(p_partkey AS VARCHAR) AS recipe_id, p_name AS recipe_name FROM part
+UNION ALL SELECT 'encoded', CAST(p_partkey AS VARCHAR), upper(p_name) FROM part""", {}))
+def s10_load_catalog(spark, sf_dir):
+    """The raw catalog while there is no encoded one, the encoded one once it is written."""
+    from plateau.sources.io import load_catalog, write_table
+    base, need = _scratch(spark, "catalog"), ["recipe_id", "recipe_name"]
+    part = X.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("recipe_id"), F.col("p_name").alias("recipe_name"))
+    write_table(part, f"{base}/raw")
+    raw = load_catalog(spark, f"{base}/encoded", f"{base}/raw", need)
+    write_table(part.withColumn("recipe_name", F.upper("recipe_name")), f"{base}/encoded")
+    encoded = load_catalog(spark, f"{base}/encoded", f"{base}/raw", need)
+    return raw.select(F.lit("raw").alias("source"), *need).unionByName(encoded.select(F.lit("encoded").alias("source"), *need))
