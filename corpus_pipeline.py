@@ -47,7 +47,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Distinct sampled segmentations of every document."""
     prepare(spark)
-    return piece_sampling.sample_segmentations(docs)
+    # The executors also hold what four earlier stages left: a smaller cache, the same samples.
+    return piece_sampling.sample_segmentations(docs, cache=2_000_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix),

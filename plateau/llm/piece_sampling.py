@@ -17,7 +17,7 @@ value left, a sample's inclusion score is 1 - exp(-exp(log_prob - kappa)).
 
 All randomness is counter-based on (row key, seed), so retries and other partitionings draw the same.
 The lattices of all new words of a batch are built together in numpy and kept, up to
-``CACHE`` edges, for later batches.
+``cache`` edges, for later batches.
 
 Defined results: null and empty texts have one segmentation, of no pieces; texts with fewer than k segmentations
 return all of them; a null id takes its key from the text; repeated rows give repeated samples; extra
@@ -38,9 +38,9 @@ from plateau.llm.common import M64, batches, column_of, mix64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
-TEXTS = 200         # texts that advance together
+TEXTS = 50          # texts that advance together
 RANK_0 = 2.0
-CACHE = 6_000_000   # edges, 20 bytes each
+CACHE = 12_000_000  # edges of lattices a task keeps, 20 bytes each; a parameter that changes no result
 MARK = "▁"
 
 def load_pieces(model: str = MODEL) -> list[tuple[int, str, float]]:
@@ -66,7 +66,8 @@ def _spans(size: np.ndarray) -> np.ndarray:
 class Lattice:
     """Pieces as a trie, and the lattices of the words met so far."""
 
-    def __init__(self, pieces: list[tuple[int, str, float]]):
+    def __init__(self, pieces: list[tuple[int, str, float]], cache: int = CACHE):
+        self.cache = cache
         self.byte_id = np.zeros(256, np.int32)
         self.table: dict[int, bytes] = {}
         plain = []
@@ -224,7 +225,7 @@ class Lattice:
 
     def slots_of(self, words: list[str]) -> np.ndarray:
         """First slots of the words; new words are built first."""
-        if len(self.next) > CACHE:
+        if len(self.next) > self.cache:
             self.clear()
         out = np.fromiter(map(self.types.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(out < 0)
@@ -469,13 +470,13 @@ def encode_rows(lattice: Lattice, ids: list, texts: list[str], k: int = SAMPLES,
 
 
 def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = 0,
-                         model: str = MODEL) -> DataFrame:
+                         model: str = MODEL, cache: int = CACHE) -> DataFrame:
     """Up to k rows per document: doc_id, sample (1 = largest value), ids, n_pieces, log_prob, gumbel (the
     perturbed log probability), inclusion, round_trip (decoding gives back the text)."""
     pieces = load_pieces(model)   # 32,000 short strings; executors need no file
 
     def run(it):
-        lattice = Lattice(pieces)
+        lattice = Lattice(pieces, cache)
 
         for b in it:
             ids, texts = column_of(b, "id"), column_of(b, "t")

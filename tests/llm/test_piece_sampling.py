@@ -92,7 +92,7 @@ def test_inclusion_scores_estimate_totals(lattice, pieces):
     assert abs(one - 1) < .03 and abs(mean - sum(p * len(a) for a, p in prob.items())) < .06
 
 
-def test_batches_and_caches_change_nothing(pieces, monkeypatch):
+def test_batches_and_caches_change_nothing(pieces):
     texts = [f"some words {i} here éà " * (i + 1) for i in range(30)]
     ids = list(range(30))
 
@@ -101,8 +101,7 @@ def test_batches_and_caches_change_nothing(pieces, monkeypatch):
                       key=lambda r: (r["doc_id"], r["sample"]))
     want, warm = all_rows(X.Lattice(pieces), 30), X.Lattice(pieces)
     assert all_rows(warm, 4) == want and all_rows(warm, 7) == want
-    monkeypatch.setattr(X, "CACHE", 50)
-    assert all_rows(X.Lattice(pieces), 1) == want
+    assert all_rows(X.Lattice(pieces, cache=50), 1) == want
 
 
 def test_operator(spark):
