@@ -10,8 +10,8 @@ Equal word sequences are one node. Nodes that agree in a table are a bucket. A b
 pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
 likely original of a family. The pairs are verified and linked nodes become components; a bucket that is
 one component is done. In the others small buckets pair all nodes of different components (at
-most ``SMALL`` nodes each), and large ones pair, for ``ROUNDS`` rounds, the next hub outside the components
-tried so far with all nodes of other components, so the pairs stay linear in the rows. A true pair is in about ten
+most ``SMALL`` nodes each), and large ones pair the next hub outside the components tried so far with all
+nodes of other components, round after round until a round links nothing, so the pairs of a round stay linear in the rows. A true pair is in about ten
 buckets and is lost only where each of those is a large bucket of many components, which needs most of both
 texts to be shared by many unrelated ones.
 
@@ -43,7 +43,6 @@ K = 5
 SIMILARITY = 0.8
 TABLES, PICKS = 24, 4
 SMALL = 12
-ROUNDS = 3
 
 _SEED = mix64(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _ODD = mix64(_SEED) | np.uint64(1)
@@ -228,11 +227,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     inc = nodes.select("node", "id", F.explode("keys").alias("key"))
     sizes = inc.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     inc = cut(inc.join(sizes, "key"))
-    links = _links(inc, src)
-    if links is None:
+    found = _links(inc, src)
+    if found is None:
         rows = rows.select("id", "text_hash", "node").withColumn("label", F.col("node")).withColumn("n_links", F.lit(0).cast("bigint"))
     else:
-        label = components(links)
+        links, label = found
         ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
         facts = cut(label.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node"))
         rows = (rows.select("id", "text_hash", "node").join(facts, "node", "left")
@@ -244,8 +243,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                         (F.col("uid") == F.col("f.keep")).alias("kept"))
 
 
-def _links(inc: DataFrame, src: DataFrame) -> DataFrame | None:
-    """Verified links between nodes, or None."""
+def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Verified links between nodes and the components they make, or None."""
     if inc.isEmpty():
         return None
     # One text per node: that of its smallest id.
@@ -273,9 +272,8 @@ def _links(inc: DataFrame, src: DataFrame) -> DataFrame | None:
             .select("node", F.col("top.node").alias("hub")))
     tried = cut(_pairs(best))
     links = _verified(tried, text)
-    used = None
-    for turn in range(ROUNDS):
-        label = components(links)
+    label, used = components(links), None
+    while True:
         lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                      .filter("x <> y").select("key"))
@@ -290,7 +288,7 @@ def _links(inc: DataFrame, src: DataFrame) -> DataFrame | None:
         nxt = cut(rest.groupBy("key").agg(F.max(F.struct("score", "node", "label")).alias("top"))
                   .select("key", F.col("top.node").alias("hub"), F.col("top.label").alias("l2")))
         pairs = large.join(nxt, "key").filter("label <> l2").select("node", "hub")
-        if turn == 0:
+        if used is None:
             small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
             other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
             pairs = pairs.unionAll(small.join(other, "key").filter("label < l2").select("node", "hub"))
@@ -299,9 +297,13 @@ def _links(inc: DataFrame, src: DataFrame) -> DataFrame | None:
             break
         hubs = nxt.select("key", "hub")
         used = hubs if used is None else used.unionAll(hubs)
-        links = links.unionAll(_verified(pairs, text))
         tried = tried.unionAll(pairs)
-    return links
+        more = _verified(pairs, text)
+        if more.isEmpty():
+            break
+        links = links.unionAll(more)
+        label = components(links)
+    return links, label
 
 
 def _pairs(df: DataFrame) -> DataFrame:
