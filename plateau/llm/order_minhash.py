@@ -11,7 +11,7 @@ pairs. First every node is paired with one hub: over all its buckets the node th
 likely original of a family. The pairs are verified and linked nodes become components; a bucket that is
 one component is done. In the others small buckets pair all nodes of different components (at
 most ``SMALL`` nodes each), and large ones pair the next hub outside the components tried so far with all
-nodes of other components, round after round until a round links nothing, so the pairs of a round stay linear in the rows. A true pair is in about ten
+nodes of other components, for ``ROUNDS`` rounds or until one links nothing, so the pairs stay linear in the rows. A true pair is in about ten
 buckets and is lost only where each of those is a large bucket of many components, which needs most of both
 texts to be shared by many unrelated ones.
 
@@ -43,6 +43,7 @@ K = 5
 SIMILARITY = 0.8
 TABLES, PICKS = 24, 4
 SMALL = 12
+ROUNDS = 3
 
 _SEED = mix64(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _ODD = mix64(_SEED) | np.uint64(1)
@@ -273,7 +274,7 @@ def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None
     tried = cut(_pairs(best))
     links = _verified(tried, text)
     label, used = components(links), None
-    while True:
+    for _ in range(ROUNDS):
         lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                      .filter("x <> y").select("key"))
