@@ -9,11 +9,11 @@ J**PICKS: at 0.8 a pair is missed by all tables with probability (1 - 0.8**4)**2
 Equal word sequences are one node. Nodes that agree in a table are a bucket. A bucket does not emit its
 pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
 likely original of a family. The pairs are verified and linked nodes become components; a bucket that is
-one component is done. In the others small buckets pair all nodes of different components (at
-most ``SMALL`` nodes each), and large ones pair the next hub outside the components tried so far with all
-nodes of other components, for ``ROUNDS`` rounds or until one links nothing, so the pairs stay linear in the rows. A true pair is in about ten
-buckets and is lost only where each of those is a large bucket of many components, which needs most of both
-texts to be shared by many unrelated ones.
+one component is done. In the others small buckets (at most ``SMALL`` nodes) pair all nodes of different
+components. The nodes of the large ones are joined by a prefix filter on their shingle sets, rare shingles first,
+which brings together all pairs of different components with a Jaccard similarity of ``SIMILARITY``, however
+many unrelated texts share most of both. So no pair that meets in a bucket is lost; the pairs of a family that its
+hub does not link grow with the square of their number.
 
 Verification of a pair: the edit distance of the word sequences, found within a band of
 (1 - SIMILARITY) * length diagonals, leaves a similarity of at least ``SIMILARITY``, and the
@@ -43,7 +43,6 @@ K = 5
 SIMILARITY = 0.8
 TABLES, PICKS = 24, 4
 SMALL = 12
-ROUNDS = 3
 
 _SEED = mix64(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _ODD = mix64(_SEED) | np.uint64(1)
@@ -74,6 +73,17 @@ def kmers(words: list[bytes]) -> np.ndarray:
     return mix64(h)
 
 
+def shingle_set(words: list[bytes]) -> np.ndarray:
+    """Hashes of the distinct shingles of ``jaccard``."""
+    w = mix64(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)))
+    k = min(K, len(w))
+    with np.errstate(over="ignore"):
+        h = w[:len(w) - k + 1].copy()
+        for j in range(1, k):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + w[j:len(w) - k + 1 + j]
+    return np.unique(h)
+
+
 def sketch(h: np.ndarray) -> np.ndarray:
     """One key per table; a single key where all k-mers are picked anyway."""
     n = len(h)
@@ -183,6 +193,7 @@ def similar(a: list[bytes], b: list[bytes]) -> bool:
 
 _SKETCH = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
 _TEXT = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("z", pa.binary())])
+_SET = pa.schema([("node", pa.binary()), ("label", pa.binary()), ("n", pa.int32()), ("hs", pa.list_(pa.int64()))])
 _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
@@ -273,40 +284,61 @@ def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None
             .select("node", F.col("top.node").alias("hub")))
     tried = cut(_pairs(best))
     links = _verified(tried, text)
-    label, used = components(links), None
-    for _ in range(ROUNDS):
-        lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                     .filter("x <> y").select("key"))
-        lab = cut(lab.join(open_keys, "key"))
-        # The next hub of a large bucket: its best node outside the components of the hubs before.
-        large = lab.filter(F.col("size") > SMALL)
-        rest = large
-        if used is not None:
-            done = (used.join(label.withColumnRenamed("node", "hub"), "hub", "left")
-                    .select(F.col("key").alias("k2"), F.coalesce("label", "hub").alias("used")).distinct())
-            rest = large.join(done, (large["key"] == done["k2"]) & (large["label"] == done["used"]), "left_anti")
-        nxt = cut(rest.groupBy("key").agg(F.max(F.struct("score", "node", "label")).alias("top"))
-                  .select("key", F.col("top.node").alias("hub"), F.col("top.label").alias("l2")))
-        pairs = large.join(nxt, "key").filter("label <> l2").select("node", "hub")
-        if used is None:
-            small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
-            other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
-            pairs = pairs.unionAll(small.join(other, "key").filter("label < l2").select("node", "hub"))
-        pairs = cut(_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        hubs = nxt.select("key", "hub")
-        used = hubs if used is None else used.unionAll(hubs)
-        tried = tried.unionAll(pairs)
+    label = components(links)
+    lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                 .filter("x <> y").select("key"))
+    lab = cut(lab.join(open_keys, "key").select("key", "node", "size", "label"))
+    small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
+    other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
+    pairs = small.join(other, "key").filter("label < l2").select("node", "hub")
+    large = cut(lab.filter(F.col("size") > SMALL).select("node", "label").distinct())
+    if not large.isEmpty():
+        pairs = pairs.unionAll(_overlapping(large, text))
+    pairs = cut(_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
         more = _verified(pairs, text)
-        if more.isEmpty():
-            break
-        links = links.unionAll(more)
-        label = components(links)
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            label = components(links)
     return links, label
 
 
+def _overlapping(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (node, hub) of different labels among ``nodes`` (node, label): all whose shingle sets have a Jaccard
+    similarity of at least ``SIMILARITY`` and some that do not.
+
+    Each set is listed rare shingles first. For a pair at 4/5 the shared shingles are at least 4/9 of both sizes together,
+    so the first shared one stands at most at a ninth of the smaller set and a fifth of the larger, and what
+    follows it in each list is long enough. The pair meets at this shingle."""
+    def sets(it):
+        unz = zstandard.ZstdDecompressor()
+
+        def rows():
+            for b in it:
+                for x, label, z in zip(*(column_of(b, c) for c in ("node", "label", "z"))):
+                    h = shingle_set(unz.decompress(z).split())
+                    yield x, label, len(h), h.view(np.int64)
+        yield from batches(rows(), _SET, 500)
+
+    rows = cut(nodes.join(texts, "node").select("node", "label", "z")
+               .mapInArrow(sets, "node binary, label binary, n int, hs array<bigint>"))
+    one = rows.select("node", "label", "n", F.explode("hs").alias("h"))
+    often = one.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # Shingles of one set alone come first in its list; they are counted, not listed.
+    listed = (one.join(often, "h").groupBy("node", "label", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("l"))
+              .select("node", "label", "n", (F.col("n") - F.size("l")).alias("alone"), "l").filter("5 * alone <= n"))
+    at = cut(listed.select("node", "label", "n", "alone", F.posexplode("l").alias("i", "s"))
+             .select("node", "label", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), F.col("s.h").alias("h"))
+             .filter("5 * rest >= 4 * n"))
+    hub = at.select("h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"))
+    return (at.filter("9 * rest >= 8 * n").join(hub, "h")
+            .filter("label <> l2 and (n < n2 or n = n2 and node < hub) and 5 * n >= 4 * n2 "
+                    "and 9 * least(rest, rest2) >= 4 * (n + n2)")
+            .select("node", "hub").distinct())
+
+
 def _pairs(df: DataFrame) -> DataFrame:
     """Distinct unordered pairs (a < b) of (node, hub)."""
     return df.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()

@@ -123,3 +123,42 @@ def test_awkward_rows_and_clashing_columns(spark):
 def test_empty_table(spark):
     assert X.near_classes(docs(spark, [])).collect() == []
     assert X.dedup_near(docs(spark, [])).collect() == []
+
+
+def shared_passage(rng, pairs, passage):
+    """Pairs of short texts over one passage; texts of different pairs are close to similar, but not similar."""
+    head = words(rng, passage, 9000)
+    texts = []
+    for i in range(pairs):
+        tail = [f"t{i}x{j}" for j in range(rng.randrange(passage // 8 + 1, passage // 6 + 1))]
+        same = max(1, len(tail) - passage // 9)
+        texts += [" ".join([head, *tail]), " ".join([head, *tail[:same], *(f"u{i}x{j}" for j in range(len(tail) - same))])]
+    return texts
+
+
+@pytest.mark.parametrize("passage", [100, 200])
+def test_pairs_that_meet_only_in_large_buckets(spark, passage):
+    rng = random.Random(11)
+    n = 120
+    texts = [X.words_of(t.encode()) for t in shared_passage(rng, n, passage)]
+    assert all(X.similar(texts[2 * i], texts[2 * i + 1]) for i in range(n))
+    assert not any(X.similar(texts[2 * i], texts[2 * j]) for i in range(n) for j in range(0, i, 7))
+    rows = [(i, b" ".join(t).decode()) for i, t in enumerate(texts)]
+    got = {r["id"]: r["class_id"] for r in X.near_classes(docs(spark, rows)).collect()}
+    lost = sum(got[2 * i] != got[2 * i + 1] for i in range(n))
+    assert lost == 0
+    assert len(set(got.values())) == n
+
+
+def test_overlapping_sets_against_all_pairs(spark):
+    import zstandard
+    rng = random.Random(12)
+    texts = [*shared_passage(rng, 25, 100), *family(rng, 12, 60, 1), *family(rng, 12, 40, 2),
+             *("a b c d e f g h i".split()[:n] for n in (2, 4, 5, 6, 8, 9))]
+    texts = [(" ".join(t) if isinstance(t, list) else t).encode().split() for t in texts]
+    node = [f"{i:03d}".encode() for i in range(len(texts))]
+    packed = spark.createDataFrame([(x, bytearray(zstandard.compress(b" ".join(t)))) for x, t in zip(node, texts)], "node binary, z binary")
+    labels = spark.createDataFrame([(x, x) for x in node], "node binary, label binary")
+    got = {tuple(sorted((bytes(r["node"]), bytes(r["hub"])))) for r in X._overlapping(labels, packed).collect()}
+    want = {(node[j], node[i]) for i in range(len(texts)) for j in range(i) if X.jaccard(texts[i], texts[j]) >= X.SIMILARITY}
+    assert want and want <= got
