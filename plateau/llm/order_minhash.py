@@ -4,7 +4,9 @@ Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered. A text's k-mers are its run
 labelled by how often it has occurred before; in each of ``TABLES`` hash orders the ``PICKS`` least ones are
 taken and listed in the order of the text, so two texts agree in a table only if they share these
 k-mers in the same order. Two texts whose k-mers overlap by J agree in a table with a probability of about
-J**PICKS: at 0.8 a pair is missed by all tables with probability (1 - 0.8**4)**24 = 3e-6.
+J**PICKS: at 0.8 a pair of long texts is missed by all tables with probability (1 - 0.8**4)**24 = 3e-6, one of 10
+k-mers together with 6e-5. Texts of at most ``SHORT`` distinct k-mers also have keys for the set of these and
+for the set without each one: two that together have no more than that always meet.
 
 Equal word sequences are one node. Nodes that agree in a table are a bucket. A bucket does not emit its
 pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
@@ -43,6 +45,7 @@ K = 5
 SIMILARITY = 0.8
 TABLES, PICKS = 24, 4
 SMALL = 12
+SHORT = 9
 
 _SEED = mix64(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _ODD = mix64(_SEED) | np.uint64(1)
@@ -85,27 +88,39 @@ def shingle_set(words: list[bytes]) -> np.ndarray:
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
-    """One key per table; a single key where all k-mers are picked anyway."""
+    """One key per table; none where all k-mers are picked anyway (``short_keys`` has these)."""
     n = len(h)
-    if n == 0:
+    if n <= PICKS:
         return np.empty(0, np.int64)
     with np.errstate(over="ignore"):
-        if n <= PICKS:
-            at, salt = np.arange(n)[None, :], _SEED[:1]
-        else:
-            span = max(1, 2_000_000 // n)
-            parts = []
-            for t in range(0, TABLES, span):
-                v = (h[None, :] ^ _SEED[t:t + span, None]) * _ODD[t:t + span, None]
-                v ^= v >> np.uint64(32)
-                parts.append(np.argpartition(v, PICKS, axis=1)[:, :PICKS])
-            at, salt = np.sort(np.concatenate(parts), axis=1), _SEED
-        key = salt.copy()
-        for j in range(at.shape[1]):
+        span = max(1, 2_000_000 // n)
+        parts = []
+        for t in range(0, TABLES, span):
+            v = (h[None, :] ^ _SEED[t:t + span, None]) * _ODD[t:t + span, None]
+            v ^= v >> np.uint64(32)
+            parts.append(np.argpartition(v, PICKS, axis=1)[:, :PICKS])
+        at, key = np.sort(np.concatenate(parts), axis=1), _SEED.copy()
+        for j in range(PICKS):
             key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + h[at[:, j]])
     return key.view(np.int64)
 
 
+def short_keys(words: list[bytes]) -> np.ndarray:
+    """Keys of a text of at most ``SHORT`` distinct shingles: their set, and the set without each one. Two sets that
+    together have at most ``SHORT`` shingles and a Jaccard similarity of ``SIMILARITY`` differ by one at most."""
+    if not words:
+        return np.empty(0, np.int64)
+    v = shingle_set(words)
+    if len(v) > SHORT:
+        return np.empty(0, np.int64)
+    v = mix64(v ^ _SEED[0])
+    with np.errstate(over="ignore"):
+        whole = v.sum(dtype=np.uint64)
+        less = whole - v if len(v) > PICKS else v[:0]   # of fewer shingles one is too much
+        key = mix64(np.r_[whole, less] + np.r_[len(v), np.full(len(less), len(v) - 1)].astype(np.uint64) * _ODD[0])
+    return key.view(np.int64)
+
+
 def _node(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
@@ -231,7 +246,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for b in it:
                 for i, x, t in zip(*(column_of(b, c) for c in ("id", "text_hash", "t"))):
                     w = words_of(t)
-                    yield i, x, _node(w), sketch(kmers(w))
+                    yield i, x, _node(w), np.concatenate([sketch(kmers(w)), short_keys(w)])
         yield from batches(rows(), _SKETCH, 2000)
 
     rows = cut(src.mapInArrow(sketches, "id bigint, text_hash bigint, node binary, keys array<bigint>"))

@@ -162,3 +162,31 @@ def test_overlapping_sets_against_all_pairs(spark):
     got = {tuple(sorted((bytes(r["node"]), bytes(r["hub"])))) for r in X._overlapping(labels, packed).collect()}
     want = {(node[j], node[i]) for i in range(len(texts)) for j in range(i) if X.jaccard(texts[i], texts[j]) >= X.SIMILARITY}
     assert want and want <= got
+
+
+def test_short_texts_always_meet(spark):
+    """Sizes around the number of picks, one word more or less."""
+    rng = random.Random(13)
+    texts = []
+    for i in range(60):
+        w = [f"s{i}x{j}" for j in range(13)]
+        n = 8 + i % 5
+        texts += [w[:n], w[:n + 1]]
+    for i in range(20):     # few shingles, repeated
+        w = [f"r{i}"] * 5 if i % 2 else [f"r{i}", f"q{i}"] * 3
+        texts += [w, w + w[:1]]
+    texts = [" ".join(t).encode().split() for t in texts]
+    assert all(X.similar(texts[i], texts[i + 1]) for i in range(0, len(texts), 2))
+    rows = [(i, b" ".join(t).decode()) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    got = {r["id"]: r["class_id"] for r in X.near_classes(docs(spark, rows)).collect()}
+    assert [i for i in range(0, len(texts), 2) if got[i] != got[i + 1]] == []
+    assert len(set(got.values())) == len(texts) // 2
+
+
+def test_short_keys_differ_by_one():
+    w = [f"w{j}".encode() for j in range(20)]
+    for n in range(5, 14):
+        a, b = set(X.short_keys(w[:n]).tolist()), set(X.short_keys(w[:n + 1]).tolist())
+        assert bool(a & b) == (8 <= n < 13)
+    assert len(X.short_keys(w)) == 0 and len(X.short_keys([])) == 0
