@@ -72,6 +72,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0-deed": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "all-rights-reserved-line": "All rights reserved",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
 

@@ -72,3 +72,13 @@ def test_awkward_rows(spark):
     got = X.scan_licenses(df).collect()
     assert sorted((r["doc_id"] or 0, r["license_id"]) for r in got) == [(0, "MIT"), (20, "MIT"), (20, "MIT")]
     assert X.scan_licenses(docs(spark, [])).collect() == []
+
+
+def test_license_lines_of_the_documents(spark):
+    lines = {"All rights reserved.": "all-rights-reserved-line", "Released under the MIT License.": "MIT",
+             "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
+    rng = random.Random(6)
+    rows = [(i, words(rng, 40) + "\n" + line) for i, line in enumerate(lines)]
+    got = {r["doc_id"]: r["license_id"] for r in X.scan_licenses(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(lines.values()))
