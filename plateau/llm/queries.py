@@ -3,12 +3,16 @@ and derives the columns of its contract."""
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
 from plateau.llm.common import table
 from plateau.llm.registry import query
 
 _WS = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
 @query("op3_exact_dedup", sql=rf"""
@@ -84,3 +88,29 @@ def op1(spark, sf_dir):
 def op4(spark, sf_dir):
     from plateau.llm.piece_sampling import sample_segmentations
     return sample_segmentations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_decontaminate", sql=rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS ws
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS ws FROM benchmark),
+placed AS (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS p FROM i WHERE len(ws) > 0),
+win AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(ws[p:p + n - 1], ' ') AS window_text FROM placed),
+seen AS (SELECT uid, n, ws, unnest(range(1, len(ws) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n),
+hit AS MATERIALIZED (
+  SELECT s.uid, s.n, s.p, w.item_id FROM (SELECT uid, n, p, array_to_string(ws[p:p + n - 1], ' ') AS window_text FROM seen) s
+  JOIN win w ON s.n = w.n AND s.window_text = w.window_text),
+inside AS (SELECT DISTINCT uid, unnest(range(p, p + n)) AS word FROM hit),
+n_hits AS (SELECT uid, count(*) AS n_hit FROM inside GROUP BY uid),
+found AS (
+  SELECT uid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT uid, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY uid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n_hits USING (uid) LEFT JOIN found USING (uid)
+""")
+def op11(spark, sf_dir):
+    from plateau.llm.decontaminate import digest, scan
+    return digest(scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
