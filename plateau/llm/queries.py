@@ -4,6 +4,7 @@ and derives the columns of its contract."""
 from __future__ import annotations
 
 import string
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -114,3 +115,47 @@ FROM d LEFT JOIN n_hits USING (uid) LEFT JOIN found USING (uid)
 def op11(spark, sf_dir):
     from plateau.llm.decontaminate import digest, scan
     return digest(scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's change to the words of one document in ten: from a place on, its words repeat. A document without id
+    is left as it is."""
+    n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    root = words[a:a + p]
+    return words[:a] + (root * (-(-(n - a) // p)))[:n - a]
+
+
+@query("op12_runs", sql=rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(str_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                         lambda x, b: list_reduce(list_prepend(xor(x, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                                  lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295::BIGINT) AS h
+  FROM documents),
+g AS (SELECT uid, doc_id, ws, len(ws) AS n, h % 10 AS h10, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN h10 = 0 AND n > 0 THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+word AS MATERIALIZED (
+  SELECT uid, i, CASE WHEN a IS NULL OR i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END AS w, n
+  FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+same AS (SELECT x.uid, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.uid = y.uid AND x.w = y.w AND x.i < y.i AND 3 * (y.i - x.i) <= x.n),
+block AS (SELECT uid, q, i, i - row_number() OVER (PARTITION BY uid, q ORDER BY i) AS b FROM same),
+stretch AS (SELECT uid, q, min(i) AS s, count(*) + q AS m FROM block GROUP BY uid, q, b HAVING count(*) + q >= greatest(24, 3 * q)),
+run AS MATERIALIZED (SELECT uid, s, m, min(q) AS q FROM stretch GROUP BY uid, s, m),
+top AS (
+  SELECT uid, s, m, q FROM run QUALIFY row_number() OVER (PARTITION BY uid ORDER BY m::DOUBLE / q DESC, s, q) = 1),
+listed AS (SELECT uid, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM run GROUP BY uid),
+gone AS (SELECT DISTINCT uid, unnest(range(s + q, s + m)) AS i FROM run),
+kept AS (SELECT uid, string_agg(w, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (uid, i) GROUP BY uid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, m::BIGINT AS length, q::BIGINT AS period,
+       (1000 * m // q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN top USING (uid) LEFT JOIN listed USING (uid) LEFT JOIN kept USING (uid)
+""")
+def op12(spark, sf_dir):
+    from plateau.llm.runs import digest, find_runs
+    return digest(find_runs(table(spark, sf_dir, "documents"), rewrite=periodic_tail))
