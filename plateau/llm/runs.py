@@ -138,7 +138,8 @@ def _whole(w: np.ndarray, i: int, p: int) -> tuple[int, int]:
 def piece_runs(w: np.ndarray, min_len: int = MIN_LEN, min_exp: int = MIN_EXP) -> set[tuple[int, int, int]]:
     """(start, length, period) of all runs of an array of whole numbers."""
     kinds, w = np.unique(w, return_inverse=True)
-    found: dict[tuple[int, int, int], int] = {}               # with the place of a root
+    found: set[tuple[int, int, int]] = set()
+    roots: list[tuple[int, int]] = []
     reach = None
     for order in (w, len(kinds) - 1 - w):
         size = np.array(lyndon_array(order.tolist(), len(kinds)))
@@ -153,19 +154,19 @@ def piece_runs(w: np.ndarray, min_len: int = MIN_LEN, min_exp: int = MIN_EXP) ->
         p = size[at]
         lead, tail = reach.before(at, at + p), reach.after(at, at + p)
         total = lead + p + tail
-        good = total >= np.maximum(min_len, min_exp * p)
-        found |= dict(zip(zip((at - lead)[good].tolist(), total[good].tolist(), p[good].tolist()), at[good].tolist()))
-    out = set()
-    for (start, total, p), root in found.items():
-        end = start + total
-        exact = (np.array_equal(w[start:end - p], w[start + p:end]) and (start == 0 or w[start - 1] != w[start - 1 + p])
-                 and (end == len(w) or w[end] != w[end - p]))
-        if not exact:                                         # two hashes agreed by chance
-            start, end = _whole(w, root, p)
-            total = end - start
-        if total >= max(min_len, min_exp * p):
-            out.add((start, total, p))
-    return out
+        good = total >= np.maximum(min_len, min_exp * p)      # a hash can only make it longer
+        found |= set(zip((at - lead)[good].tolist(), total[good].tolist(), p[good].tolist()))
+        roots += zip(at[good].tolist(), p[good].tolist())
+    if all(_is_run(w, *x) for x in found):
+        return found
+    exact = ((*_whole(w, i, p), p) for i, p in roots)         # two hashes agreed by chance
+    return {(a, b - a, p) for a, b, p in exact if b - a >= max(min_len, min_exp * p)}
+
+
+def _is_run(w: np.ndarray, start: int, size: int, p: int) -> bool:
+    end = start + size
+    return bool(np.array_equal(w[start:end - p], w[start + p:end]) and (start == 0 or w[start - 1] != w[start - 1 + p])
+                and (end == len(w) or w[end] != w[end - p]))
 
 
 def _pieces(codes: np.ndarray, need: int, min_len: int):
