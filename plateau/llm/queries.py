@@ -159,3 +159,34 @@ FROM d LEFT JOIN top USING (uid) LEFT JOIN listed USING (uid) LEFT JOIN kept USI
 def op12(spark, sf_dir):
     from plateau.llm.runs import digest, find_runs
     return digest(find_runs(table(spark, sf_dir, "documents"), rewrite=periodic_tail))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Rounds of full searches, one after another: near<r> has every vector's centroid in c<r>, the next c the means."""
+    near = """near{r} AS MATERIALIZED (
+  SELECT k.rid, c.j, list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM kept k, c{r} c QUALIFY row_number() OVER (PARTITION BY k.rid ORDER BY d, c.j) = 1)"""
+    mean = """sum{n} AS (SELECT j, i, sum(x)::BIGINT AS s, count(*) AS m FROM (
+    SELECT j, unnest(v) AS x, unnest(range(64)) AS i FROM near{r} JOIN kept USING (rid)) GROUP BY j, i),
+mean{n} AS (SELECT j, list((s - ((s % m + m) % m)) // m ORDER BY i) AS v FROM sum{n} GROUP BY j),
+c{n} AS MATERIALIZED (SELECT c.j, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN mean{n} m USING (j))"""
+    steps = [near.format(r=r) + ("," + mean.format(r=r, n=r + 1) if r < rounds else "") for r in range(rounds + 1)]
+    return ",\n".join(steps)
+
+
+@query("op13_centroid_clusters", sql=rf"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), v) - 1 AS j, v FROM kept QUALIFY j < 16),
+{_lloyd_sql(3)},
+part AS (SELECT j, sum(d)::BIGINT AS cluster_inertia FROM near3 GROUP BY j)
+SELECT vec_id, j::INTEGER AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM near3) AS inertia,
+       sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM near3 JOIN kept USING (rid) JOIN part USING (j) JOIN c3 USING (j)
+""")
+def op13(spark, sf_dir):
+    from plateau.llm.centroid_clusters import cluster, digest
+    found, history = cluster(table(spark, sf_dir, "embeddings"))
+    return digest(found, history[-1])
