@@ -64,6 +64,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_code() -> None:
+    """Functions of this package travel to the executors by value: they need no copy of it."""
+    import plateau
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(plateau)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote for itself, wherever it is stored."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All calendar logic in this library is defined in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
