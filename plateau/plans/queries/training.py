@@ -111,7 +111,10 @@ def n02_class_counts(spark, sf_dir):
     return PR.class_counts(_pairs(spark, sf_dir))
 
 
-@query("P08_eligible_pairs", _sql("SELECT * FROM elig", _PAIR_T))
+@query("P08_eligible_pairs", _sql("""
+, one AS MATERIALIZED (SELECT DISTINCT user_id FROM pos WHERE label = 1.0),
+known AS MATERIALIZED (SELECT DISTINCT user_id FROM i)
+SELECT p.* FROM pairs p JOIN one USING (user_id) JOIN known USING (user_id)""", _PAIR_T))
 def p08_eligible_pairs(spark, sf_dir):
     """Pairs of users with at least one pair labelled exactly 1 (D2, rule 'eq1')."""
     return _elig(spark, sf_dir)
