@@ -176,6 +176,63 @@ def funnel(recipe_events: DataFrame, steps: list[str] | None = None) -> DataFram
             .withColumn("percentage", F.col("users") / F.col("_total") * 100).drop("_total"))
 
 
+# The groupings of the one-scan report.
+_SETS = ("event", "day_of_week", "is_weekend", "date", "hour", "device_id", USER)
+
+
+def activity_sets(events: DataFrame) -> DataFrame:
+    """Counts of events and recipe events for every grouping the report needs, from one scan: GROUPING SETS over one calendar
+    projection. Each row is expanded once per set and reduced in its map task before the shuffle; ``gid`` names the set."""
+    ev = with_calendar(events).select(*_SETS, F.col("event").isin(EDA_RECIPE_EVENTS).alias("_recipe"))
+    sets = [[], *[[c] for c in _SETS], ["event", USER]]
+    cols = [F.col(c) for c in _SETS]
+    return (ev.groupingSets([[F.col(c) for c in s] for s in sets], *cols)
+            .agg(F.grouping_id(*cols).alias("gid"), F.count(F.lit(1)).alias("n"), F.sum(F.col("_recipe").cast("bigint")).alias("recipe")))
+
+
+def _gid(*cols: str) -> int:
+    """The grouping id of a set: a bit is 1 for every column that is summed over."""
+    return sum(1 << i for i, c in enumerate(reversed(_SETS)) if c not in cols)
+
+
+def report(sets: DataFrame) -> DataFrame:
+    """(report, key, n, users) from the rows of ``activity_sets``: one more aggregate over groups, not events."""
+    name = F.when(F.col("gid") == _gid(), "total")
+    for c, out in (("event", "event"), ("day_of_week", "weekday"), ("is_weekend", "weekend"), ("date", "date"), ("hour", "hour"),
+                   ("device_id", "devices"), (USER, "users")):
+        name = name.when(F.col("gid") == _gid(c), out)
+    name = name.when(F.col("gid") == _gid("event", USER), "pair")
+    bucket = None
+    for lo, hi, label in ENGAGEMENT_BUCKETS:
+        inside = (F.col("recipe") >= lo) if hi is None else F.col("recipe").between(lo, hi)
+        bucket = F.when(inside, label) if bucket is None else bucket.when(inside, label)
+    text = lambda c: F.col(c).cast("string")
+    one = F.lit(1).cast("bigint")
+    none, no_key = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+
+    def entry(when, what, key, n, users):
+        return F.when(when, F.struct(F.lit(what).alias("report"), key.alias("key"), n.alias("n"), users.alias("users")))
+    is_ = lambda x: F.col("_set") == x
+    known = F.col(USER).isNotNull()
+    seen = F.when(known, one).otherwise(0)
+    rows = F.array(
+        entry(is_("total"), "total", no_key, F.col("n"), none),
+        entry(is_("event"), "event", text("event"), F.col("n"), F.lit(0).cast("bigint")),
+        entry(is_("pair"), "event", text("event"), F.lit(0).cast("bigint"), seen),
+        entry(is_("event") & (F.col("recipe") > 0), "recipe_event", text("event"), F.col("recipe"), F.lit(0).cast("bigint")),
+        entry(is_("pair") & (F.col("recipe") > 0), "recipe_event", text("event"), F.lit(0).cast("bigint"), seen),
+        entry(is_("weekday"), "weekday", text("day_of_week"), F.col("n"), none),
+        entry(is_("weekend"), "weekend", text("is_weekend"), F.col("n"), none),
+        entry(is_("date"), "date", text("date"), F.col("n"), none),
+        entry(is_("hour"), "hour", text("hour"), F.col("n"), none),
+        entry(is_("users"), "segment", segment_of(F.col("n")), F.col("n"), one),
+        entry(is_("users") & (F.col("recipe") > 0), "bucket", bucket, F.col("recipe"), one),
+        entry(is_("users"), "users", no_key, none, seen),
+        entry(is_("devices"), "devices", no_key, none, F.when(F.col("device_id").isNotNull(), one).otherwise(0)))
+    flat = sets.withColumn("_set", name).select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select("x.*")
+    return flat.groupBy("report", "key").agg(F.sum("n").alias("n"), F.sum("users").alias("users"))
+
+
 def insights(events: DataFrame, recipe_events: DataFrame, summary: DataFrame) -> DataFrame:
     """One-row insights report (A15): engagement share, cold-start users, sparsity
     (users x event types, as the reference; plus users x items), interactions per engaged

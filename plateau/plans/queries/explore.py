@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from plateau.config import EDA_RECIPE_EVENTS, INGREDIENT_EVENTS
 from plateau.operators import explore as E
 from plateau.plans.canonical import canon_sql
+from plateau.plans.clean_events import combined_events_from_lines
 from plateau.plans.queries.events import SQL_COMBINED, combined
 from plateau.plans.registry import query
+from plateau.session import checkpoint_dir
 from plateau.sources import fixtures as X
+from plateau.streaming import running_totals as RT
+from plateau.streaming.events_stream import stream_lines
 
 _REC = ", ".join(f"'{e}'" for e in EDA_RECIPE_EVENTS)
 
@@ -198,7 +204,7 @@ def a15_insights(spark, sf_dir):
     return E.insights(ev, E.recipe_event_rows(ev), E.user_activity_summary(ev))
 
 
-@query("A18_user_summary", _q("""
+_A18_SQL = """
 SELECT b.*, greatest(1, floor((last_seen - first_seen) / 86400)) AS days_active, m.event_types
 FROM (SELECT distinct_id, count(*) AS total_events,
              count(*) FILTER (WHERE event IN ('Recipe Viewed', 'Recipe Link Clicked', 'Recipe Favourited',
@@ -208,11 +214,53 @@ FROM (SELECT distinct_id, count(*) AS total_events,
       FROM ev GROUP BY distinct_id) b
 JOIN (SELECT distinct_id, '{' || string_agg('"' || event || '":' || n, ',' ORDER BY event) || '}' AS event_types
       FROM (SELECT distinct_id, event, count(*) AS n FROM ev GROUP BY ALL) GROUP BY distinct_id) m USING (distinct_id)
-""", {"total_events": "i", "recipe_events": "i", "first_seen": "d", "last_seen": "d", "days_active": "i"}))
+"""
+_A18_TYPES = {"total_events": "i", "recipe_events": "i", "first_seen": "d", "last_seen": "d", "days_active": "i"}
+
+
+@query("A18_user_summary", _q(_A18_SQL, _A18_TYPES))
 def a18_user_summary(spark, sf_dir):
     return E.user_summary(combined(spark, sf_dir))
 
 
+@query("A18_running_totals", _q(_A18_SQL, _A18_TYPES))
+def a18_running_totals(spark, sf_dir):
+    """The same summary from a stateful stream over the raw lines, a few files per micro-batch (S06): totals per
+    (user, event) after the last batch."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/totals-{uuid.uuid4().hex}"
+    for v in ("v1", "v2"):
+        X.raw_event_lines(spark, sf_dir, v).repartition(4).write.text(f"{base}/{v}")
+    events = combined_events_from_lines(stream_lines(spark, f"{base}/v1", 2), stream_lines(spark, f"{base}/v2", 2))
+    RT.start_running_totals(events, f"{base}/out", f"{base}/_state").awaitTermination()
+    return RT.summary_of(RT.latest_totals(spark, f"{base}/out"))
+
+
+_ONE = """
+SELECT 'total' AS report, NULL AS key, n, NULL AS users FROM (SELECT count(*) AS n FROM ev)
+UNION ALL SELECT 'event', event, count(*), count(DISTINCT distinct_id) FROM ev GROUP BY event
+UNION ALL SELECT 'recipe_event', event, count(*), count(DISTINCT distinct_id) FROM rec GROUP BY event
+UNION ALL SELECT 'weekday', day_of_week, count(*), NULL FROM ev GROUP BY day_of_week
+UNION ALL SELECT 'weekend', CAST(is_weekend AS VARCHAR), count(*), NULL FROM ev GROUP BY is_weekend
+UNION ALL SELECT 'date', CAST(date AS VARCHAR), count(*), NULL FROM ev GROUP BY date
+UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), count(*), NULL FROM ev GROUP BY hour
+UNION ALL SELECT 'segment', segment, sum(n), count(*) FROM (
+  SELECT count(*) AS n, CASE WHEN count(*) <= 1 THEN 'One-time User' WHEN count(*) <= 5 THEN 'Light User'
+    WHEN count(*) <= 20 THEN 'Moderate User' WHEN count(*) <= 50 THEN 'Active User' ELSE 'Power User' END AS segment
+  FROM ev GROUP BY distinct_id) GROUP BY segment
+UNION ALL SELECT 'bucket', bucket, sum(n), count(*) FROM (
+  SELECT count(*) AS n, CASE WHEN count(*) = 1 THEN '1' WHEN count(*) <= 5 THEN '2-5' WHEN count(*) <= 10 THEN '6-10' ELSE '>10' END AS bucket
+  FROM rec GROUP BY distinct_id) GROUP BY bucket
+UNION ALL SELECT 'users', NULL, NULL, count(DISTINCT distinct_id) FROM ev
+UNION ALL SELECT 'devices', NULL, NULL, count(DISTINCT device_id) FROM ev
+"""
+
+
+@query("A10_report_in_one_scan", _q(_ONE, {"n": "i", "users": "i"}))
+def a10_report_in_one_scan(spark, sf_dir):
+    """Totals, event shares, calendar counts, segments and engagement buckets (A10-A14, A16, W06) from one scan."""
+    return E.report(E.activity_sets(combined(spark, sf_dir)))
+
+
 @query("A28_interaction_range", canon_sql(f"""
 SELECT user_id, count(*) AS n_interactions,
        strftime(make_timestamp(CAST(min("timestamp") * 1000000 AS BIGINT)), '%Y-%m-%d') || ' to ' ||
