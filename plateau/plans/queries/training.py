@@ -3,7 +3,7 @@ N02, P08, X07, I03, L01-L03, S09, S11-S13)."""
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -15,7 +15,7 @@ from plateau.operators.profiles import user_profiles
 from plateau.plans.canonical import canon_sql
 from plateau.plans.queries.sql_training import AS_OF, FEATURE_TYPES, ctes
 from plateau.plans.registry import query
-from plateau.session import hold
+from plateau.session import checkpoint_dir, hold
 from plateau.sources import fixtures as X
 from plateau.sources import io as IO
 
@@ -104,6 +104,20 @@ def n02_user_item_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
 
+@query("S08_bucketed_join", _sql("""
+SELECT p.*, f.total_interactions, f.avg_rating, f.activity_days FROM pairs p JOIN prof f USING (user_id)""",
+                                 {**_PAIR_T, "total_interactions": "i", "avg_rating": "d", "activity_days": "i"}))
+def s08_bucketed_join(spark, sf_dir):
+    """All pairs with their users' profiles, both written bucketed by user: the join moves neither."""
+    i, _, _ = _inputs(spark, sf_dir)
+    base, tag = checkpoint_dir(spark).rstrip("/"), uuid.uuid4().hex
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = IO.write_bucketed(_pairs(spark, sf_dir), f"pairs_{tag}", f"{base}/pairs-{tag}", ["user_id"], n)
+    prof = IO.write_bucketed(user_profiles(i).select("user_id", "total_interactions", "avg_rating", "activity_days"), f"profiles_{tag}",
+                             f"{base}/profiles-{tag}", ["user_id"], n)
+    return pairs.join(prof.hint("merge"), "user_id")
+
+
 @query("N02_class_counts", _sql("""
 SELECT label > 0 AS positive, count(*) AS pairs, count(*) / (SELECT count(*) FROM pairs) * 100 AS percentage
 FROM pairs GROUP BY ALL""", {"pairs": "i", "percentage": "d"}))
@@ -209,14 +223,23 @@ def s11_validate_missing(spark, sf_dir):
     return IO.validate(_inputs(spark, sf_dir)[1], ["recipe_id", "no_such_column", "recipe_name", "nor_this"])
 
 
+_RECIPE_COLUMNS = ("recipe_id", "recipe_name", "author_id", "author_name", "total_time", "servings", "tags", "description", "recipe_url")
+
+
+def _first_sql(cols) -> str:
+    return "concat_ws(chr(10), " + ", ".join(f"'{c}: ' || CAST({c} AS VARCHAR)" for c in cols) + ")"
+
+
 @query("S13_source_summary", canon_sql(f"""
 WITH r AS ({X.SQL_CATALOG_RAW}), g AS ({X.SQL_INGREDIENTS}), b AS ({X.SQL_BRIDGE})
 SELECT t.*, (SELECT count(DISTINCT recipe_id) FROM b) AS bridge_recipes,
        (SELECT count(DISTINCT ingredient_id) FROM b) AS bridge_ingredients
 FROM (SELECT 'recipes' AS "table", (SELECT count(*) FROM r) AS rows, 9 AS n_columns,
-             'recipe_id,recipe_name,author_id,author_name,total_time,servings,tags,description,recipe_url' AS columns
-      UNION ALL SELECT 'ingredients', (SELECT count(*) FROM g), 2, 'id,name'
-      UNION ALL SELECT 'recipe_ingredients', (SELECT count(*) FROM b), 2, 'recipe_id,ingredient_id') t
+             'recipe_id,recipe_name,author_id,author_name,total_time,servings,tags,description,recipe_url' AS columns,
+             (SELECT {_first_sql(_RECIPE_COLUMNS)} FROM r ORDER BY recipe_id LIMIT 1) AS first_row
+      UNION ALL SELECT 'ingredients', (SELECT count(*) FROM g), 2, 'id,name', (SELECT {_first_sql(("id", "name"))} FROM g ORDER BY id LIMIT 1)
+      UNION ALL SELECT 'recipe_ingredients', (SELECT count(*) FROM b), 2, 'recipe_id,ingredient_id',
+             (SELECT {_first_sql(("recipe_id", "ingredient_id"))} FROM b ORDER BY recipe_id, ingredient_id LIMIT 1)) t
 """, {"rows": "i", "n_columns": "i", "bridge_recipes": "i", "bridge_ingredients": "i"}))
 def s13_source_summary(spark, sf_dir):
     return IO.source_summary(X.catalog_raw(spark, sf_dir), X.ingredients(spark, sf_dir), X.bridge(spark, sf_dir))
@@ -268,10 +291,12 @@ SELECT split, label, count(*) AS rows, count(DISTINCT user_id) AS users, avg(ing
 FROM sp GROUP BY ALL""", {"label": "d", "rows": "i", "users": "i", "mean_similarity": "d"}))
 def t03_training_data_report(spark, sf_dir):
     """End-to-end training-data job (T03): rows, users and mean similarity per split and label."""
-    from plateau.plans.training_data import build_training_data
+    from plateau.plans.training_data import build_training_data, write_training_data
     i, _, br = _inputs(spark, sf_dir)
     td = build_training_data(i, X.catalog_raw(spark, sf_dir), br, as_of=AS_OF)
-    return td.features.groupBy("split", "label").agg(
+    out = f"{checkpoint_dir(spark).rstrip('/')}/training-{uuid.uuid4().hex}"
+    write_training_data(td, out)          # the feature plan runs once; the report reads its files
+    return spark.read.parquet(f"{out}/features").groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"),
         F.avg("ingredient_similarity_score").alias("mean_similarity"))
 
@@ -291,11 +316,8 @@ FROM sp LEFT JOIN fr ON fr.a = coalesce(sp.author_id, 'unknown') LEFT JOIN nt US
 def t03_text_features(spark, sf_dir):
     """The job with its text step, written and read back by split: author frequencies fitted on the train items,
     name hashing of the catalog (a name's buckets sum to its terms)."""
-    import uuid
-
     from plateau.operators.text import Encoder
     from plateau.plans.training_data import build_training_data, write_training_data
-    from plateau.session import checkpoint_dir
     i, _, br = _inputs(spark, sf_dir)
     td = build_training_data(i, X.catalog_raw(spark, sf_dir), br, as_of=AS_OF,
                              encoders=(Encoder("author_id", "freq", "author_id_freq"), Encoder("recipe_name", "hashing", "name_hash_", 16)))

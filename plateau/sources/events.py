@@ -60,7 +60,7 @@ def parse_event_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     v = F.col(text_col)
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", _S)])
     parsed = F.from_json(v, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    rows = (lines.filter(F.ltrim(v).startswith("{"))
+    rows = (lines.filter(v.rlike(r"^\s*\{"))
             .select(v.alias("_line"), F.explode(F.array(parsed)).alias("e")))
     ok = F.when(F.col("e._corrupt").isNull(), True).otherwise(F.json_object_keys("_line").isNotNull())
     return rows.filter(ok).select(*[F.col(f"e.`{f.name}`") for f in EVENT_SCHEMA.fields])

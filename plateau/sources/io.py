@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int, sort: list[str] | None = None) -> DataFrame:
+    """Table sink for repeated joins (S08): Parquet files under ``path`` bucketed by ``keys`` and sorted inside, known to the
+    session's catalog as ``name``. Tables of the same buckets join on the keys without moving either. Returns the table."""
+    # One task per bucket: a bucket is one file, so that its order holds.
+    dealt = df.repartition(buckets, *keys)
+    (dealt.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*(sort or keys)).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replaces only the partitions that ``df`` has rows of (S08); the others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], partition_by: list[str] | None = None) -> dict:
+    """Writes a table and returns aggregates of its rows taken in the same pass (S09, L03): the plan runs once."""
+    seen = Observation()
+    out = df.observe(seen, *[c.alias(k) for k, c in metrics.items()])
+    write_table(out, path, partition_by=partition_by)
+    return seen.get
+
+
 def training_metadata(df: DataFrame, feature_cols: list[str] | None = None, label: str = "label") -> DataFrame:
     """One row: total samples, users, items, number of features, positive ratio
     (share of ``label == 1``, as the reference), feature list (S09)."""
@@ -103,12 +126,14 @@ def profile(df: DataFrame, label: str | None = None) -> DataFrame:
 
 
 def source_summary(recipes: DataFrame, ingredients: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Rows and columns per source table plus bridge coverage."""
+    """Rows, columns and first row per source table plus bridge coverage (S13), one aggregate per table."""
     rows = []
-    for name, d in (("recipes", recipes), ("ingredients", ingredients), ("recipe_ingredients", bridge)):
-        rows.append(d.agg(F.count(F.lit(1)).alias("rows")).select(
+    for name, d, key in (("recipes", recipes, F.col("recipe_id")), ("ingredients", ingredients, F.col("id")),
+                         ("recipe_ingredients", bridge, F.struct("recipe_id", "ingredient_id"))):
+        text = F.concat_ws("\n", *[F.concat(F.lit(f"{c}: "), F.col(f"`{c}`").cast("string")) for c in d.columns])
+        rows.append(d.agg(F.count(F.lit(1)).alias("rows"), F.min_by(text, key).alias("first_row")).select(
             F.lit(name).alias("table"), "rows", F.lit(len(d.columns)).cast("bigint").alias("n_columns"),
-            F.lit(",".join(d.columns)).alias("columns")))
+            F.lit(",".join(d.columns)).alias("columns"), "first_row"))
     out = rows[0].unionByName(rows[1]).unionByName(rows[2])
     cov = bridge.agg(F.countDistinct("recipe_id").alias("bridge_recipes"),
                      F.countDistinct("ingredient_id").alias("bridge_ingredients"))

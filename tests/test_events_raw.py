@@ -12,9 +12,9 @@ LINE = '{"event": "Recipe Viewed", "distinct_id": "u", "properties": {"time": %s
 def test_times_and_counts_of_any_json_type(spark):
     lines = [LINE % ("1704528000", "5", "[]"), LINE % ("1704528000.5", '"6"', '"a,b"'), LINE % ('"1704528000"', "null", "{}"),
              LINE % ('"soon"', "1", "1"), "", "  ", "[1, 2]", '"text"', '{"event": "Recipe Viewed"', "nonsense",
-             '{"event": "Recipe Viewed", "properties": "none"}', '  {"event": null, "properties": {"time": 1}}']
+             '{"event": "Recipe Viewed", "properties": "none"}', '  {"event": null, "properties": {"time": 1}}', '\t{"event": "Tabbed"}', "\t\t"]
     df = parse_event_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
-    assert df.count() == 6
+    assert df.count() == 7
     got = sorted((r.timestamp, r.recipe_total_ingredients or 0) for r in extract_interactions(df, "v1").collect())
     assert got == [(1704528000.0, 0), (1704528000.0, 5), (1704528000.5, 6)]
 
