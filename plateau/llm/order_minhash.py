@@ -11,11 +11,16 @@ for the set without each one: two that together have no more than that always me
 Equal word sequences are one node. Nodes that agree in a table are a bucket. A bucket does not emit its
 pairs. First every node is paired with one hub: over all its buckets the node that meets most others, the
 likely original of a family. The pairs are verified and linked nodes become components; a bucket that is
-one component is done. In the others small buckets (at most ``SMALL`` nodes) pair all nodes of different
-components. The nodes of the large ones are joined by a prefix filter on their shingle sets, rare shingles first,
-which brings together all pairs of different components with a Jaccard similarity of ``SIMILARITY``, however
-many unrelated texts share most of both. So no pair that meets in a bucket is lost; the pairs of a family that its
-hub does not link grow with the square of their number.
+one component is done. The nodes of all other buckets, whatever their size, are joined exactly: every pair of different
+components whose shingle sets have a Jaccard similarity of ``SIMILARITY`` is brought together, in one of two ways.
+
+* Nodes with the same hub are described by their difference from it, the shingles that only one of the two has. Two sets are
+  similar if at most a ninth of both sizes together lies in one of them only; with differences of d and e shingles they must
+  share at least half of d + e less that ninth. Members of a family with changes of their own share few, so a prefix
+  filter on the differences (rare ones first) leaves nearly no pair, where a filter on the sets would meet all at the
+  common core. Pairs so near that no shared difference is needed have a member that lies as near to the hub; they are
+  taken directly where that one was not linked to it (its words stand in another order).
+* Nodes with different hubs are joined by a prefix filter on their sets, rare shingles first.
 
 Verification of a pair: the edit distance of the word sequences, found within a band of
 (1 - SIMILARITY) * length diagonals, leaves a similarity of at least ``SIMILARITY``, and the
@@ -44,7 +49,6 @@ from plateau.llm.components import components
 K = 5
 SIMILARITY = 0.8
 TABLES, PICKS = 24, 4
-SMALL = 12
 SHORT = 9
 
 _SEED = mix64(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -208,7 +212,8 @@ def similar(a: list[bytes], b: list[bytes]) -> bool:
 
 _SKETCH = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
 _TEXT = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("z", pa.binary())])
-_SET = pa.schema([("node", pa.binary()), ("label", pa.binary()), ("n", pa.int32()), ("hs", pa.list_(pa.int64()))])
+_SET = pa.schema([("node", pa.binary()), ("label", pa.binary()), ("ref", pa.binary()), ("ref_label", pa.binary()), ("n", pa.int32()),
+                  ("m", pa.int32()), ("hs", pa.list_(pa.int64())), ("ds", pa.list_(pa.int64()))])
 _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
@@ -235,8 +240,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, text_hash, class_id, class_size, n_links (verified links of its
-    text to other texts), kept."""
+    """One row per document: id, text_hash, class_id, class_size, n_links (verified links of its text from which the class was
+    built: to its hub, and those that join components), kept."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"),
                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_hash"),
                       text_bytes(text_col).alias("t"))
@@ -304,13 +309,12 @@ def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None
     open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                  .filter("x <> y").select("key"))
     lab = cut(lab.join(open_keys, "key").select("key", "node", "size", "label"))
-    small = lab.filter(F.col("size") <= SMALL).select("key", "node", "label")
-    other = small.select("key", F.col("node").alias("hub"), F.col("label").alias("l2"))
-    pairs = small.join(other, "key").filter("label < l2").select("node", "hub")
-    large = cut(lab.filter(F.col("size") > SMALL).select("node", "label").distinct())
-    if not large.isEmpty():
-        pairs = pairs.unionAll(_overlapping(large, text))
-    pairs = cut(_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
+    refs = lab.select("node", "label").distinct().join(best, "node", "left").select("node", "label", F.coalesce("hub", "node").alias("ref"))
+    of_ref = label.select(F.col("node").alias("ref"), F.col("label").alias("ref_label"))
+    nodes = cut(refs.join(of_ref, "ref", "left").withColumn("ref_label", F.coalesce("ref_label", "ref")))
+    if nodes.isEmpty():
+        return links, label
+    pairs = cut(_pairs(_near_pairs(nodes, text)).join(tried, ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         more = _verified(pairs, text)
         if not more.isEmpty():
@@ -319,37 +323,72 @@ def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None
     return links, label
 
 
-def _overlapping(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (node, hub) of different labels among ``nodes`` (node, label): all whose shingle sets have a Jaccard
-    similarity of at least ``SIMILARITY`` and some that do not.
-
-    Each set is listed rare shingles first. For a pair at 4/5 the shared shingles are at least 4/9 of both sizes together,
-    so the first shared one stands at most at a ninth of the smaller set and a fifth of the larger, and what
-    follows it in each list is long enough. The pair meets at this shingle."""
+def _near_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (node, hub) of different labels among ``nodes`` (node, label, ref, ref_label): all whose shingle sets have a
+    Jaccard similarity of at least ``SIMILARITY`` and some that do not."""
     def sets(it):
-        unz = zstandard.ZstdDecompressor()
+        unz, known = zstandard.ZstdDecompressor(), {}
 
         def rows():
             for b in it:
-                for x, label, z in zip(*(column_of(b, c) for c in ("node", "label", "z"))):
+                for x, label, ref, ref_label, z, zr in zip(*(column_of(b, c) for c in ("node", "label", "ref", "ref_label", "z", "zr"))):
+                    if ref not in known:
+                        if len(known) >= 64:
+                            known.clear()
+                        known[ref] = shingle_set(unz.decompress(zr).split())
                     h = shingle_set(unz.decompress(z).split())
-                    yield x, label, len(h), h.view(np.int64)
+                    d = np.setxor1d(h, known[ref])
+                    yield x, label, ref, ref_label, len(h), len(known[ref]), h.view(np.int64), d.view(np.int64)
         yield from batches(rows(), _SET, 500)
 
-    rows = cut(nodes.join(texts, "node").select("node", "label", "z")
-               .mapInArrow(sets, "node binary, label binary, n int, hs array<bigint>"))
-    one = rows.select("node", "label", "n", F.explode("hs").alias("h"))
-    often = one.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    both = (nodes.join(texts, "node").join(texts.select(F.col("node").alias("ref"), F.col("z").alias("zr")), "ref")
+            .select("node", "label", "ref", "ref_label", "z", "zr"))
+    rows = cut(both.mapInArrow(sets, "node binary, label binary, ref binary, ref_label binary, n int, m int, hs array<bigint>, ds array<bigint>"))
+    return _within_families(rows).unionAll(_across_families(rows))
+
+
+def _within_families(rows: DataFrame) -> DataFrame:
+    """Pairs with the same ref. With differences of d and d2 shingles from it, sets of n and n2 are similar if and only if
+    they share at least (d + d2 - (n + n2) / 9) / 2 of these. The first shared one in the common order is followed by the
+    others in both lists; ``rest`` counts what a list still has there, shingles of one set alone not counted. As no list
+    shares more than it has, a node must keep at least d - (n + n2) / 9 >= d - n / 4."""
+    one = rows.select("node", "label", "ref", "n", F.size("ds").alias("d"), F.explode("ds").alias("h"))
+    often = one.groupBy("ref", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    listed = (one.join(often, ["ref", "h"]).groupBy("node", "label", "ref", "n", "d")
+              .agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("l")))
+    at = cut(listed.select("node", "label", "ref", "n", "d", F.size("l").alias("s"), F.posexplode("l").alias("i", "x"))
+             .select("node", "label", "ref", "n", "d", (F.col("s") - F.col("i")).alias("rest"), F.col("x.h").alias("h"))
+             .filter("4 * rest >= 4 * d - n"))
+    hub = at.select("ref", "h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("n").alias("n2"), F.col("d").alias("d2"),
+                    F.col("rest").alias("rest2"))
+    alike = "label <> l2 and 5 * least(n, n2) >= 4 * greatest(n, n2)"
+    met = (at.join(hub, ["ref", "h"]).filter(f"node < hub and {alike} and 18 * least(rest, rest2) >= 9 * (d + d2) - (n + n2)")
+           .select("node", "hub").distinct())
+    # Near to the ref in words but not linked to it.
+    sized = rows.select("node", "label", "ref", "ref_label", "n", "m", F.size("ds").alias("d"))
+    turned = sized.filter("label <> ref_label and 9 * d <= n + m").select("node", "label", "ref", "n", "d")
+    near = sized.select("ref", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("n").alias("n2"), F.col("d").alias("d2"))
+    return met.unionAll(turned.join(near, "ref").filter(f"{alike} and 9 * (d + d2) <= n + n2").select("node", "hub"))
+
+
+def _across_families(rows: DataFrame) -> DataFrame:
+    """Pairs with different refs. Each set is listed rare shingles first. For a pair at 4/5 the shared shingles are at least
+    4/9 of both sizes together, so the first shared one stands at most at a ninth of the smaller set and a fifth of the
+    larger, and what follows it in each list is long enough. The pair meets at this shingle."""
+    one = rows.select("node", "label", "ref", "n", F.explode("hs").alias("h"))
+    often = (one.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("ref").alias("x"), F.max("ref").alias("y"))
+             .filter("c > 1").withColumn("meets", F.col("x") != F.col("y")).drop("x", "y"))
     # Shingles of one set alone come first in its list; they are counted, not listed.
-    listed = (one.join(often, "h").groupBy("node", "label", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("l"))
-              .select("node", "label", "n", (F.col("n") - F.size("l")).alias("alone"), "l").filter("5 * alone <= n"))
-    at = cut(listed.select("node", "label", "n", "alone", F.posexplode("l").alias("i", "s"))
-             .select("node", "label", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), F.col("s.h").alias("h"))
+    listed = (one.join(often, "h").groupBy("node", "label", "ref", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("c", "h", "meets"))).alias("l"))
+              .select("node", "label", "ref", "n", (F.col("n") - F.size("l")).alias("alone"), "l").filter("5 * alone <= n"))
+    at = cut(listed.select("node", "label", "ref", "n", "alone", F.posexplode("l").alias("i", "s")).filter("s.meets")
+             .select("node", "label", "ref", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), F.col("s.h").alias("h"))
              .filter("5 * rest >= 4 * n"))
-    hub = at.select("h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"))
+    hub = at.select("h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("ref").alias("ref2"), F.col("n").alias("n2"),
+                    F.col("rest").alias("rest2"))
     return (at.filter("9 * rest >= 8 * n").join(hub, "h")
-            .filter("label <> l2 and (n < n2 or n = n2 and node < hub) and 5 * n >= 4 * n2 "
+            .filter("label <> l2 and ref <> ref2 and (n < n2 or n = n2 and node < hub) and 5 * n >= 4 * n2 "
                     "and 9 * least(rest, rest2) >= 4 * (n + n2)")
             .select("node", "hub").distinct())
 

@@ -99,12 +99,11 @@ def test_classes_against_all_pairs(spark):
         assert [i for i in g if got[i]["kept"]] == [min(g)]
 
 
-def test_hub_of_a_large_family(spark, monkeypatch):
+def test_hub_of_a_large_family(spark):
     """Copies that are similar to their original and not to each other hang together by it."""
     rng = random.Random(8)
     rows = list(enumerate(family(rng, 40, 150, 3)))
     rows = [(100 - i, t) for i, t in rows]     # the original has the largest id
-    monkeypatch.setattr(X, "SMALL", 4)
     assert len(set(brute(rows))) == 1
     assert {r["class_id"] for r in X.near_classes(docs(spark, rows)).collect()} == {60}
 
@@ -150,20 +149,54 @@ def test_pairs_that_meet_only_in_large_buckets(spark, passage):
     assert len(set(got.values())) == n
 
 
-def test_overlapping_sets_against_all_pairs(spark):
+@pytest.mark.parametrize("refs", ["one", "own", "mixed", "far"])
+def test_near_pairs_against_all_pairs(spark, refs):
+    """Whatever the nodes are compared with, every pair of similar sets is met; labels may already join some."""
     import zstandard
     rng = random.Random(12)
     texts = [*shared_passage(rng, 25, 100), *family(rng, 12, 60, 1), *family(rng, 12, 40, 2),
              *("a b c d e f g h i".split()[:n] for n in (2, 4, 5, 6, 8, 9))]
     texts = [(" ".join(t) if isinstance(t, list) else t).encode().split() for t in texts]
+    turn = texts[50][30:] + texts[50][:30]                     # the same shingles but four, in another order
+    texts += [turn, turn[:-1]]
     node = [f"{i:03d}".encode() for i in range(len(texts))]
     packed = spark.createDataFrame([(x, bytearray(zstandard.compress(b" ".join(t)))) for x, t in zip(node, texts)], "node binary, z binary")
-    labels = spark.createDataFrame([(x, x) for x in node], "node binary, label binary")
-    got = {tuple(sorted((bytes(r["node"]), bytes(r["hub"])))) for r in X._overlapping(labels, packed).collect()}
-    want = {(node[j], node[i]) for i in range(len(texts)) for j in range(i) if X.jaccard(texts[i], texts[j]) >= X.SIMILARITY}
+    ref = {"one": [node[0]] * len(node), "own": node, "mixed": [node[i - i % 7] for i in range(len(node))],
+           "far": [node[51 if i >= 50 else 0] for i in range(len(node))]}[refs]
+    label = [node[0] if refs == "mixed" and i < 4 else x for i, x in enumerate(node)]
+    of = dict(zip(node, label))
+    rows = spark.createDataFrame([(x, of[x], r, of[r]) for x, r in zip(node, ref)], "node binary, label binary, ref binary, ref_label binary")
+    got = {tuple(sorted((bytes(r["node"]), bytes(r["hub"])))) for r in X._near_pairs(rows, packed).collect()}
+    want = {(node[j], node[i]) for i in range(len(texts)) for j in range(i)
+            if of[node[i]] != of[node[j]] and X.jaccard(texts[i], texts[j]) >= X.SIMILARITY}
     assert want and want <= got
 
 
+@pytest.mark.parametrize("original", [True, False])
+def test_candidates_of_a_family_stay_few(spark, monkeypatch, original):
+    """Near copies with changes of their own: classes equal all pairs, and the pairs brought together after the hubs grow
+    with the family, not with its square."""
+    seen = []
+    near = X._near_pairs
+    monkeypatch.setattr(X, "_near_pairs", lambda *a: seen.append(near(*a).cache()) or seen[-1])
+    rng = random.Random(21)
+    base = words(rng, 100, 9000).split()
+    texts = [" ".join(base)] if original else []
+    for _ in range(160):
+        t = list(base)
+        for at in rng.sample(range(100), 2):
+            t[at] = f"c{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    root = brute(rows)
+    got = {r["id"]: r["class_id"] for r in X.near_classes(docs(spark, rows)).collect()}
+    least = {}
+    for (i, _), r in zip(rows, root):
+        least[r] = min(least.get(r, i), i)
+    assert all(got[i] == least[r] for (i, _), r in zip(rows, root))
+    assert sum(x.count() for x in seen) < 4 * len(rows)
+
+
 def test_short_texts_always_meet(spark):
     """Sizes around the number of picks, one word more or less."""
     rng = random.Random(13)
