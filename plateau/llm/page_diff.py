@@ -3,18 +3,20 @@
 A page becomes block lines: white space in a block is one space, references are decoded, blocks
 that markup names as something else (menus, footers, headers outside the article, sidebars,
 notices, adverts, forms, comments, scripts, styles; by element, role, class or id) are left
-out. Pages are ordered by (host, path); the partner of a page is the neighbour in that order, on the same
-host and with other lines, whose path agrees longer with its own (ties: the one before). The lines of both
-are aligned by their longest common subsequence, and shared lines are deleted: what two
-neighbouring pages have in common is the site's and not the page's. Lines inside an ``article``
+out. Pages are ordered by (host, path); pages in a row with equal lines are copies. The partner of a page is the last
+page before its copies or the first one after them, on the same host, whose path agrees longer with its own (ties: the
+one before). The lines of both are aligned by their longest common subsequence, and shared lines are
+deleted: what two neighbouring pages have in common is the site's and not the page's. Lines inside an ``article``
 or ``main`` element are the page's own even where a neighbour repeats them, and where such an
-element has text the lines outside of it go. A pair that shares ``COPY`` or more of the page's
-characters is a pair of copies, which says nothing about the template, so nothing is deleted.
+element has text the lines outside of it go. If the partner has all lines of the page, nothing would remain and the other
+neighbour is the partner; if that has them all too, the lines stay.
 
-Layout: keys are cut at quantiles of a bounded seeded sample into buckets; each page goes to its
-bucket and the two pages at a bucket's ends also to the neighbouring one, so a bucket streams
-through a task, sorted, with three pages in memory. A host that holds a third of all
-pages is many buckets. Only compressed lines are shuffled, once.
+Layout: keys are cut at quantiles of a bounded seeded sample into buckets. A bucket streams through a task in the order of
+(key, hash of the lines) and holds the lines of three pages and the ids of one row of copies. The pages next
+to its ends, beyond copies that reach over any number of buckets, are found first from (bucket, key, hash): per bucket
+its ends and the pages next to the copies at its ends, few rows that the driver connects; these pages go to both
+buckets. So cuts change no result. A host that holds a third of all pages is many buckets. Only compressed lines are
+shuffled, once.
 
 Defined results: null html is empty text; a null url is a host of its own with an empty path; pages without blocks
 have an empty text; repeated rows each give a row (copies skip each other as partners); extra
@@ -24,7 +26,9 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html
+import itertools
 import re
 from urllib.parse import urlsplit
 
@@ -33,12 +37,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import batches, column_of, seeded_sample
+from plateau.llm.common import batches, column_of, cut, seeded_sample
 
 PAGES_PER_BUCKET = 512
-MAX_BUCKETS = 1024     # cut keys the driver may hold; buckets grow beyond
-SAMPLE_PER_BUCKET = 32
-COPY = 0.8
+MAX_BUCKETS = 16_384   # cut keys the driver may hold; buckets grow beyond
+SAMPLE_PER_BUCKET = 16
 
 # Elements whose text is never the article's.
 DROPPED = frozenset("""nav aside footer form script style noscript template iframe object embed svg canvas audio video select
@@ -235,60 +238,90 @@ def common_path(a: bytes, b: bytes) -> int:
     return n
 
 
-_KEY = pa.schema([("key", pa.binary())])
-_EDGE = pa.schema([("bucket", pa.int32()), ("first", pa.binary()), ("last", pa.binary())])
-_PAGE = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("own", pa.bool_()), ("page_id", pa.int64()),
+_PLACE = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("hash", pa.binary())])
+_PAGE = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("hash", pa.binary()), ("own", pa.bool_()), ("page_id", pa.int64()),
                    ("url", pa.string()), ("article", pa.bool_()), ("lines", pa.binary())])
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()),
                   ("n_shared", pa.int64()), ("partner_url", pa.string())])
 
 
+def line_hash(lines: list[str]) -> bytes:
+    return hashlib.blake2b("\n".join(lines).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def _resolve(key: bytes, lines: list[str], article: bool, before, after) -> tuple[str, int, str | None]:
-    best, gain = None, -1
-    for other in (before, after):
-        if other is not None and other["lines"] != lines:
-            c = common_path(key, other["key"])
-            if c > gain:
-                best, gain = other, c
-    if best is None:
+    """Text, number of shared lines and partner's url of a page between two neighbours with other lines."""
+    near = [(-common_path(key, p["key"]), side, p) for side, p in enumerate((before, after)) if p is not None]
+    tried = []
+    for c, _, p in sorted(near, key=lambda x: x[:2]):
+        if c <= 0:                                    # the same host
+            shared = shared_lines(lines, p["lines"])
+            tried.append((shared, p["url"]))
+            if len(shared) < len(lines):
+                break
+    if not tried:
         return "\n".join(lines), 0, None
-    shared = shared_lines(lines, best["lines"])
-    size = sum(map(len, lines))
-    if article or sum(len(lines[i]) for i in shared) >= COPY * size:
-        return "\n".join(lines), len(shared), best["url"]
-    return "\n".join(x for i, x in enumerate(lines) if i not in shared), len(shared), best["url"]
+    shared, url = tried[-1] if len(tried[-1][0]) < len(lines) else tried[0]
+    if article or len(shared) == len(lines):
+        return "\n".join(lines), len(shared), url
+    return "\n".join(x for i, x in enumerate(lines) if i not in shared), len(shared), url
 
 
 def _difference(it):
-    """Pages sorted by (bucket, key), streamed with the page before and the page after."""
+    """Pages sorted by (bucket, key, hash): each row of copies with the page before and the page after it."""
     unz = zstandard.ZstdDecompressor()
 
-    def pages():
+    def runs():
+        """bucket, lines and pages of each row of copies."""
+        run = None
         for b in it:
             for r in b.to_pylist():
-                body = unz.decompress(r["lines"]).decode("utf-8", "surrogatepass")
-                yield r | {"lines": body.split("\n") if body else []}
+                at = r["bucket"], r["hash"]
+                if run is None or run["at"] != at:
+                    if run is not None:
+                        yield run
+                    body = unz.decompress(r["lines"]).decode("utf-8", "surrogatepass")
+                    run = {"at": at, "lines": body.split("\n") if body else [], "pages": []}
+                run["pages"].append((r["key"], r["own"], r["page_id"], r["url"], r["article"]))
+        if run is not None:
+            yield run
+
+    def end(run, i: int, bucket: int):
+        if run is None or run["at"][0] != bucket:
+            return None
+        return {"key": run["pages"][i][0], "url": run["pages"][i][3], "lines": run["lines"]}
 
     def rows():
-        before = cur = None   # ``before`` is the last page whose lines differ from the current ones
-        for nxt in _chain(pages()):
+        before = cur = None
+        for after in itertools.chain(runs(), [None]):
             if cur is not None:
-                same_bucket = nxt is not None and nxt["bucket"] == cur["bucket"]
-                if cur["own"]:
-                    text, n, url = _resolve(cur["key"], cur["lines"], cur["article"], before, nxt if same_bucket else None)
-                    yield cur["page_id"], cur["url"], text, len(text), n, url
-                if not same_bucket:
-                    before = None
-                elif nxt["lines"] != cur["lines"]:
-                    before = cur
-            cur = nxt
+                bucket = cur["at"][0]
+                prev, nxt = end(before, -1, bucket), end(after, 0, bucket)
+                for key, own, page_id, url, article in cur["pages"]:
+                    if own:
+                        text, n, partner = _resolve(key, cur["lines"], article, prev, nxt)
+                        yield page_id, url, text, len(text), n, partner
+            before, cur = cur, after
 
     yield from batches(rows(), _OUT, 500)
 
 
-def _chain(it):
-    yield from it
-    yield None
+def neighbours(ends: list[dict]) -> dict[tuple[bytes, bytes], set[int]]:
+    """Which pages (key, hash) other buckets need beside their own. ``ends`` has for each filled bucket, in order, its
+    first and last page and the first and last page that differ from these in their lines (or None)."""
+    also: dict[tuple[bytes, bytes], set[int]] = {}
+    for side, step in (("before", -1), ("after", 1)):
+        order = ends if side == "before" else ends[::-1]
+        for i, e in enumerate(order):
+            mine = e["first"] if side == "before" else e["last"]
+            for f in reversed(order[:i]):
+                near, beyond = (f["last"], f["last_other"]) if side == "before" else (f["first"], f["first_other"])
+                # The copies at this end reach into f: the page behind them is the neighbour, if f has one.
+                found = near if near[1] != mine[1] else beyond
+                if found is not None:
+                    also.setdefault(found, set()).add(e["bucket"])
+                    break
+    return also
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -302,24 +335,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     keys = sorted({page_key(r["page_id"], r["url"]) for r in sample})
     cuts = sorted({keys[len(keys) * i // n_buckets] for i in range(1, n_buckets)}) if keys else []
 
-    def edges(it):
-        seen: dict[int, tuple[bytes, bytes]] = {}
-        for b in it:
-            for i, u in zip(column_of(b, "page_id"), column_of(b, "url")):
-                k = page_key(i, u)
-                at = bisect.bisect_right(cuts, k)
-                lo, hi = seen.get(at, (k, k))
-                seen[at] = min(lo, k), max(hi, k)
-        yield from batches(((at, *v) for at, v in seen.items()), _EDGE)
-
-    ends = (names.mapInArrow(edges, "bucket int, first binary, last binary").groupBy("bucket")
-            .agg(F.min("first").alias("first"), F.max("last").alias("last")).collect())
-    # Empty buckets are possible; the neighbour is the next bucket that has pages.
-    filled = sorted((r["bucket"], bytes(r["first"]), bytes(r["last"])) for r in ends)
-    also: dict[bytes, list[int]] = {}
-    for (a, _, last), (b, first, _) in zip(filled, filled[1:]):
-        also.setdefault(last, []).append(b)
-        also.setdefault(first, []).append(a)
+    also = neighbours(_ends(src, cuts)) if cuts else {}
 
     def parse(it):
         z = zstandard.ZstdCompressor(level=1)
@@ -329,13 +345,36 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 for i, u, page in zip(*(column_of(b, c) for c in ("page_id", "url", "html"))):
                     lines, article = blocks(page or "")
                     body = z.compress("\n".join(lines).encode("utf-8", "surrogatepass"))
-                    k = page_key(i, u)
-                    yield bisect.bisect_right(cuts, k), k, True, i, u, article, body
-                    for other in also.get(k, ()):
-                        yield other, k, False, i, u, article, body
+                    k, h = page_key(i, u), line_hash(lines)
+                    yield bisect.bisect_right(cuts, k), k, h, True, i, u, article, body
+                    for other in also.get((k, h), ()):
+                        yield other, k, h, False, i, u, article, body
         yield from batches(rows(), _PAGE, 500)
 
-    placed = src.mapInArrow(parse, "bucket int, key binary, own boolean, page_id bigint, url string, article boolean, lines binary")
-    order = placed.repartition("bucket").sortWithinPartitions("bucket", "key", "lines", "own")
+    placed = src.mapInArrow(parse, "bucket int, key binary, hash binary, own boolean, page_id bigint, url string, article boolean, lines binary")
+    order = placed.repartition("bucket").sortWithinPartitions("bucket", "key", "hash", "own")
     return order.mapInArrow(_difference, "page_id bigint, url string, text string, n_chars bigint, n_shared bigint, "
                                          "partner_url string")
+
+
+def _ends(src: DataFrame, cuts: list[bytes]) -> list[dict]:
+    """For every filled bucket its first and last page (key, hash) and the first and last that differ from these."""
+    def places(it):
+        def rows():
+            for b in it:
+                for i, u, page in zip(*(column_of(b, c) for c in ("page_id", "url", "html"))):
+                    k = page_key(i, u)
+                    yield bisect.bisect_right(cuts, k), k, line_hash(blocks(page or "")[0])
+        yield from batches(rows(), _PLACE, 2000)
+
+    at = cut(src.mapInArrow(places, "bucket int, key binary, hash binary"))
+    page = F.struct("key", "hash")
+    ends = cut(at.groupBy("bucket").agg(F.min(page).alias("first"), F.max(page).alias("last")))
+    # At most MAX_BUCKETS rows on either side of these joins and in the result.
+    other = (at.join(F.broadcast(ends), "bucket").groupBy("bucket")
+             .agg(F.min(F.when(F.col("hash") != F.col("first.hash"), page)).alias("first_other"),
+                  F.max(F.when(F.col("hash") != F.col("last.hash"), page)).alias("last_other")))
+    plain = lambda p: None if p is None else (bytes(p["key"]), bytes(p["hash"]))
+    found = [{"bucket": r["bucket"], **{c: plain(r[c]) for c in ("first", "last", "first_other", "last_other")}}
+             for r in ends.join(other, "bucket").collect()]
+    return sorted(found, key=lambda e: e["bucket"])

@@ -44,18 +44,42 @@ def test_blocks():
 
 
 def brute(rows):
-    """Partners over the sorted list of all pages, without buckets."""
+    """Partners over the sorted list of all pages, without buckets and rows of copies: the nearest page with other lines on
+    either side, the longer common path first, the other if nothing would remain."""
     pages = sorted(({"key": X.page_key(i, u), "page_id": i, "url": u, **dict(zip(("lines", "article"), X.blocks(h or "")))}
-                    for i, u, h in rows), key=lambda p: (p["key"], "\n".join(p["lines"])))
+                    for i, u, h in rows), key=lambda p: (p["key"], X.line_hash(p["lines"])))
     out = []
     for n, p in enumerate(pages):
         before = next((q for q in reversed(pages[:n]) if q["lines"] != p["lines"]), None)
-        after = pages[n + 1] if n + 1 < len(pages) else None
-        text, shared, url = X._resolve(p["key"], p["lines"], p["article"], before, after)
-        out.append((p["page_id"], p["url"], text, len(text)))
+        after = next((q for q in pages[n + 1:] if q["lines"] != p["lines"]), None)
+        path = lambda q: -1 if q is None else X.common_path(p["key"], q["key"])
+        order = [before, after] if path(before) >= path(after) else [after, before]
+        text = p["lines"]
+        for q in [] if p["article"] else order:
+            if path(q) >= 0:
+                gone = X.shared_lines(p["lines"], q["lines"])
+                rest = [x for i, x in enumerate(p["lines"]) if i not in gone]
+                if rest:
+                    text = rest
+                    break
+        out.append((p["page_id"], p["url"], "\n".join(text), len("\n".join(text))))
     return out
 
 
+def copied(rng, n):
+    """Sites whose pages repeat under several urls, at host starts and in long rows."""
+    rows, i = [], 0
+    while i < n:
+        host = rng.choice(["a.com", "b.org"])
+        body = "".join(f"<p>own {rng.randrange(10 ** 6)}" for _ in range(rng.randrange(0, 3)))
+        page = f"<div>menu {host}</div>{body}<div>foot</div>"
+        folder = f"{rng.choice('xyz')}{rng.randrange(40):02d}"
+        for c in range(rng.choice([1, 1, 2, 3, 9])):
+            rows.append((i, f"http://{host}/{folder}/{c}", page if rng.random() < 0.95 else page.replace("own", "new")))
+            i += 1
+    return rows
+
+
 def site(rng, n):
     rows = []
     for i in range(n):
@@ -71,13 +95,24 @@ def test_template_lines_go(spark):
     assert all("Site" not in t and "All rights" not in t and "own" in t for t in got.values())
 
 
-def test_buckets_change_nothing(spark, monkeypatch):
-    rows = site(random.Random(3), 300)
-    monkeypatch.setattr(X, "PAGES_PER_BUCKET", 20)
+@pytest.mark.parametrize("make,n,bucket", [(site, 300, 20), (copied, 200, 3), (copied, 200, 40), (copied, 60, 1)])
+def test_buckets_and_copies_change_nothing(spark, monkeypatch, make, n, bucket):
+    rows = make(random.Random(n + bucket), n)
+    rows += [rows[5], (rows[7][0], rows[7][1], "<p>same url and id")]
+    monkeypatch.setattr(X, "PAGES_PER_BUCKET", bucket)
     got = [(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in X.extract(spark.createDataFrame(rows, SCHEMA)).collect()]
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_short_pages_under_long_templates_and_copies_at_the_start(spark):
+    template = "".join(f"<div>site line {i} of ten</div>" for i in range(10))
+    rows = [(1, "http://t.com/a/1", template + "<p>one"), (2, "http://t.com/a/2", template + "<p>two"),
+            (3, "http://s.com/a/1", "<div>menu</div><p>x<div>foot</div>"), (4, "http://s.com/a/1b", "<div>menu</div><p>x<div>foot</div>"),
+            (5, "http://s.com/a/2", "<div>menu</div><p>y<div>foot</div>")]
+    got = {r["page_id"]: r["text"] for r in X.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "one", 2: "two", 3: "x", 4: "x", 5: "y"}
+
+
 def test_copies_and_articles_keep_their_lines(spark):
     rows = [(1, "http://h.com/a/1", "<p>x one<p>same"), (2, "http://h.com/a/2", "<p>x one<p>same"),
             (3, "http://g.com/a/1", "<article><p>shared<p>mine</article>"), (4, "http://g.com/a/2", "<article><p>shared<p>other</article>")]
