@@ -56,7 +56,8 @@ _MAY = {
     "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"),
     "card": lambda t: t.rlike("[0-9]"),
     "phone": lambda t: F.contains(t, F.lit("+")),
-    "loose_email": lambda t: F.contains(t, F.lit("at)")) | F.contains(t, F.lit("at]")) | F.contains(t, F.lit(" dot ")),
+    # What the base pattern does not take has one of these; plain addresses are base spans already.
+    "loose_email": lambda t: t.rlike(r"(?:at|dot)[)\]]|\x20(?:at|dot)\x20"),
     "loose_number": lambda t: t.rlike("[0-9]"),
 }
 

@@ -86,6 +86,15 @@ def test_added_spans(spark):
             assert got[i]["n_added"] == 0
 
 
+def test_loose_addresses_are_candidates_alone(spark):
+    """Every text with a match of the loose pattern passes the test before it, whatever else it holds."""
+    from pyspark.sql import functions as F
+    texts = ["name@host[dot]com", "name@host(dot)com", "name at host.com", "name (at) host dot com", "name[at]host.com", "x at y dot z"]
+    df = docs(spark, list(enumerate(texts)))
+    found = df.select(F.size(F.regexp_extract_all("text", F.lit(X.LOOSE["email"]), F.lit(0))).alias("n"), X._MAY["loose_email"](F.col("text")).alias("may"))
+    assert all(r["n"] == 1 and r["may"] for r in found.collect())
+
+
 def test_expectation_finds_the_reliable_labelers():
     rng = np.random.default_rng(3)
     truth = rng.random(4000) < .6
