@@ -103,18 +103,20 @@ def test_empty_documents(spark, tmp_path):
 def test_every_query_is_registered(spark):
     found, sql = entry.queries(), entry.oracle_sql()
     ops = sorted(n for n in found if n.startswith("op"))
-    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 14))
     assert "pipeline" in found and set(sql) <= set(found) and set(base_registry.QUERIES) <= set(found)
 
 
-def test_exact_dedup_query_against_its_sql(spark):
+@pytest.mark.parametrize("name,key,table", [("op3_exact_dedup", "doc_id", "documents"), ("op11_decontaminate", "doc_id", "documents"),
+                                            ("op12_runs", "doc_id", "documents"), ("op13_centroid_clusters", "vec_id", "embeddings")])
+def test_queries_against_their_sql(spark, name, key, table):
     import duckdb
-    name = "op3_exact_dedup"
     got = entry.queries()[name](spark, SF).toPandas()
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in {table, "benchmark"}:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(entry.oracle_sql()[name]).df()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    a, b = (x[cols].sort_values("doc_id").reset_index(drop=True) for x in (got, want))
+    a, b = (x[cols].sort_values(key).reset_index(drop=True) for x in (got, want))
     assert (a == b).all().all()
