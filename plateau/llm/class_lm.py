@@ -1,19 +1,22 @@
 """Scores under a Brown class-based bigram model: P(w_t | w_t-1) = P(c_t | c_t-1) * P(w_t | c_t).
 
 Tokens are the words of a text (``[^\\x20\\x09-\\x0D]+``, A-Z lowered) and one end; the end of the
-text before stands for a start. Word counts cover every training document. Classes come from exchange clustering: a
-unit (each of the ``OWN`` most frequent words by itself, the other words together by a hash of
-their last three bytes) moves to the class that raises the class-bigram likelihood most, in
-turn, until a pass moves none or ``PASSES`` are done. What the exchange needs of the corpus is the
-unit-by-unit bigram count over all training documents, a table of fixed size (``UNITS`` squared)
-that tasks count densely and a streamed sum reduces, row by row. Every word of every size of corpus
-has a unit, so every word has a class.
+text before stands for a start. Word counts cover every training document. Classes come from exchange clustering of the
+whole vocabulary in two steps. First units are exchanged in turn: each of the ``OWN`` most frequent words by
+itself, the other words together by a hash of their last three bytes; a unit moves to the class that raises the
+class-bigram likelihood most, until a pass moves none or ``PASSES`` are done. Then every other word of the corpus
+leaves its unit: tasks count the classes before and after each word over all training documents, the counts of a
+word are summed by a sorted stream, and the word moves to the class that raises the likelihood most, its neighbours
+staying where they are (a distributed exchange: all words move at once). ``OWN`` therefore bounds what the
+driver exchanges, not which words have a class of their own choice; the lexicon (word, count, class) grows with the corpus.
 
 P(c2 | c1) interpolates the class bigram with the smoothed class frequency; P(w | c) is additive
-over the class's words and one unknown word, so both sum to one.
+over the class's words and one unknown word, so both sum to one. A word that training never saw has the class of its unit.
 
-Scoring: the ``KNOWN`` most frequent words carry their counts to the tasks; every other distinct (document,
-word) is joined with the table of counts, which grows with the corpus and is never collected.
+Scoring: the ``KNOWN`` most frequent words carry their counts and classes to the tasks, which count the class pairs of each
+document. A pair that holds a rarer word is a row (document, word, word, times) that is joined with the lexicon for each
+word; the lexicon is never collected. The class pairs of the training documents then give the transitions, and
+those of all documents their scores.
 
 Defined results: null and empty texts are one end token; a null id counts as the id '' when the held-out
 rows are dealt; repeated rows are separate documents; without training documents all counts are
@@ -36,10 +39,11 @@ from pyspark.sql import functions as F
 from plateau.llm.common import batches, column_of, cut, text_bytes
 
 UNITS, OWN = 2048, 1536
-CLASSES = 64
+CLASSES = 64           # at most 256
 PASSES = 4
-KNOWN = 131_072        # words whose counts go to every task, at most
+KNOWN = 131_072        # words whose counts and classes go to every task, at most
 FLUSH = 400_000        # distinct words a counting task holds before it emits them
+PENDING = 2_000_000    # (word, class) meetings a task holds before it sums them
 DELTA, KEEP = 1.0, 0.95
 END = b"\n"            # no word holds white space
 
@@ -206,68 +210,204 @@ def _frequent(counts: DataFrame, most: int) -> list:
     return sorted(counts.filter(scale >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
 
 
-@dataclass
-class Model:
-    own: dict[bytes, int]         # frequent word -> unit
-    cls: np.ndarray               # unit -> class
-    transition: np.ndarray        # log10 P(c2 | c1)
-    tokens: np.ndarray            # class -> training tokens
-    types: np.ndarray             # class -> distinct training words
-    known: dict[bytes, int]       # most frequent words -> count
-    n: int
-    v: int
+class _Numbered(dict):
+    """Word -> number in order of first sight; the frequent words have the first ones."""
 
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__(own)
+        self.words: list[bytes] = []
+        self.start = len(own)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = self.start + len(self.words)
+        self.words.append(word)
+        return at
 
-def _classes(counts: DataFrame, own: dict[bytes, int], cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    schema = pa.schema([("k", pa.int32()), ("n", pa.int64()), ("v", pa.int64())])
 
-    def tally(it):
-        n, v, unit = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64), Units(own)
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Binary array whose rows are consecutive pieces of ``values``."""
+    ends = np.concatenate([[0], np.cumsum(sizes) * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+_MET = pa.schema([("word", pa.binary()), ("k", pa.binary()), ("n", pa.binary())])
+
+
+def neighbour_classes(train: DataFrame, own: dict[bytes, int], cls: np.ndarray) -> DataFrame:
+    """(word, k, n) of every training word that is not in ``own``, once per task or more often: k are its neighbours' classes, those
+    after it raised by CLASSES, and n how often it meets each."""
+
+    def run(it):
+        unit, number = Units(own), _Numbered(own)
+        own_cls = cls[:len(own)].astype(np.int64)
+        more, filled = np.empty(1024, np.int64), 0     # classes of the words numbered so far
+        pend, held, keys, times = [], 0, np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def merge():
+            got = np.concatenate([keys, *pend])
+            uniq, at = np.unique(got, return_inverse=True)
+            n = np.bincount(at, np.concatenate([times, np.ones(len(got) - len(keys), np.int64)]), len(uniq))
+            return uniq, n.astype(np.int64)
+
+        def emit():
+            word, k = keys // (2 * CLASSES), keys % (2 * CLASSES)
+            cuts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            names = pa.array(number.words, pa.binary()).take(pa.array(word[cuts] - number.start))
+            ends = np.append(cuts, len(keys))
+            for a in range(0, len(cuts), 10_000):
+                b = min(a + 10_000, len(cuts))
+                part, size = slice(ends[a], ends[b]), np.diff(ends[a:b + 1])
+                yield pa.RecordBatch.from_arrays([names.slice(a, b - a), _lists(size, k[part].astype(np.uint16)),
+                                                  _lists(size, times[part])], schema=_MET)
+
+        for batch in it:
+            for t in column_of(batch, "t"):
+                at = np.fromiter(map(number.__getitem__, [END, *tokens(t), END]), np.int64)
+                if len(number.words) > filled:
+                    if len(number.words) > len(more):
+                        more = np.concatenate([more, np.empty(2 * len(number.words), np.int64)])
+                    more[filled:len(number.words)] = cls[[unit[w] for w in number.words[filled:]]]
+                    filled = len(number.words)
+                rare = at >= len(own)
+                if not rare.any():
+                    continue
+                c = np.where(rare, more[np.where(rare, at - len(own), 0)], own_cls[np.where(rare, 0, at)] if len(own) else 0)
+                after, before = rare[:-1], rare[1:]
+                pend += [at[:-1][after] * (2 * CLASSES) + CLASSES + c[1:][after], at[1:][before] * (2 * CLASSES) + c[:-1][before]]
+                held += len(pend[-1]) + len(pend[-2])
+                if held > PENDING or len(number.words) > FLUSH:
+                    keys, times = merge()
+                    pend, held = [], 0
+                    if len(number.words) > FLUSH or len(keys) > PENDING:
+                        yield from emit()
+                        number, filled = _Numbered(own), 0
+                        keys, times = np.empty(0, np.int64), np.empty(0, np.int64)
+        keys, times = merge()
+        if len(keys):
+            yield from emit()
+
+    return train.mapInArrow(run, "word binary, k binary, n binary")
+
+
+def best_classes(at: np.ndarray, k: np.ndarray, c: np.ndarray, cur: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of each word that raises the likelihood most, taken out of its class ``cur`` with its neighbours kept in theirs.
+
+    Entries (word ``at``, neighbour class ``k``, ``c`` times) are sorted by word and class; ``n`` is the class bigram."""
+    words, classes = len(cur), len(n)
+    after, x = k >= classes, k % classes
+    met = np.zeros((2, words, classes))
+    met[after.astype(int), at, x] = c
+    base = np.where(after[:, None], n[:, x].T, n[x])
+    row, w = np.arange(len(at)), cur[at]
+    base[row, w] -= c
+    same = np.flatnonzero(x == w)      # the cell also holds what the word adds from its other side
+    base[same] -= met[1 - after[same].astype(int), at[same]]
+    base = np.maximum(base, 0)
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    gain = np.add.reduceat(_f(base + c[:, None]) - _f(base), starts, axis=0)
+    for side, total in ((1, n.sum(1)), (0, n.sum(0))):
+        add = met[side].sum(1)
+        rest = np.repeat(total[None], words, 0)
+        rest[np.arange(words), cur] -= add
+        gain -= _f(rest + add[:, None]) - _f(rest)
+    best, own = gain.argmax(1), np.arange(words)
+    return np.where(gain[own, best] > gain[own, cur] + 1e-9, best, cur)
+
+
+def exchange_rest(train: DataFrame, own: dict[bytes, int], cls: np.ndarray, n: np.ndarray) -> DataFrame:
+    """(word, c, k): count and class of every training word that is not in ``own``."""
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("k", pa.int32())])
+
+    def reduce(it):
+        unit = Units(own)
+
+        def settle(names: list[bytes], at, k, c):
+            key, back = np.unique(at * (2 * CLASSES) + k, return_inverse=True)
+            times = np.bincount(back, c, len(key))
+            at, k = key // (2 * CLASSES), key % (2 * CLASSES)
+            before = np.bincount(at[k < CLASSES], times[k < CLASSES], len(names)).astype(np.int64)
+            cur = cls[[unit[w] for w in names]]
+            cuts = np.searchsorted(at, np.arange(len(names) + 1))
+            best = np.concatenate([best_classes(at[cuts[a]:cuts[b]] - a, k[cuts[a]:cuts[b]], times[cuts[a]:cuts[b]], cur[a:b], n)
+                                   for a in range(0, len(names), 128) for b in [min(a + 128, len(names))]])
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(before), pa.array(best, pa.int32())], schema=schema)
+
+        last, left_k, left_n = None, [], []     # the word that the next batch may go on with
         for b in it:
-            k = cls[[unit[w] for w in column_of(b, "word")]]
-            c = np.array(column_of(b, "c"), np.int64)
-            np.add.at(n, k, c)
-            np.add.at(v, k, 1)
-        yield from batches(((k, int(n[k]), int(v[k])) for k in range(CLASSES)), schema)
+            names, at, ks, ns = [], [], [], []
+            if last is not None:
+                names, at, ks, ns = [last], [0] * len(left_k), left_k, left_n
+            for w, k, m in zip(column_of(b, "word"), column_of(b, "k"), column_of(b, "n")):
+                if not names or names[-1] != w:
+                    names.append(w)
+                at.append(len(names) - 1)
+                ks.append(k)
+                ns.append(m)
+            if not names:
+                continue
+            size = np.fromiter(map(len, ks), np.int64) // 2
+            at = np.repeat(np.array(at), size)
+            k, c = np.frombuffer(b"".join(ks), np.uint16).astype(np.int64), np.frombuffer(b"".join(ns), np.int64)
+            end = int(np.searchsorted(at, len(names) - 1))
+            last = names[-1]
+            key, back = np.unique(k[end:], return_inverse=True)      # summed, so what waits stays small
+            left_k, left_n = [key.astype(np.uint16).tobytes()], [np.bincount(back, c[end:], len(key)).astype(np.int64).tobytes()]
+            if len(names) > 1:
+                yield settle(names[:-1], at[:end], k[:end], c[:end])
+        if last is not None:
+            k, c = np.frombuffer(left_k[0], np.uint16).astype(np.int64), np.frombuffer(left_n[0], np.int64)
+            yield settle([last], np.zeros(len(k), np.int64), k, c)
+
+    met = neighbour_classes(train, own, cls).repartition("word").sortWithinPartitions("word")
+    return met.mapInArrow(reduce, "word binary, c bigint, k int")
+
 
-    n, v = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in counts.mapInArrow(tally, "k int, n bigint, v bigint").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        n[r["k"]], v[r["k"]] = r["n"], r["v"]
-    return n, v
+@dataclass
+class Lexicon:
+    own: dict[bytes, int]                     # frequent word -> unit
+    cls: np.ndarray                           # unit -> class
+    known: dict[bytes, tuple[int, int]]       # most frequent words -> count and class
+    table: DataFrame                          # (word, c, k) of every training word, checkpointed
+    n: int
+    v: int
 
 
-def train(rows: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the checkpointed word counts of the training texts (column t)."""
-    counts = cut(word_counts(rows))
+def learn(train: DataFrame) -> Lexicon:
+    """Counts and classes of all words of the training texts (column t)."""
+    counts = cut(word_counts(train))
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    known = {bytes(r["word"]): r["c"] for r in _frequent(counts, KNOWN)}
-    own = {w: i for i, w in enumerate(list(known)[:OWN])}
-    pairs = unit_bigrams(rows, own)
-    cls = exchange(pairs)
+    frequent = [(bytes(r["word"]), r["c"]) for r in _frequent(counts, max(OWN, KNOWN))][:OWN]
+    own = {w: i for i, (w, _) in enumerate(frequent)}
+    pairs = unit_bigrams(train, own)
+    cls = exchange(pairs, CLASSES, PASSES)
     one = np.eye(CLASSES)[cls]
-    n = one.T @ pairs @ one
-    after = n.sum(1, keepdims=True)
-    back = (n.sum(0) + DELTA) / (n.sum() + DELTA * CLASSES)
-    p = np.where(after > 0, KEEP * n / np.maximum(after, 1) + (1 - KEEP) * back, back)
-    return Model(own, cls, np.log10(p), *_classes(counts, own, cls), known, total["n"] or 0, total["v"]), counts
+    rest = exchange_rest(train, own, cls, one.T @ pairs @ one)
+    first = counts.sparkSession.createDataFrame([(w, c, int(cls[own[w]])) for w, c in frequent], "word binary, c bigint, k int")
+    table = cut(rest.unionAll(first))
+    known = {bytes(r["word"]): (r["c"], r["k"]) for r in _frequent(table, KNOWN)}
+    return Lexicon(own, cls, known, table, total["n"] or 0, total["v"])
+
 
+_PAIRS = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()),
+                    ("i", pa.int32()), ("j", pa.int32()), ("n", pa.int64()), ("rare", pa.bool_()), ("k", pa.binary()), ("m", pa.binary()),
+                    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
-_SCORED = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held", pa.bool_()), ("word", pa.binary()), ("tf", pa.int64()),
-                     ("den", pa.float64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                     ("score", pa.float64())])
 
+def class_pairs(rows: DataFrame, lex: Lexicon) -> DataFrame:
+    """The adjacent tokens of every row (columns uid, id, held, t) by class.
 
-def score(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """uid, id, held, n_tokens, n_known, base, score of every row (columns uid, id, held, t)."""
-    norm = math.log10(model.n + model.v + 1)
-    den = np.log10(model.tokens + DELTA * (model.types + 1))
+    One row a document holds its pairs of known words (k the pairs of classes, m how often) and the parts of the scores that
+    they settle; one row for each other distinct pair has its classes i and j, its times n, and the count c of its
+    second word where that is ``rare``."""
+    norm = math.log10(lex.n + lex.v + 1)
+    own, units, known = lex.own, lex.cls, lex.known
 
     def run(it):
-        unit = Units(model.own)
-        place = {w: i for i, w in enumerate(model.known)}
-        c = np.array(list(model.known.values()), float)
-        cls_of = model.cls[[unit[w] for w in model.known]] if len(c) else np.empty(0, int)
-        base_of, emit_of = np.log10(c + 1) - norm, np.log10(c + DELTA) - den[cls_of]
+        unit = Units(own)
+        place = {w: i for i, w in enumerate(known)}
+        c = np.array([c for c, _ in known.values()], float)
+        cls_of = np.array([k for _, k in known.values()], np.int64)
+        base_of, emit_of = np.log10(c + 1) - norm, np.log10(c + DELTA)
         find = place.get
 
         def out():
@@ -279,39 +419,105 @@ def score(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                     hit = at >= 0
                     cls = np.empty(len(words), np.int64)
                     cls[hit] = cls_of[at[hit]]
-                    miss = np.flatnonzero(~hit).tolist()
-                    rare: dict[bytes, list[int]] = {}
-                    for j in miss:
-                        w = words[j]
-                        k = int(model.cls[unit[w]])
-                        cls[j] = k
-                        if w in rare:
-                            rare[w][0] += 1
-                        else:
-                            rare[w] = [1, k]
+                    for x in np.flatnonzero(~hit).tolist():
+                        cls[x] = units[unit[words[x]]]     # stands unless the lexicon has the word
+                    key = np.concatenate([cls[-1:], cls[:-1]]) * CLASSES + cls
+                    both = hit & np.concatenate([hit[-1:], hit[:-1]])
+                    k, m = np.unique(key[both], return_counts=True)
                     got = at[hit]
-                    path = model.transition[np.concatenate([cls[-1:], cls[:-1]]), cls].sum()
-                    # The row of the document itself has a word that no text holds, of its own.
-                    yield (uid, i, held, b"\n%d" % uid, 0, 0.0, len(words), len(got), float(base_of[got].sum()),
-                           float(path + emit_of[got].sum()))
-                    for w, (tf, k) in rare.items():
-                        yield uid, None, None, w, tf, float(den[k]), 0, 0, 0.0, 0.0
-        yield from batches(out(), _SCORED, 20_000)
-
-    ddl = ("uid bigint, id bigint, held boolean, word binary, tf bigint, den double, n_tokens bigint, n_known bigint, "
-           "base double, score double")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    j = rows.mapInArrow(run, ddl).join(counts, "word", "left")
-    return (j.groupBy("uid").agg(
-        F.max("id").alias("id"), F.max("held").alias("held"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.col("tf") * (F.log10(c + 1.0) - F.lit(norm))).alias("base"),
-        F.sum(F.col("score") + F.col("tf") * (F.log10(c + DELTA) - F.col("den"))).alias("score")))
+                    none = b"\n%d" % uid     # a word that no text holds, of its own for each document
+                    yield (uid, i, held, none, none, 0, 0, 0, False, k.astype(np.uint16).tobytes(), m.astype(np.uint32).tobytes(),
+                           len(words), len(got), float(base_of[got].sum()), float(emit_of[got].sum()))
+                    odd: Counter = Counter()
+                    for x in np.flatnonzero(~both).tolist():     # x - 1 = -1 is the end, which stands before the text
+                        odd[none if hit[x - 1] else words[x - 1], none if hit[x] else words[x], cls[x - 1], cls[x]] += 1
+                    for (u, w, p, q), n in odd.items():
+                        yield uid, None, held, u, w, int(p), int(q), n, w is not none, None, None, 0, 0, 0.0, 0.0
+        yield from batches(out(), _PAIRS, 20_000)
+
+    ddl = ("uid bigint, id bigint, held boolean, a binary, b binary, i int, j int, n bigint, rare boolean, k binary, m binary, "
+           "n_tokens bigint, n_known bigint, base double, score double")
+    second = lex.table.select(F.col("word").alias("b"), F.col("c"), F.col("k").alias("kb"))
+    first = lex.table.select(F.col("word").alias("a"), F.col("k").alias("ka"))
+    c = F.coalesce("c", F.lit(0))
+    rare = F.col("rare").cast("int") * F.col("n")
+    return (rows.mapInArrow(run, ddl).join(second, "b", "left").join(first, "a", "left")
+            .select("uid", "id", "held", F.coalesce("ka", "i").alias("i"), F.coalesce("kb", "j").alias("j"), "n", "k", "m", "n_tokens",
+                    (F.col("n_known") + F.when(c > 0, rare).otherwise(0)).alias("n_known"),
+                    (F.col("base") + rare * (F.log10(c + 1.0) - F.lit(norm))).alias("base"),
+                    (F.col("score") + rare * F.log10(c + DELTA)).alias("score")))
+
+
+def _pairs_of(b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, pair of classes and times of a batch of ``class_pairs``."""
+    n = np.array(column_of(b, "n"), np.int64)
+    key = np.array(column_of(b, "i"), np.int64) * CLASSES + np.array(column_of(b, "j"), np.int64)
+    k, m = [x or b"" for x in column_of(b, "k")], [x or b"" for x in column_of(b, "m")]
+    size = np.fromiter(map(len, k), np.int64, len(k)) // 2
+    return (np.concatenate([np.arange(len(n)), np.repeat(np.arange(len(n)), size)]),
+            np.concatenate([key, np.frombuffer(b"".join(k), np.uint16)]),
+            np.concatenate([n, np.frombuffer(b"".join(m), np.uint32)]))
+
+
+def class_bigram(pairs: DataFrame) -> np.ndarray:
+    """How often class follows class in all rows of ``class_pairs``."""
+    schema = pa.schema([("p", pa.int32()), ("n", pa.int64())])
+
+    def tally(it):
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for b in it:
+            _, key, n = _pairs_of(b)
+            total += np.bincount(key, n, len(total)).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], schema=schema)
+
+    out = np.zeros(CLASSES * CLASSES)
+    for r in pairs.mapInArrow(tally, "p int, n bigint").groupBy("p").agg(F.sum("n").alias("n")).collect():
+        out[r["p"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
+
+
+@dataclass
+class Model:
+    transition: np.ndarray        # log10 P(c2 | c1)
+    tokens: np.ndarray            # class -> training tokens
+    types: np.ndarray             # class -> distinct training words
+
+
+def model_of(n: np.ndarray, table: DataFrame) -> Model:
+    """The model of the class bigram ``n`` and the lexicon's table."""
+    after = n.sum(1, keepdims=True)
+    back = (n.sum(0) + DELTA) / (n.sum() + DELTA * CLASSES)
+    p = np.where(after > 0, KEEP * n / np.maximum(after, 1) + (1 - KEEP) * back, back)
+    types = np.zeros(CLASSES)
+    for r in table.groupBy("k").agg(F.count(F.lit(1)).alias("v")).collect():
+        types[r["k"]] = r["v"]
+    return Model(np.log10(p), n.sum(0), types)
+
+
+def score(pairs: DataFrame, model: Model) -> DataFrame:
+    """uid, id, held, n_tokens, n_known, base, score of every document of ``class_pairs``."""
+    schema = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()),
+                        ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    step = (model.transition - np.log10(model.tokens + DELTA * (model.types + 1))).ravel()
+
+    def run(it):
+        for b in it:
+            row, key, n = _pairs_of(b)
+            path = np.bincount(row, n * step[key], b.num_rows) + np.array(column_of(b, "score"), float)
+            same = [b.column(b.schema.get_field_index(f.name)) for f in schema][:-1]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(path)], schema=schema)
+
+    ddl = "uid bigint, id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double"
+    return (pairs.mapInArrow(run, ddl).groupBy("uid")
+            .agg(F.max("id").alias("id"), F.max("held").alias("held"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")]))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the rows that are not held out and score all."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("bigint").alias("id"),
                        held_out(F.col(id_col)).alias("held"), text_bytes(text_col).alias("t"))
-    model, counts = train(rows.filter(~F.col("held")).select("t"))
-    return score(rows, model, counts).withColumn("train_tokens", F.lit(model.n).cast("bigint"))
+    lex = learn(rows.filter(~F.col("held")).select("t"))
+    pairs = cut(class_pairs(rows, lex))
+    model = model_of(class_bigram(pairs.filter(~F.col("held"))), lex.table)
+    return score(pairs, model).withColumn("train_tokens", F.lit(lex.n).cast("bigint"))

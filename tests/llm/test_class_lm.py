@@ -49,45 +49,94 @@ def test_exchange_ends_where_no_single_move_helps():
                 assert X.likelihood(pairs, other, 3) <= best + 1e-9
 
 
-def test_counts_and_scores_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(X, "KNOWN", 40)     # most words go through the join
+def likelihood_of(n):
+    f = np.vectorize(lambda x: x * math.log(x) if x > 1 else 0.0)
+    return f(n).sum() - f(n.sum(0)).sum() - f(n.sum(1)).sum()
+
+
+def test_counts_classes_and_scores_against_brute_force(spark, monkeypatch):
+    """A vocabulary above OWN, most words beyond the ones the tasks know, counters that flush early."""
+    for name, size in (("KNOWN", 40), ("OWN", 30), ("UNITS", 60), ("CLASSES", 6), ("FLUSH", 50), ("PENDING", 300)):
+        monkeypatch.setattr(X, name, size)
     rows = corpus() + [(i + 1000, t) for i, (_, t) in enumerate(awkward())]
+    rows += [(2002 + i, f"new{i}ing other{i}ed a1ing new{i}ing new{i}ing") for i in range(40)]    # words not in training among them
     c = Counter(w for i, t in rows if not held(i) for w in tokens(t))
     n, v = sum(c.values()), len(c)
     train = docs(spark, [r for r in rows if not held(r[0])]).select(X.text_bytes("text").alias("t"))
-    model, counts = X.train(train)
-    assert {bytes(r["word"]): r["c"] for r in counts.collect()} == dict(c) and (model.n, model.v) == (n, v)
-    unit = X.Units(model.own)
-    pairs = np.zeros((X.UNITS, X.UNITS))
+    lex = X.learn(train)
+    table = {bytes(r["word"]): (r["c"], r["k"]) for r in lex.table.collect()}
+    assert lex.table.count() == v and {w: x for w, (x, _) in table.items()} == dict(c) and (lex.n, lex.v) == (n, v)
+    assert 0 < len(lex.own) <= 30 and 0 < len(lex.known) <= 40 and all(table[w] == x for w, x in lex.known.items())
+
+    unit = X.Units(lex.own)
+    pairs, words = np.zeros((X.UNITS, X.UNITS)), Counter()
     for i, t in rows:
         if not held(i):
-            u = [unit[w] for w in [b"\n", *tokens(t)]]
-            for a, b in zip(u, u[1:]):
-                pairs[a, b] += 1
-    assert (X.unit_bigrams(train, model.own) == pairs).all()
-    cls = model.cls
+            seq = [b"\n", *tokens(t)]
+            words.update(zip(seq, seq[1:]))
+    for (a, b), m in words.items():
+        pairs[unit[a], unit[b]] += m
+    assert (X.unit_bigrams(train, lex.own) == pairs).all()
+
+    # Every other word: taken out of its class and tried in each, its neighbours (itself among them) where they were.
+    now = {w: int(lex.cls[unit[w]]) for w in c}
+    grid = np.zeros((6, 6))
+    for (a, b), m in words.items():
+        grid[now[a], now[b]] += m
+    moved = 0
+    for w in c:
+        if w in lex.own:
+            assert table[w][1] == now[w]
+            continue
+        if (w, w) in words:
+            continue
+        before, after = np.zeros(6), np.zeros(6)
+        for (a, b), m in words.items():
+            if b == w:
+                before[now[a]] += m
+            if a == w:
+                after[now[b]] += m
+        rest = grid.copy()
+        rest[now[w]] -= after
+        rest[:, now[w]] -= before
+        value = []
+        for k in range(6):
+            full = rest.copy()
+            full[k] += after
+            full[:, k] += before
+            value.append(likelihood_of(full))
+        assert value[table[w][1]] >= max(value) - 1e-6, w
+        moved += table[w][1] != now[w]
+    assert moved > 20
+
+    klass = {w: k for w, (_, k) in table.items()}
+    of = lambda w: klass.get(w, int(lex.cls[unit[w]]))     # noqa: E731
+    final, types = np.zeros((6, 6)), Counter(klass.values())
+    for (a, b), m in words.items():
+        final[klass[a], klass[b]] += m
+    source = docs(spark, rows).select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").alias("id"),
+                                      X.held_out(F.col("doc_id")).alias("held"), X.text_bytes("text").alias("t"))
+    found = X.class_pairs(source, lex)
+    assert (X.class_bigram(found.filter("not held")) == final).all()
+    model = X.model_of(final, lex.table)
+    assert [model.types[k] for k in range(6)] == [types[k] for k in range(6)] and (model.tokens == final.sum(0)).all()
+    assert np.allclose((10 ** model.transition).sum(1), 1)
+    mass = np.zeros(6)
+    for w, (x, k) in table.items():
+        mass[k] += (x + X.DELTA) / (model.tokens[k] + X.DELTA * (model.types[k] + 1))
+    assert np.allclose(mass + X.DELTA / (model.tokens + X.DELTA * (model.types + 1)), 1)
     got = {r["id"]: r for r in X.score_documents(docs(spark, rows)).collect()}
+    assert len(got) == len(rows)
     for i, t in rows:
         w, r = tokens(t), got[i]
-        k = [cls[unit[x]] for x in w]
+        k = [of(x) for x in w]
         score = sum(model.transition[a, b] + math.log10((c[x] + X.DELTA) / (model.tokens[b] + X.DELTA * (model.types[b] + 1)))
-                    for x, a, b in zip(w, [cls[unit[b"\n"]], *k], k))
+                    for x, a, b in zip(w, [of(b"\n"), *k], k))
         assert (r["held"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(i), len(w), sum(x in c for x in w), n)
         assert abs(r["base"] - sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w)) < 1e-6
         assert abs(r["score"] - score) < 1e-6
 
 
-def test_probabilities_sum_to_one(spark):
-    model, counts = X.train(docs(spark, corpus(200)).select(X.text_bytes("text").alias("t")))
-    assert np.allclose((10 ** model.transition).sum(1), 1)
-    unit, mass = X.Units(model.own), np.zeros(X.CLASSES)
-    for r in counts.collect():
-        k = model.cls[unit[bytes(r["word"])]]
-        mass[k] += (r["c"] + X.DELTA) / (model.tokens[k] + X.DELTA * (model.types[k] + 1))
-    unknown = X.DELTA / (model.tokens + X.DELTA * (model.types + 1))
-    assert np.allclose(mass + unknown, 1)
-
-
 def test_classes_beat_the_base_on_held_out_text(spark):
     got = [r for r in X.score_documents(docs(spark, corpus(800))).collect() if r["held"]]
     assert sum(r["score"] for r in got) > sum(r["base"] for r in got) + 0.1 * sum(r["n_tokens"] for r in got)
