@@ -1,7 +1,7 @@
 """Sampled SentencePiece segmentations without replacement: Gumbel top-k by perturbed A-star.
 
 The lattice of a text has its characters as nodes and the model's pieces as edges. A space is the mark
-U+2581 in front of what follows, a mark stands before the text, and a character that is no
+U+2581, a mark stands before the text, pieces hold marks only in front (runs of spaces are pieces too), and a character that is no
 piece (and a literal U+2581) is one edge of byte pieces, so every text has a segmentation and decoding gives
 back the text itself. The pieces are a public vocabulary; the piece of rank r weighs
 1 / (r + RANK_0), and the probability of a segmentation is proportional to the product of its weights.
@@ -52,7 +52,7 @@ def load_pieces(model: str = MODEL) -> list[tuple[int, str, float]]:
         s = p.id_to_piece(i)
         if p.is_byte(i):
             out.append((i, s, None))
-        elif not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i)) and MARK not in s[1:]:
+        elif not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i)) and MARK not in s.lstrip(MARK):
             out.append((i, s, float(p.get_score(i))))
     return out
 
@@ -130,9 +130,8 @@ class Lattice:
         left = np.repeat(size, size) - _spans(size)   # characters to the end of the word
         mark = ord(MARK)
         at_first = left == np.repeat(size, size)
-        # Only the mark put in front may start a piece; a literal one has no transitions.
-        code_key = np.where((code == mark) | ((code == 32) & ~at_first), 1 << 20 | 0xFFFFF, code)
-        code_key = np.where((code == 32) & at_first, mark, code_key)
+        # Spaces are marks; a literal mark has no transitions.
+        code_key = np.where(code == mark, 1 << 20 | 0xFFFFF, np.where(code == 32, mark, code))
         # Rows are characters by their distance from the word's end, so that beta runs over slices.
         # Column wide - l of a row: the edge of l characters, so that the longest, the likely ones, come first.
         at_text = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
@@ -291,14 +290,30 @@ class Lattice:
 
 
 def words_of(text: str) -> list[str]:
-    """The parts of a text that no piece crosses: a word stands for the mark and itself, one that begins with a line
-    feed for itself alone (no piece holds a line feed)."""
+    """The parts of a text that no piece crosses: a word, with the spaces before it but one, stands for the mark and itself; one that
+    begins with a line feed stands for itself alone (no piece holds a line feed)."""
     first, *lines = text.split("\n")
-    out = first.split(" ")
+    out = _with_spaces(first.split(" "))
     for line in lines:
         parts = line.split(" ")
         parts[0] = "\n" + parts[0]
-        out += parts
+        out += _with_spaces(parts)
+    return out
+
+
+def _with_spaces(parts: list[str]) -> list[str]:
+    """The parts with the empty ones put as spaces before the next, those at the end together."""
+    if "" not in parts:
+        return parts
+    out, gap = [], 0
+    for p in parts:
+        if p:
+            out.append(" " * gap + p)
+            gap = 0
+        else:
+            gap += 1
+    if gap:
+        out.append(" " * (gap - 1))
     return out
 
 

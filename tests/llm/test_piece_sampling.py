@@ -24,36 +24,29 @@ def lattice(pieces):
 
 
 def every(lattice, pieces, text):
-    """All segmentations of a short text with their log probabilities."""
+    """All segmentations of a short text with their log probabilities, over the whole text at once."""
     plain = {s: i for i, s, score in pieces if score is not None}
     low = min(plain.values())
-    out = [((), 0.0)]
-    for word in X.words_of(text):
-        s = word if word.startswith("\n") else X.MARK + word
-        paths = []
-
-        def rec(at, ids, lp):
-            if at == len(s):
-                paths.append((ids, lp))
-                return
-            single = False
-            for n in range(1, 17):
-                x = s[at:at + n]
-                if len(x) < n or X.MARK in x[1:] or (x[0] == X.MARK and (at or word.startswith("\n"))):
-                    break
-                if x in plain:
-                    single = single or n == 1
-                    rec(at + n, ids + (plain[x],), lp - math.log(plain[x] - low + X.RANK_0))
-            if not single:
-                b = s[at].encode()
-                rec(at + 1, ids + tuple(int(lattice.byte_id[c]) for c in b), lp + len(b) * lattice.byte_weight)
-        rec(0, (), 0.0)
-        out = [(a + b, x + y) for a, x in out for b, y in paths]
+    s = (" " + text).replace(X.MARK, "\0").replace(" ", X.MARK)     # a literal mark is no mark
+    out = []
+
+    def rec(at, ids, lp):
+        if at == len(s):
+            out.append((ids, lp))
+            return
+        for n in range(1, 17):
+            x = s[at:at + n]
+            if len(x) == n and x in plain:
+                rec(at + n, ids + (plain[x],), lp - math.log(plain[x] - low + X.RANK_0))
+        if s[at] not in plain:
+            b = s[at].replace("\0", X.MARK).encode()
+            rec(at + 1, ids + tuple(int(lattice.byte_id[c]) for c in b), lp + len(b) * lattice.byte_weight)
+    rec(0, (), 0.0)
     z = math.log(sum(math.exp(x) for _, x in out))
     return {a: x - z for a, x in out}
 
 
-@pytest.mark.parametrize("text", ["the", "hello", "über日", "ab cd", "x\n▁y", "  a", "\U0001F600", "a\nb \n c"])
+@pytest.mark.parametrize("text", ["the", "hello", "über日", "ab cd", "x\n▁y", "  a", "\U0001F600", "a\nb \n c", "a  b", "a    ", " \n   b", "     "])
 def test_samples_are_distinct_scored_and_decode(lattice, pieces, text):
     prob = every(lattice, pieces, text)
     for i in range(20):
@@ -104,6 +97,16 @@ def test_batches_and_caches_change_nothing(pieces):
     assert all_rows(X.Lattice(pieces, cache=50), 1) == want
 
 
+def test_runs_of_spaces_are_pieces(lattice, pieces):
+    """All pieces of the model but control ones can be sampled; a run of spaces is mostly one or two of them."""
+    runs = {i for i, s, _ in pieces if len(s) > 1 and not s.strip(X.MARK)}
+    assert len(runs) == 14
+    rows = X.encode_rows(lattice, list(range(300)), ["a" + " " * 8 + "b"] * 300, 2, 4)
+    assert all(r["round_trip"] for r in rows) and sum(bool(runs & set(r["ids"])) for r in rows) > 500
+    long = "x" + " " * 5000 + "y" + " " * 300
+    assert all(r["round_trip"] and lattice.decode(r["ids"]) == long for r in X.encode_rows(lattice, [1], [long], 2, 4))
+
+
 def test_operator(spark):
     rows = awkward() + [(70, "no_space" * 20_000)]
     df = with_clashes(docs(spark, rows))
