@@ -12,7 +12,8 @@ Only the fit is bounded: it uses at most ``SAMPLE`` labelled rows (those with th
 seeded hash of the id). Scoring reads every row and the whole text of each.
 
 Defined results: null text is empty; labels that are null are not used; a label id that repeats
-counts once with its largest value; with no labelled rows or a single class the probability is
+counts once with its largest value, and so does an id that several documents share, with the
+least of their texts; with no labelled rows or a single class the probability is
 the base rate (0 without labels) and nothing is rejected; columns of the documents pass through
 ``keep_clean`` unchanged, null ids and repeated rows included; an empty table gives an empty result.
 """
@@ -188,7 +189,8 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, Column] |
     known = known.groupBy("_id").agg(*[F.max(f"_y{i}").alias(f"_y{i}") for i in range(len(names))])
     known = seeded_sample(known, sample, ["_id"], seed)
     texts = documents.select(F.col(id_col).cast("bigint").alias("_id"), text_bytes(text_col).alias("_t"))
-    rows = texts.join(F.broadcast(known), "_id")  # at most ``sample`` rows
+    # At most ``sample`` ids are broadcast, and of the documents with one id the one with the least text is fitted on.
+    rows = texts.join(F.broadcast(known), "_id").groupBy(*known.columns).agg(F.min("_t").alias("_t"))
     schema = pa.schema([("id", pa.int64()), *[(f"y{i}", pa.int32()) for i in range(len(names))],
                         ("w", pa.binary()), ("s", pa.binary())])
     ddl = "id bigint, " + "".join(f"y{i} int, " for i in range(len(names))) + "w binary, s binary"
