@@ -1,9 +1,9 @@
 """Scores under a Brown class-based bigram model: P(w_t | w_t-1) = P(c_t | c_t-1) * P(w_t | c_t).
 
 Tokens are the words of a text (``[^\\x20\\x09-\\x0D]+``, A-Z lowered) and one end; the end of the
-text before stands for a start. Word counts cover every training document. Classes come from exchange clustering of the
-whole vocabulary in two steps. First units are exchanged in turn: each of the ``OWN`` most frequent words by
-itself, the other words together by a hash of their last three bytes; a unit moves to the class that raises the
+text before stands for a start. Counts cover every training document. Classes come from exchange clustering of the
+whole vocabulary in two steps. First units are exchanged in turn: each of the ``OWN`` most frequent words (counted wherever
+they hold one of ``SHARE`` tokens of a stretch of text) by itself, the other words together by a hash of their last three bytes; a unit moves to the class that raises the
 class-bigram likelihood most, until a pass moves none or ``PASSES`` are done. Then every other word of the corpus
 leaves its unit: tasks count the classes before and after each word over all training documents, the counts of a
 word are summed by a sorted stream, and the word moves to the class that raises the likelihood most, its neighbours
@@ -14,8 +14,8 @@ P(c2 | c1) interpolates the class bigram with the smoothed class frequency; P(w
 over the class's words and one unknown word, so both sum to one. A word that training never saw has the class of its unit.
 
 Scoring: the ``KNOWN`` most frequent words carry their counts and classes to the tasks, which count the class pairs of each
-document. A pair that holds a rarer word is a row (document, word, word, times) that is joined with the lexicon for each
-word; the lexicon is never collected. The class pairs of the training documents then give the transitions, and
+document. A rarer word is a row (document, word, class before, class after, times) that is joined with the lexicon, two of them side by
+side also a row of both words, joined twice; the lexicon is never collected. The class pairs of the training documents then give the transitions, and
 those of all documents their scores.
 
 Defined results: null and empty texts are one end token; a null id counts as the id '' when the held-out
@@ -26,6 +26,7 @@ rows are dealt; repeated rows are separate documents; without training documents
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -37,9 +38,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plateau.llm.common import batches, column_of, cut, text_bytes
+from plateau.session import checkpoint_dir
 
 UNITS, OWN = 2048, 1536
-CLASSES = 64           # at most 256
+SHARE = 200_000
+CLASSES = 64           # at most 128
 PASSES = 4
 KNOWN = 131_072        # words whose counts and classes go to every task, at most
 FLUSH = 400_000        # distinct words a counting task holds before it emits them
@@ -56,22 +59,27 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """(word, c) over all training texts (column t); the end counts once per text."""
+def frequent_counts(train: DataFrame) -> DataFrame:
+    """(word, c) over all training texts (column t); the end counts once per text. A task counts stretches of FLUSH
+    distinct words and leaves out the words below one of SHARE tokens of the stretch."""
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def count(it):
         def rows():
             seen: Counter = Counter()
+
+            def often():
+                least = seen.total() / SHARE
+                return [x for x in seen.items() if x[1] >= least]
             for b in it:
                 texts = column_of(b, "t")
                 for t in texts:
                     seen.update(tokens(t))
                     if len(seen) > FLUSH:
-                        yield from seen.items()
-                        seen = Counter()
+                        yield from often()
+                        seen.clear()
                 seen[END] += len(texts)
-            yield from seen.items()
+            yield from often()
         yield from batches(rows(), schema, 20_000)
 
     return train.mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
@@ -257,8 +265,8 @@ def neighbour_classes(train: DataFrame, own: dict[bytes, int], cls: np.ndarray)
             for a in range(0, len(cuts), 10_000):
                 b = min(a + 10_000, len(cuts))
                 part, size = slice(ends[a], ends[b]), np.diff(ends[a:b + 1])
-                yield pa.RecordBatch.from_arrays([names.slice(a, b - a), _lists(size, k[part].astype(np.uint16)),
-                                                  _lists(size, times[part])], schema=_MET)
+                yield pa.RecordBatch.from_arrays([names.slice(a, b - a), _lists(size, k[part].astype(np.uint8)),
+                                                  _lists(size, times[part].astype(np.uint32))], schema=_MET)
 
         for batch in it:
             for t in column_of(batch, "t"):
@@ -332,73 +340,82 @@ def exchange_rest(train: DataFrame, own: dict[bytes, int], cls: np.ndarray, n: n
                                    for a in range(0, len(names), 128) for b in [min(a + 128, len(names))]])
             return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(before), pa.array(best, pa.int32())], schema=schema)
 
-        last, left_k, left_n = None, [], []     # the word that the next batch may go on with
+        none = np.empty(0, np.int64)
+        last, left_k, left_n = None, none, none     # the word that the next batch may go on with, and its sums so far
         for b in it:
-            names, at, ks, ns = [], [], [], []
-            if last is not None:
-                names, at, ks, ns = [last], [0] * len(left_k), left_k, left_n
-            for w, k, m in zip(column_of(b, "word"), column_of(b, "k"), column_of(b, "n")):
+            names, size = [] if last is None else [last], [len(left_k)]
+            ks, ns = column_of(b, "k"), column_of(b, "n")
+            at = [0]
+            for w in column_of(b, "word"):
                 if not names or names[-1] != w:
                     names.append(w)
                 at.append(len(names) - 1)
-                ks.append(k)
-                ns.append(m)
             if not names:
                 continue
-            size = np.fromiter(map(len, ks), np.int64) // 2
-            at = np.repeat(np.array(at), size)
-            k, c = np.frombuffer(b"".join(ks), np.uint16).astype(np.int64), np.frombuffer(b"".join(ns), np.int64)
+            at = np.repeat(at, size + list(map(len, ks)))
+            k = np.concatenate([left_k, np.frombuffer(b"".join(ks), np.uint8)])
+            c = np.concatenate([left_n, np.frombuffer(b"".join(ns), np.uint32)])
             end = int(np.searchsorted(at, len(names) - 1))
             last = names[-1]
-            key, back = np.unique(k[end:], return_inverse=True)      # summed, so what waits stays small
-            left_k, left_n = [key.astype(np.uint16).tobytes()], [np.bincount(back, c[end:], len(key)).astype(np.int64).tobytes()]
+            left_k, back = np.unique(k[end:], return_inverse=True)
+            left_n = np.bincount(back, c[end:], len(left_k)).astype(np.int64)
             if len(names) > 1:
                 yield settle(names[:-1], at[:end], k[:end], c[:end])
         if last is not None:
-            k, c = np.frombuffer(left_k[0], np.uint16).astype(np.int64), np.frombuffer(left_n[0], np.int64)
-            yield settle([last], np.zeros(len(k), np.int64), k, c)
+            yield settle([last], np.zeros(len(left_k), np.int64), left_k, left_n)
 
     met = neighbour_classes(train, own, cls).repartition("word").sortWithinPartitions("word")
     return met.mapInArrow(reduce, "word binary, c bigint, k int")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: packed, and lineage ends here."""
+    path = f"{checkpoint_dir(df.sparkSession)}/class-lm-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @dataclass
 class Lexicon:
     own: dict[bytes, int]                     # frequent word -> unit
     cls: np.ndarray                           # unit -> class
     known: dict[bytes, tuple[int, int]]       # most frequent words -> count and class
-    table: DataFrame                          # (word, c, k) of every training word, checkpointed
+    table: DataFrame                          # (word, c, k) of every training word, written
     n: int
     v: int
 
 
 def learn(train: DataFrame) -> Lexicon:
     """Counts and classes of all words of the training texts (column t)."""
-    counts = cut(word_counts(train))
-    total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    frequent = [(bytes(r["word"]), r["c"]) for r in _frequent(counts, max(OWN, KNOWN))][:OWN]
-    own = {w: i for i, (w, _) in enumerate(frequent)}
+    counts = cut(frequent_counts(train))
+    own = {bytes(r["word"]): i for i, r in enumerate(_frequent(counts, max(OWN, KNOWN))[:OWN])}
     pairs = unit_bigrams(train, own)
     cls = exchange(pairs, CLASSES, PASSES)
     one = np.eye(CLASSES)[cls]
     rest = exchange_rest(train, own, cls, one.T @ pairs @ one)
-    first = counts.sparkSession.createDataFrame([(w, c, int(cls[own[w]])) for w, c in frequent], "word binary, c bigint, k int")
-    table = cut(rest.unionAll(first))
+    times = pairs.sum(0)
+    first = counts.sparkSession.createDataFrame([(w, int(times[u]), int(cls[u])) for w, u in own.items()], "word binary, c bigint, k int")
+    table = _stored(rest.unionAll(first), "lexicon")
     known = {bytes(r["word"]): (r["c"], r["k"]) for r in _frequent(table, KNOWN)}
-    return Lexicon(own, cls, known, table, total["n"] or 0, total["v"])
+    return Lexicon(own, cls, known, table, int(pairs.sum()), table.count())
 
 
-_PAIRS = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()),
-                    ("i", pa.int32()), ("j", pa.int32()), ("n", pa.int64()), ("rare", pa.bool_()), ("k", pa.binary()), ("m", pa.binary()),
-                    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+@dataclass
+class Pairs:
+    """The adjacent tokens of all documents by class."""
+    docs: DataFrame         # uid, held, doc: pairs of known words (k pairs of classes, m times) and what these settle
+    rare: DataFrame         # uid, held, i class and c count of a rarer word, l and r classes of known neighbours or -1, n times
+    between: DataFrame      # uid, held, l and i classes of two rarer words side by side, n times
+
 
+_DOC = pa.struct([("id", pa.int64()), ("k", pa.binary()), ("m", pa.binary()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                  ("base", pa.float64()), ("score", pa.float64())])
+_ROWS = pa.schema([("uid", pa.int64()), ("held", pa.bool_()), ("word", pa.binary()), ("prev", pa.binary()), ("i", pa.int32()),
+                   ("l", pa.int32()), ("r", pa.int32()), ("n", pa.int64()), ("doc", _DOC)])
 
-def class_pairs(rows: DataFrame, lex: Lexicon) -> DataFrame:
-    """The adjacent tokens of every row (columns uid, id, held, t) by class.
 
-    One row a document holds its pairs of known words (k the pairs of classes, m how often) and the parts of the scores that
-    they settle; one row for each other distinct pair has its classes i and j, its times n, and the count c of its
-    second word where that is ``rare``."""
+def class_pairs(rows: DataFrame, lex: Lexicon) -> Pairs:
+    """The adjacent tokens of every row (columns uid, id, held, t) by class; all texts are read once."""
     norm = math.log10(lex.n + lex.v + 1)
     own, units, known = lex.own, lex.cls, lex.known
 
@@ -406,7 +423,7 @@ def class_pairs(rows: DataFrame, lex: Lexicon) -> DataFrame:
         unit = Units(own)
         place = {w: i for i, w in enumerate(known)}
         c = np.array([c for c, _ in known.values()], float)
-        cls_of = np.array([k for _, k in known.values()], np.int64)
+        cls_of = np.append(np.array([k for _, k in known.values()], np.int64), -1)     # -1: not known
         base_of, emit_of = np.log10(c + 1) - norm, np.log10(c + DELTA)
         find = place.get
 
@@ -414,67 +431,72 @@ def class_pairs(rows: DataFrame, lex: Lexicon) -> DataFrame:
             for b in it:
                 for uid, i, held, t in zip(*(column_of(b, k) for k in ("uid", "id", "held", "t"))):
                     words = tokens(t)
-                    words.append(END)
+                    words.append(END)     # also stands before the first word
                     at = np.fromiter((find(w, -1) for w in words), np.int64, len(words))
+                    cls = cls_of[at]
                     hit = at >= 0
-                    cls = np.empty(len(words), np.int64)
-                    cls[hit] = cls_of[at[hit]]
-                    for x in np.flatnonzero(~hit).tolist():
-                        cls[x] = units[unit[words[x]]]     # stands unless the lexicon has the word
-                    key = np.concatenate([cls[-1:], cls[:-1]]) * CLASSES + cls
-                    both = hit & np.concatenate([hit[-1:], hit[:-1]])
-                    k, m = np.unique(key[both], return_counts=True)
+                    before = np.concatenate([cls[-1:], cls[:-1]])
+                    both = hit & (before >= 0)
+                    k, m = np.unique(before[both] * CLASSES + cls[both], return_counts=True)
                     got = at[hit]
-                    none = b"\n%d" % uid     # a word that no text holds, of its own for each document
-                    yield (uid, i, held, none, none, 0, 0, 0, False, k.astype(np.uint16).tobytes(), m.astype(np.uint32).tobytes(),
-                           len(words), len(got), float(base_of[got].sum()), float(emit_of[got].sum()))
-                    odd: Counter = Counter()
-                    for x in np.flatnonzero(~both).tolist():     # x - 1 = -1 is the end, which stands before the text
-                        odd[none if hit[x - 1] else words[x - 1], none if hit[x] else words[x], cls[x - 1], cls[x]] += 1
-                    for (u, w, p, q), n in odd.items():
-                        yield uid, None, held, u, w, int(p), int(q), n, w is not none, None, None, 0, 0, 0.0, 0.0
-        yield from batches(out(), _PAIRS, 20_000)
-
-    ddl = ("uid bigint, id bigint, held boolean, a binary, b binary, i int, j int, n bigint, rare boolean, k binary, m binary, "
-           "n_tokens bigint, n_known bigint, base double, score double")
-    second = lex.table.select(F.col("word").alias("b"), F.col("c"), F.col("k").alias("kb"))
-    first = lex.table.select(F.col("word").alias("a"), F.col("k").alias("ka"))
-    c = F.coalesce("c", F.lit(0))
-    rare = F.col("rare").cast("int") * F.col("n")
-    return (rows.mapInArrow(run, ddl).join(second, "b", "left").join(first, "a", "left")
-            .select("uid", "id", "held", F.coalesce("ka", "i").alias("i"), F.coalesce("kb", "j").alias("j"), "n", "k", "m", "n_tokens",
-                    (F.col("n_known") + F.when(c > 0, rare).otherwise(0)).alias("n_known"),
-                    (F.col("base") + rare * (F.log10(c + 1.0) - F.lit(norm))).alias("base"),
-                    (F.col("score") + rare * F.log10(c + DELTA)).alias("score")))
-
-
-def _pairs_of(b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, pair of classes and times of a batch of ``class_pairs``."""
-    n = np.array(column_of(b, "n"), np.int64)
-    key = np.array(column_of(b, "i"), np.int64) * CLASSES + np.array(column_of(b, "j"), np.int64)
-    k, m = [x or b"" for x in column_of(b, "k")], [x or b"" for x in column_of(b, "m")]
+                    # The row of the document itself has a word that no text holds, of its own.
+                    yield uid, held, b"\n%d" % uid, None, 0, -1, -1, 0, {
+                        "id": i, "k": k.astype(np.uint16).tobytes(), "m": m.astype(np.uint32).tobytes(), "n_tokens": len(words),
+                        "n_known": len(got), "base": float(base_of[got].sum()), "score": float(emit_of[got].sum())}
+                    miss = np.flatnonzero(~hit)
+                    if not len(miss):
+                        continue
+                    after = np.concatenate([cls[1:], cls[:1]])
+                    alone = Counter(zip(map(words.__getitem__, miss.tolist()), before[miss].tolist(), after[miss].tolist()))
+                    # The unit's class stands unless the lexicon has the word.
+                    for (w, l, r), n in alone.items():
+                        yield uid, held, w, None, int(units[unit[w]]), l, r, n, None
+                    pairs = miss[before[miss] < 0].tolist()
+                    for (w, p), n in Counter((words[x], words[x - 1]) for x in pairs).items():
+                        yield uid, held, w, p, int(units[unit[w]]), int(units[unit[p]]), -1, n, None
+        yield from batches(out(), _ROWS, 20_000)
+
+    ddl = ("uid bigint, held boolean, word binary, prev binary, i int, l int, r int, n bigint, doc struct<id:bigint,k:binary,m:binary,"
+           "n_tokens:bigint,n_known:bigint,base:double,score:double>")
+    met = _stored(rows.mapInArrow(run, ddl).join(lex.table, "word", "left")
+                  .select("uid", "held", "prev", F.coalesce("k", "i").alias("i"), "l", "r", "n", F.coalesce("c", F.lit(0)).alias("c"), "doc"), "met")
+    first = lex.table.select(F.col("word").alias("prev"), "k")
+    between = _stored(met.filter("prev is not null").select("uid", "held", "prev", "i", "l", "n").join(first, "prev", "left")
+                      .select("uid", "held", "i", F.coalesce("k", "l").alias("l"), "n"), "between")
+    return Pairs(met.filter("doc is not null").select("uid", "held", "doc"),
+                 met.filter("doc is null and prev is null").select("uid", "held", "i", "c", "l", "r", "n"), between)
+
+
+def _known_pairs(b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, pair of classes and times of the known pairs in a batch of documents (columns k, m)."""
+    k, m = column_of(b, "k"), column_of(b, "m")
     size = np.fromiter(map(len, k), np.int64, len(k)) // 2
-    return (np.concatenate([np.arange(len(n)), np.repeat(np.arange(len(n)), size)]),
-            np.concatenate([key, np.frombuffer(b"".join(k), np.uint16)]),
-            np.concatenate([n, np.frombuffer(b"".join(m), np.uint32)]))
+    return (np.repeat(np.arange(len(k)), size), np.frombuffer(b"".join(k), np.uint16).astype(np.int64),
+            np.frombuffer(b"".join(m), np.uint32).astype(np.int64))
 
 
-def class_bigram(pairs: DataFrame) -> np.ndarray:
-    """How often class follows class in all rows of ``class_pairs``."""
-    schema = pa.schema([("p", pa.int32()), ("n", pa.int64())])
+def class_bigram(pairs: Pairs) -> np.ndarray:
+    """How often class follows class in the rows that are not held out."""
+    schema = pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
 
     def tally(it):
         total = np.zeros(CLASSES * CLASSES, np.int64)
         for b in it:
-            _, key, n = _pairs_of(b)
+            _, key, n = _known_pairs(b)
             total += np.bincount(key, n, len(total)).astype(np.int64)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], schema=schema)
-
-    out = np.zeros(CLASSES * CLASSES)
-    for r in pairs.mapInArrow(tally, "p int, n bigint").groupBy("p").agg(F.sum("n").alias("n")).collect():
-        out[r["p"]] = r["n"]
-    return out.reshape(CLASSES, CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(at // CLASSES, pa.int32()), pa.array(at % CLASSES, pa.int32()), pa.array(total[at])],
+                                         schema=schema)
+
+    known = pairs.docs.filter("not held").select("doc.k", "doc.m").mapInArrow(tally, "a int, b int, n bigint")
+    rare = pairs.rare.filter("not held").groupBy("l", "i", "r").agg(F.sum("n").alias("n"))
+    rare = rare.select(F.explode(F.array(F.struct(F.col("l").alias("a"), F.col("i").alias("b"), "n"),
+                                         F.struct(F.col("i").alias("a"), F.col("r").alias("b"), "n"))).alias("x")).select("x.*").filter("a >= 0 and b >= 0")
+    both = pairs.between.filter("not held").select(F.col("l").alias("a"), F.col("i").alias("b"), "n")
+    out = np.zeros((CLASSES, CLASSES))
+    for r in known.unionAll(rare).unionAll(both).groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+        out[r["a"], r["b"]] = r["n"]
+    return out
 
 
 @dataclass
@@ -495,22 +517,32 @@ def model_of(n: np.ndarray, table: DataFrame) -> Model:
     return Model(np.log10(p), n.sum(0), types)
 
 
-def score(pairs: DataFrame, model: Model) -> DataFrame:
-    """uid, id, held, n_tokens, n_known, base, score of every document of ``class_pairs``."""
-    schema = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()),
-                        ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+def score(pairs: Pairs, model: Model, lex: Lexicon) -> DataFrame:
+    """uid, id, held, n_tokens, n_known, base, score of every document."""
+    schema = pa.schema([("uid", pa.int64()), ("path", pa.float64())])
     step = (model.transition - np.log10(model.tokens + DELTA * (model.types + 1))).ravel()
+    norm = math.log10(lex.n + lex.v + 1)
 
     def run(it):
         for b in it:
-            row, key, n = _pairs_of(b)
+            row, key, n = _known_pairs(b)
             path = np.bincount(row, n * step[key], b.num_rows) + np.array(column_of(b, "score"), float)
-            same = [b.column(b.schema.get_field_index(f.name)) for f in schema][:-1]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(path)], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(path)], schema=schema)
+
+    steps = F.split(F.lit(",".join(map(repr, step.tolist()))), ",").cast("array<double>")     # folded into one constant
 
-    ddl = "uid bigint, id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double"
-    return (pairs.mapInArrow(run, ddl).groupBy("uid")
-            .agg(F.max("id").alias("id"), F.max("held").alias("held"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")]))
+    def taken(a: Column, b: Column) -> Column:
+        return F.when((a >= 0) & (b >= 0), steps[a * CLASSES + b]).otherwise(0.0)
+    i, l, r, c, n = (F.col(x) for x in ("i", "l", "r", "c", "n"))
+    zero, nothing = F.lit(0).cast("bigint"), F.lit(0.0)
+    known = pairs.docs.select("uid", "doc.k", "doc.m", "doc.score").mapInArrow(run, "uid bigint, path double")
+    parts = (pairs.rare.select("uid", F.when(c > 0, n).otherwise(zero).alias("n_known"), (n * (F.log10(c + 1.0) - F.lit(norm))).alias("base"),
+                               (n * (F.log10(c + DELTA) + taken(l, i) + taken(i, r))).alias("score"))
+             .unionAll(pairs.between.select("uid", zero, nothing, n * taken(l, i)))
+             .unionAll(known.select("uid", zero, nothing, "path"))
+             .unionAll(pairs.docs.select("uid", "doc.n_known", "doc.base", nothing)))
+    sums = parts.groupBy("uid").agg(*[F.sum(x).alias(x) for x in ("n_known", "base", "score")])
+    return pairs.docs.select("uid", "doc.id", "held", "doc.n_tokens").join(sums, "uid")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -518,6 +550,6 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("bigint").alias("id"),
                        held_out(F.col(id_col)).alias("held"), text_bytes(text_col).alias("t"))
     lex = learn(rows.filter(~F.col("held")).select("t"))
-    pairs = cut(class_pairs(rows, lex))
-    model = model_of(class_bigram(pairs.filter(~F.col("held"))), lex.table)
-    return score(pairs, model).withColumn("train_tokens", F.lit(lex.n).cast("bigint"))
+    pairs = class_pairs(rows, lex)
+    model = model_of(class_bigram(pairs), lex.table)
+    return score(pairs, model, lex).withColumn("train_tokens", F.lit(lex.n).cast("bigint"))
