@@ -1,10 +1,15 @@
 """Profiles, pairs, negatives and splits: literal cases and properties."""
 
+import hashlib
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from plateau import session
+from plateau.operators import features as FE
 from plateau.operators.pairs import eligible_pairs, negative_samples, positive_pairs
 from plateau.operators.profiles import user_profiles
-from plateau.operators.splits import stratified_split, temporal_split
+from plateau.operators.splits import row_at, stratified_split, temporal_split
 from plateau.sources import fixtures as X
 from tests.conftest import SF
 
@@ -69,3 +74,71 @@ def test_splits_partition_input(spark):
     last_train = t.filter("split = 'train'").agg(F.max("datetime")).first()[0]
     first_test = t.filter("split = 'test'").agg(F.min("datetime")).first()[0]
     assert last_train <= first_test
+
+
+def _walk(seed, user, n_items, p, touched, m):
+    """The first m untouched indexes of a user's permutation, position by position."""
+    h = lambda *x: int(hashlib.md5("|".join(x).encode()).hexdigest()[:8], 16)
+    a, b, out, j = 1 + h(str(seed), "a", user) % (p - 1), h(str(seed), "b", user) % p, [], 0
+    while len(out) < m:
+        i = (a * j + b) % p
+        if i < n_items and i not in touched:
+            out.append(i)
+        j += 1
+    return out
+
+
+def test_negatives_are_the_walk_and_draw_nothing_in_vain(spark):
+    n = 90  # the next prime is 97
+    ids = [f"i{k}" for k in range(n)]
+    cat = spark.createDataFrame([(x,) for x in ids], "recipe_id string")
+    own = {"light": ids[:3], "half": ids[10:45], "all": ids, "nearly": ids[:-1], "gone": ["x", "y"], "one": ["x", ids[7]]}
+    pos = spark.createDataFrame([(u, r) for u, rs in own.items() for r in rs] + [(None, "i1"), ("one", None)], "user_id string, recipe_id string")
+    held = len(session._HELD)
+    neg = negative_samples(pos, cat, 4, 42, chunk=8)
+    assert len(session._HELD) == held and "LeftAnti" not in neg._jdf.queryExecution().toString()  # no candidate table
+    order = sorted(ids, key=lambda x: (f"{int(hashlib.md5(f'42|{x}'.encode()).hexdigest()[:8], 16):010d}|{x}"))
+    want = set()
+    for u, rs in own.items():
+        touched = {order.index(r) for r in rs if r in order}
+        m = min(4 * (len(rs) + (u == "one")), n - len(touched))
+        want |= {(u, order[i]) for i in _walk(42, u, n, 97, touched, m)}
+    got = [(r.user_id, r.recipe_id) for r in neg.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_temporal_cuts_without_moving_rows(spark):
+    rows = [(f"u{k % 7}", f"r{k % 11}", None if k % 3 else datetime(2024, 1, 1 + k % 5)) for k in range(200)]
+    df = spark.createDataFrame(rows, "user_id string, recipe_id string, datetime timestamp")
+    key = lambda r: (r[2] is None, r[2] or datetime.min, r[0], r[1])
+    srt = sorted(rows, key=key)
+    out = temporal_split(df)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():      # rows that tie with a cut row go the way of the rows after it or before it together
+        k = key((r.user_id, r.recipe_id, r.datetime))
+        assert r.split == ("test" if k > key(srt[159]) else "val" if k > key(srt[119]) else "train")
+    at = row_at(df.withColumn("_last", F.col("datetime").isNull()), ["_last", "datetime", "user_id", "recipe_id"], 160)
+    assert (at["_last"], at["datetime"] or datetime.min, at["user_id"], at["recipe_id"]) == key(srt[159])
+
+
+def test_no_exchange_of_pairs_carries_the_users_sets(spark):
+    inter = spark.createDataFrame([("u", "a", "Recipe Cooked", 5.0, 1), ("u", "b", "Recipe Viewed", 1.0, 2), ("v", "c", "Recipe Viewed", 1.0, 3)],
+                                  "user_id string, recipe_id string, event_type string, rating double, seq long").withColumns(
+        {"datetime": F.lit("2024-01-02").cast("timestamp"), "device_type": F.lit("phone"), "platform": F.lit("ios"), "version": F.lit("v1")})
+    cat = spark.createDataFrame([(x, "A" if x < "c" else None, 10.0) for x in "abcd"], "recipe_id string, author_name string, total_time double")
+    bridge = spark.createDataFrame([("a", 1), ("a", 70), ("b", 70), ("b", 2), ("d", 70), ("d", 900)], "recipe_id string, ingredient_id long")
+    pairs = spark.createDataFrame([("u", "a", 5.0, 5.0), ("u", "d", 0.0, 0.0), ("v", "a", 0.0, 0.0)],
+                                  "user_id string, recipe_id string, rating double, label double").withColumn("datetime", F.lit(None).cast("timestamp"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = FE.training_features(pairs, user_profiles(inter), FE.catalog_features(cat, bridge), bridge, inter, do_impute=False)
+        plan = t._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        # the users' side, which holds the sets, is the right side of the outermost join: its output is never joined again
+        joins = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan if "Join LeftOuter" in x]
+        assert "user_id" in min(joins)[1] and "recipe_id" not in min(joins)[1]
+        got = {(r.user_id, r.recipe_id): (r.ingredient_overlap_count, r.ingredient_similarity_score, r.user_author_interaction_count, r.author_affinity_score)
+               for r in t.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == {("u", "a"): (2, 2 / 3, 2, 2 / 3), ("u", "d"): (1, 1 / 4, 0, 0.0), ("v", "a"): (0, 0.0, 0, 0.0)}
