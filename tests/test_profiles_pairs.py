@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plateau import session
 from plateau.operators import features as FE
+from plateau.operators.content import top_ingredients
 from plateau.operators.pairs import eligible_pairs, negative_samples, positive_pairs
 from plateau.operators.profiles import user_profiles
 from plateau.operators.splits import row_at, stratified_split, temporal_split
@@ -142,3 +143,13 @@ def test_no_exchange_of_pairs_carries_the_users_sets(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert got == {("u", "a"): (2, 2 / 3, 2, 2 / 3), ("u", "d"): (1, 1 / 4, 0, 0.0), ("v", "a"): (0, 0.0, 0, 0.0)}
+
+
+def test_top_ingredients_open_their_lists_at_the_user(spark):
+    ings = spark.createDataFrame([("a", "salt"), ("a", "oil"), ("a", "oil"), ("b", "oil"), ("b", None), ("c", "egg")], "recipe_id string, ingredient string")
+    inter = spark.createDataFrame([("u", "a"), ("u", "a"), ("u", "b"), ("v", "c"), (None, "c"), ("w", None), ("v", "x")], "user_id string, recipe_id string")
+    top = top_ingredients(inter, ings, 2)
+    assert sorted(map(tuple, top.collect()), key=str) == sorted([("u", "oil", 1), ("u", "salt", 2), ("v", "egg", 1), (None, "egg", 1)], key=str)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in plan and "Generate explode(_list" in plan
+    assert not any("Exchange hashpartitioning(user_id" in x and "ingredient" in x.split("]")[0] for x in plan.split("\n"))
