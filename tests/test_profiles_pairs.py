@@ -1,3 +1,4 @@
+import re
 """Profiles, pairs, negatives and splits: literal cases and properties."""
 
 import hashlib
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plateau import session
 from plateau.operators import features as FE
-from plateau.operators.content import top_ingredients
+from plateau.operators.content import top_ingredients, user_features, user_item_features
 from plateau.operators.pairs import eligible_pairs, negative_samples, positive_pairs
 from plateau.operators.profiles import user_profiles
 from plateau.operators.splits import row_at, stratified_split, temporal_split
@@ -153,3 +154,40 @@ def test_top_ingredients_open_their_lists_at_the_user(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in plan and "Generate explode(_list" in plan
     assert not any("Exchange hashpartitioning(user_id" in x and "ingredient" in x.split("]")[0] for x in plan.split("\n"))
+
+
+def _content(spark):
+    ings = spark.createDataFrame([("a", "salt"), ("a", "oil"), ("b", "oil"), ("b", None), ("c", "egg")], "recipe_id string, ingredient string")
+    items = spark.createDataFrame([("a", "ann", "10 min", ["main", "quick"]), ("b", None, None, None), ("d", "bob", "1 h", ["main", None])],
+                                  "recipe_id string, recipe_author string, recipe_cooking_time string, recipe_tags array<string>")
+    inter = spark.createDataFrame([("u", "a", 2.0, 0, ["Recipe Viewed"]), ("u", "b", 4.0, 90000, ["Recipe Cooked"]), ("v", "c", 1.0, 5, []),
+                                   (None, "c", 1.0, 5, []), ("w", "d", 3.0, 5, ["Recipe Viewed"]), ("x", None, 3.0, 5, [])],
+                                  "user_id string, recipe_id string, rating double, timestamp long, event array<string>")
+    return inter, items, ings
+
+
+def test_user_features_open_an_items_lists_at_the_user(spark):
+    inter, items, ings = _content(spark)
+    uf = user_features(inter, items, ings)
+    got = {r.user_id: (r.top_cuisine, r.cuisine_diversity, r.top_author, r.author_loyalty, r.top_ingredient, r.ingredient_diversity)
+           for r in uf.collect() if r.user_id}
+    assert got == {"u": ("main", 2, "", 0.5, "oil", 2), "v": ("main", 0, "", 1.0, "egg", 1),
+                   "w": ("main", 1, "bob", 1.0, "unknown", 0), "x": ("main", 0, "", 1.0, "unknown", 0)}
+    plan = uf._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\((user_id[^)]*)\)", plan)
+    assert keys and all(re.fullmatch(r"user_id#\d+, \d+", k) for k in keys), keys
+
+
+def test_user_item_features_exchange_no_row_per_ingredient(spark):
+    inter, items, ings = _content(spark)
+    top = spark.createDataFrame([("u", "oil", 1), ("u", None, 2), ("v", "egg", 1)], "user_id string, ingredient string, rank int")
+    itf = spark.createDataFrame([("a", 1.0, 2, 1, "main", "ann", 3.0, 1.0, 1.0)],
+                                "recipe_id string, complexity_score double, ingredient_count long, is_quick long, primary_tag string, "
+                                "recipe_author string, avg_rating double, days_since_first double, days_since_last double")
+    out = user_item_features(inter.select("user_id", "recipe_id", "rating"), user_features(inter, items, ings), itf, top, ings)
+    assert out.columns[:3] == ["user_id", "recipe_id", "rating"]
+    got = {(r.user_id, r.recipe_id): (r.ingredient_overlap_count, r.ingredient_jaccard, r.has_familiar_ingredients) for r in out.collect()}
+    assert got == {("u", "a"): (1, 1 / 3, 1), ("u", "b"): (1, 1 / 3, 1), ("v", "c"): (1, 1.0, 1), (None, "c"): (0, 0.0, 0),
+                   ("w", "d"): (0, 0.0, 0), ("x", None): (0, 0.0, 0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "user_id, ingredient" not in plan and "ingredient, user_id" not in plan
