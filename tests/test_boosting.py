@@ -228,3 +228,13 @@ def test_search_ends_by_patience_and_saves(spark, tmp_path):
         assert max(scores[:-2]) >= max(scores[-2:]) - 1e-12
     params, score = RK.load_params(spark, out)
     assert score == max(scores) and params.learning_rate == best["learning_rate"] and params.early_stopping_rounds == RankerParams().early_stopping_rounds
+
+
+def test_a_settled_fit_keeps_the_trees_of_the_whole_one(spark):
+    rows = [(f"u{u}", f"i{i}", float(i % 3), float(i % 3), float((u * 7 + i) % 5)) for u in range(30) for i in range(12)]
+    df = spark.createDataFrame(rows, "user_id string, recipe_id string, label double, a double, b double")
+    p = RankerParams(min_child_samples=5, num_leaves=4, early_stopping_rounds=6)
+    whole = RK.fit_ranker(df, df, ["a", "b"], p)
+    short = RK.fit_ranker(df, df, ["a", "b"], p, stop=RK.settled)
+    assert short.best_round == whole.best_round and short.scorer.to_json() == whole.scorer.to_json() and short.importance == whole.importance
+    assert len(whole.history) == whole.best_round + 6 and len(short.history) == short.best_round

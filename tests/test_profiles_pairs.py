@@ -1,7 +1,7 @@
-import re
 """Profiles, pairs, negatives and splits: literal cases and properties."""
 
 import hashlib
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
