@@ -169,6 +169,7 @@ def _content(spark):
 def test_user_features_open_an_items_lists_at_the_user(spark):
     inter, items, ings = _content(spark)
     uf = user_features(inter, items, ings)
+    assert {r.user_id: r.avg_ingredient_count for r in uf.collect()}["u"] == 1.5             # a NULL name is no ingredient
     got = {r.user_id: (r.top_cuisine, r.cuisine_diversity, r.top_author, r.author_loyalty, r.top_ingredient, r.ingredient_diversity)
            for r in uf.collect() if r.user_id}
     assert got == {"u": ("main", 2, "", 0.5, "oil", 2), "v": ("main", 0, "", 1.0, "egg", 1),
