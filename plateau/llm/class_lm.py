@@ -30,6 +30,7 @@ import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ KNOWN = 131_072        # words whose counts and classes go to every task, at mos
 FLUSH = 400_000        # distinct words a counting task holds before it emits them
 PENDING = 2_000_000    # (word, class) meetings a task holds before it sums them
 DELTA, KEEP = 1.0, 0.95
+STRETCH = 100_000      # tokens of consecutive documents that a task works on at once, about
+SMALL = 8              # meetings up to this number are scored from a table
 END = b"\n"            # no word holds white space
 
 
@@ -55,6 +58,30 @@ def tokens(t: bytes) -> list[bytes]:
     return t.lower().split()   # bytes: lowers A-Z alone and splits at the contract's white space
 
 
+def stretches(texts: list[bytes]):
+    """(first text, sizes, tokens) of consecutive texts; each text's tokens are followed by its end."""
+    first, sizes, words = 0, [], []
+    for t in texts:
+        w = tokens(t)
+        words += w
+        words.append(END)
+        sizes.append(len(w) + 1)
+        if len(words) >= STRETCH:
+            yield first, np.array(sizes), words
+            first, sizes, words = first + len(sizes), [], []
+    if sizes:
+        yield first, np.array(sizes), words
+
+
+def neighbours(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the token before and after each; a text's end also stands before its first word."""
+    ends = np.cumsum(sizes)
+    n = int(ends[-1])
+    before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
+    before[ends - sizes], after[ends - 1] = ends - 1, ends - sizes
+    return before, after
+
+
 def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
@@ -108,11 +135,17 @@ def unit_bigrams(train: DataFrame, own: dict[bytes, int]) -> np.ndarray:
     def count(it):
         unit, z = Units(own), zstandard.ZstdCompressor(level=1)
         total = np.zeros(UNITS * UNITS, np.int64)
+        pend, held = [], 0
         for b in it:
-            for t in column_of(b, "t"):
-                u = np.fromiter(map(unit.__getitem__, [END, *tokens(t), END]), np.int64)
-                pair, n = np.unique(u[:-1] * UNITS + u[1:], return_counts=True)
-                total[pair] += n
+            for _, sizes, words in stretches(column_of(b, "t")):
+                u = np.fromiter(map(unit.__getitem__, words), np.int64, len(words))
+                pend.append(u[neighbours(sizes)[0]] * UNITS + u)
+                held += len(u)
+                if held > PENDING:
+                    total += np.bincount(np.concatenate(pend), minlength=len(total))
+                    pend, held = [], 0
+        if pend:
+            total += np.bincount(np.concatenate(pend), minlength=len(total))
         total = total.reshape(UNITS, UNITS)
         yield from batches(((i, z.compress(total[i].tobytes())) for i in np.flatnonzero(total.any(1)).tolist()), schema)
 
@@ -269,8 +302,8 @@ def neighbour_classes(train: DataFrame, own: dict[bytes, int], cls: np.ndarray)
                                                   _lists(size, times[part].astype(np.uint32))], schema=_MET)
 
         for batch in it:
-            for t in column_of(batch, "t"):
-                at = np.fromiter(map(number.__getitem__, [END, *tokens(t), END]), np.int64)
+            for _, sizes, words in stretches(column_of(batch, "t")):
+                at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
                 if len(number.words) > filled:
                     if len(number.words) > len(more):
                         more = np.concatenate([more, np.empty(2 * len(number.words), np.int64)])
@@ -280,8 +313,9 @@ def neighbour_classes(train: DataFrame, own: dict[bytes, int], cls: np.ndarray)
                 if not rare.any():
                     continue
                 c = np.where(rare, more[np.where(rare, at - len(own), 0)], own_cls[np.where(rare, 0, at)] if len(own) else 0)
-                after, before = rare[:-1], rare[1:]
-                pend += [at[:-1][after] * (2 * CLASSES) + CLASSES + c[1:][after], at[1:][before] * (2 * CLASSES) + c[:-1][before]]
+                before, after = neighbours(sizes)
+                at = at[rare] * (2 * CLASSES)
+                pend += [at + CLASSES + c[after[rare]], at + c[before[rare]]]
                 held += len(pend[-1]) + len(pend[-2])
                 if held > PENDING or len(number.words) > FLUSH:
                     keys, times = merge()
@@ -297,22 +331,39 @@ def neighbour_classes(train: DataFrame, own: dict[bytes, int], cls: np.ndarray)
     return train.mapInArrow(run, "word binary, k binary, n binary")
 
 
-def best_classes(at: np.ndarray, k: np.ndarray, c: np.ndarray, cur: np.ndarray, n: np.ndarray) -> np.ndarray:
+def small_gains(n: np.ndarray) -> np.ndarray:
+    """Row c - 1, neighbour class k: what c more meetings add in each class, c up to SMALL."""
+    rows = np.concatenate([n, n.T])
+    return np.stack([_f(rows + c) - _f(rows) for c in range(1, SMALL + 1)])
+
+
+def best_classes(at: np.ndarray, k: np.ndarray, c: np.ndarray, cur: np.ndarray, n: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
     """The class of each word that raises the likelihood most, taken out of its class ``cur`` with its neighbours kept in theirs.
 
-    Entries (word ``at``, neighbour class ``k``, ``c`` times) are sorted by word and class; ``n`` is the class bigram."""
+    Entries (word ``at``, neighbour class ``k``, ``c`` times) are sorted by word and class; ``n`` is the class bigram and
+    ``table`` its ``small_gains``."""
+    table = small_gains(n) if table is None else table
     words, classes = len(cur), len(n)
     after, x = k >= classes, k % classes
     met = np.zeros((2, words, classes))
     met[after.astype(int), at, x] = c
-    base = np.where(after[:, None], n[:, x].T, n[x])
-    row, w = np.arange(len(at)), cur[at]
-    base[row, w] -= c
-    same = np.flatnonzero(x == w)      # the cell also holds what the word adds from its other side
-    base[same] -= met[1 - after[same].astype(int), at[same]]
+    w = cur[at]
+    each = np.empty((len(at), classes))
+    # Few meetings: only the cell of the word's own class differs from the table.
+    few = np.flatnonzero((c <= SMALL) & (x != w))
+    each[few] = table[c[few].astype(int) - 1, k[few]]
+    cell = np.maximum(np.where(after[few], n[w[few], x[few]], n[x[few], w[few]]) - c[few], 0)
+    each[few, w[few]] = _f(cell + c[few]) - _f(cell)
+    rest = np.flatnonzero((c > SMALL) | (x == w))
+    base = np.where(after[rest, None], n[:, x[rest]].T, n[x[rest]])
+    base[np.arange(len(rest)), w[rest]] -= c[rest]
+    own = np.flatnonzero(x[rest] == w[rest])      # the cell also holds what the word adds from its other side
+    same = rest[own]
+    base[own] -= met[1 - after[same].astype(int), at[same]]
     base = np.maximum(base, 0)
+    each[rest] = _f(base + c[rest, None]) - _f(base)
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    gain = np.add.reduceat(_f(base + c[:, None]) - _f(base), starts, axis=0)
+    gain = np.add.reduceat(each, starts, axis=0)
     for side, total in ((1, n.sum(1)), (0, n.sum(0))):
         add = met[side].sum(1)
         rest = np.repeat(total[None], words, 0)
@@ -327,7 +378,7 @@ def exchange_rest(train: DataFrame, own: dict[bytes, int], cls: np.ndarray, n: n
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("k", pa.int32())])
 
     def reduce(it):
-        unit = Units(own)
+        unit, table = Units(own), small_gains(n)
 
         def settle(names: list[bytes], at, k, c):
             key, back = np.unique(at * (2 * CLASSES) + k, return_inverse=True)
@@ -336,7 +387,7 @@ def exchange_rest(train: DataFrame, own: dict[bytes, int], cls: np.ndarray, n: n
             before = np.bincount(at[k < CLASSES], times[k < CLASSES], len(names)).astype(np.int64)
             cur = cls[[unit[w] for w in names]]
             cuts = np.searchsorted(at, np.arange(len(names) + 1))
-            best = np.concatenate([best_classes(at[cuts[a]:cuts[b]] - a, k[cuts[a]:cuts[b]], times[cuts[a]:cuts[b]], cur[a:b], n)
+            best = np.concatenate([best_classes(at[cuts[a]:cuts[b]] - a, k[cuts[a]:cuts[b]], times[cuts[a]:cuts[b]], cur[a:b], n, table)
                                    for a in range(0, len(names), 128) for b in [min(a + 128, len(names))]])
             return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(before), pa.array(best, pa.int32())], schema=schema)
 
@@ -425,36 +476,56 @@ def class_pairs(rows: DataFrame, lex: Lexicon) -> Pairs:
         c = np.array([c for c, _ in known.values()], float)
         cls_of = np.append(np.array([k for _, k in known.values()], np.int64), -1)     # -1: not known
         base_of, emit_of = np.log10(c + 1) - norm, np.log10(c + DELTA)
-        find = place.get
+        side = CLASSES + 1
+
+        def rows_of(size: int, uid, held, /, **given):
+            """Rows with the given columns; the others hold nothing."""
+            none = {"prev": None, "i": 0, "l": -1, "r": -1, "n": 0, "doc": None}
+            got = {"uid": uid, "held": held} | given
+            cols = [got[f.name] if f.name in got else pa.nulls(size, f.type) if none[f.name] is None else pa.array(np.full(size, none[f.name]), f.type)
+                    for f in _ROWS]
+            whole = pa.RecordBatch.from_arrays(cols, schema=_ROWS)
+            for a in range(0, size, 20_000):
+                yield whole.slice(a, 20_000)
 
-        def out():
-            for b in it:
-                for uid, i, held, t in zip(*(column_of(b, k) for k in ("uid", "id", "held", "t"))):
-                    words = tokens(t)
-                    words.append(END)     # also stands before the first word
-                    at = np.fromiter((find(w, -1) for w in words), np.int64, len(words))
-                    cls = cls_of[at]
-                    hit = at >= 0
-                    before = np.concatenate([cls[-1:], cls[:-1]])
-                    both = hit & (before >= 0)
-                    k, m = np.unique(before[both] * CLASSES + cls[both], return_counts=True)
-                    got = at[hit]
-                    # The row of the document itself has a word that no text holds, of its own.
-                    yield uid, held, b"\n%d" % uid, None, 0, -1, -1, 0, {
-                        "id": i, "k": k.astype(np.uint16).tobytes(), "m": m.astype(np.uint32).tobytes(), "n_tokens": len(words),
-                        "n_known": len(got), "base": float(base_of[got].sum()), "score": float(emit_of[got].sum())}
-                    miss = np.flatnonzero(~hit)
-                    if not len(miss):
-                        continue
-                    after = np.concatenate([cls[1:], cls[:1]])
-                    alone = Counter(zip(map(words.__getitem__, miss.tolist()), before[miss].tolist(), after[miss].tolist()))
-                    # The unit's class stands unless the lexicon has the word.
-                    for (w, l, r), n in alone.items():
-                        yield uid, held, w, None, int(units[unit[w]]), l, r, n, None
-                    pairs = miss[before[miss] < 0].tolist()
-                    for (w, p), n in Counter((words[x], words[x - 1]) for x in pairs).items():
-                        yield uid, held, w, p, int(units[unit[w]]), int(units[unit[p]]), -1, n, None
-        yield from batches(out(), _ROWS, 20_000)
+        for b in it:
+            column = {x: b.column(b.schema.get_field_index(x)) for x in ("uid", "id", "held")}
+            for first, sizes, words in stretches(column_of(b, "t")):
+                docs = len(sizes)
+                uid, ids, held = (column[x].slice(first, docs) for x in ("uid", "id", "held"))
+                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+                cls, hit, doc = cls_of[at], at >= 0, np.repeat(np.arange(docs), sizes)
+                before, after = neighbours(sizes)
+                left = cls[before]
+                both = hit & (left >= 0)
+                key, m = np.unique((doc[both] * CLASSES + left[both]) * CLASSES + cls[both], return_counts=True)
+                size = np.bincount(key // CLASSES ** 2, minlength=docs)
+                got, of = at[hit], doc[hit]
+                # The row of the document itself has a word that no text holds, of its own.
+                yield from rows_of(docs, uid, held, word=pa.array([b"\n%d" % u for u in uid.to_pylist()], pa.binary()), doc=pa.StructArray.from_arrays(
+                    [ids, _lists(size, (key % CLASSES ** 2).astype(np.uint16)), _lists(size, m.astype(np.uint32)), pa.array(sizes, pa.int64()),
+                     pa.array(np.bincount(of, minlength=docs), pa.int64()), pa.array(np.bincount(of, base_of[got], docs), pa.float64()),
+                     pa.array(np.bincount(of, emit_of[got], docs), pa.float64())], fields=list(_DOC)))
+                miss = np.flatnonzero(~hit)
+                if not len(miss):
+                    continue
+                number = _Numbered({})
+                rare = np.full(len(words), -1)
+                rare[miss] = np.fromiter(map(number.__getitem__, map(words.__getitem__, miss.tolist())), np.int64, len(miss))
+                names, own_cls = pa.array(number.words, pa.binary()), units[[unit[w] for w in number.words]]
+                many = len(number.words)
+                # The unit's class stands unless the lexicon has the word.
+                key, n = np.unique(((doc[miss] * many + rare[miss]) * side + left[miss] + 1) * side + cls[after[miss]] + 1, return_counts=True)
+                of, w = np.divmod(key // side ** 2, many)
+                yield from rows_of(len(key), uid.take(pa.array(of)), held.take(pa.array(of)), word=names.take(pa.array(w)), i=pa.array(own_cls[w], pa.int32()),
+                                   l=pa.array(key // side % side - 1, pa.int32()), r=pa.array(key % side - 1, pa.int32()), n=pa.array(n, pa.int64()))
+                two = miss[left[miss] < 0]
+                if not len(two):
+                    continue
+                key, n = np.unique((doc[two] * many + rare[two]) * many + rare[before[two]], return_counts=True)
+                of, w, p = key // many ** 2, key // many % many, key % many
+                yield from rows_of(len(key), uid.take(pa.array(of)), held.take(pa.array(of)), word=names.take(pa.array(w)), prev=names.take(pa.array(p)),
+                                   i=pa.array(own_cls[w], pa.int32()), l=pa.array(own_cls[p], pa.int32()), n=pa.array(n, pa.int64()))
 
     ddl = ("uid bigint, held boolean, word binary, prev binary, i int, l int, r int, n bigint, doc struct<id:bigint,k:binary,m:binary,"
            "n_tokens:bigint,n_known:bigint,base:double,score:double>")

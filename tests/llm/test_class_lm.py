@@ -152,3 +152,29 @@ def test_awkward_rows(spark):
     alone = X.score_documents(docs(spark, [(i, "a b") for i in only])).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in alone)
     assert docs(spark, [(None, "x")]).select(X.held_out(F.col("doc_id"))).first()[0] is False
+
+
+def test_texts_are_worked_on_in_stretches(monkeypatch):
+    """Consecutive texts share one array; a text's end stands before its first word and after its last."""
+    monkeypatch.setattr(X, "STRETCH", 4)
+    texts = [b"a B", b"", b"c", b"d e f g h", b"i"]
+    got = list(X.stretches(texts))
+    assert [(first, sizes.tolist()) for first, sizes, _ in got] == [(0, [3, 1]), (2, [2, 6]), (4, [2])]
+    for first, sizes, words in got:
+        before, after = X.neighbours(sizes)
+        want = []
+        for t in texts[first:first + len(sizes)]:
+            w = [X.END, *X.tokens(t), X.END]
+            want += zip(w[1:], w[:-1], w[2:] + w[1:2] if len(w) > 2 else w[:1])
+        assert [(w, words[b], words[a]) for w, b, a in zip(words, before, after)] == want
+
+
+def test_few_meetings_are_scored_from_a_table(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = rng.integers(0, 40, (6, 6)).astype(float)
+    at = np.repeat(np.arange(50), 6)
+    k = np.concatenate([np.sort(rng.choice(12, 6, replace=False)) for _ in range(50)])
+    c, cur = rng.integers(1, 14, len(at)).astype(float), rng.integers(0, 6, 50)
+    got = X.best_classes(at, k, c, cur, n, X.small_gains(n))
+    monkeypatch.setattr(X, "SMALL", 0)
+    assert (got == X.best_classes(at, k, c, cur, n, np.empty((1, 12, 6)))).all()
