@@ -1,7 +1,8 @@
 """Text features never merge terms, whatever their alphabet."""
 
 import math
-from collections import Counter
+import random
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -55,3 +56,36 @@ def test_wide_form_equals_long_form(spark, tmp_path):
     enc.save(str(tmp_path / "enc"))
     back = T.TextEncoder.load(spark, str(tmp_path / "enc"), specs)
     assert {tuple(r) for r in back.transform_long(df).collect()} == {tuple(r) for r in enc.transform_long(df).collect()}
+
+
+def brute_terms(rows, most, min_df):
+    cf, df = Counter(), defaultdict(set)
+    for i, text in rows:
+        w = text.split()
+        for t in w + [f"{a} {b}" for a, b in zip(w, w[1:])]:
+            cf[t] += 1
+            df[t].add(i)
+    best = sorted((t for t in cf if len(df[t]) >= min_df), key=lambda t: (-cf[t], t))[:most]
+    return {(t, len(df[t])) for t in best}
+
+
+def test_top_terms_against_counting_all(spark):
+    """Ties at the last place, words that are frequent in one document only, ids that repeat or are null."""
+    rng = random.Random(3)
+    words = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh"]
+    rows = [(rng.choice(["1", "2", "3", None]), " ".join(rng.choices(words, range(1, 9), k=rng.randint(0, 7)))) for _ in range(12)]
+    rows += [("9", " ".join(["zz"] * 50 + ["yy"] * 40 + ["xx"] * 30)), ("8", "zz")]
+    df = spark.createDataFrame(rows, "recipe_id string, description string")
+    for most, min_df in [(3, 1), (5, 3), (9, 2), (20, 1), (500, 2), (500, 1)]:
+        got = {(r.term, r.df) for r in T.fit_tfidf(df, "description", most, min_df).collect()}
+        assert got == brute_terms(rows, most, min_df), (most, min_df)
+
+
+def test_terms_are_counted_where_the_texts_are(spark, monkeypatch):
+    """No exchange carries the terms of a text: the texts travel once, by id."""
+    df = spark.createDataFrame([("1", "red fox red"), ("2", "blue fox")], "recipe_id string, description string")
+    monkeypatch.setattr(T, "TASK_ROWS", 1)
+    vocab = spark.createDataFrame(T.fit_tfidf(df, "description", 5).collect(), "term string, df bigint, idf double")
+    for out in (T.tfidf_transform(df, "description", vocab, "d_"), T.hash_encode(df, "description", 64, "h_")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(recipe_id" in plan
