@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_swept(df: DataFrame) -> DataFrame:
+    """``cut``, and the files go of shuffles and checkpoints that nothing refers to any more. Spark deletes them when the
+    driver collects its garbage; during an operator of many exchanges over small rows it may not happen to."""
+    spark = df.sparkSession
+    out = cut(df)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
 def text_bytes(col: str | Column) -> Column:
     """UTF-8 of a text column, null as empty."""
     c = F.col(col) if isinstance(col, str) else col

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateau.llm.common import attach_once, batches, column_of, cut, mix64, text_bytes
+from plateau.llm.common import attach_once, batches, column_of, cut_swept, mix64, text_bytes
 from plateau.llm.components import components
 
 K = 5
@@ -236,7 +236,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         yield from batches(rows(), _PAIR, 5000)
 
     found = both.select("a", "b", "za", "zb").mapInArrow(run, "a binary, b binary")
-    return cut(found.repartition("a"))   # a few files instead of one small one per task
+    return cut_swept(found.repartition("a"))   # a few files instead of one small one per task
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,21 +254,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     yield i, x, _node(w), np.concatenate([sketch(kmers(w)), short_keys(w)])
         yield from batches(rows(), _SKETCH, 2000)
 
-    rows = cut(src.mapInArrow(sketches, "id bigint, text_hash bigint, node binary, keys array<bigint>"))
+    rows = cut_swept(src.mapInArrow(sketches, "id bigint, text_hash bigint, node binary, keys array<bigint>"))
     nodes = rows.groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
     inc = nodes.select("node", "id", F.explode("keys").alias("key"))
     sizes = inc.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    inc = cut(inc.join(sizes, "key"))
+    inc = cut_swept(inc.join(sizes, "key"))
     found = _links(inc, src)
     if found is None:
         rows = rows.select("id", "text_hash", "node").withColumn("label", F.col("node")).withColumn("n_links", F.lit(0).cast("bigint"))
     else:
         links, label = found
         ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-        facts = cut(label.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node"))
+        facts = cut_swept(label.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node"))
         rows = (rows.select("id", "text_hash", "node").join(facts, "node", "left")
                 .withColumn("label", F.coalesce("label", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0))))
-    rows = cut(rows.withColumn("uid", F.monotonically_increasing_id()))
+    rows = cut_swept(rows.withColumn("uid", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("class_id"), F.col("uid").alias("keep")))
     g = rows.groupBy("label").agg(F.count(F.lit(1)).alias("class_size"), first.alias("f"))
     return rows.join(g, "label").select("id", "text_hash", F.col("f.class_id").alias("class_id"), "class_size", "n_links",
@@ -294,27 +294,27 @@ def _links(inc: DataFrame, src: DataFrame) -> tuple[DataFrame, DataFrame] | None
 
     packed = src.select("id", "t").mapInArrow(texts, "id bigint, node binary, z binary")
     found = packed.join(reps, (packed["node"] == reps["node"]) & packed["id"].eqNullSafe(reps["id"]), "left_semi")
-    text = cut(found.dropDuplicates(["node"]).select("node", "z"))
+    text = cut_swept(found.dropDuplicates(["node"]).select("node", "z"))
     inc = inc.select("key", "node", "size")
     hub = inc.groupBy("node").agg(F.sum("size").alias("score"))
-    inc = cut(inc.join(hub, "node"))
+    inc = cut_swept(inc.join(hub, "node"))
     # First each node with the best hub of all its buckets: most of a family is one component then.
     top = inc.groupBy("key").agg(F.max(F.struct("score", "node")).alias("top"))
     best = (inc.join(top, "key").filter("node <> top.node").groupBy("node").agg(F.max("top").alias("top"))
             .select("node", F.col("top.node").alias("hub")))
-    tried = cut(_pairs(best))
+    tried = cut_swept(_pairs(best))
     links = _verified(tried, text)
     label = components(links)
     lab = inc.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_keys = (lab.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                  .filter("x <> y").select("key"))
-    lab = cut(lab.join(open_keys, "key").select("key", "node", "size", "label"))
+    lab = cut_swept(lab.join(open_keys, "key").select("key", "node", "size", "label"))
     refs = lab.select("node", "label").distinct().join(best, "node", "left").select("node", "label", F.coalesce("hub", "node").alias("ref"))
     of_ref = label.select(F.col("node").alias("ref"), F.col("label").alias("ref_label"))
-    nodes = cut(refs.join(of_ref, "ref", "left").withColumn("ref_label", F.coalesce("ref_label", "ref")))
+    nodes = cut_swept(refs.join(of_ref, "ref", "left").withColumn("ref_label", F.coalesce("ref_label", "ref")))
     if nodes.isEmpty():
         return links, label
-    pairs = cut(_pairs(_near_pairs(nodes, text)).join(tried, ["a", "b"], "left_anti"))
+    pairs = cut_swept(_pairs(_near_pairs(nodes, text)).join(tried, ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         more = _verified(pairs, text)
         if not more.isEmpty():
@@ -343,7 +343,7 @@ def _near_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     both = (nodes.join(texts, "node").join(texts.select(F.col("node").alias("ref"), F.col("z").alias("zr")), "ref")
             .select("node", "label", "ref", "ref_label", "z", "zr"))
-    rows = cut(both.mapInArrow(sets, "node binary, label binary, ref binary, ref_label binary, n int, m int, hs array<bigint>, ds array<bigint>"))
+    rows = cut_swept(both.mapInArrow(sets, "node binary, label binary, ref binary, ref_label binary, n int, m int, hs array<bigint>, ds array<bigint>"))
     return _within_families(rows).unionAll(_across_families(rows))
 
 
@@ -356,7 +356,7 @@ def _within_families(rows: DataFrame) -> DataFrame:
     often = one.groupBy("ref", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     listed = (one.join(often, ["ref", "h"]).groupBy("node", "label", "ref", "n", "d")
               .agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("l")))
-    at = cut(listed.select("node", "label", "ref", "n", "d", F.size("l").alias("s"), F.posexplode("l").alias("i", "x"))
+    at = cut_swept(listed.select("node", "label", "ref", "n", "d", F.size("l").alias("s"), F.posexplode("l").alias("i", "x"))
              .select("node", "label", "ref", "n", "d", (F.col("s") - F.col("i")).alias("rest"), F.col("x.h").alias("h"))
              .filter("4 * rest >= 4 * d - n"))
     hub = at.select("ref", "h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("n").alias("n2"), F.col("d").alias("d2"),
@@ -382,7 +382,7 @@ def _across_families(rows: DataFrame) -> DataFrame:
     listed = (one.join(often, "h").groupBy("node", "label", "ref", "n")
               .agg(F.array_sort(F.collect_list(F.struct("c", "h", "meets"))).alias("l"))
               .select("node", "label", "ref", "n", (F.col("n") - F.size("l")).alias("alone"), "l").filter("5 * alone <= n"))
-    at = cut(listed.select("node", "label", "ref", "n", "alone", F.posexplode("l").alias("i", "s")).filter("s.meets")
+    at = cut_swept(listed.select("node", "label", "ref", "n", "alone", F.posexplode("l").alias("i", "s")).filter("s.meets")
              .select("node", "label", "ref", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("rest"), F.col("s.h").alias("h"))
              .filter("5 * rest >= 4 * n"))
     hub = at.select("h", F.col("node").alias("hub"), F.col("label").alias("l2"), F.col("ref").alias("ref2"), F.col("n").alias("n2"),
@@ -401,7 +401,7 @@ def _pairs(df: DataFrame) -> DataFrame:
 def dedup_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, that stay: one of each class."""
     c = near_classes(docs, id_col, text_col)
-    facts = cut(c.groupBy(F.col("id").alias("_fid"), F.col("text_hash").alias("_fh"))
+    facts = cut_swept(c.groupBy(F.col("id").alias("_fid"), F.col("text_hash").alias("_fh"))
                 .agg(F.count(F.lit(1)).alias("m"), F.max("kept").alias("_kept")).filter("_kept").drop("_kept"))
     keys = {"_fid": F.col(id_col).cast("bigint"),
             "_fh": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))}
