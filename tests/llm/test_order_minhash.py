@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plateau.llm import order_minhash as X
 from plateau.llm.common import prepare
@@ -223,3 +224,20 @@ def test_short_keys_differ_by_one():
         a, b = set(X.short_keys(w[:n]).tolist()), set(X.short_keys(w[:n + 1]).tolist())
         assert bool(a & b) == (8 <= n < 13)
     assert len(X.short_keys(w)) == 0 and len(X.short_keys([])) == 0
+
+
+def test_swept_cuts_leave_no_files_of_earlier_ones(spark):
+    """The files of earlier cuts' exchanges go although the driver's heap is far from full."""
+    import time
+
+    from plateau.llm.common import cut_swept
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in (found.apply(i).getName() for i in range(found.size())) if x.startswith("shuffle_")}
+    old, out, first = files(), spark.range(2000).withColumnRenamed("id", "k"), set()
+    for _ in range(4):
+        out = cut_swept(out.repartition(3, "k").groupBy((F.col("k") % 7).alias("k")).count().select("k"))
+        first = first or files() - old
+        time.sleep(0.3)
+    assert first and not first & files() and out.count() == 7
