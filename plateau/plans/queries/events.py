@@ -15,9 +15,15 @@ from plateau.session import hold
 from plateau.sources import fixtures as X
 
 
+def cleaned(spark, sf_dir):
+    """The combined events, for a job that reads them once."""
+    return combined_events_from_lines(X.raw_event_lines(spark, sf_dir, "v1"),
+                                      X.raw_event_lines(spark, sf_dir, "v2"))
+
+
 def combined(spark, sf_dir):
-    return hold(combined_events_from_lines(X.raw_event_lines(spark, sf_dir, "v1"),
-                                            X.raw_event_lines(spark, sf_dir, "v2")))
+    """The combined events, for a job of several branches."""
+    return hold(cleaned(spark, sf_dir))
 
 
 def _jx(path: str) -> str:
@@ -82,7 +88,7 @@ FROM d
 @query("T05_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "d"}))
 def t05_combined_events(spark, sf_dir):
     """Raw v1/v2 JSON lines -> cleaned combined events (17 fixed columns)."""
-    return combined(spark, sf_dir)
+    return cleaned(spark, sf_dir)
 
 
 @query("F08_item_id_from_route", canon_sql(f"""
@@ -94,7 +100,7 @@ SELECT current_route,
 FROM ({SQL_COMBINED}) GROUP BY ALL""", {"n": "i"}))
 def f08_item_id_from_route(spark, sf_dir):
     """Recipe id parsed from the app route, counted per route."""
-    ev = combined(spark, sf_dir)
+    ev = cleaned(spark, sf_dir)
     return ev.groupBy("current_route", item_id_from_route(F.col("current_route")).alias("route_recipe_id")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
@@ -105,7 +111,7 @@ SELECT distinct_id,
 FROM ({SQL_COMBINED})""", {}))
 def f09_format_interactions(spark, sf_dir):
     """Interaction JSON per event (recipe id 'unknown' when missing)."""
-    ev = combined(spark, sf_dir)
+    ev = cleaned(spark, sf_dir)
     return ev.select("distinct_id", format_interaction(F.col("event"), F.col("timestamp"), F.col("recipe_id"))
                      .alias("interaction"))
 
@@ -126,7 +132,7 @@ SELECT platform AS value, count(*) AS count FROM ({SQL_COMBINED}) GROUP BY platf
 """, {"count": "i"}))
 def a17_value_counts_platform(spark, sf_dir):
     """Platform distribution of the combined events."""
-    return E.value_counts(combined(spark, sf_dir), "platform")
+    return E.value_counts(cleaned(spark, sf_dir), "platform")
 
 
 @query("A17_value_counts_device", canon_sql(f"""
@@ -134,7 +140,7 @@ SELECT device_type AS value, count(*) AS count FROM ({SQL_COMBINED}) GROUP BY de
 """, {"count": "i"}))
 def a17_value_counts_device(spark, sf_dir):
     """Device-type distribution of the combined events."""
-    return E.value_counts(combined(spark, sf_dir), "device_type")
+    return E.value_counts(cleaned(spark, sf_dir), "device_type")
 
 
 @query("T05_streaming_combined_events", canon_sql(SQL_COMBINED, {"timestamp": "d"}))
@@ -212,7 +218,7 @@ def s08_table_roundtrip(spark, sf_dir):
     from plateau.sources.events import COMBINED_COLUMNS
     from plateau.sources.io import write_table
     path = f"{checkpoint_dir(spark).rstrip('/')}/combined-{uuid.uuid4().hex}"
-    write_table(combined(spark, sf_dir), path, partition_by=["platform"])
+    write_table(cleaned(spark, sf_dir), path, partition_by=["platform"])
     return spark.read.parquet(path).select(*COMBINED_COLUMNS)
 
 

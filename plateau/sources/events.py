@@ -54,14 +54,14 @@ def parse_event_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Text lines -> parsed events (columns ``event, distinct_id, timestamp, properties``).
 
     Blank lines and lines that are not a JSON object are dropped silently (S01). A line is
-    parsed once; the generator keeps the optimizer from repeating the parse in the filter. Only a
+    made and parsed once; the generators keep the optimizer from repeating either in the filters. Only a
     line that the schema could not hold (properties that are no object) is looked at again.
     """
-    v = F.col(text_col)
+    v = F.col("_line")
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_corrupt", _S)])
     parsed = F.from_json(v, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    rows = (lines.filter(v.rlike(r"^\s*\{"))
-            .select(v.alias("_line"), F.explode(F.array(parsed)).alias("e")))
+    rows = (lines.select(F.explode(F.array(text_col)).alias("_line")).filter(v.rlike(r"^\s*\{"))
+            .select(v, F.explode(F.array(parsed)).alias("e")))
     ok = F.when(F.col("e._corrupt").isNull(), True).otherwise(F.json_object_keys("_line").isNotNull())
     return rows.filter(ok).select(*[F.col(f"e.`{f.name}`") for f in EVENT_SCHEMA.fields])
 

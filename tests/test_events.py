@@ -3,6 +3,7 @@
 import json
 
 from plateau.plans.clean_events import combined_events_from_lines
+from plateau.sources.events import parse_event_lines
 
 
 def lines(spark, rows):
@@ -34,3 +35,23 @@ def test_clean_events_edge_cases(spark):
     assert (u3.event, u3.platform, u3.device_type, u3.current_route) == ("User Identified", "android", "unknown", "/recipes/9")
     assert (u4.app_version, u4.timestamp, u4.time_of_day, u4.day_of_week, u4.is_weekend) == \
         ("3.1", None, "unknown", "unknown", None)
+
+
+def test_a_line_is_made_once(spark):
+    """A line that an expression makes is not made again by the filters over it."""
+    made = spark.createDataFrame([("{}",), ("none",)], "x string").selectExpr("reverse(reverse(x)) AS value")
+    parsed = parse_event_lines(made)
+    assert parsed.count() == 1
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("reverse(reverse(") == 1
+
+
+def test_raw_lines_are_put_together_in_parts(spark, tmp_path):
+    """No projection holds all properties: their method would be too long for the JVM to compile."""
+    from plateau.sources.fixtures import raw_event_lines
+    rows = "SELECT id AS event_id, id AS user_id, 'view' AS event_type, 1.5D AS value, '{\"k\": 7}' AS props, timestamp_ntz'2024-01-01' AS ts FROM range(1, 12)"
+    spark.sql(rows).write.parquet(f"{tmp_path}/events.parquet")
+    lines = raw_event_lines(spark, str(tmp_path), "v2")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("total_ingredients" in x and "distinct_id" in x for x in plan.splitlines())
+    out = {json.loads(r.value)["properties"]["distinct_id"]: json.loads(r.value)["properties"] for r in lines.collect()}
+    assert len(out) == 6 and out["u3"]["recipe_id"] == 7 and out["u5"]["recipe_id"] == "7" and out["u3"]["recipe_url"] == "http://shop.example/item/7"
