@@ -163,16 +163,13 @@ def user_activity_summary(events: DataFrame) -> DataFrame:
 
 
 def funnel(recipe_events: DataFrame, steps: list[str] | None = None) -> DataFrame:
-    """Distinct users per funnel step and % of users with any recipe event."""
+    """Distinct users per funnel step and % of users with any recipe event (A16). The events are read once: a user
+    is one row that says which steps it took."""
     steps = list(steps or FUNNEL_STEPS)
-    ev = recipe_events.filter(F.col("event").isin(steps)).select("event", USER).distinct()
-    per_step = ev.groupBy("event").agg(F.count(F.lit(1)).alias("users"))
-    step_tbl = recipe_events.sparkSession.createDataFrame(
-        [(i, s) for i, s in enumerate(steps)], "step int, event string")
-    n_recipe_users = recipe_events.agg(F.countDistinct(USER).alias("_total"))
-    return (F.broadcast(step_tbl).join(per_step, "event", "left")
-            .withColumn("users", F.coalesce("users", F.lit(0)).cast("bigint"))
-            .crossJoin(F.broadcast(n_recipe_users))
+    took = recipe_events.groupBy(USER).agg(*[F.max(F.col("event") == s).alias(f"_{i}") for i, s in enumerate(steps)])
+    total = took.agg(F.count(USER).alias("_total"), *[F.count(F.when(F.col(f"_{i}"), 1)).alias(f"_{i}") for i in range(len(steps))])
+    rows = F.array(*[F.struct(F.lit(s).alias("event"), F.lit(i).alias("step"), F.col(f"_{i}").alias("users")) for i, s in enumerate(steps)])
+    return (total.select("_total", F.explode(rows).alias("_r")).select("_r.*", "_total")
             .withColumn("percentage", F.col("users") / F.col("_total") * 100).drop("_total"))
 
 

@@ -10,7 +10,7 @@ from plateau.config import EDA_RECIPE_EVENTS, INGREDIENT_EVENTS
 from plateau.operators import explore as E
 from plateau.plans.canonical import canon_sql
 from plateau.plans.clean_events import combined_events_from_lines
-from plateau.plans.queries.events import SQL_COMBINED, combined
+from plateau.plans.queries.events import SQL_COMBINED, cleaned, combined
 from plateau.plans.registry import query
 from plateau.session import checkpoint_dir
 from plateau.sources import fixtures as X
@@ -36,7 +36,7 @@ def _q(body: str, types: dict) -> str:
 SELECT distinct_id, "timestamp", date, hour, month(datetime) AS month, year(datetime) AS year, datetime FROM ev
 """, {"timestamp": "d", "date": "date", "hour": "i", "month": "i", "year": "i", "datetime": "ts"}))
 def f17_with_calendar(spark, sf_dir):
-    ev = E.with_calendar(combined(spark, sf_dir))
+    ev = E.with_calendar(cleaned(spark, sf_dir))
     return ev.select("distinct_id", "timestamp", "date", "hour", "month", "year", "datetime")
 
 
@@ -47,7 +47,7 @@ SELECT count(*) AS total_events, count(DISTINCT distinct_id) AS unique_users,
 """, {"total_events": "i", "unique_users": "i", "unique_devices": "i", "first_date": "date",
       "last_date": "date", "span_days": "i"}))
 def a10_basic_stats(spark, sf_dir):
-    return E.basic_stats(combined(spark, sf_dir))
+    return E.basic_stats(cleaned(spark, sf_dir))
 
 
 @query("A09_events_per_user_stats", _q("""
@@ -104,7 +104,7 @@ SELECT avg(n) AS mean_per_day, max(n) AS peak_count, arg_min(date, (-n, date)) A
 FROM (SELECT date, count(*) AS n FROM ev GROUP BY date)
 """, {"mean_per_day": "d", "peak_count": "i", "peak_day": "date", "quietest_count": "i", "quietest_day": "date"}))
 def a13_daily_activity(spark, sf_dir):
-    return E.daily_activity(combined(spark, sf_dir))
+    return E.daily_activity(cleaned(spark, sf_dir))
 
 
 @query("A13_weekday_activity", _q("""
@@ -122,14 +122,14 @@ SELECT count(*) FILTER (WHERE is_weekend) AS weekend_events, count(*) FILTER (WH
        count(*) FILTER (WHERE NOT is_weekend) / count(*) * 100 AS weekday_pct FROM ev
 """, {"weekend_events": "i", "weekday_events": "i", "total_events": "i", "weekend_pct": "d", "weekday_pct": "d"}))
 def a13_weekend_split(spark, sf_dir):
-    return E.weekend_split(combined(spark, sf_dir))
+    return E.weekend_split(cleaned(spark, sf_dir))
 
 
 @query("W06_hourly_top3", _q("""
 SELECT hour, count(*) AS count FROM ev GROUP BY hour ORDER BY count DESC, hour LIMIT 3
 """, {"hour": "i", "count": "i"}))
 def w06_hourly_top3(spark, sf_dir):
-    return E.hourly_top(combined(spark, sf_dir), 3)
+    return E.hourly_top(cleaned(spark, sf_dir), 3)
 
 
 @query("A14_user_segments", _q("""
@@ -178,7 +178,7 @@ FROM (VALUES (0, 'Recipe Viewed'), (1, 'Recipe Favourited'), (2, 'Recipe Cooked'
 LEFT JOIN (SELECT event, count(DISTINCT distinct_id) AS users FROM rec GROUP BY event) u USING (event)
 """, {"step": "i", "users": "i", "percentage": "d"}))
 def a16_funnel(spark, sf_dir):
-    return E.funnel(E.recipe_event_rows(combined(spark, sf_dir)))
+    return E.funnel(E.recipe_event_rows(cleaned(spark, sf_dir)))
 
 
 @query("A15_insights", _q(f""", summ AS ({_A08_SQL}),
@@ -258,7 +258,7 @@ UNION ALL SELECT 'devices', NULL, NULL, count(DISTINCT device_id) FROM ev
 @query("A10_report_in_one_scan", _q(_ONE, {"n": "i", "users": "i"}))
 def a10_report_in_one_scan(spark, sf_dir):
     """Totals, event shares, calendar counts, segments and engagement buckets (A10-A14, A16, W06) from one scan."""
-    return E.report(E.activity_sets(combined(spark, sf_dir)))
+    return E.report(E.activity_sets(cleaned(spark, sf_dir)))
 
 
 @query("A28_interaction_range", canon_sql(f"""
@@ -285,4 +285,4 @@ def w05_timeline(spark, sf_dir):
 SELECT distinct_id, count(*) AS events FROM ev GROUP BY distinct_id ORDER BY events DESC, distinct_id LIMIT 10
 """, {"events": "i"}))
 def w11_top_users(spark, sf_dir):
-    return E.top_users(combined(spark, sf_dir), 10)
+    return E.top_users(cleaned(spark, sf_dir), 10)

@@ -55,3 +55,13 @@ def test_raw_lines_are_put_together_in_parts(spark, tmp_path):
     assert not any("total_ingredients" in x and "distinct_id" in x for x in plan.splitlines())
     out = {json.loads(r.value)["properties"]["distinct_id"]: json.loads(r.value)["properties"] for r in lines.collect()}
     assert len(out) == 6 and out["u3"]["recipe_id"] == 7 and out["u5"]["recipe_id"] == "7" and out["u3"]["recipe_url"] == "http://shop.example/item/7"
+
+
+def test_funnel_reads_its_events_once(spark):
+    from plateau.operators.explore import funnel
+    rows = [("Recipe Viewed", "a"), ("Recipe Viewed", "a"), ("Recipe Cooked", "a"), ("Recipe Viewed", "b"), ("Other", "c"),
+            ("Recipe Viewed", None), (None, "d")]
+    f = funnel(spark.createDataFrame(rows, "event string, distinct_id string"))
+    assert [(r.step, r.event, r.users, r.percentage) for r in f.orderBy("step").collect()] == [
+        (0, "Recipe Viewed", 3, 75.0), (1, "Recipe Favourited", 0, 0.0), (2, "Recipe Cooked", 1, 25.0)]
+    assert f._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
