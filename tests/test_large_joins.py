@@ -21,6 +21,24 @@ def test_interactions_are_dealt_into_tasks_of_bounded_rows(spark, tmp_path, monk
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(l_orderkey") == plan.count("hashpartitioning(o_orderkey") == 1
     assert plan.count(", 20), REPARTITION_BY_NUM") == 2
-    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and many.count() == 70
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and many.count() == 72
     u04 = registry.QUERIES["U04_distinct_items"](spark, d)
     assert sorted(map(tuple, u04.collect())) == sorted({(r.recipe_id, r.event_type) for r in few.collect()})
+
+
+def test_item_features_read_the_interactions_once(spark):
+    from plateau import session
+    from plateau.operators.content import item_features
+    registry.load_all()
+    inter = spark.createDataFrame([("u", "a", 2.0, 10), ("v", "a", 4.0, 20), ("v", "b", None, 5)], "user_id string, recipe_id string, rating double, timestamp long")
+    items = spark.createDataFrame([("a", "n", "x", "v1", "1h", "2", ["main"]), ("c", "n", None, "v2", "", "", ["light"])],
+                                  "recipe_id string, recipe_name string, recipe_author string, version string, recipe_cooking_time string, recipe_servings string, recipe_tags array<string>")
+    ings = spark.createDataFrame([("a", "oil")], "recipe_id string, ingredient string")
+    out = item_features(items, ings, inter, 86400)
+    assert {(r.recipe_id, r.interaction_count, r.avg_rating, r.is_popular) for r in out.collect()} == {("a", 2, 3.0, 1), ("c", 0, 2.5, 0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation [recipe_id" in plan and "interaction_count" in plan
+    session.release()
+    registry.QUERIES["F06_item_features"](spark, "/root/testdata/sf0.001")
+    assert session._HELD and not any("event" in df.columns or "ingredient" in df.columns for df in session._HELD)
+    session.release()
