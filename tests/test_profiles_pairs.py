@@ -192,3 +192,15 @@ def test_user_item_features_exchange_no_row_per_ingredient(spark):
                    ("w", "d"): (0, 0.0, 0), ("x", None): (0, 0.0, 0)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "user_id, ingredient" not in plan and "ingredient, user_id" not in plan
+
+
+def test_ingredient_sets_exchange_no_row_per_user_and_ingredient(spark):
+    from plateau.operators.features import ingredient_sets
+    inter = spark.createDataFrame([("u", "a", 1.0), ("u", "b", 2.0), ("u", "a", 3.0), ("v", "b", -1.0), ("w", "a", 1.0), ("x", "z", 1.0), (None, "a", 1.0)],
+                                  "user_id string, recipe_id string, rating double")
+    bridge = spark.createDataFrame([("a", 10), ("a", 11), ("a", 11), ("a", None), ("b", 11), ("b", 200), (None, 10)], "recipe_id string, ingredient_id long")
+    us, rs = ingredient_sets(inter, bridge)
+    assert {r.user_id: (r._nu, r._um) for r in us.collect()} == {"u": (3, {0: 14}), "w": (2, {0: 6}), None: (2, {0: 6})}  # index 0 is NULL
+    assert {r.recipe_id: (r._nr, r._ri) for r in rs.collect() if r.recipe_id} == {"a": (2, [1, 2]), "b": (2, [2, 3])}
+    plan = us._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(user_id#\d+, (ingredient_id|w)#", plan)
