@@ -238,3 +238,15 @@ def test_a_settled_fit_keeps_the_trees_of_the_whole_one(spark):
     short = RK.fit_ranker(df, df, ["a", "b"], p, stop=RK.settled)
     assert short.best_round == whole.best_round and short.scorer.to_json() == whole.scorer.to_json() and short.importance == whole.importance
     assert len(whole.history) == whole.best_round + 6 and len(short.history) == short.best_round
+
+
+def test_packing_many_features_stays_small_in_the_optimizer(spark):
+    names = [f"x{i}" for i in range(10)]
+    df = spark.createDataFrame([("u", 1.0, *map(float, range(10))), ("u", 0.0, *[None] * 10), ("v", 2.0, *[0.5] * 10)],
+                               "user_id string, label double, " + ", ".join(f"{c} double" for c in names))
+    edges = B.cut_points(df, names)
+    packed = B.pack(df, names, edges, "user_id", "label", 2)
+    # every renamed feature would double the equalities that the optimizer keeps of the key
+    assert packed._jdf.queryExecution().optimizedPlan().toString().count(" AS ") <= 3
+    rows = packed.unionAll(B.pack(df, names, edges, "user_id", "label", 1)).collect()
+    assert sum(r.n for r in rows) == 6 and all(len(r.codes) == 10 * r.n for r in rows)
